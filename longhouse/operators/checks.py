@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,23 +49,36 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
-def check_table(name: str, df: DataFrame, table_of: Callable[[str], DataFrame], added: DataFrame | None = None) -> None:
-    """Raise if ``df`` breaks what its table declares.
+def problems(
+    name: str, whole: DataFrame, added: DataFrame, table_of: Callable[[str], DataFrame]
+) -> list[DataFrame]:
+    """What breaks the declarations of a table, as frames of (problem).
 
-    ``added`` limits null and reference checks to the rows of the batch; keys are checked over the
-    whole of ``df``.
+    Keys are checked over the whole table, nulls and references over the rows that were added.
     """
     table = TABLES[name]
-    added = df if added is None else added
+    found = []
+
+    def report(rows: DataFrame, text: str) -> None:
+        found.append(rows.limit(1).select(F.lit(f"{name}: {text}").alias("problem")))
+
     if table.required:
-        counts = null_counts(added, table.required).first().asDict()
-        bad = [c for c, n in counts.items() if n]
-        if bad:
-            raise IntegrityError(f"{name}: null in {', '.join(bad)}")
-    keys = [*table.unique, *([(table.key,)] if table.key else [])]
-    for key in keys:
-        if not duplicate_keys(df, key).isEmpty():
-            raise IntegrityError(f"{name}: duplicate {', '.join(key)}")
+        counts = null_counts(added, table.required)
+        bad = F.array_compact(
+            F.array(*[F.when(F.col(c) > 0, F.lit(f"{name}: null in {c}")) for c in table.required])
+        )
+        found.append(counts.select(F.explode(bad).alias("problem")))
+    for key in [*table.unique, *([(table.key,)] if table.key else [])]:
+        report(duplicate_keys(whole, key), f"duplicate {', '.join(key)}")
     for column, parent in table.parents:
-        if not orphans(added, column, table_of(parent)).isEmpty():
-            raise IntegrityError(f"{name}: {column} is not in {parent}")
+        report(orphans(added, column, table_of(parent)), f"{column} is not in {parent}")
+    return found
+
+
+def require_none(found: Sequence[DataFrame]) -> None:
+    """Run all checks as one job; raise if any reports a problem."""
+    if not found:
+        return
+    bad = reduce(DataFrame.unionByName, found).limit(20).collect()
+    if bad:
+        raise IntegrityError("; ".join(sorted(r.problem for r in bad)))

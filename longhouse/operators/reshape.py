@@ -82,14 +82,17 @@ def _gather(long: DataFrame, variables: list[Variable], cell: Column) -> DataFra
 
     A pivot of text evaluates every output column for every input cell. Collecting a row's cells
     and sorting them once costs the same however many columns there are. A row has at most one
-    cell per variable, so the collected list is bounded by the schema.
+    cell per variable, so the collected list is bounded by the schema. Collecting shrinks nothing,
+    so cells are shuffled as they are and gathered once, behind the shuffle.
     """
     ids = sorted(v.variable_id for v in variables)
     wanted = F.array(*[F.lit(i).cast("long") for i in ids])
     rows = (
         long.where(F.col("variable_id").isin(ids))
+        .select(ROW_ID, F.struct("variable_id", cell.alias("cell")).alias("item"))
+        .repartition(ROW_ID)
         .groupBy(ROW_ID)
-        .agg(F.sort_array(F.collect_list(F.struct("variable_id", cell.alias("cell")))).alias("got"))
+        .agg(F.sort_array(F.collect_list("item")).alias("got"))
     )
     complete = F.transform("got", lambda item: item["cell"])
     partial = F.transform(

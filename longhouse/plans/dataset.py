@@ -108,13 +108,16 @@ class DatasetWriter:
             ),
         )
         ids = [d[0] for d in self.datasets]
-        self.batch.insert(
+        self.batch.insert_rows(
             "ingest_datasets",
-            spark.createDataFrame(
-                [(self.ingestion_id, self.transformation_id, i) for i in ids],
-                "data_ingestion_id long, transformation_id long, dataset_id long",
-            ),
-            ["dataset_id"],
+            [
+                {
+                    "data_ingestion_id": self.ingestion_id,
+                    "transformation_id": self.transformation_id,
+                    "dataset_id": i,
+                }
+                for i in ids
+            ],
         )
         pair = "transformation_id long, dataset_id long"
         outputs = [(self.transformation_id, i) for i in ids]

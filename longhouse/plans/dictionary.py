@@ -17,6 +17,7 @@ from longhouse.operators.checks import require_columns
 from longhouse.operators.joins import contained_join, lookup_join
 from longhouse.operators.lookup import named_key, named_keys
 from longhouse.operators.numbering import number_within, ordered_concat
+from longhouse.session import stage
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_dictionary
 from longhouse.sources.documents import path_exists
@@ -227,7 +228,10 @@ def lab_dictionary(
         F.col("champs_local_code").alias("code"), F.col("c_pref_name").alias("preferred"), "pos"
     )
     # many columns end in the same result code; each code is matched once
-    found = contained_join(parts.select("Result_code").distinct(), "Result_code", codes, "code")
+    found = stage(
+        contained_join(parts.select("Result_code").distinct(), "Result_code", codes, "code"),
+        "codes",
+    )
     chunks = ordered_concat(found, ["Result_code"], ["pos"], "preferred", ", ", "names")
     named = chunks.groupBy("Result_code").agg(
         F.concat(
@@ -243,7 +247,7 @@ def lab_dictionary(
     described = lookup_join(
         parts, samples.select("Sample_code", "Desc"), ["Sample_code"], "left", ["Column_Name"]
     )
-    described = lookup_join(described, named, ["Result_code"], "left", ["Column_Name"])
+    described = lookup_join(described, stage(named, "code-names"), ["Result_code"], "left", ["Column_Name"])
     text = F.concat(
         F.col("Desc"),
         F.lit(": "),
@@ -275,9 +279,9 @@ def panel_vocabulary(panels: DataFrame, targets: Sequence[str], order_by: str =
     )
     keys = ["pathogen", "interpretation"]
     texts = ordered_concat(rows, keys, ["__pos"], "values", "|", "description")
-    first = rows.groupBy(*keys).agg(F.min("__pos").alias("__first"))
+    first = stage(rows.groupBy(*keys).agg(F.min("__pos").alias("__first")), "panel-first")
     numbers = number_within(first, ["pathogen"], ["__first"], "key")
-    return lookup_join(texts, numbers.drop("__first"), keys, spread_by=["part"]).select(
+    return lookup_join(texts, stage(numbers.drop("__first"), "panel-keys"), keys, spread_by=["part"]).select(
         "pathogen", "key", "interpretation", "part", "description"
     )
 
@@ -342,7 +346,7 @@ def harmonise_types(dictionary: DataFrame) -> DataFrame:
     kind = F.col("DataType")
     for i, (_, _, value) in enumerate(rules):
         kind = F.when(F.col(f"__r{i}"), F.lit(value)).otherwise(kind)
-    met_type = lookup_join(dictionary, met, ["Column_Name"], spread_by=["Description"])
+    met_type = lookup_join(dictionary, stage(met, "rules"), ["Column_Name"], spread_by=["Description"])
     return met_type.withColumn("DataType", kind).select(*dictionary.columns)
 
 
@@ -360,7 +364,8 @@ def harmonise_named_types(dictionary: DataFrame, key_column: str = "rowid") -> D
         ).alias("__number"),
         F.bool_or(_mentions(description, NAMED_UNIT) | _mentions(name, NAMED_UNIT)).alias("__unit"),
     )
-    typed = lookup_join(dictionary, by_column, ["column_name"], spread_by=["description", "type"])
+    typed = lookup_join(
+        dictionary, stage(by_column, "rules"), ["column_name"], spread_by=["description", "type"])
     kind = (
         F.when(F.col("__unit"), F.lit("text"))
         .when(F.col("__number"), F.lit("double precision"))
@@ -369,6 +374,7 @@ def harmonise_named_types(dictionary: DataFrame, key_column: str = "rowid") -> D
         .otherwise(F.col("type"))
     )
     typed = typed.select("column_name", "description", kind.alias("type")).distinct()
+    typed = stage(typed, "typed")
     several = typed.groupBy("column_name").agg((F.count(F.lit(1)) > 1).alias("__several"))
     settled = lookup_join(typed, several, ["column_name"], spread_by=["description", "type"])
     settled = settled.select(

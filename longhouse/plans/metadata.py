@@ -67,64 +67,58 @@ def add_sites(
     return batch.insert("sites", sites.withColumn("source_id", F.lit(source_id)), ["site_name"])
 
 
-def _described(batch: Batch, entries: dict[str, str]) -> DataFrame:
-    rows = sorted(entries.items())
-    return batch.archive.spark.createDataFrame(rows, "name string, description string")
-
-
 def add_instruments(batch: Batch, source: SourceConfig, datapath: str) -> None:
     """Instruments and their documents (pipeline J-3)."""
     if not source.instruments:
         return
-    added = batch.insert("instruments", _described(batch, source.instruments), ["name"])
+    rows = [{"name": n, "description": d} for n, d in sorted(source.instruments.items())]
+    added = batch.insert_rows("instruments", rows)
     folder = source_path(datapath, source.name, source.instrumentfolder)
-    files = read_documents(batch.archive.spark, folder, list(source.instruments))
-    documents = added.select("instrument_id", "name").join(files, "name")
-    batch.insert("instrument_documents", documents, ["instrument_id"])
+    _add_documents(batch, "instrument_documents", added.select("instrument_id", "name"), folder)
+
+
+def _add_documents(batch: Batch, table: str, owners: DataFrame, folder: str) -> None:
+    """One document per owner, read from the file it is named after."""
+    names = [r.name for r in owners.select("name").collect()]  # as many as are configured
+    files = read_documents(batch.archive.spark, folder, names)
+    batch.insert(table, owners.join(files, "name"), [owners.columns[0]])
 
 
 def add_protocols_and_ethics(
     batch: Batch, source: SourceConfig, source_id: int, datapath: str
 ) -> None:
     """Protocols for every site, their ethics approvals and all documents (J-4, J-5)."""
-    spark = batch.archive.spark
     protocols = batch.table("protocols")
     if source.protocols:
-        from longhouse.operators.keys import assign_ids
-
-        new = assign_ids(
-            _described(batch, source.protocols),
-            "protocol_id",
-            batch.last_id("protocols"),
-            ["name"],
-            unique_order=True,
-        ).withColumn("ethics_id", F.lit(None).cast("long"))
+        rows = [{"name": n, "description": d} for n, d in sorted(source.protocols.items())]
+        new = batch.keyed_rows("protocols", rows)
         protocols = protocols.unionByName(new)
         sites = source_sites(batch.table("sources"), batch.table("sites"), source.name)
         own = new.withColumn("source_id", F.lit(source_id).cast("long"))
         batch.write("site_protocols", site_protocols(sites, own))
         folder = source_path(datapath, source.name, source.protocolfolder)
-        files = read_documents(spark, folder, list(source.protocols))
-        batch.insert(
-            "protocol_documents",
-            new.select("protocol_id", "name").join(files, "name"),
-            ["protocol_id"],
-        )
+        _add_documents(batch, "protocol_documents", new.select("protocol_id", "name"), folder)
     if source.ethics:
-        rows = [(name, *entry) for name, entry in sorted(source.ethics.items())]
-        listed = spark.createDataFrame(
-            rows, "name string, description string, ethics_committee string, ethics_reference string"
-        )
-        ethics = batch.insert(
-            "ethics", listed.drop("description").withColumn("source_id", F.lit(source_id)), ["name"]
+        entries = sorted(source.ethics.items())
+        rows = [
+            {
+                "source_id": source_id,
+                "name": name,
+                "ethics_committee": committee,
+                "ethics_reference": reference,
+            }
+            for name, (_, committee, reference) in entries
+        ]
+        ethics = batch.insert_rows("ethics", rows)
+        described = batch.archive.spark.createDataFrame(
+            [(name, description) for name, (description, _, _) in entries],
+            "name string, description string",
         )
+        owners = ethics.select("ethics_id", "name").join(described, "name")
         folder = source_path(datapath, source.name, source.ethicsfolder)
-        files = read_documents(spark, folder, list(source.ethics))
-        own = ethics.select("ethics_id", "name")
-        documents = own.join(listed.select("name", "description"), "name").join(files, "name")
-        batch.insert("ethics_documents", documents, ["ethics_id"])
+        _add_documents(
+            batch, "ethics_documents", owners.select("ethics_id", "name", "description"), folder
+        )
         protocols = assign_ethics(protocols, ethics)
     if source.protocols or source.ethics:
         batch.write("protocols", protocols)
-
-

@@ -18,6 +18,9 @@ def build_session(app: str = "longhouse", cpus: str | int | None = None, **conf:
         "spark.sql.shuffle.partitions": str(cpus) if str(cpus).isdigit() else "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # files of a few MB are cut into one split per core, as larger ones are by default
+        "spark.sql.files.openCostInBytes": "262144",
+        "spark.hadoop.parquet.block.size": "2097152",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",

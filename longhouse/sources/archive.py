@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,16 +147,22 @@ class Batch:
         key = TABLES[name].key
         return self.write(name, assign_ids(df, key, self.last_id(name), order_by))
 
+    def insert_rows(self, name: str, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
+        """Write configured rows with new keys in the order given (operator I-2)."""
+        return self.write(name, self.keyed_rows(name, rows))
+
+    def keyed_rows(self, name: str, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
+        table = TABLES[name]
+        base = self.last_id(name)
+        values = [
+            tuple({**row, table.key: base + n}.get(f) for f in table.schema.names)
+            for n, row in enumerate(rows, start=1)
+        ]
+        return self.archive.spark.createDataFrame(values, table.schema)
+
     def insert_row(self, name: str, row: Mapping[str, Any]) -> int:
         """Write one row and return its key (operator I-2, one-row form)."""
-        table = TABLES[name]
-        key = self.last_id(name) + 1
-        record = {**row, table.key: key}
-        fields = [f for f in table.schema.fields if f.name in record]
-        schema = type(table.schema)(fields)
-        values = [tuple(record[f.name] for f in fields)]
-        self.write(name, self.archive.spark.createDataFrame(values, schema))
-        return key
+        return self.insert_rows(name, [row]).first()[TABLES[name].key]
 
     def check(self) -> None:
         """Keys, references and required columns of what this batch wrote (operators K-1..K-3).
@@ -164,11 +170,15 @@ class Batch:
         The cells of a dataset carry fresh row ids and one variable per column, so their key holds
         by construction and is not counted again here.
         """
+        found: list[DataFrame] = []
         for name in self.written:
             if name in ("data", "typed_data"):
                 continue
-            whole = self.table(name) if name != "datarows" else self.added(name)
-            checks.check_table(name, whole, self.table, self.added(name))
+            added = self.added(name)
+            # row ids go on from the largest, so they cannot meet those of other batches
+            whole = added if name == "datarows" else self.table(name)
+            found += checks.problems(name, whole, added, self.table)
+        checks.require_none(found)
 
     def publish(self) -> None:
         """Check, then make the batch visible."""
