@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from longhouse.functions import values as V
 
 ROW_ID = "row_id"
+INNER_ROW_ID = "__row_id"  # where a dataset has a column called row_id
 
 
 @dataclass(frozen=True)
@@ -103,9 +104,11 @@ def _gather(long: DataFrame, variables: list[Variable], cell: Column) -> DataFra
 
 
 def _spread(rows: DataFrame, variables: list[Variable], read) -> DataFrame:
+    """Columns from the gathered cells; our row id steps aside for a variable of that name."""
     place = {i: n for n, i in enumerate(sorted(v.variable_id for v in variables))}
+    own = any(v.name == ROW_ID for v in variables)
     return rows.select(
-        ROW_ID,
+        F.col(ROW_ID).alias(INNER_ROW_ID if own else ROW_ID),
         *[
             read(F.get("cells", F.lit(place[v.variable_id])), v.value_type_id).alias(v.name)
             for v in variables

@@ -14,6 +14,7 @@ from longhouse.operators import registry
 from longhouse.operators.keys import assign_ids
 from longhouse.operators.lookup import lookup_variables, variable_id
 from longhouse.operators.reshape import (
+    INNER_ROW_ID,
     ROW_ID,
     Variable,
     unpivot_text,
@@ -26,8 +27,6 @@ from longhouse.plans.registry import register_ingestion
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_csv
 
-_ROW = "__row_id"  # a dataset may have a column called row_id
-
 
 def register_transformation(batch: Batch, ingest: IngestConfig | UserIngestConfig) -> int:
     """A new transformation (operator I-4)."""
@@ -80,12 +79,12 @@ class DatasetWriter:
             raise ValueError(f"{name}: columns missing from the dictionary: {', '.join(missing)}")
         self._dataset += 1
         dataset_id = self._dataset
-        rows = assign_ids(frame, _ROW, self._row)
-        self.batch.write("datarows", rows.select(F.col(_ROW).alias(ROW_ID)), partition=dataset_id)
+        rows = assign_ids(frame, INNER_ROW_ID, self._row)
+        self.batch.write("datarows", rows.select(F.col(INNER_ROW_ID).alias(ROW_ID)), partition=dataset_id)
         unpivot = unpivot_typed if typed else unpivot_text
         self.batch.write(
             "typed_data" if typed else "data",
-            unpivot(rows, variables, _ROW),
+            unpivot(rows, variables, INNER_ROW_ID),
             partition=dataset_id,
         )
         self._row += rows.count()
@@ -135,7 +134,7 @@ def row_ids_and_values(rows: DataFrame, id_col: str, id_type: int) -> DataFrame:
     """(row_id, value) of the id column of a numbered dataset, as its cells hold it."""
     dtype = rows.schema[id_col].dataType
     value = V.cell_text(F.col(f"`{id_col}`"), dtype, id_type)
-    return rows.select(F.col(_ROW).alias(ROW_ID), value.alias("value"))
+    return rows.select(F.col(INNER_ROW_ID).alias(ROW_ID), value.alias("value"))
 
 
 def ingest_data(
