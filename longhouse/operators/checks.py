@@ -40,7 +40,7 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_col: str | Non
     The child is counted per value before the join, so a value that many rows share is one row.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_col or column).alias(column)).distinct()
+    known = parent.select(F.col(parent_col or column).alias(column))
     return values.join(known, column, "left_anti")
 
 

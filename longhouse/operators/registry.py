@@ -70,8 +70,9 @@ def match_sites(
 
 def unmatched_sites(delivered: DataFrame, sites: DataFrame, site_col: str) -> DataFrame:
     """Delivered rows that ``match_sites`` leaves out, their site being null or unknown."""
-    known = sites.select(F.col("site_name").alias("__site")).distinct()
-    return delivered.join(known, F.col(f"`{site_col}`") == F.col("__site"), "left_anti")
+    known = sites.select(F.col("site_name").alias(site_col), F.lit(True).alias("__known")).distinct()
+    found = lookup_join(delivered, known, [site_col], "left")
+    return found.where(F.col("__known").isNull()).select(*[f"`{c}`" for c in delivered.columns])
 
 
 def link_rows(

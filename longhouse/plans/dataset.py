@@ -80,14 +80,19 @@ class DatasetWriter:
         self._dataset += 1
         dataset_id = self._dataset
         rows = assign_ids(frame, INNER_ROW_ID, self._row)
-        self.batch.write("datarows", rows.select(F.col(INNER_ROW_ID).alias(ROW_ID)), partition=dataset_id)
+        self._row += rows.count()
+        self.batch.write(
+            "datarows",
+            rows.select(F.col(INNER_ROW_ID).alias(ROW_ID)),
+            partition=dataset_id,
+            last=self._row,
+        )
         unpivot = unpivot_typed if typed else unpivot_text
         self.batch.write(
             "typed_data" if typed else "data",
             unpivot(rows, variables, INNER_ROW_ID),
             partition=dataset_id,
         )
-        self._row += rows.count()
         self.datasets.append(
             (dataset_id, name, as_of or date.today(), description, unit_of_analysis_id)
         )

@@ -63,7 +63,8 @@ def vocabulary_from_sheet(
     ``items`` has Column_Name, Items and Description; those of one variable are numbered from 1 in
     sheet order. Items of a variable that the dictionary lacks are left out.
     """
-    known = items.join(variables.select("Column_Name").distinct(), "Column_Name", "left_semi")
+    names = variables.select("Column_Name").distinct()
+    known = lookup_join(items, names, ["Column_Name"], spread_by=list(order_by))
     numbered = number_within(known, ["Column_Name"], order_by, "value")
     return numbered.select(
         "Column_Name",
@@ -91,9 +92,8 @@ def read_variables(variables: DataFrame, items: DataFrame | None) -> tuple[DataF
         F.min("pos").alias("source"),
     )
     found = lookup_join(found, described, ["Column_Name"], spread_by=["value"])
-    named = items.select(F.col("Column_Name").alias("__name")).distinct()
-    marked = variables.join(named, F.col("Column_Name") == F.col("__name"), "left")
-    return marked.withColumnRenamed("__name", "Vocabulary"), found
+    named = items.select("Column_Name", F.col("Column_Name").alias("Vocabulary")).distinct()
+    return lookup_join(variables, named, ["Column_Name"], "left", ["pos"]), found
 
 
 # --- adding ------------------------------------------------------------------------------------

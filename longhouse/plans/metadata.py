@@ -9,6 +9,7 @@ from longhouse.config import SourceConfig
 from longhouse.operators.lookup import named_key, source_sites
 from longhouse.operators.registry import site_protocols, with_country_codes
 from longhouse.operators.upsert import assign_ethics, set_value
+from longhouse.session import stage
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_csv
 from longhouse.sources.documents import read_documents
@@ -57,14 +58,15 @@ def delivered_sites(data: DataFrame, source: SourceConfig) -> DataFrame:
 
 def add_sites(
     batch: Batch, source: SourceConfig, source_id: int, datapath: str, iso3_path: str
-) -> DataFrame:
+) -> None:
     """Sites of a source with country names and iso3 codes (pipeline J-2)."""
     spark = batch.archive.spark
     folder = source_path(datapath, source.name, source.datafolder)
     data = read_csv(spark, f"{folder}/{source.site_data}", source.csv)
     codes = spark.read.option("header", True).csv(iso3_path)
-    sites = with_country_codes(delivered_sites(data, source), codes)
-    return batch.insert("sites", sites.withColumn("source_id", F.lit(source_id)), ["site_name"])
+    # few rows out of the whole delivery; staged, so that it is scanned once
+    sites = with_country_codes(stage(delivered_sites(data, source), "sites"), codes)
+    batch.insert("sites", sites.withColumn("source_id", F.lit(source_id)), ["site_name"])
 
 
 def add_instruments(batch: Batch, source: SourceConfig, datapath: str) -> None:
@@ -72,9 +74,10 @@ def add_instruments(batch: Batch, source: SourceConfig, datapath: str) -> None:
     if not source.instruments:
         return
     rows = [{"name": n, "description": d} for n, d in sorted(source.instruments.items())]
-    added = batch.insert_rows("instruments", rows)
+    batch.insert_rows("instruments", rows)
+    owners = batch.added("instruments").select("instrument_id", "name")
     folder = source_path(datapath, source.name, source.instrumentfolder)
-    _add_documents(batch, "instrument_documents", added.select("instrument_id", "name"), folder)
+    _add_documents(batch, "instrument_documents", owners, folder)
 
 
 def _add_documents(batch: Batch, table: str, owners: DataFrame, folder: str) -> None:
@@ -109,7 +112,8 @@ def add_protocols_and_ethics(
             }
             for name, (_, committee, reference) in entries
         ]
-        ethics = batch.insert_rows("ethics", rows)
+        batch.insert_rows("ethics", rows)
+        ethics = batch.added("ethics")
         described = batch.archive.spark.createDataFrame(
             [(name, description) for name, (description, _, _) in entries],
             "name string, description string",

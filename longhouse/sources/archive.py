@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import cache
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from longhouse.operators import checks
 from longhouse.operators.keys import assign_ids, last_id
@@ -18,8 +21,8 @@ MARKERS = "_published"
 class Archive:
     """Tables under ``root``, each split by the batch that wrote it.
 
-    A batch writes any number of tables and is then published by one marker file. Readers see only
-    published batches, so an ingest shows up whole or not at all, and one that failed half-way is
+    A batch writes any number of tables and is then published by one marker file, which also holds
+    the largest key of each table. Readers see only published batches, so an ingest shows up whole or not at all, and one that failed half-way is
     written anew by the next. One writer at a time, as many readers as you like.
 
     Most tables only grow. Those marked ``revised`` are small and written whole by every batch that
@@ -40,7 +43,7 @@ class Archive:
         batch = archive.begin()
         for name in SEEDS:
             batch.write(name, seed_table(spark, name))
-        batch.publish()
+        batch.publish(check=False)  # fixed rows
         return archive
 
     def _path(self, *parts: str):
@@ -75,17 +78,17 @@ class Archive:
         reader = self.spark.read.schema(table.schema).option("basePath", f"{self.root}/{name}")
         return reader.parquet(*paths).select(*table.schema.names)
 
-    def last_id(self, name: str, up_to: int | None = None) -> int:
-        """Largest key of a table. Keys grow from batch to batch, so one batch is read."""
-        up_to = self.last_batch() if up_to is None else up_to
-        table = TABLES[name]
-        for b in reversed(self.batches_of(name, up_to)):
-            path = f"{self.root}/{name}/batch={b}"
-            rows = self.spark.read.schema(table.schema).option("basePath", f"{self.root}/{name}")
-            found = last_id(rows.parquet(path), table.key)
-            if found:
-                return found
-        return 0
+    def last_ids(self) -> dict[str, int]:
+        """Largest key of each table, as the latest marker records them."""
+        last = self.last_batch()
+        if not last:
+            return {}
+        stream = self._fs().open(self._path(MARKERS, f"batch={last}"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
 
     def begin(self) -> Batch:
         """A new batch; what an unpublished attempt left under its number is dropped."""
@@ -105,6 +108,7 @@ class Batch:
         self.archive = archive
         self.number = number
         self.written: dict[str, list[str]] = {}
+        self.ids = archive.last_ids()
 
     def table(self, name: str) -> DataFrame:
         return self.archive.table(name, self.number)
@@ -116,10 +120,15 @@ class Batch:
         ).parquet(*self.written[name])
 
     def last_id(self, name: str) -> int:
-        return self.archive.last_id(name, self.number)
+        return self.ids.get(name, 0)
 
-    def write(self, name: str, df: DataFrame, partition: int | None = None) -> DataFrame:
-        """Rows matched to the table's columns by name; absent columns are null (operator B-1)."""
+    def write(
+        self, name: str, df: DataFrame, partition: int | None = None, last: int | None = None
+    ) -> None:
+        """Rows matched to the table's columns by name; absent columns are null (operator B-1).
+
+        ``last`` is the largest key among the rows, if the caller knows it.
+        """
         table = TABLES[name]
         unknown = [c for c in df.columns if c not in table.schema.names]
         if unknown:
@@ -140,16 +149,19 @@ class Batch:
         # errors if the path exists: a table (or a partition of it) is written once in a batch
         rows.write.mode("errorifexists").parquet(path)
         self.written.setdefault(name, []).append(path)
-        return self.added(name)
+        if table.key and isinstance(table.schema[table.key].dataType, LongType):
+            if last is None:
+                last = max(self.last_id(name), last_id(self.added(name), table.key))
+            self.ids[name] = last
 
-    def insert(self, name: str, df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    def insert(self, name: str, df: DataFrame, order_by: list[str] | None = None) -> None:
         """Write rows with new keys that go on from the largest (operators I-2, B-1)."""
         key = TABLES[name].key
-        return self.write(name, assign_ids(df, key, self.last_id(name), order_by))
+        self.write(name, assign_ids(df, key, self.last_id(name), order_by))
 
-    def insert_rows(self, name: str, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
+    def insert_rows(self, name: str, rows: Sequence[Mapping[str, Any]]) -> None:
         """Write configured rows with new keys in the order given (operator I-2)."""
-        return self.write(name, self.keyed_rows(name, rows))
+        self.write(name, self.keyed_rows(name, rows), last=self.last_id(name) + len(rows))
 
     def keyed_rows(self, name: str, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
         table = TABLES[name]
@@ -162,7 +174,8 @@ class Batch:
 
     def insert_row(self, name: str, row: Mapping[str, Any]) -> int:
         """Write one row and return its key (operator I-2, one-row form)."""
-        return self.insert_rows(name, [row]).first()[TABLES[name].key]
+        self.insert_rows(name, [row])
+        return self.last_id(name)
 
     def check(self) -> None:
         """Keys, references and required columns of what this batch wrote (operators K-1..K-3).
@@ -171,17 +184,25 @@ class Batch:
         by construction and is not counted again here.
         """
         found: list[DataFrame] = []
+        table = cache(self.table)
         for name in self.written:
             if name in ("data", "typed_data"):
                 continue
             added = self.added(name)
             # row ids go on from the largest, so they cannot meet those of other batches
-            whole = added if name == "datarows" else self.table(name)
-            found += checks.problems(name, whole, added, self.table)
+            whole = added if name == "datarows" else table(name)
+            found += checks.problems(name, whole, added, table)
         checks.require_none(found)
 
-    def publish(self) -> None:
+    def publish(self, check: bool = True) -> None:
         """Check, then make the batch visible."""
-        self.check()
-        marker = self.archive._path(MARKERS, f"batch={self.number}")
-        self.archive._fs().create(marker, False).close()
+        if check:
+            self.check()
+        fs = self.archive._fs()
+        draft = self.archive._path(MARKERS, f"_draft={self.number}")
+        stream = fs.create(draft, True)
+        stream.write(bytearray(json.dumps(self.ids).encode()))
+        stream.close()
+        # a rename shows the marker whole or not at all
+        if not fs.rename(draft, self.archive._path(MARKERS, f"batch={self.number}")):
+            raise RuntimeError(f"batch {self.number} could not be published")
