@@ -19,9 +19,14 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def has_lines(text: Column) -> Column:
+    """Whether a text has more than one line."""
+    return F.contains(text, F.lit("\n"))
+
+
 def code_and_description(line: Column) -> Column:
     """First two comma-separated fields of a line; further fields are dropped (operator H-2)."""
-    fields = F.split(line, ",")
+    fields = F.split(line, ",", 3)
     return F.struct(
         F.get(fields, F.lit(0)).alias("code"), F.get(fields, F.lit(1)).alias("description")
     )

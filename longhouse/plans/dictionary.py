@@ -34,12 +34,17 @@ def vocabulary_from_lines(variables: DataFrame, name: str = "Column_Name", text:
     Line 1 describes the vocabulary; each later line is ``code,description``, numbered from 1. A
     text of one line has no vocabulary.
     """
-    lines = X.lines(F.col(text))
-    cut = variables.where(F.size(lines) > 1).select(
+    # cut before the lines are spread, or every line would cut the whole text again
+    heads = variables.where(X.has_lines(F.col(text))).select(
+        name, *keep, X.lines(F.col(text)).alias("__lines")
+    )
+    cut = heads.select(
         name,
         *keep,
-        F.get(lines, F.lit(0)).alias("vocabulary_description"),
-        F.posexplode(F.slice(lines, F.lit(2), F.size(lines) - 1)).alias("__at", "__line"),
+        F.get("__lines", F.lit(0)).alias("vocabulary_description"),
+        F.slice("__lines", F.lit(2), F.size("__lines") - 1).alias("__items"),
+    ).select(
+        name, *keep, "vocabulary_description", F.posexplode("__items").alias("__at", "__line")
     )
     return cut.select(
         name,
@@ -52,7 +57,7 @@ def vocabulary_from_lines(variables: DataFrame, name: str = "Column_Name", text:
 
 def first_line(variables: DataFrame, text: str = "Description") -> DataFrame:
     """Descriptions cut to their first line (operator H-2)."""
-    return variables.withColumn(text, F.get(X.lines(F.col(text)), F.lit(0)))
+    return variables.withColumn(text, F.substring_index(F.col(text), "\n", 1))
 
 
 def vocabulary_from_sheet(
@@ -83,7 +88,7 @@ def read_variables(variables: DataFrame, items: DataFrame | None) -> tuple[DataF
     """
     if items is None:
         found = vocabulary_from_lines(variables, keep=["pos"]).withColumnRenamed("pos", "source")
-        has = F.size(X.lines(F.col("Description"))) > 1
+        has = X.has_lines(F.col("Description"))
         marked = variables.withColumn("Vocabulary", F.when(has, F.col("Column_Name")))
         return first_line(marked), found
     found = vocabulary_from_sheet(items, variables)
