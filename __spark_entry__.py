@@ -736,6 +736,35 @@ def panel_vocabulary(spark, sf_dir):
     return dictionary.panel_vocabulary(panels, ["p_size", "p_retailprice", "p_name"])
 
 
+@query("SELECT 0 AS vocabulary_id, p_name AS name, p_type AS description FROM part")
+def panel_index(spark, sf_dir):
+    listed = table(spark, sf_dir, "part").select(
+        F.col("p_name").alias("Pathogen"), F.col("p_type").alias("Multi-target result code")
+    )
+    return dictionary.panel_index(listed)
+
+
+@query(
+    """
+    SELECT o_orderkey AS row_id, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+      CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
+      nullif(o_orderstatus, 'P') AS o_orderstatus,
+      CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(o_totalprice AS VARCHAR) END AS o_totalprice,
+      strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate, o_orderpriority FROM orders
+    """
+)
+def dataset_wide_sparse(spark, sf_dir):
+    """Rows that lack some cells altogether."""
+    orders, variables = delivered_orders(spark, sf_dir)
+    place = {v.name: v.variable_id for v in variables}
+    cells = reshape.unpivot_text(orders, variables).join(
+        orders.select("row_id", F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p")), "row_id"
+    )
+    no_customer = (F.col("variable_id") == place["o_custkey"]) & F.col("s").eqNullSafe("F")
+    no_price = (F.col("variable_id") == place["o_totalprice"]) & (F.col("p") == "1-URGENT")
+    return reshape.pivot_text(cells.where(~no_customer & ~no_price).drop("s", "p"), variables)
+
+
 @query("SELECT DISTINCT p_name AS name, nullif(p_type, 'PROMO') AS description FROM part WHERE p_size <= 3")
 def variable_report(spark, sf_dir):
     variables = table(spark, sf_dir, "part").select(
@@ -1010,8 +1039,11 @@ def archive_linked_export(spark, sf_dir):
     """Source, registry, dictionary and data ingested from files; then exported with their links."""
     archive = customer_archive(spark, sf_dir)
     wide = export.dataset_to_typed(archive, 1)
-    deaths = archive.table("deaths").join(archive.table("sites"), "site_id")
-    links = archive.table("death_rows").join(deaths, "death_id")
+    deaths = lookup.lookup_join(
+        archive.table("deaths"), archive.table("sites"), ["site_id"], spread_by=["death_id"]
+    )
+    known = deaths.select("death_id", "external_id", "site_name")
+    links = lookup.lookup_join(archive.table("death_rows"), known, ["death_id"], spread_by=["row_id"])
     return wide.join(links.select("row_id", "external_id", "site_name"), "row_id").drop("row_id")
 
 

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longhouse import schemas as S
 from longhouse.operators.joins import lookup_join
 
 
@@ -55,6 +56,16 @@ def variable(variables: DataFrame, variable_id: int) -> DataFrame:
     return variables.where(F.col("variable_id") == variable_id)
 
 
+def value_type(variables: DataFrame, variable_id: int) -> int:
+    """Value type of a variable; an error if it is unknown or has none of the seven (D-13)."""
+    row = variable(variables, variable_id).select("value_type_id").first()
+    if row is None:
+        raise LookupError(f"Variable {variable_id} not found.")
+    if row[0] not in range(S.INTEGER, S.CATEGORY + 1):
+        raise ValueError(f"Variable {variable_id} has an invalid value type {row[0]}.")
+    return row[0]
+
+
 def dataset_name(datasets: DataFrame, dataset_id: int) -> str | None:
     """Name of a dataset, None if there is no such dataset (operator D-13)."""
     row = datasets.where(F.col("dataset_id") == dataset_id).select("name").first()

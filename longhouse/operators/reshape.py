@@ -95,11 +95,17 @@ def _gather(long: DataFrame, variables: list[Variable], cell: Column) -> DataFra
         .groupBy(ROW_ID)
         .agg(F.sort_array(F.collect_list("item")).alias("got"))
     )
-    complete = F.transform("got", lambda item: item["cell"])
-    partial = F.transform(
-        wanted, lambda i: F.try_element_at(F.map_from_entries("got"), i)
+    # a row that lacks cells is filled up with null ones and sorted again
+    dtype = long.select(cell.alias("cell")).schema["cell"].dataType
+    absent = F.array_except(wanted, F.transform("got", lambda item: item["variable_id"]))
+    nulls = F.transform(
+        absent,
+        lambda i: F.struct(i.alias("variable_id"), F.lit(None).cast(dtype).alias("cell")),
     )
-    cells = F.when(F.size("got") == len(ids), complete).otherwise(partial)
+    full = F.when(F.size("got") == len(ids), F.col("got")).otherwise(
+        F.sort_array(F.concat("got", nulls))
+    )
+    cells = F.transform(full, lambda item: item["cell"])
     return rows.select(ROW_ID, cells.alias("cells"))
 
 

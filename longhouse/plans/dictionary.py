@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longhouse import schemas as S
-from longhouse.config import CsvFormat, IngestConfig
+from longhouse.config import CsvFormat, IngestConfig, UserIngestConfig
 from longhouse.functions import text as X
 from longhouse.operators import upsert
 from longhouse.operators.checks import require_columns
@@ -19,7 +19,7 @@ from longhouse.operators.lookup import named_key, named_keys
 from longhouse.operators.numbering import number_within, ordered_concat
 from longhouse.session import stage
 from longhouse.sources.archive import Archive, Batch
-from longhouse.sources.delimited import read_dictionary
+from longhouse.sources.delimited import read_dictionary, reexport, write_csv
 from longhouse.sources.documents import path_exists
 
 FILE_STEP = 1 << 40  # positions of a later file come after all of an earlier one
@@ -134,14 +134,25 @@ def new_vocabularies(
 
 
 def ingest_dictionary(
-    archive: Archive, ingest: IngestConfig, dictionarypath: str, overwrite: bool = False
+    archive: Archive,
+    ingest: IngestConfig | UserIngestConfig,
+    dictionarypath: str,
+    overwrite: bool = False,
 ) -> None:
-    """Add the variables and vocabularies of all dictionaries of an ingest (pipeline J-7)."""
+    """Add the variables and vocabularies of all dictionaries of an ingest (pipeline J-7).
+
+    A source's ingest marks its id and its site variable, a user's only the id.
+    """
+    site_col, files = None, list(ingest.datadictionaries)
+    if isinstance(ingest, UserIngestConfig):
+        files = [ingest.datadictionaries[name] for name in sorted(ingest.datadictionaries)]
+    else:
+        site_col = ingest.source.site_col
     batch = archive.begin()
     domain_id = add_domain(batch, ingest.domain_name, ingest.domain_description)
     folder = f"{dictionarypath.rstrip('/')}/{ingest.domain_name}"
-    tables = [read_dictionary_tables(archive, folder, f) for f in ingest.datadictionaries]
-    add_variables(batch, domain_id, tables, ingest.id_col, ingest.source.site_col, overwrite)
+    tables = [read_dictionary_tables(archive, folder, f) for f in files]
+    add_variables(batch, domain_id, tables, ingest.id_col, site_col, overwrite)
     batch.publish()
 
 
@@ -291,6 +302,30 @@ def panel_vocabulary(panels: DataFrame, targets: Sequence[str], order_by: str =
     )
 
 
+def panel_index(pathogens: DataFrame) -> DataFrame:
+    """Vocabulary heads of the panels listed in a workbook's first sheet (pipeline J-13).
+
+    ``vocabulary_id`` is 0 until a vocabulary is saved.
+    """
+    return pathogens.select(
+        F.lit(0).alias("vocabulary_id"),
+        F.col("Pathogen").alias("name"),
+        F.col("`Multi-target result code`").alias("description"),
+    )
+
+
+def write_dictionary(dictionary: DataFrame, path: str) -> str:
+    """A dictionary in the form that ``read_dictionary`` takes (operator B-10)."""
+    return write_csv(dictionary, path, CsvFormat(delim=";"))
+
+
+def write_variable_report(archive: Archive, path: str) -> tuple[str, str]:
+    """The variable report as comma-separated file and once more with semicolons (J-14, B-10)."""
+    report = variable_report(archive.table("variables"))
+    first = write_csv(report, f"{path}/variable_descriptions.csv")
+    return first, reexport(archive.spark, first, f"{path}/variable_descriptions.txt")
+
+
 def variable_report(variables: DataFrame, max_domain: int = 3) -> DataFrame:
     """Distinct (name, description) of the first domains (pipeline J-14)."""
     return variables.where(F.col("domain_id") <= max_domain).select("name", "description").distinct()

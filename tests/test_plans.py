@@ -245,6 +245,24 @@ def test_derived_datasets_record_their_inputs(spark, archive):
     assert rows(export.dataset_to_typed(archive, dataset_id), "n") == [(0,), (1,), (2,)]
 
 
+def test_user_dictionaries_mark_only_the_id(archive, delivery):
+    folder = Path(delivery) / "dict/team"
+    folder.mkdir()
+    (folder / "team.csv").write_text("Column_Name;Key;Description;Note;DataType\nk;Yes;Key;n;1\nsite;;Place;n;3\n")
+    ingest = UserIngestConfig("k", "team", {}, {}, {"team": "team.csv"})
+    dictionary.ingest_dictionary(archive, ingest, f"{delivery}/dict")
+    domain_id = archive.table("domains").where("name = 'team'").first().domain_id
+    added = archive.table("variables").where(F.col("domain_id") == domain_id)
+    assert rows(added, "name", "keyrole") == [("k", "id"), ("site", None)]
+
+
+def test_variable_report_files(spark, archive, tmp_path):
+    first, second = dictionary.write_variable_report(archive, str(tmp_path))
+    read = spark.read.option("header", True)
+    assert rows(read.csv(first)) == rows(read.option("sep", ";").csv(second))
+    assert ("pid", "Person again") in rows(read.option("sep", ",").csv(first))
+
+
 def test_no_deaths_is_an_error(spark, delivery):
     other = Archive.create(spark, f"{delivery}/other")
     metadata.ingest_source(other, SOURCE, delivery, f"{delivery}/iso.csv")

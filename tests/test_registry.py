@@ -97,6 +97,11 @@ def test_lookups(spark):
     assert rows(lookup.select_rows(df, ["variable_id"], {"domain_id": 1, "name": "a"})) == [(1,), (2,)]
     assert rows(lookup.select_rows(df, ["COUNT(*)"], {"name": None})) == [(0,)]
     assert lookup.select_rows(df).count() == 4
+    assert lookup.value_type(df, 1) == 4
+    with pytest.raises(LookupError):
+        lookup.value_type(df, 77)
+    with pytest.raises(ValueError):
+        lookup.value_type(df.withColumn("value_type_id", F.lit(9)), 1)
 
 
 def test_checks(spark):
