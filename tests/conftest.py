@@ -12,7 +12,8 @@ from longhouse.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     # only where the cluster names no folder of its own
     shared = tmp_path_factory.mktemp("shared")
-    session = build_session("tests", "4", **{"spark.ui.showConsoleProgress": "false"})
+    conf = {"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4"}
+    session = build_session("tests", "4", **conf)
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", str(shared))
     return session
