@@ -16,6 +16,10 @@ from longhouse.operators.keys import assign_ids, last_id
 from longhouse.schemas import SEEDS, TABLES, seed_table
 
 MARKERS = "_published"
+# Cells, rows and links grow with the data. Their ids are fresh or come out of joins with their
+# parents and a dataset has one column per variable, so what they declare holds as they are made;
+# a batch does not shuffle them once more to see it. ``Archive.audit`` does.
+CONSTRUCTED = ("data", "typed_data", "datarows", "death_rows")
 
 
 class Archive:
@@ -90,6 +94,18 @@ class Archive:
             stream.close()
         return json.loads(text)
 
+    def audit(self) -> list[str]:
+        """Check all that every published table declares; the problems found, one job each."""
+        table = cache(self.table)
+        last = self.last_batch()
+        problems = []
+        for name in TABLES:
+            if not self.batches_of(name, last):
+                continue
+            for found in checks.problems(name, table(name), table(name), table):
+                problems += [r.problem for r in found.collect()]
+        return problems
+
     def begin(self) -> Batch:
         """A new batch; what an unpublished attempt left under its number is dropped."""
         number = self.last_batch() + 1
@@ -178,20 +194,12 @@ class Batch:
         return self.last_id(name)
 
     def check(self) -> None:
-        """Keys, references and required columns of what this batch wrote (operators K-1..K-3).
-
-        The cells of a dataset carry fresh row ids and one variable per column, so their key holds
-        by construction and is not counted again here.
-        """
+        """Keys, references and required columns of what this batch wrote (operators K-1..K-3)."""
         found: list[DataFrame] = []
         table = cache(self.table)
         for name in self.written:
-            if name in ("data", "typed_data"):
-                continue
-            added = self.added(name)
-            # row ids go on from the largest, so they cannot meet those of other batches
-            whole = added if name == "datarows" else table(name)
-            found += checks.problems(name, whole, added, table)
+            if name not in CONSTRUCTED:
+                found += checks.problems(name, table(name), self.added(name), table)
         checks.require_none(found)
 
     def publish(self, check: bool = True) -> None:

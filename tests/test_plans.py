@@ -157,6 +157,19 @@ def test_only_the_files_of_a_dataset_are_read(archive):
     assert "PartitionFilters: [isnotnull(dataset_id" in plan
 
 
+def test_everything_declared_holds(archive):
+    assert archive.audit() == []
+
+
+def test_audit_finds_broken_links(spark, archive, delivery):
+    broken = Archive(spark, f"{delivery}/archive")
+    table = broken.table
+    links = table("death_rows")
+    bad = links.unionByName(links.limit(1)).unionByName(links.limit(1).withColumn("row_id", F.lit(999).cast("long")))
+    broken.table = lambda name: bad if name == "death_rows" else table(name)
+    assert sorted(broken.audit()) == ["death_rows: duplicate death_id, row_id", "death_rows: row_id is not in datarows"]
+
+
 def test_exports(spark, archive, tmp_path):
     path = export.dataset_to_csv(archive, 1, str(tmp_path), compress=True)
     assert path.endswith("csvfiles/demo.csv.gz") and list(Path(path).glob("*.csv.gz"))
