@@ -1086,6 +1086,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return dataset_wide(spark, "/root/testdata/sf0.001")
 
 
+try:
+    from longhouse.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    # the subpackage can be left out; an error inside it is not hidden
+    if missing.name not in ("longhouse.llm", "longhouse.llm.queries"):
+        raise
+else:
+    _QUERIES.update(_llm.QUERIES)
+    _ORACLES.update(_llm.ORACLES)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
