@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import mixing
+from longhouse.llm import mixing, sharding
 from longhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,22 @@ def op10_poisson_mixing(spark, sf_dir):
         "doc_id", "source", F.octet_length("text").cast("long").alias("n_bytes"),
         F.round("rate", 9).alias("rate"), "copy", "shuffle_key",
     )
+
+
+# --- sharding ----------------------------------------------------------------------------------
+
+
+@query()
+def op6_hilbert_sharding(spark, sf_dir):
+    """All documents in eight runs of the curve, by the law ``rows``."""
+    sharded = sharding.hilbert_shards(table(spark, sf_dir, "documents"), 8)
+    return sharded.select(
+        "doc_id",
+        sharding.text_size().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "hilbert",
+    )
