@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import mixing, sharding
+from longhouse.llm import mixing, sharding, urlfilter
 from longhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,22 @@ def op6_hilbert_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"),
         "hilbert",
     )
+
+
+# --- URL filter --------------------------------------------------------------------------------
+
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+@query()
+def op3_url_language_models(spark, sf_dir):
+    """Every page by the longest rule, else by the models that learn from what the rules decide."""
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "score", "threshold"
+    )
