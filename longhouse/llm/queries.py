@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import mixing, sharding, urlfilter
+from longhouse.llm import chat, mixing, sharding, urlfilter
 from longhouse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,50 @@ def op3_url_language_models(spark, sf_dir):
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict", "score", "threshold"
     )
+
+
+# --- chat formatting ---------------------------------------------------------------------------
+
+
+def _escaped_sql(column: str) -> str:
+    """The escape as SQL: backslashes doubled, then each control string broken."""
+    sql = f"replace({column}, '\\', '\\\\')"
+    for c in chat.CONTROLS:
+        sql = f"replace({sql}, '{c}', '{c[0]}\\{c[1:]}')"
+    return sql
+
+
+_CONFLICT_SQL = " OR ".join(
+    f"regexp_matches({x}, '(?s)\\\\.')" + "".join(f" OR contains({x}, '{c}')" for c in chat.CONTROLS)
+    for x in ("role", "text")
+)
+#: The conversation that the query adds, two turns that say the same.
+ADDED_ID, ADDED_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+@query(
+    f"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT {ADDED_ID}, 0, 'user', '{ADDED_TEXT}'
+      UNION ALL SELECT {ADDED_ID}, 1, 'assistant', '{ADDED_TEXT}'),
+    sized AS (
+      SELECT *, {len(chat.TURN + chat.TEXT + chat.END)} + CASE WHEN {_CONFLICT_SQL}
+        THEN length({_escaped_sql("role")}) + length({_escaped_sql("text")})
+        ELSE length(role) + length(text) END AS n FROM turns),
+    whole AS (
+      SELECT conv_id, count(*) AS n_turns, sum(n) AS n,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS everything,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss
+      FROM sized GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(everything) AS turns_sha256, length(loss) AS loss_chars,
+      sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars, true AS identical FROM whole
+    """
+)
+def op7_chat_round_trip(spark, sf_dir):
+    """All conversations and one that says control strings, digests of what the output reads back as."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(ADDED_ID, 0, "user", ADDED_TEXT), (ADDED_ID, 1, "assistant", ADDED_TEXT)], turns.schema
+    )
+    return chat.digest(chat.read_back(chat.format_conversations(turns.unionByName(added))))
