@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from longhouse.llm.common import lookup
+from longhouse.session import stage
 
 #: Characters of context the models look back at most.
 ORDER = 3
@@ -74,6 +75,8 @@ def class_models(labelled: DataFrame) -> list[DataFrame]:
             F.sum(F.when(F.col("__accepted"), 0).otherwise(F.col("__weight"))).alias("r"),
         )
     )
+    # written once: all orders are sums over it, and it is far smaller than the pages
+    full = stage(full, "url-grams")
     tables = []
     for k in range(ORDER + 1):
         grams = full.groupBy(F.substring("__gram", ORDER + 1 - k, k + 1).alias("gram")).agg(
