@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, mixing, sharding, urlfilter
+from longhouse.llm import chat, mixing, sharding, urlfilter, warc
 from longhouse.llm.common import table
+from longhouse.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,3 +140,33 @@ def op7_chat_round_trip(spark, sf_dir):
         [(ADDED_ID, 0, "user", ADDED_TEXT), (ADDED_ID, 1, "assistant", ADDED_TEXT)], turns.schema
     )
     return chat.digest(chat.read_back(chat.format_conversations(turns.unionByName(added))))
+
+
+# --- WARC --------------------------------------------------------------------------------------
+
+_BASE32_SQL = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(sha1(coalesce(html, '')), {5 * g + 1}, 5))::INTEGER"
+    f" >> {shift}) & 31), 1)"
+    for g in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+
+@query(
+    f"""
+    WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, {_BASE32_SQL} AS payload_digest
+      FROM pages),
+    firsts AS (SELECT payload_digest, min(page_id) AS first FROM hashed GROUP BY payload_digest)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+      CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM hashed JOIN firsts USING (payload_digest)
+    """
+)
+def op1_warc_dictionary(spark, sf_dir):
+    """Every page through archives: written, then read back."""
+    path = fresh_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
