@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, mixing, sharding, urlfilter, warc
+from longhouse.llm import chat, common, langid, mixing, sharding, urlfilter, warc
 from longhouse.llm.common import table
 from longhouse.session import fresh_dir
 
@@ -170,3 +170,17 @@ def op1_warc_dictionary(spark, sf_dir):
     return warc.read_archives(spark, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+# --- language ID -------------------------------------------------------------------------------
+
+HELD_OUT = 2
+
+
+@query()
+def op4_output_code_language(spark, sf_dir):
+    """The language of every document, learned from the documents of three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    held = common.crc_rest("doc_id", 4) == HELD_OUT
+    found = langid.identified(docs.select("doc_id", "text"), docs.where(~held).select("doc_id", "text", "lang"))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
