@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, common, langid, mixing, sharding, urlfilter, warc
+from longhouse.llm import chat, common, decontaminate, langid, mixing, sharding, urlfilter, warc
 from longhouse.llm.common import table
 from longhouse.session import fresh_dir
 
@@ -184,3 +184,12 @@ def op4_output_code_language(spark, sf_dir):
     held = common.crc_rest("doc_id", 4) == HELD_OUT
     found = langid.identified(docs.select("doc_id", "text"), docs.where(~held).select("doc_id", "text", "lang"))
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+# --- benchmark decontamination -----------------------------------------------------------------
+
+
+@query()
+def op8_qgram_decontamination(spark, sf_dir):
+    """Every document against every benchmark item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
