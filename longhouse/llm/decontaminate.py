@@ -212,8 +212,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Index]:
     n = regions.count()
     parts = -(-n // BLOCK_REGIONS)
     for k in range(parts):
-        # all regions of an item lie in one block
-        own = F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k
+        own = F.pmod(F.xxhash64("item_id", "start", "region"), F.lit(parts)) == k
         rows = regions.where(own).orderBy("item_id", "start", "region").toArrow()
         if rows.num_rows:
             yield Index(*[rows.column(i).to_pylist() for i in range(3)])
@@ -232,40 +231,43 @@ def _chunks(texts: list) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
+FOUND = "doc_id long, item_id long, start int, distance int, from_char int, to_char int"
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """A row for each document row and item of which it holds a region within the edit budget.
-
-    doc_id, item_id, regions (how many were found), distance (the least of one region), and from_char
-    and to_char, the outer ends of the places found, in the normalised text (lower case, single
-    blanks). A region found in two places or bands counts once. Null and empty texts hold nothing,
-    null and short items (under ``MIN_ITEM`` characters) are found nowhere. Repeated documents and
-    repeated items are reported each; rows of an item_id that repeats are one item. Documents
-    aren't moved: each task scans its own rows against a block of the benchmark.
+    """A row for each doc_id and item_id where the document holds a region within the edit budget.
+
+    doc_id, item_id, regions (how many different ones were found), distance (the least of one
+    region), and from_char and to_char, the outer ends of the places found, in the normalised text
+    (lower case, single blanks). Null and empty texts hold nothing, null and short items (under
+    ``MIN_ITEM`` characters) are found nowhere. Rows that share an id, null too, are reported
+    together. Documents aren't moved: each task scans its own rows against a block of the
+    benchmark, and only what it finds is grouped.
     """
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, regions int, distance int, from_char int, to_char int"
-    out = None
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = spark.createDataFrame([], FOUND)
     for index in blocks(benchmark):
         shared = spark.sparkContext.broadcast((index.items, index.starts, index.texts))
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = Index(*shared.value)
+            names = ["doc_id", "item_id", "start", "distance", "from_char", "to_char"]
+            kinds = [pa.int64(), pa.int64()] + [pa.int32()] * 4
             for batch in batches:
-                ids, rows = batch.column(0).to_pylist(), {}
+                ids = batch.column(0).to_pylist()
                 for first, texts in _chunks(batch.column(1).to_pylist()):
-                    for k, item, start, distance, a, b in own.scan(texts):
-                        have = rows.setdefault((first + k, item), [set(), distance, a, b])
-                        have[0].add(start)
-                        have[1:] = min(have[1], distance), min(have[2], a), max(have[3], b)
-                found = [(ids[k], item, len(h[0]), *h[1:]) for (k, item), h in sorted(rows.items(), key=lambda r: r[0][0])]
-                columns = list(zip(*found)) or [[]] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-                arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in schema.split(", ")])
-
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, schema)
-        out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], schema) if out is None else out
+                    hits = [(ids[first + h[0]], *h[1:]) for h in own.scan(texts)]
+                    columns = list(zip(*hits)) or [[]] * len(names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+        found = found.unionByName(rows.mapInArrow(find, FOUND))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.countDistinct("start").cast("int").alias("regions"),
+        F.min("distance").alias("distance"),
+        F.min("from_char").alias("from_char"),
+        F.max("to_char").alias("to_char"),
+    )
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
