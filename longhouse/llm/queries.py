@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, common, decontaminate, langid, mixing, sharding, urlfilter, warc
+from longhouse.llm import chat, common, decontaminate, graphann, langid, mixing, sharding, urlfilter, warc
 from longhouse.llm.common import table
 from longhouse.session import fresh_dir
 
@@ -193,3 +193,13 @@ def op4_output_code_language(spark, sf_dir):
 def op8_qgram_decontamination(spark, sf_dir):
     """Every document against every benchmark item."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# --- approximate nearest neighbours ------------------------------------------------------------
+
+
+@query()
+def op5_pruned_graph_neighbours(spark, sf_dir):
+    """The ten nearest of every hundredth vector among all."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graphann.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
