@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -169,6 +167,18 @@ def _search_shard(vectors: np.ndarray, ids: list, queries: pd.DataFrame, k: int)
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
+def _shard_search(shared, k: int):
+    def search(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        queries = shared.value
+        own = queries[queries["embedding"].map(len) == key[1]]
+        if own.empty:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        group = group.sort_values("__key")
+        return _search_shard(_matrix(group["embedding"]), list(group["ids"]), own, k)
+
+    return search
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` nearest ``vectors`` of each query: query_id, rank (from 1), vec_id, score (distance).
 
@@ -203,15 +213,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     for part in range(parts):
         block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).toPandas()
         shared = vectors.sparkSession.sparkContext.broadcast(block)
-
-        def search(key, group: pd.DataFrame, shared=shared) -> pd.DataFrame:
-            own = shared.value[shared.value["embedding"].map(len) == key[1]]
-            if own.empty:
-                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-            group = group.sort_values("__key")
-            return _search_shard(_matrix(group["embedding"]), list(group["ids"]), own, k)
-
-        found = nodes.groupBy("__shard", "__size").applyInPandas(search, "query_id long, vec_id long, score double")
+        found = nodes.groupBy("__shard", "__size").applyInPandas(
+            _shard_search(shared, k), "query_id long, vec_id long, score double"
+        )
         answers = found if answers is None else answers.unionByName(found)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
