@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, common, decontaminate, graphann, langid, mixing, sharding, urlfilter, warc
+from longhouse.llm import chat, common, decontaminate, graphann, langid, mixing, ngramlm, sharding, urlfilter, warc
 from longhouse.llm.common import table
 from longhouse.session import fresh_dir
 
@@ -203,3 +203,17 @@ def op5_pruned_graph_neighbours(spark, sf_dir):
     """The ten nearest of every hundredth vector among all."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return graphann.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+# --- language model ----------------------------------------------------------------------------
+
+
+@query()
+def op2_elias_fano_trie(spark, sf_dir):
+    """All documents scored by the model that six of seven folds make."""
+    held = common.crc_rest("doc_id", 7) == HELD_OUT
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~held).alias("train"))
+    scores, _ = ngramlm.train_and_score(docs)
+    return scores.select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
