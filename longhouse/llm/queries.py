@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, common, decontaminate, graphann, langid, mixing, ngramlm, sharding, urlfilter, warc
+from longhouse.llm import chat, common, decontaminate, graphann, langid, mixing, ngramlm, rtreejoin, sharding, urlfilter, warc
 from longhouse.llm.common import table
 from longhouse.session import fresh_dir
 
@@ -217,3 +217,30 @@ def op2_elias_fano_trie(spark, sf_dir):
     return scores.select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+# --- n-gram Jaccard join -----------------------------------------------------------------------
+
+
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+    sets AS (
+      SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+      FROM words),
+    elements AS (SELECT doc_id, unnest(s) AS e FROM sets),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM elements x JOIN elements y
+      ON x.e = y.e AND x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id
+      WHERE 100 * n >= 90 * (len(x.s) + len(y.s) - n)),
+    reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT doc_id, b FROM reach JOIN links ON other = a)
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+    FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+    """
+)
+def op9_count_vector_rtree(spark, sf_dir):
+    """Components of documents at a similarity of 0.9 on three-word shingles."""
+    return rtreejoin.jaccard_components(table(spark, sf_dir, "documents"))
