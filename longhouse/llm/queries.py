@@ -244,3 +244,14 @@ def op2_elias_fano_trie(spark, sf_dir):
 def op9_count_vector_rtree(spark, sf_dir):
     """Components of documents at a similarity of 0.9 on three-word shingles."""
     return rtreejoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+# --- pipeline ----------------------------------------------------------------------------------
+
+
+@query()
+def pipeline(spark, sf_dir):
+    """The stages of ``corpus_pipeline`` over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
