@@ -146,7 +146,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     ids, texts, size = [], [], 0
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids.append(i)
+            ids.append(tuple(i.values()) if isinstance(i, dict) else i)
             texts.append(text)
             size += len(text or "") + 64
             if size >= CHUNK:
@@ -160,21 +160,26 @@ def _arrow(schema: list[tuple[str, pa.DataType]], columns: list) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema)], [n for n, _ in schema])
 
 
-SETS = "doc_id long, n long, print long"
+SETS = "doc_id long, text_hash long, n long, print long"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A row is told by its id and the hash of its text, as ids may repeat or be null."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
 
 
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, size and fingerprint of each document's set; the fingerprint of an empty set is null."""
-    schema = [("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.int64())]
+    """Key, size and fingerprint of each document's set; the fingerprint of an empty set is null."""
+    schema = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("print", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for ids, texts in _chunks(batches):
                 codes, sizes = shingle_sets(texts, words)
                 marks = [p if n else None for p, n in zip(prints(codes, sizes).tolist(), sizes)]
-                yield _arrow(schema, [ids, sizes, marks])
+                yield _arrow(schema, [[i for i, _ in ids], [h for _, h in ids], sizes, marks])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SETS)
+    return _keyed(docs).select(F.struct("doc_id", "text_hash").alias("id"), "text").mapInArrow(run, SETS)
 
 
 def candidate_edges(docs: DataFrame, shards: int, words: int, similar: int) -> DataFrame:
@@ -302,28 +307,22 @@ MEMBER = "cluster long, print long, elements binary"
 
 
 def member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """The elements of each member's set: ``members`` has print, cluster, doc_id (of one document)."""
+    """The elements of each member's set: ``members`` has print, cluster and the key of one document."""
     schema = [("cluster", pa.int64()), ("print", pa.int64()), ("elements", pa.binary())]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(members, "doc_id")
+    own = _keyed(docs)
+    same = own["doc_id"].eqNullSafe(members["doc_id"]) & (own["text_hash"] == members["text_hash"])
+    texts = own.join(members, same).select(F.struct("cluster", "print").alias("id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for rows, part in _chunks(
-                pa.RecordBatch.from_arrays([pa.array(zip_rows(b)), b.column(2)], ["row", "text"]) for b in batches
-            ):
+            for ids, part in _chunks(batches):
                 codes, sizes = shingle_sets(part, words)
-                marks, ends, out = prints(codes, sizes), np.cumsum(sizes), []
-                for k, row in enumerate(rows):
-                    # rows may share a doc_id; the one with this very set is meant
-                    if row["print"] == marks[k]:
-                        out.append((row["cluster"], row["print"], codes[ends[k] - sizes[k] : ends[k]].tobytes()))
-                yield _arrow(schema, list(zip(*out)) or [[], [], []])
-
-    def zip_rows(b: pa.RecordBatch) -> list[dict]:
-        return [{"cluster": c, "print": p} for c, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+                ends = np.cumsum(sizes)
+                sets = [codes[e - n : e].tobytes() for e, n in zip(ends, sizes)]
+                yield _arrow(schema, [[c for c, _ in ids], [p for _, p in ids], sets])
 
-    found = texts.select("cluster", "print", "text").mapInArrow(run, MEMBER)
-    return stage(found, "join-members").dropDuplicates(["print"])
+    # rows that repeat in all give the same set again
+    return stage(texts.mapInArrow(run, MEMBER), "join-members").dropDuplicates(["print"])
 
 
 EDGE = "a long, b long"
@@ -400,47 +399,60 @@ def link_edges(members: DataFrame, similar: int) -> DataFrame:
     return edges.unionByName(stage(more, "join-links"))
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """Components of documents whose shingle sets are linked: doc_id, n_shingles, component_id.
+def _linked(docs: DataFrame, words: int, similar: int) -> DataFrame:
+    """Key and set size of each row, and the key of its component's first document, ``lead``.
 
-    Two documents link when 100 * intersection >= ``similar`` * union of their sets of distinct
-    ``words``-word shingles. A document with fewer words has its whole sequence as one shingle; null
-    texts and texts without words have an empty set, link with nothing, and are their own component.
-    component_id is the smallest doc_id that can be reached, itself included; a null doc_id is never
-    the smallest, and is what a component of none but null ids gets. There is a row for each input
-    row, repeated ones too. The result is exact but for collisions of 64-bit hashes.
+    The first one has the smallest doc_id, then the smallest text hash; null ids come last.
     """
     found = stage(document_sets(docs, words), "join-sets")
     total = int(found.agg(F.sum("n")).first()[0] or 0)
     share = 4 * (100 - similar) / (100 + similar)
     shards = int(total * share) // SHARD_SIGNATURES * 2 + 7
     near = components(candidate_edges(docs, shards, words, similar))
-    distinct = found.where("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("doc_id"))
+    lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    distinct = found.where("print IS NOT NULL").groupBy("print").agg(F.min(lead).alias("lead"))
     members = distinct.join(near.select(F.col("node").alias("print"), F.col("label").alias("cluster")), "print")
+    members = members.select("print", "cluster", "lead.doc_id", "lead.text_hash")
     links = components(link_edges(member_sets(docs, members, words), similar))
     labels = distinct.join(links.select(F.col("node").alias("print"), "label"), "print", "left")
     labels = stage(labels.withColumn("label", F.coalesce("label", "print")), "join-labels")
-    lowest = labels.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_print = lookup(labels.select("print", "label"), lowest, "label", F.col("print")).select("print", "component_id")
-    out = lookup(found, by_print, "print", F.xxhash64("doc_id"))
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    lowest = labels.groupBy("label").agg(F.min("lead").alias("lead"))
+    by_print = lookup(labels.select("print", "label"), lowest, "label", F.col("print")).select("print", "lead")
+    return lookup(found, by_print, "print", F.xxhash64("doc_id", "text_hash"))
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
+    """Components of documents whose shingle sets are linked: doc_id, n_shingles, component_id.
+
+    Two documents link when 100 * intersection >= ``similar`` * union of their sets of distinct
+    ``words``-word shingles. A document with fewer words has its whole sequence as one shingle; null
+    texts and texts without words have an empty set, link with nothing, and are their own component.
+    component_id is the smallest doc_id that can be reached, itself included; a null doc_id is never
+    the smallest, and is what a component of none but null ids gets. There is a row for each input
+    row, repeated ones too. The result is exact but for collisions of 64-bit hashes.
+    """
+    component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("lead.doc_id"))
+    return _linked(docs, words, similar).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR) -> DataFrame:
-    """``docs`` with one row of each component: that with the component's smallest doc_id.
+    """``docs`` with one row of each component: its document with the smallest doc_id.
 
-    Texts without words have no component and stay. Rows that share doc_id and text are one
-    document, of which one row stays; rows that share only the doc_id are documents of their own.
+    Texts without words have no component and stay. Null ids come last; of equal or null ids the
+    smallest text hash stays, and of rows that share id and text one, whatever their other columns.
     """
-    linked = jaccard_components(docs, words, similar)
-    chosen = linked.where("n_shingles = 0 OR doc_id = component_id OR component_id IS NULL")
-    chosen = chosen.groupBy(F.col("doc_id").alias("__id")).agg(F.max("n_shingles").alias("__n"))
-    kept = docs.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "inner")
+    first = _linked(docs, words, similar).where(
+        (F.col("n") > 0)
+        & F.col("doc_id").eqNullSafe(F.col("lead.doc_id"))
+        & (F.col("text_hash") == F.col("lead.text_hash"))
+    )
+    first = first.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    rows = docs.withColumn("__text", F.xxhash64("text"))
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     others = [F.xxhash64(*[c for c in docs.columns if c not in ("doc_id", "text")])] if len(docs.columns) > 2 else []
-    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text", *others)
-    kept = kept.withColumn("__k", F.row_number().over(one)).where("__k = 1 OR __n = 0")
-    return kept.select(*docs.columns)
+    one = Window.partitionBy("__id", "__hash").orderBy("__id", *others)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    kept = rows.join(first, same).withColumn("__k", F.row_number().over(one)).where("__k = 1")
+    return kept.select(*docs.columns).unionByName(docs.where(wordless))
