@@ -121,16 +121,21 @@ def fit(languages: list[str], label: np.ndarray, x: np.ndarray, steps: int = 200
 def learn(labelled: DataFrame) -> Model | None:
     """Fit on a bounded sample of ``labelled`` (doc_id, text, lang): ``SAMPLE_TEXTS`` at most.
 
-    The sample is the same number of texts of each language, those with the smallest hashes; a
-    window limit keeps that many in each task before anything is shuffled. Texts without a letter
-    and null languages are left out. None if there is nothing to learn from.
+    The sample is the same number of texts of each language, those with the smallest hashes. From
+    the languages' counts a bound for the hash is known that leaves half as many again, so only
+    these are shuffled, however large a language is. Texts without a letter and null languages are
+    left out. None if there is nothing to learn from.
     """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter())
-    n = usable.select("lang").distinct().count()
-    if not n:
+    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
         return None
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    sample = usable.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= max(1, SAMPLE_TEXTS // n))
+    each = max(1, SAMPLE_TEXTS // len(counts))
+    share = F.coalesce(*[F.when(F.col("lang") == name, min(1.0, 1.5 * each / n)) for name, n in counts.items()])
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32))
+    few = usable.where(place < share * float(1 << 32))
+    order = Window.partitionBy("lang").orderBy(place, "doc_id", "text")
+    sample = few.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= each)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
