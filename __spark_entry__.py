@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from longhouse import schemas as S
-from longhouse.config import CsvFormat, IngestConfig, SourceConfig
+from longhouse.config import CsvFormat, IngestConfig, SourceConfig, UserIngestConfig
 from longhouse.functions import values as V
 from longhouse.operators import checks, keys, lookup, numbering, registry, reshape, upsert
 from longhouse.plans import dataset, dictionary, export, metadata
@@ -23,6 +24,8 @@ from longhouse.session import fresh_dir
 from longhouse.sources import arrow_ipc, delimited, documents
 from longhouse.sources.archive import Archive
 
+AS_OF = date(2024, 2, 3)
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
@@ -42,6 +45,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def padded(column: str) -> F.Column:
+    return F.concat(F.lit("  "), column, F.lit(" "))
+
+
 def blank(column: str, value) -> F.Column:
     return F.nullif(F.col(column), F.lit(value)).alias(column)
 
@@ -287,9 +294,7 @@ def link_rows(spark, sf_dir):
         F.col("c_custkey").alias("death_id"), F.col("c_custkey").cast("string").alias("external_id")
     )
     orders, variables = delivered_orders(spark, sf_dir)
-    wanted = next(v for v in variables if v.name == "o_custkey")
-    cells = reshape.unpivot_text(orders, variables)
-    ids = cells.where(F.col("variable_id") == wanted.variable_id)
+    ids = reshape.unpivot_text(orders.select("row_id", "o_custkey"), variables)
     linked_before = orders.where(F.col("o_orderstatus") == "F").select(
         F.col("o_custkey").alias("death_id"), "row_id"
     )
@@ -304,7 +309,7 @@ def link_rows(spark, sf_dir):
     """
 )
 def link_rows_hot_id(spark, sf_dir):
-    """One id holds a third of the rows and the registry is taken as too big to broadcast."""
+    """One id holds a third of the rows; adaptive execution splits its partition."""
     deaths = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("death_id"), F.col("c_custkey").cast("string").alias("external_id")
     )
@@ -312,7 +317,25 @@ def link_rows_hot_id(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("row_id"), hot.cast("string").alias("value")
     )
-    return registry.link_rows(deaths, ids, broadcast_bytes=0, hot_rows=500)
+    return registry.link_rows(deaths, ids)
+
+
+@query("SELECT c_custkey AS death_id, o_orderkey AS row_id FROM customer JOIN orders ON c_custkey = o_custkey")
+def link_rows_double_id(spark, sf_dir):
+    """Ids that both the registry and the dataset hold as large doubles."""
+    far = 1e7
+    customers = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") + far).alias("id"), F.lit("here").alias("site"), "c_custkey"
+    )
+    site = spark.createDataFrame([(1, "here")], "site_id long, site_name string")
+    registered = registry.match_sites(customers, site, "id", "site", 1)
+    deaths = registered.select(
+        (F.col("external_id").cast("double") - far).cast("long").alias("death_id"), "external_id"
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_id"), (F.col("o_custkey") + far).alias("id")
+    )
+    return registry.link_rows(deaths, reshape.unpivot_text(orders, reshape.variables_from_schema(orders, ["row_id"])))
 
 
 @query(
@@ -444,8 +467,8 @@ def instrument_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("instrument_name")
     )
-    named = lookup.lookup_join(lines, parts, ["l_partkey"], spread_by=["l_suppkey"])
-    named = lookup.lookup_join(named, suppliers, ["l_suppkey"], spread_by=["l_partkey"])
+    named = lookup.lookup_join(lines, parts, ["l_partkey"])
+    named = lookup.lookup_join(named, suppliers, ["l_suppkey"])
     pairs = named.select("instrument_name", "dataset_name").distinct()
     instruments = table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(
         F.col("s_suppkey").alias("instrument_id"), F.col("s_name").alias("name")
@@ -658,16 +681,14 @@ def vocabulary_from_sheet(spark, sf_dir):
     FROM events"""
 )
 def number_large_groups(spark, sf_dir):
-    """Groups larger than one task may sort: numbered across partitions."""
+    """Groups of any size: numbered across partitions."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
-    return numbering.number_within(events, ["event_type"], ["ts", "event_id"], window_rows=500).drop("ts")
+    return numbering.number_within(events, ["event_type"], ["ts", "event_id"]).drop("ts")
 
 
 @query(
     """
-    SELECT event_type, part, string_agg(props, '|' ORDER BY event_id) AS description FROM (
-      SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 10000 AS part FROM events)
-    GROUP BY 1, 2
+    SELECT event_type, string_agg(props, '|' ORDER BY event_id) AS description FROM events GROUP BY 1
     """
 )
 def ordered_concat(spark, sf_dir):
@@ -717,17 +738,15 @@ def lab_dictionary(spark, sf_dir):
         replace('p_size:' || p_size || ';p_retailprice:' || p_retailprice || ';p_name:' ||
           coalesce(nullif(p_name, 'hot rod'), 'missing'), ' ', '') AS v FROM part),
       keys AS (SELECT pathogen, interpretation, row_number() OVER (PARTITION BY pathogen ORDER BY min(pos)) AS key
-        FROM rows GROUP BY 1, 2),
-      parts AS (SELECT *, (row_number() OVER (PARTITION BY pathogen, interpretation ORDER BY pos) - 1) // 10000 AS part
-        FROM rows)
-    SELECT pathogen, key, interpretation, part, string_agg(v, '|' ORDER BY pos) AS description
-    FROM parts JOIN keys USING (pathogen, interpretation) GROUP BY 1, 2, 3, 4
+        FROM rows GROUP BY 1, 2)
+    SELECT pathogen, key, interpretation, string_agg(v, '|' ORDER BY pos) AS description
+    FROM rows JOIN keys USING (pathogen, interpretation) GROUP BY 1, 2, 3
     """
 )
 def panel_vocabulary(spark, sf_dir):
     panels = table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("pathogen"),
-        F.concat(F.lit(" "), "p_type", F.lit(" ")).alias("Interpretation"),
+        F.concat(F.lit("\t "), "p_type", F.lit(" \n")).alias("Interpretation"),
         "p_size",
         "p_retailprice",
         blank("p_name", "hot rod"),
@@ -956,18 +975,17 @@ def integrity_null(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     orders, _ = delivered_orders(spark, sf_dir)
     path = delimited.write_csv(orders.drop("row_id"), fresh_dir(spark, "csv"), compress=True)
-    back = delimited.read_csv(spark, path)
-    return back.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    return delimited.read_csv(spark, path)
 
 
-@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+@query("SELECT doc_id, '  ' || text || ' ' AS text, lang, source, n_chars FROM documents")
 def delimited_reexport(spark, sf_dir):
-    """Texts with line breaks, quotes and both delimiters, through two files."""
-    docs = table(spark, sf_dir, "documents")
+    """Texts with line breaks, quotes, both delimiters and blanks at both ends, through two files."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", padded("text"))
     first = delimited.write_csv(docs, fresh_dir(spark, "csv"))
     second = delimited.reexport(spark, first, fresh_dir(spark, "txt"))
     types = {"doc_id": S.INTEGER, "n_chars": S.INTEGER}
-    return delimited.read_csv(spark, second, CsvFormat(delim=";"), multiline=True, types=types)
+    return delimited.read_csv(spark, second, CsvFormat(delim=";"), types=types)
 
 
 @query("SELECT * FROM lineitem")
@@ -1040,10 +1058,10 @@ def archive_linked_export(spark, sf_dir):
     archive = customer_archive(spark, sf_dir)
     wide = export.dataset_to_typed(archive, 1)
     deaths = lookup.lookup_join(
-        archive.table("deaths"), archive.table("sites"), ["site_id"], spread_by=["death_id"]
+        archive.table("deaths"), archive.table("sites"), ["site_id"]
     )
     known = deaths.select("death_id", "external_id", "site_name")
-    links = lookup.lookup_join(archive.table("death_rows"), known, ["death_id"], spread_by=["row_id"])
+    links = lookup.lookup_join(archive.table("death_rows"), known, ["death_id"])
     return wide.join(links.select("row_id", "external_id", "site_name"), "row_id").drop("row_id")
 
 
@@ -1061,7 +1079,7 @@ def archive_lineage(spark, sf_dir):
     def per_dataset(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("dataset_id").agg(F.count(F.lit(1)).alias(name))
 
-    linked = archive.table("death_rows").join(archive.table("datarows"), "row_id")
+    linked = archive.table("death_rows").join(archive.table("datarows"), ["row_id", "dataset_id"])
     return (
         archive.table("ingest_datasets")
         .join(archive.table("transformation_outputs"), ["transformation_id", "dataset_id"])
@@ -1078,6 +1096,192 @@ def archive_lineage(spark, sf_dir):
     )
 
 
+_STUDIES: dict[tuple[str, str], Archive] = {}
+
+
+def study_archive(spark: SparkSession, sf_dir: str) -> Archive:
+    """Documents as text dataset and orders as typed dataset of a described source; made once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STUDIES:
+        _STUDIES[key] = ingest_study(spark, sf_dir)
+    return _STUDIES[key]
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def ingest_study(spark: SparkSession, sf_dir: str) -> Archive:
+    """A source with protocols, instruments and ethics; dictionaries as file and as sheet pair."""
+    root = fresh_dir(spark, "study")
+    folder = f"{root}/in/STUDY"
+    customers, _ = delivered_customers(spark, sf_dir)
+    delimited.write_csv(customers.select("c_custkey", "n_name"), f"{folder}/De_identified_data/registry.csv")
+    docs = table(spark, sf_dir, "documents").withColumn("text", padded("text"))
+    delimited.write_csv(docs, f"{folder}/De_identified_data/documents.csv")
+    orders, variables = delivered_orders(spark, sf_dir)
+    orders = orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
+    delimited.write_csv(orders.drop("row_id"), f"{folder}/De_identified_data/orders.csv")
+    nations = table(spark, sf_dir, "nation")
+    names = [r[0] for r in nations.select("n_name").orderBy("n_name").collect()]
+    regions = [tuple(r) for r in nations.groupBy("n_regionkey").agg(F.min("n_name")).orderBy("n_regionkey").collect()]
+    codes = nations.select(F.col("n_name").alias("country"), F.lit(None).cast("string").alias("iso2"), F.col("n_name").alias("iso3"))
+    delimited.write_csv(codes, f"{root}/in/iso.csv")
+    protocols = {f"{n}.txt": f"Protocol of {n}" for n in names}
+    ethics = {f"region {k}.txt": (f"Approval {k}", "Board", f"{n}.txt") for k, n in regions}
+    instruments = {f"form {k}.txt": "documents.csv" for k, _ in regions}
+    for kind, files in (("Protocols", protocols), ("Ethics", ethics), ("Instruments", instruments)):
+        for name in files:
+            put_file(spark, f"{folder}/{kind}/{name}", f"{kind} {name}")
+    entry_columns = "Column_Name string, Description string, Note string, DataType int"
+    documents_ = [("doc_id", "Id", "", S.INTEGER), ("text", "Text", "", S.STRING), ("lang", "Language", "", S.STRING),
+                  ("source", "Source", "", S.STRING), ("n_chars", "Size", "", S.INTEGER), ("n_name", "Site", "", S.STRING)]
+    delimited.write_csv(spark.createDataFrame(documents_, entry_columns).coalesce(1), f"{root}/in/dict/STUDY/documents.csv", CsvFormat(delim=";"))
+    kinds = {"o_orderstatus": S.CATEGORY, "o_orderdate": S.DATE}
+    sheet = [(v.name, v.name, "note", kinds.get(v.name, v.value_type_id)) for v in variables]
+    delimited.write_csv(spark.createDataFrame(sheet, entry_columns).coalesce(1), f"{root}/in/dict/STUDY/orders/variables.csv")
+    items = spark.createDataFrame([("o_orderstatus", c, f"status {c}") for c in "FOP"], "Column_Name string, Items string, Description string")
+    delimited.write_csv(items.coalesce(1), f"{root}/in/dict/STUDY/orders/vocabularies.csv")
+    source = SourceConfig(
+        "STUDY", "registry.csv", "n_name", country_col="n_name", protocols=protocols, ethics=ethics, instruments=instruments
+    )
+    ingest = IngestConfig(
+        source, "doc_id", "STUDY", "registry.csv", {"Documents": "documents.csv"}, ["documents.csv", "orders.xlsx"], as_of=AS_OF
+    )
+    archive = Archive.create(spark, f"{root}/archive")
+    metadata.ingest_source(archive, source, f"{root}/in", f"{root}/in/iso.csv")
+    registry_plan.ingest_deaths(archive, replace(ingest, id_col="c_custkey"), f"{root}/in")
+    dictionary.ingest_dictionary(archive, ingest, f"{root}/in/dict")
+    dataset.ingest_data(archive, ingest, f"{root}/in", declared_types=True)
+    typed = replace(ingest, datasets={"Orders": "orders.csv"}, source=replace(source, instruments={}))
+    dataset.ingest_data(archive, typed, f"{root}/in", typed=True, declared_types=True)
+    dataset.link_dataset(archive, 2, 1, "o_custkey", 1)
+    counts = export.dataset_to_typed(archive, 2, typed=True).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_chars"))
+    derived = UserIngestConfig("doc_id", "STUDY", {"counts": counts}, {"counts": [2]}, as_of=AS_OF)
+    dataset.ingest_derived(archive, derived)
+    return archive
+
+
+@query("SELECT doc_id, '  ' || text || ' ' AS text, lang, source, n_chars FROM documents")
+def documents_archive(spark, sf_dir):
+    """Texts with line breaks and blanks: delivered, stored as cells, exported, read back."""
+    path = export.dataset_to_csv(study_archive(spark, sf_dir), 1, fresh_dir(spark, "export"))
+    back = delimited.read_csv(spark, path, types={"doc_id": S.INTEGER, "n_chars": S.INTEGER})
+    return back.select("doc_id", "text", "lang", "source", "n_chars")
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, '  ' || text || ' ' AS text, lang, source,
+    CAST(n_chars AS VARCHAR) AS n_chars FROM documents"""
+)
+def archive_arrow_export(spark, sf_dir):
+    """A stored dataset exported twice: the second export replaces the first."""
+    archive, path = study_archive(spark, sf_dir), fresh_dir(spark, "export")
+    export.dataset_to_arrow(archive, 1, path)
+    back = arrow_ipc.read_arrow(spark, export.dataset_to_arrow(archive, 1, path))
+    return back.select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def stored_column(archive: Archive, dataset_id: int, name: str, typed: bool = False) -> DataFrame:
+    """One variable of a stored dataset; the others are pruned from the scan."""
+    wanted = next(v for v in export.variables_of_dataset(archive, dataset_id) if v.name == name)
+    read = reshape.typed_dataset_column if typed else reshape.dataset_column
+    return read(export.dataset_cells(archive, dataset_id, typed), wanted)
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang FROM documents")
+def archive_column(spark, sf_dir):
+    archive = study_archive(spark, sf_dir)
+    return stored_column(archive, 1, "doc_id").join(stored_column(archive, 1, "lang"), "row_id").drop("row_id")
+
+
+@query(
+    """SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS external_id, n_name AS site_name FROM orders
+    JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+)
+def archive_typed_links(spark, sf_dir):
+    """A typed dataset that was linked after it had been stored."""
+    archive = study_archive(spark, sf_dir)
+    links = archive.table("death_rows").where("dataset_id = 2").select("death_id", "row_id")
+    known = archive.table("deaths").join(archive.table("sites"), "site_id").select("death_id", "external_id", "site_name")
+    return (
+        links.join(known, "death_id")
+        .join(stored_column(archive, 2, "o_orderkey", typed=True), "row_id")
+        .select("o_orderkey", "external_id", "site_name")
+    )
+
+
+@query(
+    """
+    SELECT variable, n, CAST(0 AS BIGINT) AS twice FROM (SELECT count(*) AS n FROM documents),
+      (VALUES ('doc_id'), ('text'), ('lang'), ('source'), ('n_chars')) AS v(variable)
+    """
+)
+def integrity_cells(spark, sf_dir):
+    """How many cells each stored variable has, and how many of them are there twice."""
+    archive = study_archive(spark, sf_dir)
+    cells = export.dataset_cells(archive, 1)
+    names = archive.table("variables").select("variable_id", F.col("name").alias("variable"))
+    twice = checks.duplicate_keys(cells, ["row_id", "variable_id"]).groupBy("variable_id").agg(F.sum("n").alias("twice"))
+    counts = cells.groupBy("variable_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(names, "variable_id").join(twice, "variable_id", "left").select(
+        "variable", "n", F.coalesce("twice", F.lit(0)).cast("long").alias("twice")
+    )
+
+
+@query(
+    """
+    WITH regions AS (SELECT n_regionkey AS k FROM nation GROUP BY 1), files AS (
+      SELECT 'Protocols' AS kind, n_name || '.txt' AS name FROM nation
+      UNION ALL SELECT 'Ethics', 'region ' || k || '.txt' FROM regions
+      UNION ALL SELECT 'Instruments', 'form ' || k || '.txt' FROM regions)
+    SELECT kind, name, base64(encode(kind || ' ' || name)) AS document FROM files
+    """
+)
+def archive_documents(spark, sf_dir):
+    """Documents read from the files that the configuration names."""
+    archive = study_archive(spark, sf_dir)
+    parts = [("Protocols", "protocol_documents"), ("Ethics", "ethics_documents"), ("Instruments", "instrument_documents")]
+    found = [archive.table(t).select(F.lit(kind).alias("kind"), "name", "document") for kind, t in parts]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query(
+    """
+    WITH approvals AS (SELECT n_regionkey AS k, min(n_name) AS n FROM nation GROUP BY 1)
+    SELECT n_name || '.txt' AS protocol, 'Protocol of ' || n_name AS description,
+      CASE WHEN k IS NOT NULL THEN 'region ' || k || '.txt' END AS ethics,
+      (SELECT count(DISTINCT n_name) FROM customer JOIN nation ON c_nationkey = n_nationkey) AS sites,
+      (SELECT count(*) FROM approvals) AS instruments, DATE '2024-02-03' AS received
+    FROM nation LEFT JOIN approvals ON n = n_name
+    """
+)
+def archive_metadata(spark, sf_dir):
+    """Protocols with their approval, sites and the instruments of the dataset."""
+    archive = study_archive(spark, sf_dir)
+    ethics = archive.table("ethics").select("ethics_id", F.col("name").alias("ethics"))
+    sites = archive.table("site_protocols").groupBy("protocol_id").agg(F.count(F.lit(1)).alias("sites"))
+    linked = archive.table("instrument_datasets").where("dataset_id = 1").agg(F.count(F.lit(1)))
+    received = archive.table("data_ingestions").agg(F.max("date_received"))
+    return (
+        archive.table("protocols").join(ethics, "ethics_id", "left").join(sites, "protocol_id")
+        .select(F.col("name").alias("protocol"), "description", "ethics", "sites",
+                linked.scalar().alias("instruments"), received.scalar().alias("received"))
+    )
+
+
+@query("SELECT o_custkey, count(*) AS n_chars, CAST(2 AS BIGINT) AS made_from FROM orders GROUP BY 1")
+def archive_derived(spark, sf_dir):
+    """A dataset made from a stored one, with its input."""
+    archive = study_archive(spark, sf_dir)
+    made = archive.table("transformation_outputs").where("dataset_id = 3").select("transformation_id")
+    inputs = archive.table("transformation_inputs").join(made, "transformation_id").agg(F.max("dataset_id"))
+    return export.dataset_to_typed(archive, 3).drop("row_id").withColumn("made_from", inputs.scalar())
+
+
 # --- contract ----------------------------------------------------------------------------------
 
 

@@ -20,6 +20,7 @@ class CsvFormat:
     quote: str = '"'
     date_format: str = "yyyy-MM-dd"
     decimal: str = "."
+    multiline: bool = True  # cells in quotes may hold line breaks
 
 
 @dataclass(frozen=True)
@@ -104,15 +105,13 @@ MONTH_NAME_DATES = CsvFormat(date_format="MMM d, yyyy")
 
 
 def champs_source() -> SourceConfig:
-    surveillance = "CHAMPS-Mortality-Surveillance-Protocol-v1.3.pdf"
-    committee = "Local ethics institution"
     return SourceConfig(
         name="CHAMPS",
         site_data="CHAMPS_deid_basic_demographics.csv",
         site_col="site_iso_code",
         country_col="site_iso_code",
         protocols={
-            surveillance: "CHAMPS Mortality Surveillance Protocol",
+            "CHAMPS-Mortality-Surveillance-Protocol-v1.3.pdf": "CHAMPS Mortality Surveillance Protocol",
             "CHAMPS-Social-Behavioral-Science-Protocol-v1.0.pdf": "CHAMPS Social Behavioral Science Protocol",
             "CHAMPS-Diagnosis-Standards.pdf": "CHAMPS DeCoDe Diagnosis Standards",
             "CHAMPS-Manual-v3.pdf": "CHAMPS Manual",
@@ -120,12 +119,21 @@ def champs_source() -> SourceConfig:
         },
         instruments={"cdc_93759_DS9.pdf": "CHAMPS_deid_verbal_autopsy.csv"},
         ethics={
-            f"{name}.pdf": (name, committee, surveillance)
-            for name in (
+            "ICF-04 CHAMPS VA v1.1.pdf": (
                 "ICF-04 CHAMPS VA v1.1",
+                "Local ethics institution",
+                "CHAMPS-Mortality-Surveillance-Protocol-v1.3.pdf",
+            ),
+            "ICF-03_CHAMPS non_MITS consent v1.3.pdf": (
                 "ICF-03_CHAMPS non_MITS consent v1.3",
+                "Local ethics institution",
+                "CHAMPS-Mortality-Surveillance-Protocol-v1.3.pdf",
+            ),
+            "ICF-01 CHAMPS MITS procedures v1.3.pdf": (
                 "ICF-01 CHAMPS MITS procedures v1.3",
-            )
+                "Local ethics institution",
+                "CHAMPS-Mortality-Surveillance-Protocol-v1.3.pdf",
+            ),
         },
     )
 
@@ -192,18 +200,26 @@ def heal_sierra_leone_source() -> SourceConfig:
 
 
 def champs_ingest() -> IngestConfig:
-    parts = ("basic demographics", "verbal autopsy", "decode results", "tac results", "lab results")
-    files = {p: "CHAMPS_deid_" + p.replace(" ", "_") for p in parts}
     return IngestConfig(
         source=champs_source(),
         id_col="champs_deid",
         domain_name="CHAMPS",
         domain_description="Raw CHAMPS level-2 deidentified data",
         death_file="CHAMPS_deid_basic_demographics.csv",
-        datasets={f"CHAMPS deid {p}": f"{f}.csv" for p, f in files.items()},
+        # The files of the delivery.
+        datasets={
+            "CHAMPS deid basic demographics": "CHAMPS_deid_basic_demographics.csv",
+            "CHAMPS deid verbal autopsy": "CHAMPS_deid_verbal_autopsy.csv",
+            "CHAMPS deid decode results": "CHAMPS_deid_decode_results.csv",
+            "CHAMPS deid tac results": "CHAMPS_deid_tac_results.csv",
+            "CHAMPS deid lab results": "CHAMPS_deid_lab_results.csv",
+        },
         datadictionaries=[
-            f"{files[p]}_dictionary.xlsx"
-            for p in ("basic demographics", "decode results", "tac results", "lab results", "verbal autopsy")
+            "CHAMPS_deid_basic_demographics_dictionary.xlsx",
+            "CHAMPS_deid_decode_results_dictionary.xlsx",
+            "CHAMPS_deid_tac_results_dictionary.xlsx",
+            "CHAMPS_deid_lab_results_dictionary.xlsx",
+            "CHAMPS_deid_verbal_autopsy_dictionary.xlsx",
         ],
         ingest_desc="Raw CHAMPS level-2 Data accessed 20230518",
         transform_desc="Ingest of CHAMPS Level-2 Data",

@@ -65,3 +65,8 @@ def pair_list(columns: Sequence[str]) -> Column:
         for c in columns
     ]
     return F.replace(F.concat_ws(";", *pairs), F.lit(" "), F.lit(""))
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends (operator H-17)."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")

@@ -51,6 +51,9 @@ def number_text(col: Column, dtype: T.DataType) -> Column:
     """A number as text, in plain notation between 1e-4 and 1e15 as the archive stores it."""
     if not isinstance(dtype, (T.FloatType, T.DoubleType)):
         return col.cast("string")
+    if isinstance(dtype, T.FloatType):
+        # the shortest digits that are this float, not those of its double
+        col = col.cast("string").cast("double")
     size = F.abs(col)
     # Spark itself writes 1e-3 <= |x| < 1e7 in plain notation; the digits are the same.
     large = F.regexp_replace(
@@ -83,6 +86,14 @@ def plain_text(col: Column, dtype: T.DataType) -> Column:
     return number_text(col, dtype)
 
 
+def whole_number(col: Column, dtype: T.DataType) -> Column:
+    """A whole number; a fraction is an error, as it would be lost."""
+    if not isinstance(dtype, _FRACTION_TYPES):
+        return col.cast("long")
+    lost = F.raise_error(F.concat(F.lit("not a whole number: "), col.cast("string")))
+    return F.when(col.isNull() | (col == F.floor(col)), col.cast("long")).otherwise(lost.cast("long"))
+
+
 def typed_cell(col: Column, dtype: T.DataType, value_type: int) -> Column:
     """Struct of the four typed value columns, one of them filled (operator H-7)."""
     integer = F.lit(None).cast("long")
@@ -90,7 +101,7 @@ def typed_cell(col: Column, dtype: T.DataType, value_type: int) -> Column:
     string = F.lit(None).cast("string")
     stamp = F.lit(None).cast("timestamp_ntz")
     if value_type == S.INTEGER:
-        integer = col.cast("long")
+        integer = whole_number(col, dtype)
     elif value_type == S.FLOAT:
         fraction = col.cast("double")
     elif value_type == S.STRING:

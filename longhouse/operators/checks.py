@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from longhouse.schemas import TABLES
 
+# The columns of a dictionary.
 DICTIONARY_COLUMNS = ("Column_Name", "DataType", "Description", "Note", "Vocabulary")
 
 
+SAMPLE = 5  # values that a problem names
+
+
 class IntegrityError(ValueError):
     """A table would break a key, a reference or a required column."""
 
@@ -61,7 +65,12 @@ def problems(
     found = []
 
     def report(rows: DataFrame, text: str) -> None:
-        found.append(rows.limit(1).select(F.lit(f"{name}: {text}").alias("problem")))
+        # some of the rows that break the rule, and how many there are
+        values = rows.select(F.to_json(F.struct(*[c for c in rows.columns if c != "n"])).alias("v"))
+        sample = values.orderBy("v").limit(SAMPLE).agg(F.array_join(F.array_sort(F.collect_list("v")), ", "))
+        counted = rows.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).where("k > 0")
+        told = F.format_string(f"{name}: {text} (%d values in %d rows: %s)", "k", "n", sample.scalar())
+        found.append(counted.select(told.alias("problem")))
 
     if table.required:
         counts = null_counts(added, table.required)
@@ -76,10 +85,30 @@ def problems(
     return found
 
 
+def cell_problems(name: str, cells: DataFrame, datarows: DataFrame) -> DataFrame:
+    """Variables of new datasets that do not have one cell for each row, as (problem).
+
+    Counts and the range of row ids by variable tell it: rows are dense, so as many cells as rows
+    between the first and the last row are one each unless some are twice and others missing, which
+    the sum of the ids shows. Nothing but these sums is shuffled.
+    """
+    sums = [
+        F.count("row_id").alias("n"),
+        F.min("row_id").alias("low"),
+        F.max("row_id").alias("high"),
+        F.sum(F.col("row_id").cast("decimal(38,0)")).alias("total"),
+    ]
+    whole = datarows.groupBy("dataset_id").agg(*sums)
+    by_variable = cells.groupBy("dataset_id", "variable_id").agg(*sums)
+    rest = by_variable.join(whole, ["dataset_id", "n", "low", "high", "total"], "left_anti")
+    told = F.format_string(f"{name}: variable %d of dataset %d lacks cells or has some twice", "variable_id", "dataset_id")
+    return rest.select(told.alias("problem"))
+
+
 def require_none(found: Sequence[DataFrame]) -> None:
     """Run all checks as one job; raise if any reports a problem."""
     if not found:
         return
-    bad = reduce(DataFrame.unionByName, found).limit(20).collect()
+    bad = reduce(DataFrame.unionByName, found).collect()  # one row for each broken rule
     if bad:
         raise IntegrityError("; ".join(sorted(r.problem for r in bad)))

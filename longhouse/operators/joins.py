@@ -1,93 +1,22 @@
-"""Joins that check what they broadcast and split hot keys."""
+"""Joins on equal columns and on containment."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 1e-5  # a key above this share of all rows is split; at most 100,000 such keys exist
-HOT_ROWS = 200_000  # but never split below this size
 
-
-def data_bytes(df: DataFrame) -> int:
-    """Measured size of a frame: 16 bytes per field plus the bytes of text and nested values."""
-    width = F.lit(16 * len(df.columns)).cast("long")
-    for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            value = F.to_json(F.struct(value))
-        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            continue
-        width = width + F.coalesce(F.octet_length(value), F.lit(0))
-    return df.agg(F.sum(width)).first()[0] or 0
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return data_bytes(df) <= limit
-
-
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    spread_by: Sequence[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``big`` to ``small`` (inner or left) on equal columns; null keys never match.
 
-    ``small`` is broadcast when its measured size allows it; otherwise the join is shuffled with
-    the hot keys of ``big`` split.
+    How is left to adaptive execution, which knows the sizes once the sides are shuffled: it
+    broadcasts a small side and splits the partition of a hot key. Building the join runs no job.
     """
-    if fits_broadcast(small, broadcast_bytes):
-        return big.join(F.broadcast(small), list(on), how)
-    return salted_join(big, small, on, how, spread_by, hot_rows)
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    spread_by: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Shuffled join in which a hot key of ``big`` is dealt over as many salts as its size asks.
-
-    The salt is a hash of ``spread_by`` (default: every other column of ``big``), so a task that
-    runs again sends each row to the same place. Rows of ``small`` are repeated once per salt, for
-    hot keys only.
-    """
-    on = list(on)
     if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    spread = list(spread_by or [c for c in big.columns if c not in on] or on)
-    no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | F.col(c).isNull()
-    counts = big.where(~no_key).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    total = big.count()
-    limit = max(int(total * HOT_SHARE), hot_rows)
-    hot = counts.where(F.col("__rows") > limit).select(
-        *on, F.ceil(F.col("__rows") / F.lit(limit)).cast("int").alias("__salts")
-    )
-    hot = F.broadcast(hot)  # fewer than 1 / HOT_SHARE rows
-    spreading = F.xxhash64(*[F.col(c) for c in spread])
-    salt: Column = F.pmod(
-        spreading, F.when(no_key, F.lit(4096)).otherwise(F.coalesce("__salts", F.lit(1)))
-    ).cast("int")
-    left = big.join(hot, on, "left").withColumn("__salt", salt).drop("__salts")
-    right = (
-        small.join(hot, on, "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
-        .drop("__salts")
-    )
-    return left.join(right, [*on, "__salt"], how).drop("__salt")
+        raise ValueError("lookup_join supports inner and left joins")
+    return big.join(small, list(on), how)
 
 
 def contained_join(big: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
@@ -109,4 +38,4 @@ def contained_join(big: DataFrame, text: str, codes: DataFrame, code: str) -> Da
         .drop("__n")
     )
     known = codes.where(F.col(code).isNotNull()).withColumn("__piece", F.col(code))
-    return lookup_join(cut, known, ["__piece"], spread_by=[text]).drop("__piece")
+    return lookup_join(cut, known, ["__piece"]).drop("__piece")

@@ -59,14 +59,6 @@ def assign_ids(
     )
 
 
-def sparse_ids(df: DataFrame, id_col: str, base: int = 0) -> DataFrame:
-    """Increasing ids with gaps in one narrow pass, for loads that need no dense range.
-
-    The ids depend on how the input is split; write the result once and read it from there.
-    """
-    return df.select((F.monotonically_increasing_id() + F.lit(base + 1)).alias(id_col), *df.columns)
-
-
 def last_id(df: DataFrame, id_col: str) -> int:
     """Largest id in use, 0 for an empty table."""
     return df.agg(F.max(id_col)).first()[0] or 0

@@ -60,9 +60,9 @@ def value_type(variables: DataFrame, variable_id: int) -> int:
     """Value type of a variable; an error if it is unknown or has none of the seven (D-13)."""
     row = variable(variables, variable_id).select("value_type_id").first()
     if row is None:
-        raise LookupError(f"Variable {variable_id} not found.")
+        raise LookupError(f"there is no variable {variable_id}")
     if row[0] not in range(S.INTEGER, S.CATEGORY + 1):
-        raise ValueError(f"Variable {variable_id} has an invalid value type {row[0]}.")
+        raise ValueError(f"variable {variable_id} has no known value type: {row[0]}")
     return row[0]
 
 
@@ -94,7 +94,7 @@ def dataset_variables(members: DataFrame, variables: DataFrame, dataset_id: Any
     if dataset_id is not None:
         members = members.where(F.col("dataset_id") == F.lit(dataset_id))
     known = variables.select("variable_id", F.col("name").alias("variable"), "value_type_id")
-    found = lookup_join(members, known, ["variable_id"], spread_by=["dataset_id"])
+    found = lookup_join(members, known, ["variable_id"])
     columns = ["variable_id", "variable", "value_type_id"]
     return found.select(*columns) if dataset_id is not None else found.select("dataset_id", *columns)
 

@@ -9,31 +9,18 @@ from pyspark.sql import functions as F
 
 from longhouse.operators.keys import PLACE, SLOT, with_slots
 
-WINDOW_ROWS = 1_000_000  # a group up to this size may be sorted by one task
-CHUNK_ITEMS = 10_000  # items one task joins into one text
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Size of the largest group; counted with map-side partial sums."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+PIECE_ITEMS = 10_000  # values of a group that are joined at a time
+CELL_CHARS = (1 << 31) - 64  # a cell holds no longer text
 
 
 def number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    number_col: str = "value",
-    window_rows: int = WINDOW_ROWS,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], number_col: str = "value"
 ) -> DataFrame:
     """1..n per group in ``order_by`` order (operator F-1); the order must be total in a group.
 
-    Groups that fit one task use a plain window. If the largest does not, rows are range-sorted on
-    (keys, order), which cuts a big group over many partitions, numbered within their partition,
-    and shifted by the rows the same group has in earlier partitions.
+    Rows are range-sorted on (keys, order), which cuts a big group over many partitions, numbered
+    within their partition, and shifted by the rows the same group has in earlier partitions.
     """
-    if largest_group(df, keys) <= window_rows:
-        window = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.withColumn(number_col, F.row_number().over(window).cast("long"))
     columns = df.columns
     order = [*keys, *order_by]
     slotted = with_slots(df.repartitionByRange(*order).sortWithinPartitions(*order), "numbers")
@@ -62,21 +49,24 @@ def ordered_concat(
     value: str | Column,
     sep: str,
     text_col: str,
-    part_col: str = "part",
-    chunk_items: int = CHUNK_ITEMS,
+    piece_items: int = PIECE_ITEMS,
 ) -> DataFrame:
-    """Join the values of each group in order (operator E-6).
+    """Join the values of each group in order (operator E-6): one row and one text per group.
 
-    A group of up to ``chunk_items`` values gives one row with part 0. A larger one goes on in
-    parts 1, 2, …; written one after the other with ``sep`` between, the parts are the whole text.
-    No task ever holds more than ``chunk_items`` values of a group.
+    The values of a group are joined in pieces, in as many tasks as they need, and the pieces to
+    the whole text. A text that a cell cannot hold is an error, not cut.
     """
     value = F.col(value) if isinstance(value, str) else value
     items = number_within(df.withColumn("__value", value), keys, order_by, "__number")
-    part = F.floor((F.col("__number") - 1) / chunk_items).cast("long")
-    ordered = F.sort_array(F.collect_list(F.struct("__number", "__value")))
-    return (
-        items.withColumn(part_col, part)
-        .groupBy(*keys, part_col)
-        .agg(F.array_join(F.transform(ordered, lambda item: item["__value"]), sep).alias(text_col))
-    )
+    items = items.withColumn("__piece", F.floor((F.col("__number") - 1) / piece_items).cast("long"))
+
+    def joined(place: str, text: str) -> Column:
+        ordered = F.sort_array(F.collect_list(F.struct(place, text)))
+        return F.array_join(F.transform(ordered, lambda item: item[text]), sep)
+
+    pieces = items.groupBy(*keys, "__piece").agg(joined("__number", "__value").alias("__text"))
+    size = F.sum(F.octet_length("__text").cast("long") + len(sep.encode()))
+    fits = F.assert_true(size <= CELL_CHARS, F.lit("a text is too long for one cell"))
+    whole = pieces.groupBy(*keys).agg(joined("__piece", "__text").alias(text_col), fits.alias("__fits"))
+    # the check is part of the text, or it would be pruned as unused
+    return whole.select(*keys, F.when(F.col("__fits").isNull(), F.col(text_col)).alias(text_col))

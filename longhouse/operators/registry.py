@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longhouse.functions.values import plain_text
 from longhouse.operators.joins import lookup_join
 
 
@@ -54,16 +55,19 @@ def with_country_codes(sites: DataFrame, codes: DataFrame, country_col: str = "c
 def match_sites(
     delivered: DataFrame, sites: DataFrame, id_col: str, site_col: str, ingestion_id: int | Column
 ) -> DataFrame:
-    """(site_id, external_id, data_ingestion_id) of the rows with a known site (operator D-2)."""
+    """(site_id, external_id, data_ingestion_id) of the rows with a known site (operator D-2).
+
+    An id has the text that a cell of the same type has, so that the two match later.
+    """
     rows = delivered.select(
         F.col(f"`{site_col}`").alias("site_name"),
-        F.col(f"`{id_col}`").cast("string").alias("external_id"),
+        plain_text(F.col(f"`{id_col}`"), delivered.schema[id_col].dataType).alias("external_id"),
         (F.lit(ingestion_id) if isinstance(ingestion_id, int) else ingestion_id)
         .cast("long")
         .alias("data_ingestion_id"),
     )
     known = sites.select("site_id", "site_name")
-    return lookup_join(rows, known, ["site_name"], spread_by=["external_id"]).select(
+    return lookup_join(rows, known, ["site_name"]).select(
         "site_id", "external_id", "data_ingestion_id"
     )
 
@@ -75,20 +79,18 @@ def unmatched_sites(delivered: DataFrame, sites: DataFrame, site_col: str) -> Da
     return found.where(F.col("__known").isNull()).select(*[f"`{c}`" for c in delivered.columns])
 
 
-def link_rows(
-    deaths: DataFrame, ids: DataFrame, existing: DataFrame | None = None, **join
-) -> DataFrame:
+def link_rows(deaths: DataFrame, ids: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """New (death_id, row_id) pairs where the id of a row is an external id (operator D-4).
 
     ``ids`` is (row_id, value) of the id variable of one dataset; ``deaths`` are those of one
     ingestion. Ids match as text. An external id that two sites use links a row to both. Pairs
-    that ``existing`` holds already are left out. ``join`` goes to ``lookup_join``.
+    that ``existing`` holds already are left out.
     """
     known = deaths.where(F.col("external_id").isNotNull()).select(
         "death_id", F.col("external_id").alias("value")
     )
     # death_id and row_id are keys of their tables, so a pair cannot come twice
-    pairs = lookup_join(ids.select("row_id", "value"), known, ["value"], spread_by=["row_id"], **join)
+    pairs = lookup_join(ids.select("row_id", "value"), known, ["value"])
     pairs = pairs.select("death_id", "row_id")
     if existing is None:
         return pairs
@@ -151,10 +153,10 @@ def unknown_instrument_links(linked: DataFrame) -> DataFrame:
     return linked.where("dataset_id IS NULL OR instrument_id IS NULL").select(
         F.when(
             F.col("dataset_id").isNull(),
-            F.concat(F.lit("Data file "), "dataset_name", F.lit(" is not ingested.")),
+            F.concat(F.lit("no dataset is called "), "dataset_name"),
         )
         .otherwise(
-            F.concat(F.lit("Instrument file "), "instrument_name", F.lit(" is not ingested."))
+            F.concat(F.lit("no instrument is called "), "instrument_name")
         )
         .alias("problem")
     )
@@ -167,5 +169,4 @@ def site_protocols(sites: DataFrame, protocols: DataFrame, on: Sequence[str] = (
     """
     return lookup_join(
         sites.select("site_id", *on), protocols.select("protocol_id", *on), list(on),
-        spread_by=["site_id"],
     ).select("site_id", "protocol_id")

@@ -82,8 +82,8 @@ def _gather(long: DataFrame, variables: list[Variable], cell: Column) -> DataFra
     """One array of cells per row, in the order of ``variables``; an absent cell is null.
 
     A pivot of text evaluates every output column for every input cell. Collecting a row's cells
-    and sorting them once costs the same however many columns there are. A row has at most one
-    cell per variable, so the collected list is bounded by the schema. Collecting shrinks nothing,
+    and sorting them once costs the same however many columns there are. A row must have at most
+    one cell per variable; a second one is an error. Collecting shrinks nothing,
     so cells are shuffled as they are and gathered once, behind the shuffle.
     """
     ids = sorted(v.variable_id for v in variables)
@@ -105,7 +105,10 @@ def _gather(long: DataFrame, variables: list[Variable], cell: Column) -> DataFra
     full = F.when(F.size("got") == len(ids), F.col("got")).otherwise(
         F.sort_array(F.concat("got", nulls))
     )
-    cells = F.transform(full, lambda item: item["cell"])
+    # every variable once: then the sorted cells are those wanted, place by place
+    once = F.transform(full, lambda item: item["variable_id"]) == wanted
+    twice = F.raise_error(F.format_string("row %d holds a variable twice", F.col(ROW_ID)))
+    cells = F.when(once, F.transform(full, lambda item: item["cell"])).otherwise(twice)
     return rows.select(ROW_ID, cells.alias("cells"))
 
 
@@ -150,7 +153,7 @@ def cell_names(long: DataFrame, variables: DataFrame) -> DataFrame:
     from longhouse.operators.joins import lookup_join
 
     names = variables.select("variable_id", F.col("name").alias("variable"))
-    return lookup_join(long, names, ["variable_id"], spread_by=[ROW_ID]).select(
+    return lookup_join(long, names, ["variable_id"]).select(
         ROW_ID, "variable", "value"
     )
 

@@ -54,15 +54,19 @@ def upsert_variables(
     for c in FILLED:
         complete = complete & F.col(c).isNotNull()
     columns = ["domain_id", "name", "value_type_id", *FILLED]
+    # what is there comes first, then the incoming rows in their order
+    place = incoming.schema[pos_col].dataType
     before = existing.select(
-        *columns, "keyrole", "variable_id", F.lit(-1).cast("long").alias("__pos")
+        *columns, "keyrole", "variable_id", F.lit(0).alias("__new"), F.lit(None).cast(place).alias("__at")
     )
     added = incoming.select(
         *columns,
         F.lit(None).cast("string").alias("keyrole"),
         F.lit(None).cast("long").alias("variable_id"),
-        F.col(pos_col).cast("long").alias("__pos"),
+        F.lit(1).alias("__new"),
+        F.col(pos_col).alias("__at"),
     )
+    both = before.unionByName(added).withColumn("__pos", F.struct("__new", "__at"))
     last = F.max_by(row, "__pos")
     kept: Column = last
     if not overwrite:
@@ -70,8 +74,7 @@ def upsert_variables(
         first_complete = F.min_by(F.when(complete, row), F.when(complete, F.col("__pos")))
         kept = F.coalesce(first_complete, last)
     folded = (
-        before.unionByName(added)
-        .groupBy("domain_id", "name")
+        both.groupBy("domain_id", "name")
         .agg(
             kept.alias("__kept"),
             F.min_by("value_type_id", "__pos").alias("value_type_id"),
@@ -144,8 +147,3 @@ def assign_ethics(protocols: DataFrame, ethics: DataFrame) -> DataFrame:
     return joined.withColumn("ethics_id", F.coalesce("__ethics", "ethics_id")).select(
         *protocols.columns
     )
-
-
-def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct rows, nulls being equal (operator E-1)."""
-    return df.select(*columns).distinct()

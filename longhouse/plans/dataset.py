@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from longhouse.config import IngestConfig, UserIngestConfig
 from longhouse.functions import values as V
@@ -90,7 +91,8 @@ class DatasetWriter:
         unpivot = unpivot_typed if typed else unpivot_text
         self.batch.write(
             "typed_data" if typed else "data",
-            unpivot(rows, variables, INNER_ROW_ID),
+            # by variable, so that row groups hold few of them and a column is read by itself
+            unpivot(rows, variables, INNER_ROW_ID).sortWithinPartitions("variable_id", ROW_ID),
             partition=dataset_id,
         )
         self.datasets.append(
@@ -175,7 +177,6 @@ def ingest_data(
     dictionary = batch.table("variables").where(F.col("domain_id") == domain_id)
     kinds = {v.name: v.value_type_id for v in variables_of(dictionary)}
     folder = source_path(datapath, ingest.source.name, ingest.source.datafolder)
-    links: DataFrame | None = None
     saved = []
     for description, name in sorted(ingest.datasets.items()):
         frame = read_csv(
@@ -191,11 +192,8 @@ def ingest_data(
         if ingest.id_col in rows.columns:
             # row ids are new, so no earlier link can hold them
             ids = row_ids_and_values(rows, ingest.id_col, kinds[ingest.id_col])
-            new = registry.link_rows(known, ids)
-            links = new if links is None else links.unionByName(new)
+            batch.write("death_rows", registry.link_rows(known, ids), partition=dataset_id)
     writer.finish()
-    if links is not None:
-        batch.write("death_rows", links)
     _link_instruments(batch, ingest.source.instruments)
     batch.publish()
     return saved
@@ -243,15 +241,25 @@ def ingest_derived(archive: Archive, ingest: UserIngestConfig) -> list[int]:
 
 
 def link_dataset(archive: Archive, dataset_id: int, domain_id: int, id_col: str, ingestion_id: int) -> None:
-    """Link a stored dataset to the deaths of one ingestion; linking twice adds nothing (D-4)."""
+    """Link a stored dataset to the deaths of one ingestion; linking twice adds nothing (D-4).
+
+    The ids are read from whichever store holds the dataset's cells.
+    """
     wanted = variable_id(archive.table("variables"), domain_id, id_col)
     if wanted is None:
         raise LookupError(f"id column {id_col} is not in the dictionary")
     batch = archive.begin()
-    cells = archive.table("data").where(
-        (F.col("dataset_id") == dataset_id) & (F.col("variable_id") == wanted)
+    own = (F.col("dataset_id") == dataset_id) & (F.col("variable_id") == wanted)
+    typed = archive.table("typed_data").where(own)
+    text = F.coalesce(
+        "value_string",
+        F.col("value_integer").cast("string"),
+        V.number_text(F.col("value_float"), T.DoubleType()),
+        V.plain_text(F.col("value_datetime"), T.TimestampNTZType()),
     )
+    cells = archive.table("data").where(own).select(ROW_ID, "value")
+    cells = cells.unionByName(typed.select(ROW_ID, text.alias("value")))
     deaths = archive.table("deaths").where(F.col("data_ingestion_id") == ingestion_id)
-    links = registry.link_rows(deaths, cells, archive.table("death_rows"))
-    batch.write("death_rows", links)
+    before = archive.table("death_rows").where(F.col("dataset_id") == dataset_id)
+    batch.write("death_rows", registry.link_rows(deaths, cells, before), partition=dataset_id)
     batch.publish()

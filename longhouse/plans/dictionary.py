@@ -17,14 +17,10 @@ from longhouse.operators.checks import require_columns
 from longhouse.operators.joins import contained_join, lookup_join
 from longhouse.operators.lookup import named_key, named_keys
 from longhouse.operators.numbering import number_within, ordered_concat
-from longhouse.session import stage
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_dictionary, reexport, write_csv
 from longhouse.sources.documents import path_exists
 
-FILE_STEP = 1 << 40  # positions of a later file come after all of an earlier one
-
-
 # --- reading -----------------------------------------------------------------------------------
 
 
@@ -69,7 +65,7 @@ def vocabulary_from_sheet(
     sheet order. Items of a variable that the dictionary lacks are left out.
     """
     names = variables.select("Column_Name").distinct()
-    known = lookup_join(items, names, ["Column_Name"], spread_by=list(order_by))
+    known = lookup_join(items, names, ["Column_Name"])
     numbered = number_within(known, ["Column_Name"], order_by, "value")
     return numbered.select(
         "Column_Name",
@@ -96,9 +92,9 @@ def read_variables(variables: DataFrame, items: DataFrame | None) -> tuple[DataF
         F.min_by("Description", "pos").alias("vocabulary_description"),
         F.min("pos").alias("source"),
     )
-    found = lookup_join(found, described, ["Column_Name"], spread_by=["value"])
+    found = lookup_join(found, described, ["Column_Name"])
     named = items.select("Column_Name", F.col("Column_Name").alias("Vocabulary")).distinct()
-    return lookup_join(variables, named, ["Column_Name"], "left", ["pos"]), found
+    return lookup_join(variables, named, ["Column_Name"], "left"), found
 
 
 # --- adding ------------------------------------------------------------------------------------
@@ -126,9 +122,9 @@ def new_vocabularies(
     first = heads.groupBy("name").agg(F.min("pos").alias("source"))
     fresh = upsert.insert_if_absent(existing, heads, "vocabulary_id")
     owned = items.withColumnRenamed("Column_Name", "name")
-    owned = lookup_join(owned, first, ["name", "source"], spread_by=["value"])
+    owned = lookup_join(owned, first, ["name", "source"])
     owned = lookup_join(
-        owned, fresh.select("vocabulary_id", "name"), ["name"], spread_by=["value"]
+        owned, fresh.select("vocabulary_id", "name"), ["name"]
     )
     return fresh, owned.select("vocabulary_id", "value", "code", "description")
 
@@ -168,7 +164,7 @@ def read_dictionary_tables(archive: Archive, folder: str, filename: str) -> tupl
         return read_variables(read_dictionary(spark, f"{folder}/{filename}"), None)
     if ext != "xlsx":
         raise ValueError(
-            f"Data dictionary '{filename}' not supported. Please use .xlsx or .csv format."
+            f"a dictionary must be an .xlsx or a .csv file: {filename}"
         )
     variables = read_dictionary(spark, f"{folder}/{stem}/variables.csv", CsvFormat())
     sheet = f"{folder}/{stem}/vocabularies.csv"
@@ -180,6 +176,10 @@ def read_dictionary_tables(archive: Archive, folder: str, filename: str) -> tupl
     return read_variables(variables, none)
 
 
+def _place(file: int, pos: Column) -> Column:
+    return F.struct(F.lit(file).alias("file"), pos.cast("long").alias("pos"))
+
+
 def add_variables(
     batch: Batch,
     domain_id: int,
@@ -191,15 +191,16 @@ def add_variables(
     """Fold dictionaries, in order, into variables and vocabularies (E-9, E-10, B-5)."""
     rows: DataFrame | None = None
     items: DataFrame | None = None
+    # rows are in the order of their files, then of their place in the file
     for n, (variables, vocabulary) in enumerate(tables):
         require_columns(variables)
         placed = variables.select(
             "Column_Name", "DataType", "Description", "Note", "Vocabulary",
-            (F.col("pos") + n * FILE_STEP).alias("pos"),
+            _place(n, F.col("pos")).alias("pos"),
         )
         owned = vocabulary.select(
             "Column_Name", "vocabulary_description", "value", "code", "description",
-            (F.col("source") + n * FILE_STEP).alias("source"),
+            _place(n, F.col("source")).alias("source"),
         )
         rows = placed if rows is None else rows.unionByName(placed)
         items = owned if items is None else items.unionByName(owned)
@@ -244,26 +245,11 @@ def lab_dictionary(
         F.col("champs_local_code").alias("code"), F.col("c_pref_name").alias("preferred"), "pos"
     )
     # many columns end in the same result code; each code is matched once
-    found = stage(
-        contained_join(parts.select("Result_code").distinct(), "Result_code", codes, "code"),
-        "codes",
-    )
-    chunks = ordered_concat(found, ["Result_code"], ["pos"], "preferred", ", ", "names")
-    named = chunks.groupBy("Result_code").agg(
-        F.concat(
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.struct("part", "names"))), lambda c: c["names"]
-                ),
-                ", ",
-            ),
-            F.lit(", "),
-        ).alias("names")
-    )
-    described = lookup_join(
-        parts, samples.select("Sample_code", "Desc"), ["Sample_code"], "left", ["Column_Name"]
-    )
-    described = lookup_join(described, stage(named, "code-names"), ["Result_code"], "left", ["Column_Name"])
+    found = contained_join(parts.select("Result_code").distinct(), "Result_code", codes, "code")
+    named = ordered_concat(found, ["Result_code"], ["pos"], "preferred", ", ", "names")
+    named = named.withColumn("names", F.concat("names", F.lit(", ")))
+    described = lookup_join(parts, samples.select("Sample_code", "Desc"), ["Sample_code"], "left")
+    described = lookup_join(described, named, ["Result_code"], "left")
     text = F.concat(
         F.col("Desc"),
         F.lit(": "),
@@ -284,21 +270,20 @@ def panel_vocabulary(panels: DataFrame, targets: Sequence[str], order_by: str =
 
     ``panels`` has pathogen, Interpretation, the target columns and a position. Rows of one
     interpretation of a pathogen become its description, ``name:value`` lists joined by ``|``;
-    interpretations are numbered by first appearance in their panel. Long descriptions go on in
-    further parts, see ``ordered_concat``.
+    interpretations are numbered by first appearance in their panel.
     """
     rows = panels.select(
         "pathogen",
-        F.trim(F.col("Interpretation")).alias("interpretation"),
+        X.strip(F.col("Interpretation")).alias("interpretation"),
         X.pair_list(targets).alias("values"),
         F.col(order_by).alias("__pos"),
     )
     keys = ["pathogen", "interpretation"]
     texts = ordered_concat(rows, keys, ["__pos"], "values", "|", "description")
-    first = stage(rows.groupBy(*keys).agg(F.min("__pos").alias("__first")), "panel-first")
+    first = rows.groupBy(*keys).agg(F.min("__pos").alias("__first"))
     numbers = number_within(first, ["pathogen"], ["__first"], "key")
-    return lookup_join(texts, stage(numbers.drop("__first"), "panel-keys"), keys, spread_by=["part"]).select(
-        "pathogen", "key", "interpretation", "part", "description"
+    return lookup_join(texts, numbers.drop("__first"), keys).select(
+        "pathogen", "key", "interpretation", "description"
     )
 
 
@@ -314,11 +299,6 @@ def panel_index(pathogens: DataFrame) -> DataFrame:
     )
 
 
-def write_dictionary(dictionary: DataFrame, path: str) -> str:
-    """A dictionary in the form that ``read_dictionary`` takes (operator B-10)."""
-    return write_csv(dictionary, path, CsvFormat(delim=";"))
-
-
 def write_variable_report(archive: Archive, path: str) -> tuple[str, str]:
     """The variable report as comma-separated file and once more with semicolons (J-14, B-10)."""
     report = variable_report(archive.table("variables"))
@@ -331,17 +311,17 @@ def variable_report(variables: DataFrame, max_domain: int = 3) -> DataFrame:
     return variables.where(F.col("domain_id") <= max_domain).select("name", "description").distinct()
 
 
-# What in a description or column name tells the type of a variable. Later entries
-# win over earlier ones.
-DESCRIPTION_TYPES = (
-    ("record the date", S.DATE),
-    ("the weight", S.FLOAT),
-    ("how old", S.FLOAT),
-    ("how many", S.FLOAT),
-    ("how long", S.FLOAT),
+# What in a description or column name tells the type of a variable, as (column,
+# words, type). Later entries win over earlier ones.
+TYPE_RULES = (
+    ("Description", "record the date", S.DATE),
+    ("Description", "the weight", S.FLOAT),
+    ("Description", "how old", S.FLOAT),
+    ("Description", "how many", S.FLOAT),
+    ("Description", "how long", S.FLOAT),
+    ("Column_Name", "_unit", S.CATEGORY),
+    ("Description", "enter length of", S.FLOAT),
 )
-NAME_TYPES = (("_unit", S.CATEGORY),)
-LAST_DESCRIPTION_TYPES = (("enter length of", S.FLOAT),)
 
 # The same for dictionaries that name types, and the ids of those names.
 TYPE_NAME_IDS = {
@@ -375,18 +355,13 @@ def harmonise_types(dictionary: DataFrame) -> DataFrame:
 
     A rule that one row of a column meets holds for all rows of that column.
     """
-    rules = [
-        *[("Description", words, kind) for words, kind in DESCRIPTION_TYPES],
-        *[("Column_Name", words, kind) for words, kind in NAME_TYPES],
-        *[("Description", words, kind) for words, kind in LAST_DESCRIPTION_TYPES],
-    ]
     met = dictionary.groupBy("Column_Name").agg(
-        *[F.bool_or(_mentions(F.col(c), w)).alias(f"__r{i}") for i, (c, w, _) in enumerate(rules)]
+        *[F.bool_or(_mentions(F.col(c), w)).alias(f"__r{i}") for i, (c, w, _) in enumerate(TYPE_RULES)]
     )
     kind = F.col("DataType")
-    for i, (_, _, value) in enumerate(rules):
+    for i, (_, _, value) in enumerate(TYPE_RULES):
         kind = F.when(F.col(f"__r{i}"), F.lit(value)).otherwise(kind)
-    met_type = lookup_join(dictionary, stage(met, "rules"), ["Column_Name"], spread_by=["Description"])
+    met_type = lookup_join(dictionary, met, ["Column_Name"])
     return met_type.withColumn("DataType", kind).select(*dictionary.columns)
 
 
@@ -405,7 +380,7 @@ def harmonise_named_types(dictionary: DataFrame, key_column: str = "rowid") -> D
         F.bool_or(_mentions(description, NAMED_UNIT) | _mentions(name, NAMED_UNIT)).alias("__unit"),
     )
     typed = lookup_join(
-        dictionary, stage(by_column, "rules"), ["column_name"], spread_by=["description", "type"])
+        dictionary, by_column, ["column_name"])
     kind = (
         F.when(F.col("__unit"), F.lit("text"))
         .when(F.col("__number"), F.lit("double precision"))
@@ -414,9 +389,8 @@ def harmonise_named_types(dictionary: DataFrame, key_column: str = "rowid") -> D
         .otherwise(F.col("type"))
     )
     typed = typed.select("column_name", "description", kind.alias("type")).distinct()
-    typed = stage(typed, "typed")
     several = typed.groupBy("column_name").agg((F.count(F.lit(1)) > 1).alias("__several"))
-    settled = lookup_join(typed, several, ["column_name"], spread_by=["description", "type"])
+    settled = lookup_join(typed, several, ["column_name"])
     settled = settled.select(
         "column_name",
         "description",

@@ -32,12 +32,18 @@ def dataset_to_dataframe(archive: Archive, dataset_id: int) -> DataFrame:
     )
 
 
-def dataset_to_typed(archive: Archive, dataset_id: int, typed: bool = False) -> DataFrame:
-    """A dataset in wide form with its declared types, from either store (operator E-4)."""
+def dataset_to_typed(
+    archive: Archive, dataset_id: int, typed: bool = False, strict: bool = True
+) -> DataFrame:
+    """A dataset in wide form with its declared types, from either store (operator E-4).
+
+    A stored text that is not of its variable's type is an error, or null if not ``strict``.
+    """
     variables = variables_of_dataset(archive, dataset_id)
     cells = dataset_cells(archive, dataset_id, typed)
-    pivot = reshape.pivot_typed if typed else reshape.pivot_typed_text
-    return pivot(cells, variables)
+    if typed:
+        return reshape.pivot_typed(cells, variables)
+    return reshape.pivot_typed_text(cells, variables, strict)
 
 
 def _name(archive: Archive, dataset_id: int) -> str:
@@ -62,5 +68,5 @@ def dataset_to_arrow(archive: Archive, dataset_id: int, path: str) -> str:
 def dataset_to_parquet(archive: Archive, dataset_id: int, path: str) -> str:
     """Export typed columns to ``parquetfiles/<name>.parquet`` with zstd."""
     target = f"{path}/parquetfiles/{_name(archive, dataset_id)}.parquet"
-    dataset_to_typed(archive, dataset_id).write.option("compression", "zstd").parquet(target)
+    dataset_to_typed(archive, dataset_id).write.mode("overwrite").option("compression", "zstd").parquet(target)
     return target

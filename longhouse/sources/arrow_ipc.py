@@ -136,9 +136,9 @@ class ArrowFiles(DataSource):
 
 
 def write_arrow(df: DataFrame, path: str, compression: str = "zstd") -> str:
-    """A folder of Arrow files, one per partition (operator B-9)."""
+    """A folder of Arrow files, one per partition (operator B-9); files that were there are replaced."""
     df.sparkSession.dataSource.register(ArrowFiles)
-    df.write.format(FORMAT).option("compression", compression).mode("append").save(path)
+    df.write.format(FORMAT).option("compression", compression).mode("overwrite").save(path)
     return path
 
 

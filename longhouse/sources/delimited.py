@@ -12,6 +12,9 @@ from longhouse import schemas as S
 from longhouse.config import CsvFormat
 
 
+TIMESTAMP_TYPE = "spark.sql.timestampType"
+
+
 def _decimal_pattern(mark: str) -> str:
     return rf"^\s*[+-]?\d*\Q{mark}\E?\d+\s*$"
 
@@ -30,22 +33,32 @@ def read_csv(
     spark: SparkSession,
     path: str,
     fmt: CsvFormat = CsvFormat(),
-    multiline: bool = False,
     types: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """A file with a header row (operator A-1).
 
+    Cells in quotes may hold line breaks unless the format says that every record is one line; then
+    a file is read in many tasks, and a row with another number of cells is an error. Times are
+    taken as they stand, whatever the zone of the session.
+
     Types are inferred from the data, which costs a pass of its own. ``types`` (column name to
     declared value type) saves that pass on volume loads: cells are then converted as declared,
     and text that does not fit its type is an error.
     """
-    reader = _reader(spark, fmt).option("multiLine", multiline)
+    reader = _reader(spark, fmt).option("multiLine", fmt.multiline)
+    if not fmt.multiline:
+        reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
     if types is not None:
         raw = reader.csv(path)
         return raw.select(
             *[_declared(raw, c, types.get(c, S.STRING), fmt).alias(c) for c in raw.columns]
         )
-    df = reader.option("inferSchema", True).csv(path)
+    zone = spark.conf.get(TIMESTAMP_TYPE)
+    spark.conf.set(TIMESTAMP_TYPE, "TIMESTAMP_NTZ")  # types are inferred here and now
+    try:
+        df = reader.option("inferSchema", True).csv(path)
+    finally:
+        spark.conf.set(TIMESTAMP_TYPE, zone)
     return df if fmt.decimal == "." else _decimal_columns(df, fmt.decimal)
 
 
@@ -92,9 +105,15 @@ def read_dictionary(spark: SparkSession, path: str, fmt: CsvFormat | None = None
 
 
 def write_csv(df: DataFrame, path: str, fmt: CsvFormat = CsvFormat(), compress: bool = False) -> str:
-    """A folder of delimited parts, each with a header (operators B-8, B-10)."""
+    """A folder of delimited parts, each with a header (operators B-8, B-10).
+
+    Cells keep their blanks. What was at ``path`` before is replaced.
+    """
     (
-        df.write.option("header", True)
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("sep", fmt.delim)
         .option("quote", fmt.quote)
         .option("escape", fmt.quote)

@@ -23,7 +23,7 @@ def read_documents(spark: SparkSession, folder: str, names: Sequence[str]) -> Da
         return spark.createDataFrame([], "name string, document string")
     for path in paths:
         if not path_exists(spark, path):
-            raise FileNotFoundError(f"File '{path}' not found.")
+            raise FileNotFoundError(f"there is no file {path}")
     literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
     files = spark.read.format("binaryFile").load(literal)
     return files.select(

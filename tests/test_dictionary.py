@@ -152,13 +152,13 @@ def test_lab_dictionary(spark):
 
 def test_panel_vocabulary(spark):
     panels = spark.createDataFrame(
-        [("P", " pos ", 1.0, None, 0), ("P", "neg", 2.0, "a b", 1), ("P", "pos", 3.0, "c", 2), ("Q", "neg", 4.0, "d", 3)],
+        [("P", "\tpos\n", 1.0, None, 0), ("P", "neg", 2.0, "a b", 1), ("P", "pos", 3.0, "c", 2), ("Q", "neg", 4.0, "d", 3)],
         "pathogen string, Interpretation string, ct double, note string, pos long",
     )
     assert rows(D.panel_vocabulary(panels, ["ct", "note"])) == [
-        ("P", 1, "pos", 0, "ct:1.0;note:missing|ct:3.0;note:c"),
-        ("P", 2, "neg", 0, "ct:2.0;note:ab"),
-        ("Q", 1, "neg", 0, "ct:4.0;note:d"),
+        ("P", 1, "pos", "ct:1.0;note:missing|ct:3.0;note:c"),
+        ("P", 2, "neg", "ct:2.0;note:ab"),
+        ("Q", 1, "neg", "ct:4.0;note:d"),
     ]
 
 

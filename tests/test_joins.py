@@ -6,7 +6,9 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from longhouse.operators.joins import contained_join, data_bytes, lookup_join, salted_join
+from pyspark.sql import functions as F
+
+from longhouse.operators.joins import contained_join, lookup_join
 
 
 def frames(spark):
@@ -33,29 +35,47 @@ def expected(big, small, how):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_lookup_join_equals_brute_force(spark, how, limit):
+def test_lookup_join_equals_brute_force(spark, how):
     big, small, b, s = frames(spark)
-    got = lookup_join(b, s, ["k"], how, broadcast_bytes=limit, hot_rows=50).select("k", "i", "s")
+    got = lookup_join(b, s, ["k"], how).select("k", "i", "s")
     assert Counter(map(tuple, got.collect())) == expected(big, small, how)
 
 
-def test_hot_key_is_dealt_over_salts(spark):
-    _, _, b, s = frames(spark)
-    plan = salted_join(b, s, ["k"], hot_rows=50)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" in plan and "xxhash64" in plan
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+def test_a_hot_key_is_split_at_run_time(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 10 < 3, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        big = spark.range(0, 60_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        small = spark.range(60_000).select(F.col("id").cast("string").alias("k")).union(
+            spark.createDataFrame([("hot",)], "k string")
+        )
+        joined = lookup_join(big, small, ["k"])
+        joined.write.format("noop").mode("overwrite").save()
+        assert joined.count() == 60_000
+        rows_ = joined.select("k", F.length("x").alias("n"))
+        assert len(rows_.collect()) == 60_000
+        assert "skew=true" in rows_._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def test_only_inner_and_left(spark):
     _, _, b, s = frames(spark)
     with pytest.raises(ValueError):
-        salted_join(b, s, ["k"], "full")
-
-
-def test_size_counts_text_and_nested_values(spark):
-    df = spark.createDataFrame([("abcd", ["x", "y"]), (None, None)], "t string, a array<string>")
-    assert data_bytes(df) > 2 * 32 + 4
-    assert data_bytes(df.limit(0)) == 0
+        lookup_join(b, s, ["k"], "full")
 
 
 TEXT = st.text(alphabet="ab_", max_size=7)

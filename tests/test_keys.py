@@ -4,8 +4,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from longhouse.operators.keys import assign_ids, last_id, sparse_ids
-from longhouse.operators.numbering import largest_group, number_within, ordered_concat
+from longhouse.operators import numbering
+from longhouse.operators.keys import assign_ids, last_id
+from longhouse.operators.numbering import number_within, ordered_concat
 
 
 def test_ids_are_dense_and_keep_every_row(spark):
@@ -34,16 +35,10 @@ def test_ids_of_no_rows(spark):
     assert last_id(empty, "v") == 0
 
 
-def test_sparse_ids_are_unique_and_increase(spark):
-    got = [r.n for r in sparse_ids(spark.range(0, 100, 1, 4), "n", 10).collect()]
-    assert len(set(got)) == 100 and min(got) > 10
-
-
-@pytest.mark.parametrize("window_rows", [10**6, 3])
-def test_numbers_within_groups_of_any_size(spark, window_rows):
+def test_numbers_within_groups_of_any_size(spark):
     data = [("hot", i) for i in range(300)] + [("a", 7), ("b", 2), ("b", 1), (None, 4), (None, 3)]
     df = spark.createDataFrame(data, "k string, pos int").repartition(6)
-    got = number_within(df, ["k"], ["pos"], "n", window_rows=window_rows)
+    got = number_within(df, ["k"], ["pos"], "n")
     seen = Counter()
     want = []
     for k, pos in sorted(data, key=lambda r: r[1]):
@@ -52,18 +47,15 @@ def test_numbers_within_groups_of_any_size(spark, window_rows):
     assert Counter(map(tuple, got.select("k", "pos", "n").collect())) == Counter(want)
 
 
-def test_largest_group(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")
-    assert largest_group(df, ["k"]) == 2
-    assert largest_group(df.limit(0), ["k"]) == 0
+@pytest.mark.parametrize("pieces", [10, 10_000])
+def test_concat_gives_one_text_in_order(spark, pieces):
+    df = spark.createDataFrame([("x", i, f"v{i}") for i in range(25)] + [("y", 1, "only")], "k string, p int, v string")
+    got = rows(ordered_concat(df.repartition(4), ["k"], ["p"], "v", "|", "t", pieces), "k", "t")
+    assert got == [("x", "|".join(f"v{i}" for i in range(25))), ("y", "only")]
 
 
-def test_concat_keeps_order_and_continues_in_parts(spark):
-    df = spark.createDataFrame([("x", i, f"v{i}") for i in range(25)] + [("y", 1, "only")], "k string, p int, v string")
-    got = rows(ordered_concat(df.repartition(4), ["k"], ["p"], "v", "|", "t", chunk_items=10), "k", "part", "t")
-    assert got == [
-        ("x", 0, "|".join(f"v{i}" for i in range(10))),
-        ("x", 1, "|".join(f"v{i}" for i in range(10, 20))),
-        ("x", 2, "|".join(f"v{i}" for i in range(20, 25))),
-        ("y", 0, "only"),
-    ]
+def test_a_text_beyond_a_cell_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "CELL_CHARS", 20)
+    df = spark.createDataFrame([("x", i, "four") for i in range(6)], "k string, p int, v string")
+    with pytest.raises(Exception, match="too long for one cell"):
+        ordered_concat(df, ["k"], ["p"], "v", "|", "t").collect()

@@ -71,7 +71,7 @@ def test_instrument_links(spark):
     linked = registry.link_instruments(pairs, instruments, datasets)
     assert rows(linked.where("instrument_id IS NOT NULL AND dataset_id IS NOT NULL"), "instrument_id", "dataset_id") == [(1, 5)]
     assert rows(registry.unknown_instrument_links(linked)) == [
-        ("Data file unknown is not ingested.",), ("Instrument file nobody is not ingested.",)
+        ("no dataset is called unknown",), ("no instrument is called nobody",)
     ]
 
 
@@ -124,7 +124,8 @@ def test_problems_of_a_table(spark):
     with pytest.raises(checks.IntegrityError) as error:
         checks.require_none(found)
     assert str(error.value) == (
-        "deaths: duplicate site_id, external_id; deaths: null in external_id; deaths: site_id is not in sites"
+        'deaths: duplicate site_id, external_id (1 values in 2 rows: {"site_id":5,"external_id":"x"}); '
+        'deaths: null in external_id; deaths: site_id is not in sites (1 values in 1 rows: {"site_id":6})'
     )
     good = deaths.where(F.col("death_id") == 1)
     checks.require_none(checks.problems("deaths", good, good, parents))

@@ -39,7 +39,7 @@ def test_declared_types_keep_text(spark, tmp_path):
 def test_missing_file(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         delimited.read_csv(spark, str(tmp_path / "none.csv"))
-    with pytest.raises(FileNotFoundError, match="not found"):
+    with pytest.raises(FileNotFoundError, match="there is no file"):
         documents.read_documents(spark, str(tmp_path), ["none.pdf"])
 
 
