@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from longhouse.llm.common import lookup
@@ -28,36 +28,37 @@ def local_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             return label
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-    return row[0], row[1]
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node in ``edges`` (a, b: long), label being its component's smallest node.
 
-    Large-star and small-star steps in turn (Kiveris et al. 2014) until nothing changes: after few
-    rounds every component is a star around its smallest node. Each round is written to the shared
-    folder, which cuts the lineage. Nodes with any share of the edges are dealt by ``lookup``.
-    Self-loops and repeated edges are harmless; no edges give no rows.
+    First every node keeps its smallest neighbour below it and hands its other ones that neighbour
+    instead (small-star steps, Kiveris et al. 2014), until each has one: a forest. Then paths are
+    halved until every node points to its root. Each round is written to the shared folder, which
+    cuts the lineage. A smallest node with any share of the edges is no bottleneck: steps gather by
+    the larger end, and paths are followed with ``lookup``. Self-loops and repeated edges are
+    harmless; no edges give no rows.
     """
-    edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = _mark(edges)
-    while mark[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = lookup(both, low, "a", F.xxhash64("b")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.distinct(), "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = lookup(large, least, "a", F.xxhash64("b")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stage(
-            small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges"
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    # edges that are there for the least neighbour are settled, those handed on are not
+    forest = stage(down.withColumn("moved", F.lit(True)), "edges")
+    while not forest.where("moved").isEmpty():
+        low = F.min("b").over(Window.partitionBy("a"))
+        both = forest.select("a", "b", low.alias("m")).select(
+            F.inline(
+                F.array(
+                    F.struct(F.col("a"), F.col("m").alias("b"), F.lit(False).alias("moved")),
+                    F.struct(F.col("b").alias("a"), F.col("m").alias("b"), F.lit(True).alias("moved")),
+                )
+            )
+        )
+        forest = stage(both.where("a <> b").groupBy("a", "b").agg(F.max("moved").alias("moved")), "edges")
+    paths = forest.select("a", "b", F.lit(True).alias("moved"))
+    while not paths.where("moved").isEmpty():
+        up = paths.select(F.col("a").alias("b"), F.col("b").alias("up"))
+        higher = lookup(paths.select("a", "b"), up, "b", F.xxhash64("a"))
+        paths = stage(
+            higher.select("a", F.coalesce("up", "b").alias("b"), F.col("up").isNotNull().alias("moved")), "edges"
         )
-        now = _mark(edges)
-        if now == mark:
-            break
-        mark = now
-    stars = edges.where("a <> b")
-    return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
-        stars.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
+    return paths.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
+        paths.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )

@@ -303,15 +303,15 @@ def linked_pairs(
     return out
 
 
-MEMBER = "cluster long, print long, elements binary"
+MEMBER = "cluster long, print long, parts int, elements binary"
 
 
 def member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """The elements of each member's set: ``members`` has print, cluster and the key of one document."""
-    schema = [("cluster", pa.int64()), ("print", pa.int64()), ("elements", pa.binary())]
+    """The elements of each member's set: ``members`` has print, cluster, parts and the key of one document."""
+    schema = [("cluster", pa.int64()), ("print", pa.int64()), ("parts", pa.int32()), ("elements", pa.binary())]
     own = _keyed(docs)
     same = own["doc_id"].eqNullSafe(members["doc_id"]) & (own["text_hash"] == members["text_hash"])
-    texts = own.join(members, same).select(F.struct("cluster", "print").alias("id"), "text")
+    texts = own.join(members, same).select(F.struct("cluster", "print", "parts").alias("id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -319,30 +319,40 @@ def member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
                 codes, sizes = shingle_sets(part, words)
                 ends = np.cumsum(sizes)
                 sets = [codes[e - n : e].tobytes() for e, n in zip(ends, sizes)]
-                yield _arrow(schema, [[c for c, _ in ids], [p for _, p in ids], sets])
+                yield _arrow(schema, [*map(list, zip(*ids)), sets])
 
     # rows that repeat in all give the same set again
-    return stage(texts.mapInArrow(run, MEMBER), "join-members").dropDuplicates(["print"])
+    return stage(texts.mapInArrow(run, MEMBER).dropDuplicates(["print"]), "join-members")
 
 
 EDGE = "a long, b long"
 
 
 def _compare(similar: int):
-    """Links among the sets of one task; a row asks others of its cluster if ``asks``."""
+    """Links among the sets of one task, as edges from each set to one of its component.
+
+    A row asks others of its cluster if ``asks``. The first row that asks and leads its cluster
+    (``lead``), or else the smallest print, stands for the component.
+    """
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out_a, out_b = [], []
         for _, rows in frame.groupby("cluster", sort=False):
-            rows = rows.sort_values(["asks", "print"], ascending=[False, True]).drop_duplicates("print")
+            rows = rows.sort_values(["lead", "asks", "print"], ascending=[False, False, True]).drop_duplicates("print")
             if len(rows) < 2:
                 continue
             sets = [np.frombuffer(e, np.uint64) for e in rows["elements"]]
             marks = rows["print"].to_numpy()
-            asked = np.flatnonzero(rows["asks"].to_numpy())
             label = np.unique(rows["label"].to_numpy(), return_inverse=True)[1]
-            out += [(marks[i], marks[j]) for i, j in linked_pairs(sets, asked, label, similar)]
-        return pd.DataFrame(out, columns=["a", "b"])
+            links = linked_pairs(sets, np.flatnonzero(rows["asks"].to_numpy()), label, similar)
+            if links:
+                i, j = np.array(links).T
+                to = local_labels(i, j, len(sets))
+                moved = np.flatnonzero(to != np.arange(len(sets)))
+                out_a.append(marks[moved])
+                out_b.append(marks[to[moved]])
+        none = [np.zeros(0, np.int64)]
+        return pd.DataFrame({"a": np.concatenate(out_a or none), "b": np.concatenate(out_b or none)})
 
     return run
 
@@ -352,50 +362,47 @@ def link_edges(members: DataFrame, similar: int) -> DataFrame:
 
     A cluster of up to ``TASK_SETS`` sets is one of many in a task. A larger one is dealt into parts,
     and each part is joined in itself and with a few pivots that all parts have; near copies of one
-    text are one component after that. What is not in the cluster's largest component then meets all
-    other parts, in blocks.
+    text hang on the first pivot after that. What doesn't then meets all parts, in blocks.
     """
-    size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    sized = lookup(members, size, "cluster", F.col("print"))
-    parts = F.ceil(F.col("size") / TASK_SETS).cast("int")
-    sized = sized.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("print"), F.col("parts")).cast("int"))
-    total = size.agg(F.sum("size"), F.max("size")).first()
-    bins = int(total[0] or 0) // TASK_SETS + 1
-    # small clusters share a task by their hash, parts of a large one are tasks of their own
-    task = F.when(F.col("parts") == 1, F.concat(F.lit("s"), F.pmod(F.xxhash64("cluster"), F.lit(bins)))).otherwise(
-        F.concat_ws(":", F.lit("l"), "cluster", "part")
-    )
-    first = sized.select("cluster", "print", "elements", "parts", task.alias("task"))
-    if (total[1] or 0) > TASK_SETS:
+    columns = ["cluster", "print", "elements"]
+    part = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
+    small, large = members.where("parts = 1"), members.where("parts > 1").withColumn("part", part)
+    own = [F.lit(True).alias("asks"), F.col("print").alias("label")]
+    # small clusters share a task by their hash
+    bins = F.lit(members.count() // TASK_SETS + 1)
+    task = F.concat(F.lit("s"), F.pmod(F.xxhash64("cluster"), bins).cast("string"))
+    first = small.select(*columns, task.alias("task"), F.lit(False).alias("lead"), *own)
+    any_large = not large.isEmpty()
+    if any_large:
         rank = Window.partitionBy("cluster").orderBy(F.xxhash64("print"), "print")
-        pivots = sized.where("parts > 1").withColumn("k", F.row_number().over(rank)).where(F.col("k") <= PIVOTS)
-        pivots = pivots.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        first = first.unionByName(
-            pivots.select(
-                "cluster", "print", "elements", "parts", F.concat_ws(":", F.lit("l"), "cluster", "to").alias("task")
-            )
+        keys = large.select("cluster", "print", "parts").withColumn("k", F.row_number().over(rank))
+        pivots = stage(keys.where(F.col("k") <= PIVOTS), "join-pivots")
+        everywhere = large.join(pivots.select("print", "k"), "print").withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         )
-    alone = first.select("cluster", "print", "elements", "task", F.lit(True).alias("asks"), F.col("print").alias("label"))
-    edges = stage(alone.groupBy("task").applyInPandas(_compare(similar), EDGE), "join-links")
-    if (total[1] or 0) <= TASK_SETS:
+        alone = large.join(pivots.select("print"), "print", "left_anti").withColumn("k", F.lit(0))
+        to_part = F.concat_ws(":", F.lit("l"), F.col("cluster").cast("string"), F.col("part").cast("string"))
+        dealt = alone.select(*columns, "part", "k").unionByName(everywhere.select(*columns, "part", "k"))
+        first = first.unionByName(dealt.select(*columns, to_part.alias("task"), (F.col("k") == 1).alias("lead"), *own))
+    edges = stage(first.groupBy("task").applyInPandas(_compare(similar), EDGE), "join-links")
+    if not any_large:
         return edges
-    known = components(edges).select(F.col("node").alias("print"), "label")
-    large = lookup(sized.where("parts > 1"), known, "print", F.col("print"))
-    large = stage(large.withColumn("label", F.coalesce("label", "print")), "join-large")
-    counts = large.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("cluster").agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("others")
-    )
-    large = lookup(large, main, "cluster", F.col("print")).where("others > 0")
-    rest_parts = F.ceil(F.col("others") / TASK_SETS).cast("int")
-    rest = large.where("label <> main").withColumn("own", F.pmod(F.xxhash64("print"), rest_parts).cast("int"))
+    # a set that isn't a pivot was in one task and has one edge at most there
+    lead = pivots.where("k = 1").select("cluster", F.col("print").alias("main"))
+    label = edges.groupBy(F.col("a").alias("print")).agg(F.min("b").alias("to"))
+    named = large.select("cluster", "print", "parts", "part").join(label, "print", "left")
+    named = lookup(named, lead, "cluster", F.col("print")).withColumn("label", F.coalesce("to", "print"))
+    named = stage(named.select("cluster", "print", "parts", "part", "label", "main"), "join-labels")
+    others = named.where("label <> main").groupBy("cluster").agg(F.count(F.lit(1)).alias("others"))
+    named = lookup(named, others, "cluster", F.col("print")).where("others IS NOT NULL")
+    blocks = F.ceil(F.col("others") / TASK_SETS).cast("int")
+    rest = named.where("label <> main").withColumn("block", F.pmod(F.xxhash64("print"), blocks).cast("int"))
     rest = rest.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    every = large.withColumn("own", F.explode(F.sequence(F.lit(0), rest_parts - 1)))
-    columns = ["cluster", "print", "elements", "label", "own", "part"]
-    meet = rest.select(*columns, F.lit(True).alias("asks")).unionByName(
-        every.select(*columns, F.lit(False).alias("asks"))
-    )
-    more = meet.groupBy("cluster", "own", "part").applyInPandas(_compare(similar), EDGE)
+    every = named.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    keys = ["cluster", "print", "label", "block", "part"]
+    meet = rest.select(*keys, F.lit(True).alias("asks")).unionByName(every.select(*keys, F.lit(False).alias("asks")))
+    meet = meet.withColumn("lead", F.lit(False)).join(large.select("print", "elements"), "print")
+    more = meet.groupBy("cluster", "block", "part").applyInPandas(_compare(similar), EDGE)
     return edges.unionByName(stage(more, "join-links"))
 
 
@@ -412,7 +419,9 @@ def _linked(docs: DataFrame, words: int, similar: int) -> DataFrame:
     lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     distinct = found.where("print IS NOT NULL").groupBy("print").agg(F.min(lead).alias("lead"))
     members = distinct.join(near.select(F.col("node").alias("print"), F.col("label").alias("cluster")), "print")
-    members = members.select("print", "cluster", "lead.doc_id", "lead.text_hash")
+    members = stage(members.select("print", "cluster", "lead.doc_id", "lead.text_hash"), "join-keys")
+    parts = F.ceil(F.count(F.lit(1)) / TASK_SETS).cast("int").alias("parts")
+    members = lookup(members, members.groupBy("cluster").agg(parts), "cluster", F.col("print"))
     links = components(link_edges(member_sets(docs, members, words), similar))
     labels = distinct.join(links.select(F.col("node").alias("print"), "label"), "print", "left")
     labels = stage(labels.withColumn("label", F.coalesce("label", "print")), "join-labels")
