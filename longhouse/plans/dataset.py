@@ -25,6 +25,7 @@ from longhouse.operators.reshape import (
 from longhouse.plans.dictionary import add_domain
 from longhouse.plans.metadata import add_source, source_path
 from longhouse.plans.registry import register_ingestion
+from longhouse.session import with_scratch
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_csv
 
@@ -144,18 +145,19 @@ def row_ids_and_values(rows: DataFrame, id_col: str, id_type: int) -> DataFrame:
     return rows.select(F.col(INNER_ROW_ID).alias(ROW_ID), value.alias("value"))
 
 
+@with_scratch
 def ingest_data(
     archive: Archive,
     ingest: IngestConfig,
     datapath: str,
     ingestion_id: int = 0,
     typed: bool = False,
-    declared_types: bool = False,
+    declared_types: bool = True,
 ) -> list[int]:
     """Store and link all datasets of an ingest (pipeline J-9); returns their ids.
 
-    ``ingestion_id`` 0 makes a new ingestion. ``typed`` stores typed cells. ``declared_types``
-    converts files as the dictionary declares rather than by a pass that infers types.
+    ``ingestion_id`` 0 makes a new ingestion. ``typed`` stores typed cells. Files are converted as
+    the dictionary declares; without ``declared_types`` a pass of its own infers their types.
     """
     batch = archive.begin()
     source_id = add_source(batch, ingest.source.name)
@@ -214,6 +216,7 @@ def _link_instruments(batch: Batch, instruments: dict[str, str]) -> None:
     batch.write("instrument_datasets", ids.join(existing, ids.columns, "left_anti"))
 
 
+@with_scratch
 def ingest_derived(archive: Archive, ingest: UserIngestConfig) -> list[int]:
     """Store datasets a user made from stored ones, with their inputs (operator I-6).
 
@@ -240,6 +243,7 @@ def ingest_derived(archive: Archive, ingest: UserIngestConfig) -> list[int]:
     return saved
 
 
+@with_scratch
 def link_dataset(archive: Archive, dataset_id: int, domain_id: int, id_col: str, ingestion_id: int) -> None:
     """Link a stored dataset to the deaths of one ingestion; linking twice adds nothing (D-4).
 

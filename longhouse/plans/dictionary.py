@@ -17,6 +17,7 @@ from longhouse.operators.checks import require_columns
 from longhouse.operators.joins import contained_join, lookup_join
 from longhouse.operators.lookup import named_key, named_keys
 from longhouse.operators.numbering import number_within, ordered_concat
+from longhouse.session import with_scratch
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_dictionary, reexport, write_csv
 from longhouse.sources.documents import path_exists
@@ -129,6 +130,7 @@ def new_vocabularies(
     return fresh, owned.select("vocabulary_id", "value", "code", "description")
 
 
+@with_scratch
 def ingest_dictionary(
     archive: Archive,
     ingest: IngestConfig | UserIngestConfig,

@@ -9,7 +9,7 @@ from longhouse.config import SourceConfig
 from longhouse.operators.lookup import named_key, source_sites
 from longhouse.operators.registry import site_protocols, with_country_codes
 from longhouse.operators.upsert import assign_ethics, set_value
-from longhouse.session import stage
+from longhouse.session import stage, with_scratch
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_csv
 from longhouse.sources.documents import read_documents
@@ -19,6 +19,7 @@ def source_path(datapath: str, source_name: str, folder: str) -> str:
     return f"{datapath.rstrip('/')}/{source_name}/{folder}"
 
 
+@with_scratch
 def ingest_source(archive: Archive, source: SourceConfig, datapath: str, iso3_path: str) -> None:
     """Register a source with everything that describes it, in one batch (pipeline J-1)."""
     batch = archive.begin()

@@ -7,9 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from longhouse.config import IngestConfig
+from longhouse.operators.keys import assign_ids
 from longhouse.operators.lookup import named_key, select_rows
 from longhouse.operators.registry import match_sites
 from longhouse.plans.metadata import source_path
+from longhouse.session import with_scratch
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_csv
 
@@ -22,6 +24,7 @@ def register_ingestion(batch: Batch, source_id: int, description: str, as_of: da
     )
 
 
+@with_scratch
 def ingest_deaths(archive: Archive, ingest: IngestConfig, datapath: str) -> int:
     """Register the individuals in the death file and return the ingestion's id (pipeline J-6).
 
@@ -44,8 +47,6 @@ def ingest_deaths(archive: Archive, ingest: IngestConfig, datapath: str) -> int:
         ingest.source.site_col,
         ingestion_id,
     )
-    from longhouse.operators.keys import assign_ids
-
     deaths = assign_ids(matched, "death_id", batch.last_id("deaths"))
     batch.write("deaths", deaths.drop("data_ingestion_id"), partition=ingestion_id)
     batch.publish()

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,13 +56,42 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/longhouse/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged inside are deleted at the end; what is made of them must be written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def with_scratch(pipeline):
+    """A pipeline over an archive, its first argument, that leaves no staged tables behind."""
+
+    @wraps(pipeline)
+    def run(archive, *args, **named):
+        with scratch(archive.spark):
+            return pipeline(archive, *args, **named)
+
+    return run
+
+
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the written copy.
 
     Later jobs then see the same rows in the same files whatever happens to executors, and read
-    only the columns they need, which a row-wise checkpoint would not allow.
+    only the columns they need, which a row-wise checkpoint would not allow. The copy belongs to
+    the innermost ``scratch`` unless it is to be kept; outside of any it stays.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from longhouse import config, schemas as S
 from longhouse.config import IngestConfig, SourceConfig, UserIngestConfig
+from longhouse.operators import checks, reshape
 from longhouse.operators.checks import IntegrityError
 from longhouse.plans import dataset, dictionary, export, metadata, registry
+from longhouse.session import shared_dir
 from longhouse.sources.archive import Archive
 from longhouse.sources.arrow_ipc import read_arrow
 
@@ -299,3 +301,134 @@ def test_presets_are_consistent():
         assert all(entry[2] in ingest.source.protocols for entry in ingest.source.ethics.values())
         assert set(ingest.source.instruments.values()) <= set(ingest.datasets.values())
         assert ingest.csv == ingest.source.csv
+
+
+def tiny(spark, root, delivery, name="visits.csv", types=(("pid", 3), ("note", 3), ("n", 1)), **ingest):
+    """An archive with one delivered dataset."""
+
+    def put(path, text):
+        file = Path(root) / path
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(text)
+
+    put("in/S/De_identified_data/demo.csv", "pid,site\nA1,North\nA2,North\n")
+    put(f"in/S/De_identified_data/{name}", delivery)
+    put("in/iso.csv", "country,iso2,iso3\nKenya,KE,KEN\n")
+    lines = "\n".join(f"{c};{c};n;{t}" for c, t in [*types, ("site", 3)])
+    put("dict/S/d.csv", f"Column_Name;Description;Note;DataType\n{lines}\n")
+    source = SourceConfig("S", "demo.csv", "site", country_name="Kenya")
+    setup = IngestConfig(source, "pid", "S", "demo.csv", {"Visits": name}, ["d.csv"], as_of=DAY, **ingest)
+    made = Archive.create(spark, f"{root}/archive")
+    metadata.ingest_source(made, source, f"{root}/in", f"{root}/in/iso.csv")
+    registry.ingest_deaths(made, setup, f"{root}/in")
+    dictionary.ingest_dictionary(made, setup, f"{root}/dict")
+    return made, setup, f"{root}/in"
+
+
+def test_line_breaks_and_blanks_survive_ingest_and_export(spark, tmp_path):
+    made, setup, path = tiny(spark, tmp_path, 'pid,note,n\nA1,"two\nlines",1\nA2," pad ",2\n')
+    dataset.ingest_data(made, setup, path)
+    want = [("A1", "two\nlines", "1"), ("A2", " pad ", "2")]
+    assert rows(export.dataset_to_dataframe(made, 1).drop("row_id")) == want
+    assert rows(made.table("death_rows"), "row_id") == [(1,), (2,)]
+    for _ in range(2):  # a second export replaces the first
+        out = export.dataset_to_csv(made, 1, str(tmp_path))
+        back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out)
+        assert rows(back.drop("row_id")) == want
+        assert rows(read_arrow(spark, export.dataset_to_arrow(made, 1, str(tmp_path))).drop("row_id")) == want
+        assert spark.read.parquet(export.dataset_to_parquet(made, 1, str(tmp_path))).count() == 2
+    assert made.audit() == []
+
+
+def test_a_broken_row_stops_an_ingest_of_single_lines(spark, tmp_path):
+    one_line = config.CsvFormat(multiline=False)
+    made, setup, path = tiny(spark, tmp_path, 'pid,note,n\nA1,"two\nlines",1\nA2,ok,2\n', csv=one_line)
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        dataset.ingest_data(made, setup, path)
+    assert made.table("datasets").count() == 0
+
+
+def test_times_stand_as_delivered(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        types = (("pid", 3), ("at", 5))
+        made, setup, path = tiny(spark, tmp_path, "pid,at\nA1,2021-03-14T02:30:00\nA2,2021-03-14T03:30:00\n", types=types)
+        for declared in (True, False):
+            (made_id,) = dataset.ingest_data(made, setup, path, declared_types=declared)
+            assert [r["at"] for r in export.dataset_to_dataframe(made, made_id).orderBy("pid").collect()] == [
+                "2021-03-14T02:30:00.000", "2021-03-14T03:30:00.000"
+            ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_typed_dataset_is_linked_afterwards(spark, tmp_path):
+    made, setup, path = tiny(spark, tmp_path, "pid,note,n\nA1,x,1\nA2,y,2\nB9,z,3\n")
+    other = replace(setup, id_col="n")
+    dataset.ingest_data(made, other, path, typed=True)
+    assert made.table("death_rows").count() == 0
+    dataset.link_dataset(made, 1, 1, "pid", 1)
+    assert rows(made.table("death_rows"), "row_id", "dataset_id") == [(1, 1), (2, 1)]
+
+
+def test_texts_of_another_type_are_errors_or_null(spark, tmp_path):
+    made, setup, path = tiny(spark, tmp_path, "pid,note,n\nA1,x,1.5\nA2,y,2.0\n")
+    dataset.ingest_data(made, setup, path, declared_types=False)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        export.dataset_to_typed(made, 1).collect()
+    assert rows(export.dataset_to_typed(made, 1, strict=False), "pid", "n") == [("A1", None), ("A2", None)]
+    with pytest.raises(Exception, match="not a whole number"):
+        dataset.ingest_data(made, setup, path, typed=True, declared_types=False)
+
+
+def test_a_cell_that_is_twice_is_an_error(spark):
+    variables = [reshape.Variable(i, n, S.STRING) for i, n in ((1, "p"), (2, "q"), (3, "r"))]
+    cells = [(1, 1, "a"), (1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (2, 1, "x"), (2, 1, "x"), (2, 2, "y")]
+    for row in (1, 2):
+        frame = spark.createDataFrame([c for c in cells if c[0] == row], "row_id long, variable_id long, value string")
+        with pytest.raises(Exception, match=f"row {row} holds a variable twice"):
+            reshape.pivot_text(frame, variables).collect()
+
+
+def test_cells_are_counted_before_they_are_published(spark, tmp_path):
+    made, setup, path = tiny(spark, tmp_path, "pid,note,n\nA1,x,1\nA2,y,2\n")
+    dataset.ingest_data(made, setup, path)
+    cells, datarows = made.table("data"), made.table("datarows")
+    assert checks.cell_problems("data", cells, datarows).count() == 0
+    lacking = cells.where("NOT (row_id = 2 AND variable_id = 1)")
+    twice = cells.unionByName(cells.where("row_id = 1 AND variable_id = 2"))
+    swapped = lacking.unionByName(cells.where("row_id = 1 AND variable_id = 1"))
+    for bad in (lacking, twice, swapped):
+        assert checks.cell_problems("data", bad, datarows).count() == 1
+
+
+def test_a_pipeline_leaves_nothing_but_the_archive(spark, tmp_path):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "longhouse"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    made, setup, path = tiny(spark, tmp_path, "pid,note,n\nA1,x,1\n")
+    dataset.ingest_data(made, setup, path)
+    assert (set(folder.iterdir()) if folder.exists() else set()) == before
+
+
+def test_one_column_reads_few_rows(spark, tmp_path):
+    """Cells lie by variable, so row groups of other variables are skipped."""
+    names = [f"v{i}" for i in range(20)]
+    frame = spark.range(0, 40_000, 1, 1).select(F.col("id").alias("row_id"), *[F.col("id").cast("string").alias(n) for n in names])
+    cells = reshape.unpivot_text(frame, reshape.variables_from_schema(frame, ["row_id"]))
+    path = str(tmp_path / "cells")
+    cells.sortWithinPartitions("variable_id", "row_id").write.option("parquet.block.size", 1 << 20).parquet(path)
+    read = reshape.dataset_column(spark.read.parquet(path), reshape.Variable(3, "v2", S.STRING))
+    assert len(read.collect()) == 40_000
+    plan, found = read._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        metrics = node.metrics()
+        if "Scan" in node.nodeName() and metrics.contains("numOutputRows"):
+            found.append(metrics.apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    assert found and max(found) < 400_000
