@@ -2,9 +2,11 @@
 
 Distinct shingle sets are the nodes; equal sets are one. The hashed shingles of a set fall into
 groups. For routing there are more groups than two linked sets can differ in, so at least one group
-is the same in both (pigeonhole), and sets that share a group are brought together. There the counts
-of ``DIMENSIONS`` groups are points of an R-tree; the sum of coordinate minima bounds the overlap of
-two sets, or of a set and everything below a node, and pairs that survive are verified exactly.
+is the same in both (pigeonhole), and sets that share a group are brought together, with counts of
+coarser groups as points. The sum of coordinate minima bounds the overlap of two sets; those it
+allows are tied into clusters. In a cluster the counts of ``DIMENSIONS`` groups are points of an
+R-tree, where the sum also bounds a set's overlap with everything below a node, and pairs that
+survive are verified exactly.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from longhouse.session import stage
 WORDS, SIMILAR = 3, 90
 #: Coordinates of a point of the R-tree, and entries of a node.
 DIMENSIONS, FANOUT = 64, 32
+#: Coordinates of the points that go with signatures, and the longest run that is looked at in pairs.
+COARSE, SHORT_RUN = 32, 16
 #: Groups beyond those that two linked sets can differ in; so a set need not send its empty groups
 #: unless it has more than so many.
 SLACK = 1
@@ -182,46 +186,115 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return _keyed(docs).select(F.struct("doc_id", "text_hash").alias("id"), "text").mapInArrow(run, SETS)
 
 
+def reaches(points: np.ndarray, i: np.ndarray, j: np.ndarray, similar: int) -> np.ndarray:
+    """Whether the summed minima of the points numbered ``i`` and ``j`` allow a link of their sets."""
+    out = np.zeros(len(i), bool)
+    for k in range(0, len(i), 131_072):
+        a, b = points[i[k : k + 131_072]], points[j[k : k + 131_072]]
+        overlap = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+        both = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
+        out[k : k + 131_072] = overlap * (100 + similar) >= similar * both
+    return out
+
+
+def tied(starts: np.ndarray, lengths: np.ndarray, member: np.ndarray, points: np.ndarray, similar: int) -> np.ndarray:
+    """Labels that join all sets which stand in one run and whose points allow a link.
+
+    Runs are slices of ``member``. Short runs are looked at pair by pair, all at once. In a long one
+    a set meets only those that aren't yet of its label, so near copies are joined by the first.
+    """
+    n, left, right = len(points), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for length in range(2, SHORT_RUN + 1):
+        at = starts[lengths == length]
+        i, j = np.triu_indices(length, 1)
+        left.append(member[at[:, None] + i].ravel())
+        right.append(member[at[:, None] + j].ravel())
+    pairs = np.unique(np.concatenate(left) * n + np.concatenate(right))
+    i, j = pairs // n, pairs % n
+    near = reaches(points, i, j, similar)
+    i, j = [i[near]], [j[near]]
+    label, seen = local_labels(i[0], j[0], n), set()
+    for start, length in zip(starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist()):
+        run = member[start : start + length]
+        own = label[run]
+        key = hash(run.tobytes())
+        if key in seen or (own == own[0]).all():
+            continue
+        seen.add(key)
+        before = len(i)
+        for k in range(length):
+            if (own == own[k]).all():
+                break
+            # earlier ones have met this one in their turn
+            others = k + 1 + np.flatnonzero(own[k + 1 :] != own[k])
+            hit = others[reaches(points, np.full(len(others), run[k]), run[others], similar)]
+            if len(hit):
+                i.append(np.full(len(hit), run[k]))
+                j.append(run[hit])
+                own[np.isin(own, own[hit])] = own[k]
+        if len(i) > before:
+            label = local_labels(np.concatenate(i), np.concatenate(j), n)
+    return label
+
+
+MESSAGE = "shard int, sigs binary, owners binary, prints binary, points binary"
+
+
 def candidate_edges(docs: DataFrame, shards: int, words: int, similar: int) -> DataFrame:
-    """Edges (a, b) that tie together all sets which share a signature.
+    """Edges (a, b) that tie together sets which share a signature and whose counts allow a link.
 
-    Chunks send sorted signatures, each set once, to the signature's shard; a shard sends a spanning
-    forest of the sets it finds together, not their pairs.
+    Chunks send sorted signatures, each set once, to the signature's shard, and with them the counts
+    of ``COARSE`` groups. A shard sends a spanning forest of the sets it ties, not their pairs.
     """
-    schema = [("shard", pa.int32()), ("sigs", pa.binary()), ("prints", pa.binary())]
+    schema = [("shard", pa.int32())] + [(c, pa.binary()) for c in ("sigs", "owners", "prints", "points")]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for _, texts in _chunks(batches):
                 codes, sizes = shingle_sets(texts, words)
                 marks = prints(codes, sizes)
+                group = ((codes >> np.uint64(40)) % np.uint64(COARSE)).astype(np.int64)
+                row = np.repeat(np.arange(len(sizes)), sizes) * COARSE
+                points = np.bincount(row + group, minlength=len(sizes) * COARSE).reshape(-1, COARSE).astype(np.uint32)
                 sig, owner = signatures(codes, sizes, similar)
                 _, first, back = np.unique(marks, return_index=True, return_inverse=True)
                 once = first[back[owner]] == owner
-                sig, mark = sig[once], marks[owner[once]]
+                sig, owner = sig[once], owner[once]
                 shard = (sig % np.uint64(shards)).astype(np.int64)
                 order = np.lexsort((sig, shard))
-                sig, mark, shard = sig[order], mark[order], shard[order]
+                sig, owner, shard = sig[order], owner[order], shard[order]
                 starts = np.flatnonzero(np.diff(shard, prepend=-1))
                 stops = np.concatenate([starts[1:], [len(shard)]])
-                rows = [(int(shard[a]), pack(sig[a:b]), pack(mark[a:b])) for a, b in zip(starts, stops)]
-                yield _arrow(schema, list(zip(*rows)) or [[], [], []])
+                rows = []
+                for a, b in zip(starts, stops):
+                    own, place = np.unique(owner[a:b], return_inverse=True)
+                    counts = pack(np.ascontiguousarray(points[own].T).ravel())
+                    rows.append((int(shard[a]), pack(sig[a:b]), pack(place.astype(np.uint32)), pack(marks[own]), counts))
+                yield _arrow(schema, list(zip(*rows)) or [[]] * 5)
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        sig = np.concatenate([unpack(s) for s in frame["sigs"]])
-        mark = np.concatenate([unpack(s) for s in frame["prints"]])
-        order = np.argsort(sig, kind="stable")
-        sig, mark = sig[order], mark[order]
-        run = np.cumsum(np.diff(sig, prepend=sig[:1]) != 0)
-        nodes, number = np.unique(mark, return_inverse=True)
-        # each set is tied to the first one of its signature
-        first = number[np.searchsorted(run, run, "left")]
-        tied = first != number
-        label = local_labels(first[tied], number[tied], len(nodes))
+        sigs, owners, marks, points, base = [], [], [], [], 0
+        for s, o, m, c in zip(frame["sigs"], frame["owners"], frame["prints"], frame["points"]):
+            sigs.append(unpack(s))
+            owners.append(unpack(o).astype(np.int64) + base)
+            marks.append(unpack(m))
+            points.append(unpack(c).reshape(COARSE, -1).T)
+            base += len(marks[-1])
+        nodes, first, number = np.unique(np.concatenate(marks), return_index=True, return_inverse=True)
+        points = np.concatenate(points)[first].astype(np.int32)
+        sig, member = np.concatenate(sigs), number[np.concatenate(owners)]
+        order = np.lexsort((member, sig))
+        sig, member = sig[order], member[order]
+        fresh = np.ones(len(sig), bool)
+        fresh[1:] = (sig[1:] != sig[:-1]) | (member[1:] != member[:-1])
+        sig, member = sig[fresh], member[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        lengths = np.diff(np.concatenate([starts, [len(sig)]]))
+        label = tied(starts[lengths > 1], lengths[lengths > 1], member, points, similar)
         moved = np.flatnonzero(label != np.arange(len(nodes)))
         return pd.DataFrame({"a": nodes[moved], "b": nodes[label[moved]]})
 
-    sent = docs.select("doc_id", "text").mapInArrow(send, "shard int, sigs binary, prints binary")
+    sent = docs.select("doc_id", "text").mapInArrow(send, MESSAGE)
     return sent.groupBy("shard").applyInPandas(meet, "a long, b long")
 
 
