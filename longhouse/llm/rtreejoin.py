@@ -38,7 +38,7 @@ SLACK = 1
 #: Texts are cut into chunks of about so many bytes.
 CHUNK = 4_000_000
 #: Signatures for each shard on average, and sets for a task at most.
-SHARD_SIGNATURES = 1_000_000
+SHARD_SIGNATURES = 700_000
 TASK_SETS = 2000
 #: Sets that a large cluster compares all others with first.
 PIVOTS = 4
@@ -116,9 +116,9 @@ def groups_at(level: np.ndarray, similar: int) -> np.ndarray:
     return np.floor(2 * most * (100 - similar) / (100 + similar)).astype(np.int64) + 1 + SLACK
 
 
-def signatures(codes: np.ndarray, sizes: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, set number) of every group of every set, at the set's level and the next."""
-    out_sig, out_owner = [], []
+def signatures(codes: np.ndarray, sizes: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, set number, level) of every group of every set, at the set's level and the next."""
+    out_sig, out_owner, out_level = [], [], []
     owner = np.repeat(np.arange(len(sizes)), sizes)
     own_level = levels_of(sizes, similar)
     mixed = mix(codes ^ np.uint64(0x5DEECE66D))
@@ -142,7 +142,8 @@ def signatures(codes: np.ndarray, sizes: np.ndarray, similar: int) -> tuple[np.n
         sig = mix(mix(upper + label) + lower)
         out_sig.append(sig[send])
         out_owner.append(which[send])
-    return np.concatenate(out_sig), np.concatenate(out_owner)
+        out_level.append(level[which[send]])
+    return np.concatenate(out_sig), np.concatenate(out_owner), np.concatenate(out_level)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -240,12 +241,24 @@ def tied(starts: np.ndarray, lengths: np.ndarray, member: np.ndarray, points: np
 MESSAGE = "shard int, sigs binary, owners binary, prints binary, points binary"
 
 
-def candidate_edges(docs: DataFrame, shards: int, words: int, similar: int) -> DataFrame:
+def level_shards(found: DataFrame, similar: int) -> np.ndarray:
+    """Shards of each size level, as many as its signatures ask; there are some dozens of levels."""
+    level = F.floor(F.ln(F.col("n").cast("double")) / step(similar))
+    counts = {int(r.level): r.n for r in found.where("n > 0").groupBy(level.alias("level")).agg(F.count("n").alias("n")).collect()}
+    levels = np.arange(max(counts, default=0) + 3)
+    sets = np.array([counts.get(k, 0) + counts.get(k - 1, 0) for k in levels.tolist()])
+    return sets * groups_at(levels, similar) // SHARD_SIGNATURES + 1
+
+
+def candidate_edges(docs: DataFrame, shards: np.ndarray, words: int, similar: int) -> DataFrame:
     """Edges (a, b) that tie together sets which share a signature and whose counts allow a link.
 
-    Chunks send sorted signatures, each set once, to the signature's shard, and with them the counts
-    of ``COARSE`` groups. A shard sends a spanning forest of the sets it ties, not their pairs.
+    Chunks send sorted signatures, each set once, to a shard of their level, and with them the counts
+    of ``COARSE`` groups, once for each shard. A shard sends a spanning forest of the sets it ties,
+    not their pairs. Half of a signature's bits do: those that are equal by chance are not tied, as
+    their counts tell.
     """
+    first_shard = np.cumsum(shards) - shards
     schema = [("shard", pa.int32())] + [(c, pa.binary()) for c in ("sigs", "owners", "prints", "points")]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,11 +269,12 @@ def candidate_edges(docs: DataFrame, shards: int, words: int, similar: int) -> D
                 group = ((codes >> np.uint64(40)) % np.uint64(COARSE)).astype(np.int64)
                 row = np.repeat(np.arange(len(sizes)), sizes) * COARSE
                 points = np.bincount(row + group, minlength=len(sizes) * COARSE).reshape(-1, COARSE).astype(np.uint32)
-                sig, owner = signatures(codes, sizes, similar)
+                sig, owner, level = signatures(codes, sizes, similar)
                 _, first, back = np.unique(marks, return_index=True, return_inverse=True)
                 once = first[back[owner]] == owner
-                sig, owner = sig[once], owner[once]
-                shard = (sig % np.uint64(shards)).astype(np.int64)
+                sig, owner, level = sig[once], owner[once], np.minimum(level[once], len(shards) - 1)
+                shard = first_shard[level] + (sig % shards[level].astype(np.uint64)).astype(np.int64)
+                sig = (sig >> np.uint64(32)).astype(np.uint32)
                 order = np.lexsort((sig, shard))
                 sig, owner, shard = sig[order], owner[order], shard[order]
                 starts = np.flatnonzero(np.diff(shard, prepend=-1))
@@ -278,7 +292,8 @@ def candidate_edges(docs: DataFrame, shards: int, words: int, similar: int) -> D
             sigs.append(unpack(s))
             owners.append(unpack(o).astype(np.int64) + base)
             marks.append(unpack(m))
-            points.append(unpack(c).reshape(COARSE, -1).T)
+            counts = unpack(c).reshape(COARSE, -1).T
+            points.append(counts.astype(np.uint16) if counts.max(initial=0) < 1 << 16 else counts)
             base += len(marks[-1])
         nodes, first, number = np.unique(np.concatenate(marks), return_index=True, return_inverse=True)
         points = np.concatenate(points)[first]
@@ -485,10 +500,7 @@ def _linked(docs: DataFrame, words: int, similar: int) -> DataFrame:
     The first one has the smallest doc_id, then the smallest text hash; null ids come last.
     """
     found = stage(document_sets(docs, words), "join-sets")
-    total = int(found.agg(F.sum("n")).first()[0] or 0)
-    share = 4 * (100 - similar) / (100 + similar)
-    shards = int(total * share) // SHARD_SIGNATURES * 2 + 7
-    near = components(candidate_edges(docs, shards, words, similar))
+    near = components(candidate_edges(docs, level_shards(found, similar), words, similar))
     lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     distinct = found.where("print IS NOT NULL").groupBy("print").agg(F.min(lead).alias("lead"))
     members = distinct.join(near.select(F.col("node").alias("print"), F.col("label").alias("cluster")), "print")
