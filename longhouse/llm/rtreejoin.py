@@ -31,7 +31,7 @@ WORDS, SIMILAR = 3, 90
 #: Coordinates of a point of the R-tree, and entries of a node.
 DIMENSIONS, FANOUT = 64, 32
 #: Coordinates of the points that go with signatures, and the longest run that is looked at in pairs.
-COARSE, SHORT_RUN = 128, 16
+COARSE, SHORT_RUN = 256, 16
 #: Groups beyond those that two linked sets can differ in; so a set need not send its empty groups
 #: unless it has more than so many.
 SLACK = 1
@@ -190,11 +190,11 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def reaches(points: np.ndarray, i: np.ndarray, j: np.ndarray, similar: int) -> np.ndarray:
     """Whether the summed minima of the points numbered ``i`` and ``j`` allow a link of their sets."""
     out = np.zeros(len(i), bool)
-    for k in range(0, len(i), 32_768):
-        a, b = points[i[k : k + 32_768]], points[j[k : k + 32_768]]
+    for k in range(0, len(i), 16_384):
+        a, b = points[i[k : k + 16_384]], points[j[k : k + 16_384]]
         overlap = np.minimum(a, b).sum(axis=1, dtype=np.int64)
         both = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
-        out[k : k + 32_768] = overlap * (100 + similar) >= similar * both
+        out[k : k + 16_384] = overlap * (100 + similar) >= similar * both
     return out
 
 
