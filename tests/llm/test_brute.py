@@ -315,6 +315,81 @@ def test_leaks_hold_all_verbatim_items(spark, monkeypatch):
     assert sorted(map(tuple, one)) == sorted(map(tuple, many))
 
 
+def _sections(items):
+    return [(i, s, t) for i, x in enumerate(items) for s, t in decontaminate.sections_of(decontaminate.normalise(x))]
+
+
+def test_passages_are_found_wherever_they_begin():
+    draw = random.Random(8)
+    items = ["".join(draw.choice("abcdefgh ") for _ in range(n)).strip() for n in (60, 200, 390, 1500)]
+    items = [decontaminate.normalise(x) for x in items]
+    noise = lambda: "".join(draw.choice("abcdefgh ") for _ in range(draw.randrange(300)))
+    scan = decontaminate.Passages(*map(list, zip(*_sections(items)))).scan
+    texts, want = [], []
+    for length in (50, 51, 80, 100, 120):
+        for _ in range(40):
+            item = draw.choice([i for i, x in enumerate(items) if len(x) >= length + 2])
+            start = draw.randrange(len(items[item]) - length + 1)
+            part = items[item][start : start + length]
+            if part != part.strip():
+                continue
+            head = decontaminate.normalise(noise() + " x")
+            texts.append(decontaminate.normalise(f"{head} {part} x{noise()}"))
+            want.append((item, len(head) + 1, len(head) + 1 + length))
+    got = collections.defaultdict(list)
+    for k, item, _, _, from_, to in scan(texts):
+        got[k].append((item, from_, to))
+    for k, (item, from_, to) in enumerate(want):
+        assert any(i == item and a <= from_ and b >= to for i, a, b in got[k])
+        # where it is found is where it stands, but for some edits' room
+        assert all(from_ - 16 <= a and b <= to + 16 for _, a, b in got[k])
+    # clean texts, and shorter passages in them, hold nothing
+    assert not scan([decontaminate.normalise(noise()) for _ in range(200)])
+    assert not scan([decontaminate.normalise(f"{noise()} # {items[3][s : s + 30]} # {noise()}") for s in range(0, 1400, 50)])
+
+
+def test_items_with_replaced_words_are_found():
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefghijklm") for _ in range(draw.randrange(3, 9)))
+    items = [" ".join(word() for _ in range(40)) for _ in range(20)]
+    texts = []
+    for x in items:
+        for every in (8, 10):
+            own = x.split()
+            for at in range(draw.randrange(every), len(own), every):
+                own[at] = word()
+            texts.append(" ".join([word() for _ in range(30)] + own + [word() for _ in range(30)]))
+    scan = decontaminate.Passages(*map(list, zip(*_sections(items)))).scan
+    assert {(h[0], h[1]) for h in scan(texts)} == {(k, k // 2) for k in range(len(texts))}
+
+
+def test_short_items_match_as_whole_words(spark):
+    benchmark = spark.createDataFrame([(1, "Big cat"), (2, "zoo"), (3, "What is 2+2?"), (4, " "), (5, "é")], "item_id long, text string")
+    texts = ["a big  CAT sat", "the big cats", "a zoo.", "zoology", "so: what is 2+2? four", "café", "É", "zoo", None, "big", "cat"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.regions, r.distance, r.from_char, r.to_char) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert got == {(0, 1): (0, 0, 2, 9), (2, 2): (0, 0, 2, 5), (4, 3): (0, 0, 4, 16), (6, 5): (0, 0, 0, 1), (7, 2): (0, 0, 0, 3)}
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()} == {1, 3, 5, 8, 9, 10}
+
+
+def test_excerpts_planted_in_documents(spark):
+    """Half an item or less, at random offsets, through both entry points; clean documents stay."""
+    draw = random.Random(10)
+    items = [(i, decontaminate.normalise(t)) for i, t in zip(*[table("benchmark")[c] for c in ("item_id", "text")])]
+    items = [(i, t) for i, t in items if len(t) >= 160]
+    rows, want = [], set()
+    for n in range(60):
+        item, text = draw.choice(items)
+        start = draw.randrange(len(text) - 60)
+        rows.append((n, f"w{n} some text before {text[start : start + 60]} and some after {n}"))
+        want.add((n, item))
+    rows += [(1000 + n, f"w{n} some text before and some after {n}") for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert want <= {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()} == set(range(1000, 1060))
+
+
 # --- neighbours ----------------------------------------------------------------------------------
 
 
