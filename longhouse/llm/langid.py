@@ -202,7 +202,11 @@ def identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """``docs`` without those that have no language: null texts and texts without a letter.
 
-    Ambiguous texts stay: short and mixed ones are mostly clean.
+    Ambiguous texts stay: short and mixed ones are mostly clean. If there is nothing to learn from,
+    nothing more can be told, and all texts with a letter stay.
     """
-    found = identify(docs, learn(labelled))
+    model = learn(labelled)
+    if model is None:
+        return docs.where(has_letter())
+    found = identify(docs, model)
     return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)

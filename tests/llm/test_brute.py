@@ -252,6 +252,17 @@ def test_held_out_languages(spark):
     assert np.mean([r.lang_pred == lang for r, lang in held]) > 0.98
 
 
+def test_language_stage_without_labels_keeps_texts(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    fold = next(i for i in range(99) if zlib.crc32(str(i).encode()) % corpus_pipeline.FOLDS == corpus_pipeline.HELD_OUT)
+    unlabelled = [(1, "some words", None, "s", 1), (2, "12 --", None, "s", 1), (3, None, None, "s", 1), (4, "Ü", None, "s", 1)]
+    single = [(fold, "a clean document", "en", "s", 1)]
+    for rows, want in ((unlabelled, [1, 4]), (single, [fold])):
+        kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, schema), SF)
+        assert kept.schema == spark.createDataFrame(rows, schema).schema
+        assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 # --- decontamination -----------------------------------------------------------------------------
 
 
