@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,21 @@ SAMPLE_TEXTS = 2000
 #: Up to so many languages the code is exhaustive, all ways to part them; beyond it is drawn.
 EXHAUSTIVE = 5
 UNKNOWN = "und"
+#: How far texts may lie from what was learned is calibrated on at most so many that were not fitted,
+#: spread evenly over languages and sizes (UTF-8 bytes of the different words, bands begin at these).
+CALIBRATION_TEXTS = 2000
+BANDS = (256, 1024, 4096)
+#: One in so many texts is set aside for it, in languages that have at least so many texts; a band
+#: with fewer calibrated texts than the last number has that of the shorter texts, if there is one.
+#: Texts under the first size are too short to be told from chance and always stay.
+ASIDE, ASIDE_FROM, BAND_TEXTS = 4, 40, 50
+#: A text's strangeness is its best codeword's loss plus this times its distance (1 - cosine) from
+#: the nearest language's mean features: letters that say little for or against any bit lie far.
+DISTANCE_WEIGHT = 3.0
+#: The bound is the strangest set-aside text's times this: the sample is small beside the corpus.
+SLACK = 1.25
+#: Texts nearer to a language than this share of the set-aside ones stay whatever their loss: they mix languages.
+NEAR = 0.95
 #: A text is ambiguous if the second codeword's probability is more than this share of the first's.
 AMBIGUOUS = 0.8
 
@@ -75,20 +90,32 @@ def codewords(languages: int, seed: int = 7) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages, their codewords, a linear classifier for each bit, and weights of the decoding."""
+    """Languages, their codewords, a linear classifier for each bit, weights of the decoding, and the
+    direction of each language's mean features."""
 
     languages: list[str]
     code: np.ndarray
     slopes: np.ndarray
     offsets: np.ndarray
     weights: np.ndarray
+    centres: np.ndarray
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        """Loss-weighted decoding: a language's loss is the weighted sum over bits of the log loss of
-        the classifier's margin against the codeword's bit; nearer codewords are more probable."""
+    def losses(self, x: np.ndarray) -> np.ndarray:
+        """A language's loss is the weighted sum over bits of the log loss of the classifier's margin
+        against the codeword's bit."""
         margins = x @ self.slopes + self.offsets
         loss = np.logaddexp(0, -margins[:, None, :] * self.code[None])
-        total = (loss * self.weights[None]).sum(axis=2)
+        return (loss * self.weights[None]).sum(axis=2)
+
+    def strangeness(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each text's nearest codeword, its strangeness, and its distance alone."""
+        total = self.losses(x)
+        far = 1 - (x @ self.centres.T).max(axis=1)
+        return total.argmin(axis=1), total.min(axis=1) + DISTANCE_WEIGHT * far, far
+
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        """Loss-weighted decoding: languages of nearer codewords, with less loss, are more probable."""
+        total = self.losses(x)
         odds = np.exp(-(total - total.min(axis=1, keepdims=True)))
         return odds / odds.sum(axis=1, keepdims=True)
 
@@ -115,7 +142,25 @@ def fit(languages: list[str], label: np.ndarray, x: np.ndarray, steps: int = 200
     weights = np.maximum(sure, 1e-3)
     weights /= weights.sum(axis=1, keepdims=True)
     # summed over a codeword the weights count its bits in which it differs from the nearest other
-    return Model(languages, code, slopes, offsets, weights * max(2, code.shape[1] / 2))
+    centres = np.stack([x[label == k].mean(axis=0) for k in range(len(languages))])
+    centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    return Model(languages, code, slopes, offsets, weights * max(2, code.shape[1] / 2), centres)
+
+
+def _spread(usable: DataFrame, key: str, total: int, take: Callable[[DataFrame], pa.Table]) -> pa.Table | None:
+    """What ``take`` makes of the same number of rows of each value of ``key``, ``total`` at most.
+
+    Those with the smallest hashes are taken. None if there are no rows.
+    """
+    counts = {r[key]: r.n for r in usable.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return None
+    each = max(1, total // len(counts))
+    share = F.coalesce(*[F.when(F.col(key) == name, min(1.0, 1.5 * each / n)) for name, n in counts.items()])
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32))
+    few = usable.where(place < share * float(1 << 32))
+    order = Window.partitionBy(key).orderBy(place, "doc_id", "text")
+    return take(few.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= each))
 
 
 def learn(labelled: DataFrame) -> Model | None:
@@ -127,22 +172,18 @@ def learn(labelled: DataFrame) -> Model | None:
     left out. None if there is nothing to learn from.
     """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter())
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return None
-    each = max(1, SAMPLE_TEXTS // len(counts))
-    share = F.coalesce(*[F.when(F.col("lang") == name, min(1.0, 1.5 * each / n)) for name, n in counts.items()])
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32))
-    few = usable.where(place < share * float(1 << 32))
-    order = Window.partitionBy("lang").orderBy(place, "doc_id", "text")
-    sample = few.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= each)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x])], ["lang", "x"])
 
-    rows = sample.select("lang", "text").mapInArrow(extract, "lang string, x binary").toArrow()
+    def take(sample: DataFrame) -> pa.Table:
+        return sample.select("lang", "text").mapInArrow(extract, "lang string, x binary").toArrow()
+
+    rows = _spread(usable, "lang", SAMPLE_TEXTS, take)
+    if rows is None:
+        return None
     names = rows.column(0).to_pylist()
     languages = sorted(set(names))
     x = np.frombuffer(b"".join(rows.column(1).to_pylist()), np.float32).reshape(len(names), FEATURES)
@@ -199,14 +240,78 @@ def identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     return identify(docs, learn(labelled))
 
 
+def _band(texts: list[str]) -> np.ndarray:
+    """By the size of the different words: a word said again and again is as a short text."""
+    sizes = [len(" ".join(set(t.split())).encode("utf-8", "replace")) for t in texts]
+    return np.searchsorted(BANDS, sizes, "right")
+
+
+def calibrated(labelled: DataFrame) -> tuple[Model | None, list[bool], np.ndarray]:
+    """A model, which of its languages are calibrated, and the strangeness and distance each size band allows.
+
+    In languages of ``ASIDE_FROM`` texts and more one text in ``ASIDE`` is not learned from; of
+    these a bounded sample gives the bounds. Smaller languages are learned whole and not calibrated.
+    """
+    usable = labelled.where(F.col("lang").isNotNull() & has_letter())
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ASIDE_FROM)
+    large = [r.lang for r in counts.collect()]
+    aside = F.col("lang").isin(large) & (F.pmod(F.xxhash64(F.lit(1), "doc_id", "text"), F.lit(ASIDE)) == 0)
+    model, bounds = learn(usable.where(~aside)), np.full((2, len(BANDS) + 1), np.inf)
+    if model is None:
+        return learn(usable), [], bounds
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            _, strange, far = model.strangeness(features(texts))
+            arrays = [batch.column(0), pa.array(_band(texts), pa.int32())]
+            arrays += [pa.array(strange, pa.float64()), pa.array(far, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["kind", "band", "strange", "far"])
+
+    def take(sample: DataFrame) -> pa.Table:
+        return sample.select("kind", "text").mapInArrow(measure, "kind string, band int, strange double, far double").toArrow()
+
+    size = sum((F.octet_length("text") >= b).cast("int") for b in BANDS)
+    kind = F.concat(size.cast("string"), F.lit(":"), F.col("lang"))
+    rows = _spread(usable.where(aside).withColumn("kind", kind), "kind", CALIBRATION_TEXTS, take)
+    if rows is not None:
+        band, strange, far = (np.array(rows.column(i).to_pylist()) for i in (1, 2, 3))
+        for k in range(1, len(BANDS) + 1):
+            own = band == k
+            if own.sum() >= BAND_TEXTS:
+                bounds[:, k] = SLACK * strange[own].max(), np.quantile(far[own], NEAR)
+            elif own.any():
+                # longer texts are less strange
+                bounds[:, k] = max(bounds[0, k - 1], SLACK * strange[own].max()), bounds[1, k - 1]
+            else:
+                bounds[:, k] = bounds[:, k - 1]
+    return model, [name in large for name in model.languages], bounds
+
+
 def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``docs`` without those that have no language: null texts and texts without a letter.
+    """``docs`` without those that have no language.
+
+    These are null texts, texts without a letter, and those whose strangeness (the best codeword's
+    weighted loss, and the distance from what was learned) is clearly (``SLACK``) beyond that of every
+    labelled text of like size that was set aside: encoded binary, key mashing, languages not learned. Where the best
+    language or the size is not calibrated (see ``calibrated``), texts with a letter stay.
 
     Ambiguous texts stay: short and mixed ones are mostly clean. If there is nothing to learn from,
-    nothing more can be told, and all texts with a letter stay.
+    nothing more can be told, and all texts with a letter stay. Rows aren't moved.
     """
-    model = learn(labelled)
-    if model is None:
-        return docs.where(has_letter())
-    found = identify(docs, model)
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    model, sure, bounds = calibrated(labelled)
+    lettered = docs.where(has_letter())
+    if model is None or not any(sure) or np.isinf(bounds).all():
+        return lettered
+    at, sure = docs.columns.index("text"), np.array(sure)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                texts = batch.column(at).to_pylist()
+                best, strange, far = model.strangeness(features(texts))
+                most, near = bounds[:, _band(texts)]
+                yield batch.filter(pa.array(~(sure[best] & (strange > most) & (far > near)), pa.bool_()))
+
+    return lettered.mapInArrow(keep, docs.schema)

@@ -1,5 +1,6 @@
 """The operators against brute force, exact round trips and held-out accuracy."""
 
+import base64
 import collections
 import itertools
 import math
@@ -263,6 +264,27 @@ def test_language_stage_without_labels_keeps_texts(spark):
         assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def test_language_stage_drops_junk_with_letters(spark):
+    """Junk that isn't labelled like the corpus's clean texts goes, all of the corpus stays."""
+    draw = random.Random(12)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    clean = docs.collect()
+    keys = lambda: "".join(draw.choice("asdfjkl") for _ in range(draw.randrange(3, 12)))
+    other = "kissa koira talo järvi metsä tämä että ovat mutta kuin hänen oli sekä joka vuonna myös".split()
+    junk = []
+    for size in (500, 2000, 3500):
+        for _ in range(20):
+            junk.append(base64.b64encode(draw.randbytes(size)).decode())
+            junk.append(draw.randbytes(size // 2).hex())
+            junk.append(" ".join(keys() for _ in range(size // 8)))
+            junk.append(" ".join(draw.choice(other) + draw.choice(other) for _ in range(size // 6)))
+    rows = [(1_000_000 + n, t, None, "junk", len(t)) for n, t in enumerate(junk)]
+    kept = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SMALL).collect()
+    assert sum(r.doc_id >= 1_000_000 for r in kept) <= 0.05 * len(junk)
+    lost = {r.doc_id for r in clean} - {r.doc_id for r in kept}
+    assert len(lost) <= 0.005 * len(clean)
+
+
 # --- decontamination -----------------------------------------------------------------------------
 
 
