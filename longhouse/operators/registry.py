@@ -148,17 +148,15 @@ def link_instruments(
     return named_keys(keyed, "instrument_name", instruments, "instrument_id")
 
 
+# What a caller is told of names that are not there.
+NOT_INGESTED = {"dataset_name": "Data file %s is not ingested.", "instrument_name": "Instrument file %s is not ingested."}
+
+
 def unknown_instrument_links(linked: DataFrame) -> DataFrame:
     """Why a linked pair is incomplete, one row per name that is not ingested."""
+    told = {column: F.format_string(text, column) for column, text in NOT_INGESTED.items()}
     return linked.where("dataset_id IS NULL OR instrument_id IS NULL").select(
-        F.when(
-            F.col("dataset_id").isNull(),
-            F.concat(F.lit("no dataset is called "), "dataset_name"),
-        )
-        .otherwise(
-            F.concat(F.lit("no instrument is called "), "instrument_name")
-        )
-        .alias("problem")
+        F.when(F.col("dataset_id").isNull(), told["dataset_name"]).otherwise(told["instrument_name"]).alias("problem")
     )
 
 
