@@ -65,10 +65,11 @@ def op6_hilbert_sharding(spark, sf_dir):
     """All documents in eight runs of the curve, by the law ``rows``."""
     # size and crc32 are taken before rows are dealt out, so that texts aren't
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", "source", "lang", sharding.text_size().alias("size"),
+        "doc_id", "source", "lang", sharding.text_size().alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    return sharding.hilbert_shards(docs, 8).select(
+    key = F.xxhash64("doc_id", "text_crc32")
+    return sharding.hilbert_shards(docs, 8, F.col("size"), key).select(
         "doc_id",
         "size",
         "text_crc32",

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from longhouse.operators.keys import PLACE, SLOT, assign_ids, with_slots
+from longhouse.session import stage
+
 #: Bits of a curve coordinate; with three dimensions the curve has 2**15 cells.
 BITS = 5
-#: Parts that the rows of a cell are dealt into, so that a cell with most rows is many tasks.
-PARTS = 256
+#: Text bytes of a run, the part of the curve that one task sorts and writes.
+RUN_BYTES = 64 << 20
 
 
 def hilbert_index(coordinates: list[F.Column], bits: int = BITS) -> F.Column:
@@ -68,10 +71,33 @@ def text_size(text: str = "text") -> F.Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def name_coordinate(column: str) -> F.Column:
-    """A name as a coordinate: the top bits of its crc32; rows of one name share it. Null is 0."""
-    crc = F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
-    return F.shiftright(crc, 32 - BITS).cast("int")
+def name_bounds(docs: DataFrame, column: str) -> list[str]:
+    """The first names of the 2**BITS ranges, even in distinct names, that a column is parted into.
+
+    With no more names than ranges every name is a range of its own. Names are compared byte by byte.
+    At most 2**BITS names come to the driver, however many there are.
+    """
+    ranges = 1 << BITS
+    names = docs.select(F.col(column).cast("string").alias("name")).where("name IS NOT NULL").distinct()
+    names = stage(names, "curve-names")
+    count = names.count()
+    if count > ranges:
+        wanted = [r * count // ranges + 1 for r in range(ranges)]
+        names = assign_ids(names, "__id", order_by=["name"], unique_order=True).where(F.col("__id").isin(wanted))
+    return sorted((r.name for r in names.select("name").collect()), key=str.encode)
+
+
+def name_coordinate(column: str, bounds: list[str]) -> F.Column:
+    """The range that a name lies in, in the order of names; ranges are spread over the coordinate.
+
+    A null name lies before all others, at 0 as the first range does.
+    """
+    if not bounds:
+        return F.lit(0)
+    ranges = F.array(*[F.lit(b) for b in bounds])
+    below = F.size(F.filter(ranges, lambda b: b <= F.col(column).cast("string")))
+    place = F.coalesce(F.greatest(below - 1, F.lit(0)), F.lit(0))
+    return F.floor(place * (1 << BITS) / len(bounds)).cast("int")
 
 
 def size_coordinate(size: F.Column) -> F.Column:
@@ -79,52 +105,70 @@ def size_coordinate(size: F.Column) -> F.Column:
     return F.least(F.floor(F.log2(size.cast("double")) * 1.5), F.lit((1 << BITS) - 1)).cast("int")
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
+def hilbert_shards(
+    docs: DataFrame,
+    shards: int = 8,
+    size: F.Column | None = None,
+    key: F.Column | None = None,
+    run_bytes: int = RUN_BYTES,
+) -> DataFrame:
     """``docs`` with the columns shard, slot and hilbert, in ``shards`` runs of the curve.
 
-    The dimensions are the size of the text, its source and its language, so each shard covers a
-    compact box of them and min/max statistics of its files prune on any of the three. Rows are
-    ranked by (curve index, hash part, doc_id) and the ranks are cut into runs whose row counts are
-    at most one apart; ``slot`` is the place in the shard, gapless from 0.
+    The dimensions are the size of the text (``size``), and the places of its source and its language
+    among the sorted names, so neighbours on the curve have neighbouring values: each file covers a
+    compact box and its min/max statistics prune on any of the three. Rows are ranked by (curve
+    index, hash) and the ranks are cut into shards whose row counts are at most one apart; ``slot``
+    is the place in the shard, gapless from 0.
 
-    The rank needs no global sort and no window over all rows: counts of (cell, part), a bounded
-    table, are summed up along the curve, and rows are numbered within their cell and part, which
-    splits a cell that holds most rows into PARTS tasks.
+    Rows are counted by cell, at most 2**15 of them; the sums along the curve tell the cell's stretch
+    of all bytes, and a hash of ``key`` (id and text) the row's place in it. So each row's task is
+    known in advance, tasks hold about ``run_bytes`` whatever one cell holds, and a row moves once. It is
+    sorted there and staged, one file a run; ranks are then the places in the files and one offset
+    for each of them. No window or join sees a row.
 
     Null sources, languages, texts and ids are values like others. Equal texts of one source and
-    language lie in one cell. Repeated rows get a slot each; equal rows are interchangeable. Fewer
+    language lie in one cell. Repeated rows get a slot each; as the number of the scan's partition goes into the
+    hash, they are many tasks, too. The place within a cell thus depends on how the input is cut. Fewer
     rows than shards leave shards empty; no rows give no rows. Input columns called shard, slot or
-    hilbert are replaced.
+    hilbert are replaced, others kept, whatever their names.
     """
     own = ("shard", "slot", "hilbert")
     columns = [c for c in docs.columns if c.lower() not in own]
-    cell = hilbert_index([size_coordinate(text_size()), name_coordinate("source"), name_coordinate("lang")])
-    part = F.pmod(F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))), F.lit(PARTS))
-    rows = docs.select(*columns, cell.alias("__cell"), part.cast("int").alias("__part"))
-    counts = rows.groupBy("__cell", "__part").agg(F.count(F.lit(1)).alias("__n"))
-    cells = counts.groupBy("__cell").agg(F.sum("__n").alias("__n"))
-    along = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cells = cells.select(
-        "__cell",
-        F.coalesce(F.sum("__n").over(along), F.lit(0)).alias("__before"),
-        F.sum("__n").over(everything).alias("__all"),
+    size = text_size() if size is None else size
+    key = F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))) if key is None else key
+    cell = hilbert_index(
+        [size_coordinate(size), *[name_coordinate(c, name_bounds(docs, c)) for c in ("source", "lang")]]
     )
-    inside = Window.partitionBy("__cell").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = docs.select(cell.alias("__cell"), size.alias("__size")).groupBy("__cell")
+    cells = stage(cells.agg(F.sum("__size").alias("__bytes"), F.count(F.lit(1)).alias("__n")), "curve-cells")
+    total = cells.agg(F.sum("__bytes").alias("bytes"), F.sum("__n").alias("n")).first()
+    n, all_bytes = total.n or 0, total.bytes or 1
+    runs = max(shards, -(-all_bytes // run_bytes))
     # at most 2**15 cells by construction
-    starts = counts.withColumn("__within", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(
-        F.broadcast(cells), "__cell"
-    )
-    starts = starts.select("__cell", "__part", (F.col("__before") + F.col("__within")).alias("__start"), "__all")
-    order = Window.partitionBy("__cell", "__part").orderBy("doc_id")
-    ranked = rows.join(starts.hint("merge"), ["__cell", "__part"]).withColumn(
-        "__rank", F.col("__start") + F.row_number().over(order) - 1
+    along = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("__cell", "__bytes", F.coalesce(F.sum("__bytes").over(along), F.lit(0)).alias("__before"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__doc"),
+        cell.alias("__cell"),
+        # 53 bits, exact in a double
+        F.shiftrightunsigned(F.xxhash64(key, F.spark_partition_id()), 11).alias("__hash"),
     )
-    shard = F.expr(f"__rank * {shards} div __all")
-    ranked = ranked.withColumn("shard", shard.cast("int"))
-    first = F.expr(f"(CAST(shard AS BIGINT) * __all + {shards - 1}) div {shards}")
+    place = F.col("__before") + F.col("__bytes") * (F.col("__hash") / float(1 << 53))
+    run = F.least(F.floor(place * runs / all_bytes), F.lit(runs - 1)).cast("int")
+    dealt = rows.join(F.broadcast(cells), "__cell").withColumn("__run", run).drop("__bytes", "__before")
+    placed = with_slots(dealt.repartitionById(runs, "__run").sortWithinPartitions("__cell", "__hash"), "curve-runs")
+    sizes = placed.groupBy(SLOT).agg(F.count(F.lit(1)).alias("__n"))
+    # one row a run
+    earlier = Window.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(SLOT, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    ranked = placed.join(F.broadcast(offsets), SLOT).withColumn("__rank", F.col("__offset") + F.col(PLACE))
+    ranked = ranked.withColumn("__shard", F.expr(f"__rank * {shards} div {max(n, 1)}"))
+    first = F.expr(f"(__shard * {n} + {shards - 1}) div {shards}")
     return ranked.select(
-        *columns, "shard", (F.col("__rank") - first).cast("long").alias("slot"), F.col("__cell").alias("hilbert")
+        *[F.col("__doc").getField(c).alias(c) for c in columns],
+        F.col("__shard").cast("int").alias("shard"),
+        (F.col("__rank") - first).cast("long").alias("slot"),
+        F.col("__cell").alias("hilbert"),
     )
 
 
@@ -132,10 +176,11 @@ def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 1_000_000)
     """Write the shards as Parquet folders, files in curve order, so that scans prune files."""
     run = F.expr(f"slot div {rows_per_file}")
     (
-        sharded.withColumn("__run", run)
-        .repartition("shard", "__run")
+        sharded.withColumn("__file", run)
+        .repartition("shard", "__file")
         .sortWithinPartitions("shard", "slot")
-        .drop("__run")
+        .drop("__file")
         .write.partitionBy("shard")
+        .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)
     )

@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,12 +87,49 @@ def test_shards_are_runs_of_the_curve(spark):
 
 
 def test_written_shards_prune(spark, tmp_path):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    sharding.write_shards(sharding.hilbert_shards(docs, 8), str(tmp_path / "out"))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("size", sharding.text_size())
+    sharding.write_shards(sharding.hilbert_shards(docs, 8), str(tmp_path / "out"), rows_per_file=16)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count()
-    # a source lies in fewer files than its rows would by chance
-    assert back.where("source = 'src0'").select("shard").distinct().count() < 8
+    # row groups whose smallest and largest value let a scan skip them, by dimension
+    groups = []
+    for path in (tmp_path / "out").rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        for g in range(meta.num_row_groups):
+            columns = (meta.row_group(g).column(c) for c in range(meta.num_columns))
+            groups.append({c.path_in_schema: (c.statistics.min, c.statistics.max) for c in columns})
+    assert len(groups) > 30
+    sizes = sorted(r["size"] for r in docs.collect())
+    wanted = {"source": "src0", "lang": "de", "size": sizes[len(sizes) // 20]}
+    for column, value in wanted.items():
+        skipped = sum(not g[column][0] <= value <= g[column][1] for g in groups)
+        assert skipped > len(groups) / 3, (column, skipped, len(groups))
+
+
+def test_names_keep_their_order_on_the_curve(spark):
+    few = spark.createDataFrame([("b",), ("é",), ("a",), (None,), ("b",)], "name string")
+    bounds = sharding.name_bounds(few, "name")
+    assert bounds == ["a", "b", "é"]
+    at = {r.name: r.at for r in few.withColumn("at", sharding.name_coordinate("name", bounds)).collect()}
+    assert at == {"a": 0, "b": 10, "é": 21, None: 0}
+    many = spark.range(1000).select(F.format_string("n%04d", "id").alias("name"))
+    bounds = sharding.name_bounds(many, "name")
+    assert len(bounds) == 32 and bounds[:2] == ["n0000", "n0031"]
+    got = many.withColumn("at", sharding.name_coordinate("name", bounds)).orderBy("name").collect()
+    assert [r["at"] for r in got] == sorted(r["at"] for r in got) and got[-1]["at"] == 31
+
+
+def test_equal_rows_are_many_tasks(spark):
+    docs = spark.range(0, 20_000, 1, 32).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.lit("s").alias("source"),
+        F.lit("en").alias("lang"), F.lit(1).alias("__run"), F.lit(2).alias("__cell"),
+    )
+    got = sharding.hilbert_shards(docs, 4, run_bytes=10_000)
+    assert got.columns == [*docs.columns, "shard", "slot", "hilbert"]
+    files = [f.removeprefix("file:") for f in got.inputFiles() if "/curve-runs" in f]
+    assert max(pq.ParquetFile(f).metadata.num_rows for f in files) < 10_000
+    slots = got.groupBy("shard").agg(F.count_distinct("slot").alias("n"), F.max("slot").alias("last")).collect()
+    assert sorted((r.shard, r.n, r.last) for r in slots) == [(s, 5000, 4999) for s in range(4)]
 
 
 # --- mixing --------------------------------------------------------------------------------------
