@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from longhouse.llm import chat, common, decontaminate, graphann, langid, mixing, ngramlm, rtreejoin, sharding, urlfilter, warc
+from longhouse.llm import (
+    chat,
+    collocations,
+    common,
+    decontaminate,
+    exactdedup,
+    graphann,
+    langid,
+    mixing,
+    ngramlm,
+    rtreejoin,
+    sharding,
+    urlfilter,
+    warc,
+    whitening,
+)
 from longhouse.llm.common import table
 from longhouse.session import fresh_dir
 
@@ -251,6 +266,66 @@ def op9_count_vector_rtree(spark, sf_dir):
     return rtreejoin.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+# --- exact duplicates --------------------------------------------------------------------------
+
+
+@query(
+    """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+      doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256 FROM t WINDOW same AS (PARTITION BY text)
+    """
+)
+def op11_salted_combining(spark, sf_dir):
+    """Every document with the row of its text that stays."""
+    found = exactdedup.duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+# --- collocations ------------------------------------------------------------------------------
+
+
+@query(
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+    all_grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+      FROM words, range(1, 6) AS t(k) WHERE len(w) >= k),
+    grams AS (SELECT lang, k, g, array_to_string(g, ' ') AS phrase, count(*) AS f FROM all_grams GROUP BY ALL
+      HAVING count(*) >= 100),
+    cuts AS (SELECT lang, k, g, phrase, f, c FROM grams, range(1, 5) AS t(c) WHERE c < k),
+    scored AS (
+      SELECT x.lang, x.phrase, x.f AS a, y.f AS l, z.f AS r, n, c,
+        (1000 * x.f::HUGEINT * n::HUGEINT) // (y.f::HUGEINT * z.f::HUGEINT) AS score
+      FROM cuts x JOIN grams y ON y.lang = x.lang AND y.phrase = array_to_string(x.g[1:c], ' ')
+      JOIN grams z ON z.lang = x.lang AND z.phrase = array_to_string(x.g[c + 1:], ' ') JOIN totals t ON t.lang = x.lang),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inner_ AS (SELECT lang, f, array_to_string(g[i:i + m - 1], ' ') AS phrase
+      FROM grams, range(2, 5) AS s(m), range(1, 5) AS t(i) WHERE m < k AND i <= k - m + 1),
+    longer AS (SELECT lang, phrase, max(f) AS most FROM inner_ GROUP BY ALL),
+    free AS (SELECT b.* FROM best b LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+      a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM free QUALIFY rank <= 2000
+    """
+)
+def op12_hat_trie_collocations(spark, sf_dir):
+    """The best 2000 phrases of each language of all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+# --- whitening ---------------------------------------------------------------------------------
+
+
+@query()
+def op13_spectrum_slicing(spark, sf_dir):
+    """Every embedding on the eight leading components."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 
