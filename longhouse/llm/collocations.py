@@ -192,24 +192,29 @@ def _passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """Word to number in a task; nought is the end of a piece, or a word that no frequent phrase holds."""
+    """Word to number in a task; nought is the end of a piece."""
 
     def __init__(self, lang: bytes, filter_: np.ndarray | None):
         super().__init__()
-        self.lang, self.filter = lang, filter_
+        self.seed, self.filter = xxhash.xxh32_intdigest(lang), filter_
         self.names, self.hashes = [b""], [0]
+        self.fine = np.zeros(1, bool)
         self[_BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
-        h = _word_hash(self.lang, word)
-        if self.filter is not None and not _passes(self.filter, np.array([h], np.uint64))[0]:
-            self[word] = 0
-            return 0
         self[word] = number = len(self.names)
         self.names.append(word)
-        self.hashes.append(h)
+        self.hashes.append(xxhash.xxh64_intdigest(word, seed=self.seed))
         return number
 
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        """The tokens' numbers; a word that no frequent phrase holds ends a piece, too."""
+        ids = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        fresh = np.array(self.hashes[len(self.fine) :], np.uint64)
+        passed = np.ones(len(fresh), bool) if self.filter is None else _passes(self.filter, fresh)
+        self.fine = np.append(self.fine, passed)
+        return np.where(self.fine[ids], ids, np.uint64(0))
+
     def spell(self, phrase: bytes) -> bytes:
         return b" ".join([self.names[i] for i in memoryview(phrase).cast("I")])
 
@@ -232,7 +237,7 @@ class Counter:
         data = _BREAK.join(self.waiting).lower().translate(_FOLD).replace(_BREAK, b" . ")
         self.waiting, self.size = [], 0
         tokens = data.split()
-        ids = np.fromiter(map(self.words.__getitem__, tokens), np.uint64, len(tokens))
+        ids = self.words.numbers(tokens)
         del data, tokens
         self._count(ids)
         if len(self.trie) > ENTRIES:
@@ -283,15 +288,16 @@ class Counter:
             self.trie.add(packed.view(f"V{4 * packed.shape[1]}").ravel().tolist(), counts.tolist())
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Sorted runs: a subtree's phrases in words, in their order."""
-        for subtree in self.trie.cut(keep):
-            run = sorted((self.words.spell(phrase), n) for phrase, n in subtree)
-            phrases, counts = zip(*run)
-            langs = pa.DictionaryArray.from_arrays(pa.array([0] * len(run), pa.int32()), pa.array([self.lang], pa.binary()))
-            yield pa.RecordBatch.from_arrays(
-                [langs.cast(pa.binary()), pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())],
-                ["lang", "phrase", "n"],
-            )
+        """A sorted run: the phrases of the subtrees that are cut, in words, in their order."""
+        run = sorted((self.words.spell(phrase), n) for subtree in self.trie.cut(keep) for phrase, n in subtree)
+        if not run:
+            return
+        phrases, counts = zip(*run)
+        langs = pa.DictionaryArray.from_arrays(pa.array([0] * len(run), pa.int32()), pa.array([self.lang], pa.binary()))
+        yield pa.RecordBatch.from_arrays(
+            [langs.cast(pa.binary()), pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())],
+            ["lang", "phrase", "n"],
+        )
 
     def close(self) -> Iterator[pa.RecordBatch]:
         yield from self.flush()
