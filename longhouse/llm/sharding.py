@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,11 @@ from longhouse.session import stage
 
 #: Bits of a curve coordinate; with three dimensions the curve has 2**15 cells.
 BITS = 5
-#: Text bytes of a run, the part of the curve that one task sorts and writes.
-RUN_BYTES = 64 << 20
+#: Text bytes of a run, the part of the curve that one task sorts and writes, are what the session
+#: advises for a partition.
+RUN_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: Spark writes a size as bytes or with the first letter of a unit.
+UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
 def hilbert_index(coordinates: list[F.Column], bits: int = BITS) -> F.Column:
@@ -105,12 +110,17 @@ def size_coordinate(size: F.Column) -> F.Column:
     return F.least(F.floor(F.log2(size.cast("double")) * 1.5), F.lit((1 << BITS) - 1)).cast("int")
 
 
+def _bytes(size: str) -> int:
+    digits, unit = re.fullmatch(r"(\d+)([bkmgt]?)b?", size.strip().lower()).groups()
+    return int(digits) * UNITS[unit or "b"]
+
+
 def hilbert_shards(
     docs: DataFrame,
     shards: int = 8,
     size: F.Column | None = None,
     key: F.Column | None = None,
-    run_bytes: int = RUN_BYTES,
+    run_bytes: int | None = None,
 ) -> DataFrame:
     """``docs`` with the columns shard, slot and hilbert, in ``shards`` runs of the curve.
 
@@ -143,6 +153,7 @@ def hilbert_shards(
     cells = stage(cells.agg(F.sum("__size").alias("__bytes"), F.count(F.lit(1)).alias("__n")), "curve-cells")
     total = cells.agg(F.sum("__bytes").alias("bytes"), F.sum("__n").alias("n")).first()
     n, all_bytes = total.n or 0, total.bytes or 1
+    run_bytes = run_bytes or _bytes(docs.sparkSession.conf.get(RUN_BYTES))
     runs = max(shards, -(-all_bytes // run_bytes))
     # at most 2**15 cells by construction
     along = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
