@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,23 +11,75 @@ from pyspark.sql import types as T
 
 from longhouse import schemas as S
 from longhouse.config import CsvFormat
-
+from longhouse.sources.ranges import range_states, records
 
 TIMESTAMP_TYPE = "spark.sql.timestampType"
+ZONED = r"(?i)\d\s*(Z|UTC|GMT|[a-z]+/[a-z_]+)\s*$|:\d\d(\.\d+)?\s*[+-]\d\d(:?\d\d)?\s*$"  # a time that ends with a zone
 
 
 def _decimal_pattern(mark: str) -> str:
     return rf"^\s*[+-]?\d*\Q{mark}\E?\d+\s*$"
 
 
+def _options(fmt: CsvFormat) -> dict[str, str]:
+    return {"sep": fmt.delim, "quote": fmt.quote, "escape": fmt.quote, "dateFormat": fmt.date_format}
+
+
 def _reader(spark: SparkSession, fmt: CsvFormat):
-    return (
-        spark.read.option("header", True)
-        .option("sep", fmt.delim)
-        .option("quote", fmt.quote)
-        .option("escape", fmt.quote)
-        .option("dateFormat", fmt.date_format)
-    )
+    return spark.read.options(**_options(fmt)).option("header", True)
+
+
+def _in_ranges(spark: SparkSession, path: str, fmt: CsvFormat, whole_up_to: int | None) -> bool:
+    """Whether cells may hold line breaks in files of several splits."""
+    if not fmt.multiline or not fmt.quote:
+        return False
+    if whole_up_to is None:
+        whole_up_to = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(target) or ()
+    return sum(fs.getContentSummary(f.getPath()).getLength() for f in found) > whole_up_to
+
+
+def _ddl(names: Sequence[str], kinds: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` {k}" for n, k in zip(names, kinds))
+
+
+def _inferred(spark: SparkSession, read: Callable[[SparkSession], DataFrame]) -> T.StructType:
+    """The schema that ``read`` infers where times have no zone.
+
+    That is a setting of a session, so a session of its own infers and this one keeps its setting.
+    """
+    own = spark.newSession()
+    own.conf.set(TIMESTAMP_TYPE, "TIMESTAMP_NTZ")
+    return read(own).schema
+
+
+def _parsed(spark: SparkSession, path: str, fmt: CsvFormat, infer: bool) -> DataFrame:
+    """A file that is read in ranges, cells as text or of the types inferred."""
+    names = _reader(spark, fmt).option("multiLine", True).csv(path).columns  # reads one record
+    texts = records(spark, path, fmt.delim, fmt.quote, range_states(spark, path, fmt.delim, fmt.quote))
+
+    def cells(kinds: Sequence[str]) -> DataFrame:
+        # a generator parses a record once, whatever becomes of its columns
+        return texts.select(F.inline(F.array(F.from_csv("value", _ddl(names, kinds), _options(fmt)))))
+
+    kinds = ["STRING"] * len(names)
+    if infer:
+        lines = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        reader = _reader(spark, fmt).option("header", False).option("inferSchema", True)
+        found = T.StructType.fromJson(json.loads(reader._jreader.csv(lines).schema().json())).fields
+        for k, field in enumerate(found[: len(names)]):
+            kinds[k] = field.dataType.simpleString()
+        times = [n for n, k in zip(names, kinds) if k.startswith("timestamp")]
+        if times:
+            # a time with a zone anywhere makes the column one of instants
+            plain = ["TIMESTAMP_NTZ" if n in times else k for n, k in zip(names, kinds)]
+            zoned = cells(["STRING"] * len(names)).select(
+                *[F.bool_or(F.col(f"`{n}`").rlike(ZONED)).alias(str(k)) for k, n in enumerate(times)]
+            ).first()
+            kinds = [k if n in times and zoned[str(times.index(n))] else p for n, k, p in zip(names, kinds, plain)]
+    return cells(kinds)
 
 
 def read_csv(
@@ -34,31 +87,37 @@ def read_csv(
     path: str,
     fmt: CsvFormat = CsvFormat(),
     types: Mapping[str, int] | None = None,
+    whole_up_to: int | None = None,
 ) -> DataFrame:
     """A file with a header row (operator A-1).
 
     Cells in quotes may hold line breaks unless the format says that every record is one line; then
-    a file is read in many tasks, and a row with another number of cells is an error. Times are
-    taken as they stand, whatever the zone of the session.
+    a row with another number of cells is an error. Files are read by as many tasks as they have splits; those
+    with line breaks are cut into records in ranges (see ``ranges``) if they have more than
+    ``whole_up_to`` bytes together, a split's by default, and by a task each below that. Times are taken as
+    they stand, whatever the zone of the session.
 
     Types are inferred from the data, which costs a pass of its own. ``types`` (column name to
     declared value type) saves that pass on volume loads: cells are then converted as declared,
     and text that does not fit its type is an error.
     """
-    reader = _reader(spark, fmt).option("multiLine", fmt.multiline)
-    if not fmt.multiline:
-        reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
+    ranged = _in_ranges(spark, path, fmt, whole_up_to)
+
+    def reader(session: SparkSession):
+        if fmt.multiline:
+            return _reader(session, fmt).option("multiLine", True)
+        return _reader(session, fmt).option("mode", "FAILFAST").option("enforceSchema", False)
+
     if types is not None:
-        raw = reader.csv(path)
+        raw = _parsed(spark, path, fmt, infer=False) if ranged else reader(spark).csv(path)
         return raw.select(
             *[_declared(raw, c, types.get(c, S.STRING), fmt).alias(c) for c in raw.columns]
         )
-    zone = spark.conf.get(TIMESTAMP_TYPE)
-    spark.conf.set(TIMESTAMP_TYPE, "TIMESTAMP_NTZ")  # types are inferred here and now
-    try:
-        df = reader.option("inferSchema", True).csv(path)
-    finally:
-        spark.conf.set(TIMESTAMP_TYPE, zone)
+    if ranged:
+        df = _parsed(spark, path, fmt, infer=True)
+    else:
+        schema = _inferred(spark, lambda session: reader(session).option("inferSchema", True).csv(path))
+        df = reader(spark).schema(schema).csv(path)
     return df if fmt.decimal == "." else _decimal_columns(df, fmt.decimal)
 
 
@@ -123,10 +182,11 @@ def write_csv(df: DataFrame, path: str, fmt: CsvFormat = CsvFormat(), compress:
     return path
 
 
-def reexport(spark: SparkSession, path: str, target: str, delim: str = ";") -> str:
+def reexport(
+    spark: SparkSession, path: str, target: str, delim: str = ";", whole_up_to: int | None = None
+) -> str:
     """A comma-separated file once more with another delimiter, as text (operator B-10).
 
-    Parts are read with line breaks inside quotes allowed and cells are passed on unchanged.
+    Cells, line breaks in quotes too, are passed on unchanged; files are read as by ``read_csv``.
     """
-    df = _reader(spark, CsvFormat()).option("multiLine", True).csv(path)
-    return write_csv(df, target, CsvFormat(delim=delim))
+    return write_csv(read_csv(spark, path, types={}, whole_up_to=whole_up_to), target, CsvFormat(delim=delim))
