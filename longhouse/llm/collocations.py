@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from longhouse.llm.ngramlm import pack, unpack
 from longhouse.session import stage
 
 #: Longest phrase, least count of a phrase, phrases a language returns.
@@ -18,8 +21,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 BURST, DEPTH = 2048, 2
 #: Entries and different words that a task holds; beyond it the largest subtrees are spilled.
 ENTRIES, WORDS = 400_000, 400_000
-#: Bytes of text that are counted at once.
-CHUNK = 1 << 21
+#: Bytes of text that are counted at once, and phrases of runs that are merged at once.
+CHUNK, MERGE = 1 << 21, 1 << 20
 #: Bits of the filter of frequent shorter phrases that is broadcast, for each phrase and at most.
 FILTER_BITS, MOST_BITS = 16, 1 << 27
 NO_LANGUAGE = "und"
@@ -44,9 +47,9 @@ class Container:
     def __len__(self):
         return len(self.counts)
 
-    def items(self, prefix: bytes) -> Iterator[tuple[bytes, int]]:
-        for rest, n in self.counts.items():
-            yield prefix + rest, n
+    def collect(self, prefix: bytes, phrases: list[bytes], counts: list[int]) -> None:
+        phrases += [prefix + rest for rest in self.counts] if prefix else self.counts
+        counts += self.counts.values()
 
 
 class Branch:
@@ -61,53 +64,63 @@ class Branch:
     def __len__(self):
         return self.size
 
-    def items(self, prefix: bytes) -> Iterator[tuple[bytes, int]]:
+    def collect(self, prefix: bytes, phrases: list[bytes], counts: list[int]) -> None:
         if self.own:
-            yield prefix, self.own
+            phrases.append(prefix)
+            counts.append(self.own)
         for word, child in self.children.items():
-            yield from child.items(prefix + word)
+            child.collect(prefix + word, phrases, counts)
 
 
 class HatTrie:
     """Counts of phrases, given as bytes with four for each word's id.
 
-    The root branches by first word. A child is a container until it bursts; then it is a branch whose
-    children are containers again, to ``DEPTH`` words. Below it stay hash tables, however large.
+    All begins in one container. One that has more than ``burst`` entries bursts into a branch whose
+    children are containers again, one for each next word, down to ``depth`` words. Below it stay hash tables,
+    however large.
     """
 
-    def __init__(self, burst: int = BURST, depth: int = DEPTH):
-        self.root = Branch()
+    def __init__(self, burst: int, depth: int):
+        self.root: Container | Branch = Container()
         self.burst, self.depth = burst, depth
 
     def __len__(self):
-        return self.root.size
+        return len(self.root)
 
     def add(self, phrases: list[bytes], counts: list[int]) -> None:
+        """Add counts; phrases that begin alike should follow each other."""
+        path, node, depth, begin = [], self.root, 0, b""
         for phrase, n in zip(phrases, counts):
-            node, at, path = self.root, 0, []
-            while type(node) is Branch:
-                path.append(node)
-                if at == len(phrase):
-                    break
-                word = phrase[at : at + 4]
-                at += 4
-                child = node.children.get(word)
-                if child is None:
-                    child = node.children[word] = Container()
-                parent, node = node, child
+            if not (depth and phrase.startswith(begin)) or type(node) is Branch:
+                path, node, depth = [], self.root, 0
+                while type(node) is Branch and 4 * depth < len(phrase):
+                    path.append(node)
+                    word = phrase[4 * depth : 4 * depth + 4]
+                    depth += 1
+                    child = node.children.get(word)
+                    if child is None:
+                        child = node.children[word] = Container()
+                    node = child
+                begin = phrase[: 4 * depth]
             if type(node) is Branch:
                 fresh = not node.own
                 node.own += n
+                node.size += fresh
             else:
-                rest, table = phrase[at:], node.counts
+                rest, table = phrase[4 * depth :], node.counts
                 before = table.get(rest)
                 fresh = before is None
                 table[rest] = n if fresh else before + n
-                if len(table) > self.burst and at < 4 * self.depth:
-                    parent.children[word] = self._burst(node)
             if fresh:
                 for branch in path:
                     branch.size += 1
+                if type(node) is Container and len(table) > self.burst and depth < self.depth:
+                    whole = self._burst(node)
+                    if path:
+                        path[-1].children[begin[-4:]] = whole
+                    else:
+                        self.root = whole
+                    depth = 0  # the next phrase goes down anew
 
     @staticmethod
     def _burst(full: Container) -> Branch:
@@ -123,14 +136,22 @@ class HatTrie:
             child.counts[rest[4:]] = n
         return branch
 
-    def cut(self, keep: int) -> Iterator[list[tuple[bytes, int]]]:
-        """Take the largest subtrees off the root until no more than ``keep`` entries are left."""
+    def cut(self, keep: int) -> tuple[list[bytes], list[int]]:
+        """Take whole subtrees off the root, the largest first, until no more than ``keep`` entries are left."""
+        phrases: list[bytes] = []
+        counts: list[int] = []
+        if type(self.root) is Container:
+            if len(self) > keep:
+                self.root.collect(b"", phrases, counts)
+                self.root = Container()
+            return phrases, counts
         for word, child in sorted(self.root.children.items(), key=lambda c: -len(c[1])):
             if len(self) <= keep:
-                return
+                break
+            child.collect(word, phrases, counts)
             del self.root.children[word]
             self.root.size -= len(child)
-            yield list(child.items(word))
+        return phrases, counts
 
 
 # --- filters of frequent phrases ---------------------------------------------------------------
@@ -215,16 +236,35 @@ class Words(dict):
         self.fine = np.append(self.fine, passed)
         return np.where(self.fine[ids], ids, np.uint64(0))
 
-    def spell(self, phrase: bytes) -> bytes:
-        return b" ".join([self.names[i] for i in memoryview(phrase).cast("I")])
+
+RUN = pa.schema(
+    [("part", pa.int32()), ("lang", pa.binary()), ("lengths", pa.binary()), ("phrases", pa.binary()), ("counts", pa.binary())]
+)
+
+
+def write_run(part: int, lang: bytes, phrases: pa.Array, counts: np.ndarray) -> list:
+    """A sorted run as a row: lengths, the phrases' bytes and counts, each compressed."""
+    ends = np.frombuffer(phrases.buffers()[1], np.int32)[phrases.offset : phrases.offset + len(phrases) + 1]
+    text = phrases.buffers()[2][int(ends[0]) : int(ends[-1])]
+    small = zstandard.ZstdCompressor(level=1).compress(text)
+    return [part, lang, pack(np.diff(ends).astype(np.uint32)), small, pack(counts.astype(np.uint64))]
+
+
+def read_run(lengths: bytes, phrases: bytes, counts: bytes) -> pa.Table:
+    ends = np.concatenate([[0], np.cumsum(unpack(lengths), dtype=np.int64)])
+    text = pa.py_buffer(zstandard.ZstdDecompressor().decompress(phrases))
+    column = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), text])
+    return pa.table({"phrase": column, "n": pa.array(unpack(counts).astype(np.int64))})
 
 
 class Counter:
     """The n-grams of one language in one task: a trie, the words it speaks of, and what it spills."""
 
-    def __init__(self, lang: bytes, orders: tuple[int, ...], words: np.ndarray | None, pairs: np.ndarray | None):
-        self.lang, self.orders, self.word_filter, self.pair_filter = lang, orders, words, pairs
-        self.words, self.trie = Words(lang, words), HatTrie()
+    def __init__(
+        self, lang: bytes, orders: tuple[int, ...], parts: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None
+    ):
+        self.lang, self.orders, self.parts, self.word_filter, self.pair_filter = lang, orders, parts, words, pairs
+        self.words, self.trie = Words(lang, words), HatTrie(BURST, min(DEPTH, max(orders) - 1))
         self.waiting, self.size = [], 0
 
     def text(self, data: bytes) -> Iterator[pa.RecordBatch]:
@@ -288,16 +328,28 @@ class Counter:
             self.trie.add(packed.view(f"V{4 * packed.shape[1]}").ravel().tolist(), counts.tolist())
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """A sorted run: the phrases of the subtrees that are cut, in words, in their order."""
-        run = sorted((self.words.spell(phrase), n) for subtree in self.trie.cut(keep) for phrase, n in subtree)
-        if not run:
+        """What is cut, as a sorted run for each prefix partition: the phrases spelled, in their order."""
+        phrases, counts = self.trie.cut(keep)
+        if not phrases:
             return
-        phrases, counts = zip(*run)
-        langs = pa.DictionaryArray.from_arrays(pa.array([0] * len(run), pa.int32()), pa.array([self.lang], pa.binary()))
-        yield pa.RecordBatch.from_arrays(
-            [langs.cast(pa.binary()), pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())],
-            ["lang", "phrase", "n"],
-        )
+        names, hashes = pa.array(self.words.names, pa.binary()), np.array(self.words.hashes, np.uint64)
+        rank = np.empty(len(names), np.int64)
+        rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+        sizes, counts = np.fromiter(map(len, phrases), np.int64, len(phrases)), np.array(counts, np.int64)
+        rows = []
+        for size in np.unique(sizes).tolist():
+            own = phrases if size == sizes[0] and (sizes == size).all() else [p for p in phrases if len(p) == size]
+            ids = np.frombuffer(b"".join(own), np.uint32).reshape(len(own), -1)
+            first = hashes[ids[:, 0]]
+            prefix = first if ids.shape[1] == 1 else _pair_hash(first, hashes[ids[:, 1]])
+            part = (prefix % np.uint64(self.parts)).astype(np.int64)
+            order = np.lexsort((*(rank[c] for c in ids.T[::-1]), part))
+            ids, part, count = ids[order], part[order], counts[sizes == size][order]
+            spelled = pc.binary_join_element_wise(*(names.take(pa.array(c)) for c in ids.T), b" ")
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            for start, stop in zip(cuts, [*cuts[1:], len(part)]):
+                rows.append(write_run(int(part[start]), self.lang, spelled.slice(start, stop - start), count[start:stop]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), RUN)], schema=RUN)
 
     def close(self) -> Iterator[pa.RecordBatch]:
         yield from self.flush()
@@ -307,17 +359,20 @@ class Counter:
 def count_phrases(
     texts: DataFrame,
     orders: tuple[int, ...],
+    least: int,
     words: np.ndarray | None = None,
     pairs: np.ndarray | None = None,
 ) -> DataFrame:
-    """(lang, phrase, n): occurrences of the phrases of ``orders`` words in ``texts`` (lang, text).
+    """(lang, phrase, n): phrases of ``orders`` words that occur ``least`` times and more in ``texts`` (lang, text).
 
-    ``words`` and ``pairs`` are filters of what is frequent: phrases with another word, or of three words and
+    Rows with a null phrase sum up all occurrences, of rarer phrases, too. ``words`` and ``pairs`` are filters of what is
+    frequent: phrases with another word, or of three words and
     more with another pair, are left out; others are counted in full. Tasks count in tries and spill
-    sorted runs; those of one prefix, the first two words, meet in one task and are summed.
+    sorted runs; those of one prefix, the first two words, meet in one partition and are merged.
     """
-    context = texts.sparkSession.sparkContext
-    filters = context.broadcast((words, pairs))
+    spark = texts.sparkSession
+    filters = spark.sparkContext.broadcast((words, pairs))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[bytes, Counter] = {}
@@ -328,17 +383,39 @@ def count_phrases(
                 if counter is None:
                     if len(counters) >= 64:  # many languages: the first makes room
                         yield from counters.pop(next(iter(counters))).close()
-                    counter = counters[lang] = Counter(lang, orders, *filters.value)
+                    counter = counters[lang] = Counter(lang, orders, parts, *filters.value)
                 yield from counter.text(text.as_py())
         for counter in counters.values():
             yield from counter.close()
 
-    runs = texts.mapInArrow(count, "lang binary, phrase binary, n long")
-    runs = runs.select(F.col("lang").cast("string"), F.col("phrase").cast("string"), "n")
-    prefix = F.xxhash64("lang", F.substring_index("phrase", " ", 2)).alias("prefix")
-    # the prefix alone deals runs out, so a prefix is summed where it arrives
-    dealt = runs.select(prefix, "lang", "phrase", "n").repartition("prefix")
-    return dealt.groupBy("prefix", "lang", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, list[pa.Table]] = {}
+        waiting: dict[bytes, int] = {}
+
+        def summed(lang: bytes) -> pa.Table:
+            whole = pa.concat_tables(held[lang]).group_by("phrase").aggregate([("n", "sum")])
+            return whole.rename_columns({"n_sum": "n"}).select(["phrase", "n"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                lang, run = row["lang"], read_run(row["lengths"], row["phrases"], row["counts"])
+                held.setdefault(lang, []).append(run)
+                waiting[lang] = waiting.get(lang, 0) + len(run)
+                if waiting[lang] > 2 * len(held[lang][0]) + MERGE:
+                    held[lang], waiting[lang] = [summed(lang)], 0
+        for lang in held:
+            whole = summed(lang)
+            often = whole.filter(pc.greater_equal(whole["n"], least))
+            total = pc.sum(whole["n"]).as_py()
+            phrases = [*often["phrase"].to_pylist(), None]
+            langs = pa.array([lang] * len(phrases), pa.binary())
+            counts = pa.array([*often["n"].to_pylist(), total], pa.int64())
+            yield pa.RecordBatch.from_arrays([langs, pa.array(phrases, pa.binary()), counts], ["lang", "phrase", "n"])
+
+    kinds = {pa.int32(): "int", pa.binary(): "binary"}
+    runs = texts.mapInArrow(count, ", ".join(f"{f.name} {kinds[f.type]}" for f in RUN))
+    merged = runs.repartitionById(parts, F.col("part")).mapInArrow(merge, "lang binary, phrase binary, n long")
+    return merged.select(F.col("lang").cast("string"), F.col("phrase").cast("string"), "n")
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -354,17 +431,17 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     than a part of it, so nothing frequent is lost.
     """
     texts = texts_of(docs)
-    words = stage(count_phrases(texts, (1,)), "words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    found = words.where(F.col("n") >= least)
+    words = stage(count_phrases(texts, (1,), least), "words")
+    totals = words.where("phrase IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    found = words.where("phrase IS NOT NULL")
     if longest > 1:
         fine = frequent_filter(found)
-        pairs = stage(count_phrases(texts, (2,), fine).where(F.col("n") >= least), "pairs")
+        pairs = stage(count_phrases(texts, (2,), least, fine).where("phrase IS NOT NULL"), "pairs")
         found = found.unionByName(pairs)
     if longest > 2:
         orders = tuple(range(3, longest + 1))
-        more = count_phrases(texts, orders, fine, frequent_filter(pairs)).where(F.col("n") >= least)
-        found = found.unionByName(stage(more, "phrases"))
+        more = count_phrases(texts, orders, least, fine, frequent_filter(pairs))
+        found = found.unionByName(stage(more.where("phrase IS NOT NULL"), "phrases"))
     return found, totals
 
 

@@ -128,25 +128,47 @@ def test_phrases_equal_brute_force(spark, monkeypatch, small):
 
 def test_trie_bursts_and_is_cut_by_subtrees():
     draw = random.Random(3)
-    trie, want = collocations.HatTrie(burst=3), collections.Counter()
-    for _ in range(3000):
-        phrase = b"".join(draw.randrange(1, 6).to_bytes(4, "little") for _ in range(draw.randrange(1, 6)))
-        n = draw.randrange(1, 9)
-        trie.add([phrase], [n])
-        want[phrase] += n
+    trie, want = collocations.HatTrie(burst=3, depth=2), collections.Counter()
+    for _ in range(300):
+        batch = []
+        for _ in range(10):
+            phrase = b"".join(draw.randrange(1, 6).to_bytes(4, "little") for _ in range(draw.randrange(1, 6)))
+            batch.append((phrase, draw.randrange(1, 9)))
+        batch = sorted(batch) if draw.random() < 0.5 else batch
+        trie.add(*map(list, zip(*batch)))
+        for phrase, n in batch:
+            want[phrase] += n
     assert len(trie) == len(want)
-    depth = 0
-    node = trie.root
+    depth, node = 0, trie.root
     while isinstance(node, collocations.Branch):
         node, depth = max(node.children.values(), key=len), depth + 1
-    assert depth == collocations.DEPTH
-    got, taken = collections.Counter(), list(trie.cut(len(want) // 2))
-    assert len(trie) <= len(want) // 2 and taken
-    for subtree in taken:
-        assert len({phrase[:4] for phrase, _ in subtree}) == 1  # whole, of one first word
-    for subtree in [*taken, *trie.cut(0)]:
-        got.update(dict(subtree))
-    assert got == want and len(trie) == 0
+    assert depth == 2
+    got, (phrases, counts) = collections.Counter(), trie.cut(len(want) // 2)
+    assert len(trie) <= len(want) // 2 and phrases
+    left = trie.cut(0)
+    assert len(trie) == 0 and not {p[:4] for p in phrases} & {p[:4] for p in left[0]}  # whole subtrees
+    for part in ((phrases, counts), left):
+        assert len(part[0]) == len(set(part[0]))
+        got.update(dict(zip(*part)))
+    assert got == want
+
+
+def test_runs_are_sorted_and_read_back():
+    counter = collocations.Counter(b"en", (1, 2, 3), 4, None, np.full(16, 2**64 - 1, np.uint64))
+    words = [f"w{i % 37}é" for i in range(500)]
+    assert list(counter.text(" ".join(words).encode())) == []
+    want, seen, parts = collections.Counter(), collections.Counter(), {}
+    for k in (1, 2, 3):
+        want.update(" ".join(words[i : i + k]).encode() for i in range(len(words) - k + 1))
+    for batch in counter.close():
+        for row in batch.to_pylist():
+            run = collocations.read_run(row["lengths"], row["phrases"], row["counts"]).to_pylist()
+            # in the order of words, so that what begins alike lies together
+            assert [r["phrase"].split() for r in run] == sorted(r["phrase"].split() for r in run)
+            seen.update({r["phrase"]: r["n"] for r in run})
+            for r in run:
+                assert parts.setdefault(tuple(r["phrase"].split()[:2]), row["part"]) == row["part"]
+    assert seen == want
 
 
 def test_products_beyond_64_bits(spark, monkeypatch):
