@@ -968,6 +968,31 @@ def integrity_null(spark, sf_dir):
     return checks.null_counts(orders, ["o_orderstatus", "o_orderkey"])
 
 
+@query(
+    """
+    SELECT 'data: variable ' || v || ' of dataset 1 lacks cells or has some twice' AS problem FROM (VALUES (1), (2), (3)) AS t(v)
+    UNION ALL SELECT 'data: variable 9 is not one of dataset 1'
+    """
+)
+def integrity_broken_cells(spark, sf_dir):
+    """Cells of orders of which some are there twice and as many missing, one variable has none, one is not known."""
+    orders, variables = delivered_orders(spark, sf_dir)
+    orders = orders.withColumn("row_id", F.col("row_id") + 1)
+    ids = orders.select("row_id").withColumn("dataset_id", F.lit(1).cast("long"))
+    # of every five rows in a row: the first, thrice the third, the fifth; the first, twice the second, twice the fifth
+    place = F.pmod(F.col("row_id") - 1, F.lit(5))
+    moved = {1: [0, 1, 0, -1, 0], 2: [0, 0, -1, 1, 0]}
+    cells = reshape.unpivot_text(orders, variables).withColumn("dataset_id", F.lit(1).cast("long"))
+    whole = F.floor(orders.agg(F.count("row_id")).scalar() / 5) * 5
+    for variable, steps in moved.items():
+        step = F.element_at(F.array(*[F.lit(s) for s in steps]), (place + 1).cast("int"))
+        mine = (F.col("variable_id") == variable) & (F.col("row_id") <= whole)
+        cells = cells.withColumn("row_id", F.col("row_id") + F.when(mine, step).otherwise(0))
+    cells = cells.where("variable_id <> 3").withColumn("variable_id", F.when(F.col("variable_id") == 4, 9).otherwise(F.col("variable_id")).cast("long"))
+    known = spark.createDataFrame([(1, v.variable_id) for v in variables if v.variable_id != 4], "dataset_id long, variable_id long")
+    return checks.cell_problems("data", cells, ids, known)
+
+
 @query(
     """SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus, o_totalprice, o_orderdate,
     o_orderpriority FROM orders"""
@@ -988,6 +1013,14 @@ def delimited_reexport(spark, sf_dir):
     return delimited.read_csv(spark, second, CsvFormat(delim=";"), types=types)
 
 
+@query("SELECT doc_id, '  ' || text || ' ' AS text, lang, source, n_chars FROM documents")
+def csv_quoted_breaks(spark, sf_dir):
+    """Texts with line breaks in quoted cells, read by as many tasks as the files have splits."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", padded("text"))
+    path = delimited.write_csv(docs, fresh_dir(spark, "csv"))
+    return delimited.read_csv(spark, path, types={"doc_id": S.INTEGER, "n_chars": S.INTEGER}, whole_up_to=0)
+
+
 @query("SELECT * FROM lineitem")
 def arrow_roundtrip(spark, sf_dir):
     path = arrow_ipc.write_arrow(table(spark, sf_dir, "lineitem"), fresh_dir(spark, "arrow"))
@@ -1282,6 +1315,75 @@ def archive_derived(spark, sf_dir):
     return export.dataset_to_typed(archive, 3).drop("row_id").withColumn("made_from", inputs.scalar())
 
 
+@query(
+    """
+    SELECT value_type, CAST(k AS BIGINT) AS variables, CAST(n * k AS BIGINT) AS cells FROM (SELECT count(*) AS n FROM orders),
+      (VALUES ('Integer', 2), ('Float', 1), ('Date', 1), ('Categorical', 1), ('String', 1), ('Datetime', 0), ('Time', 0)) AS t(value_type, k)
+    """
+)
+def archive_seeded_types(spark, sf_dir):
+    """How many variables and cells of the stored orders have each of the value types that an archive begins with."""
+    archive = study_archive(spark, sf_dir)
+    members = archive.table("dataset_variables").where("dataset_id = 2").join(archive.table("variables"), "variable_id")
+    cells = export.dataset_cells(archive, 2, typed=True).groupBy("variable_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = members.join(cells, "variable_id").groupBy("value_type_id").agg(
+        F.count(F.lit(1)).alias("variables"), F.sum("n").alias("cells")
+    )
+    types = archive.table("value_types").join(counted, "value_type_id", "left")
+    return types.select("value_type", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("variables", "cells")])
+
+
+@query(
+    """
+    SELECT name, n, DATE '2024-02-03' AS made, DATE '2024-02-03' AS received, DATE '2024-02-03' AS transformed FROM (
+      SELECT 'documents.csv' AS name, count(*) AS n FROM documents UNION ALL SELECT 'orders.csv', count(*) FROM orders)
+    """
+)
+def archive_dates(spark, sf_dir):
+    """The dates that datasets, ingestions and transformations were stamped with."""
+    archive = study_archive(spark, sf_dir)
+    counts = archive.table("datarows").groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
+    stamped = archive.table("ingest_datasets").where("dataset_id < 3")
+    stamped = stamped.join(archive.table("data_ingestions").drop("description"), "data_ingestion_id")
+    stamped = stamped.join(archive.table("transformations").withColumnRenamed("date_created", "transformed").drop("description"), "transformation_id")
+    return stamped.join(archive.table("datasets"), "dataset_id").join(counts, "dataset_id").select(
+        "name", "n", F.col("date_created").alias("made"), F.col("date_received").alias("received"), "transformed"
+    )
+
+
+@query(
+    """
+    SELECT 'dictionary lacks columns: Note, Vocabulary' AS problem, count(*) AS entries FROM part
+    UNION ALL SELECT 'none', count(*) FROM part
+    """
+)
+def required_columns(spark, sf_dir):
+    """Dictionaries of parts, one that lacks columns and one that has all."""
+    part = table(spark, sf_dir, "part")
+    short = part.select(F.col("p_name").alias("Column_Name"), F.lit(1).alias("DataType"), F.col("p_type").alias("Description"))
+    whole = short.withColumns({"Note": F.lit(None).cast("string"), "Vocabulary": F.lit(None).cast("string")})
+
+    def told(dictionary: DataFrame) -> DataFrame:
+        try:
+            checks.require_columns(dictionary)
+            problem = "none"
+        except ValueError as error:
+            problem = str(error)
+        return dictionary.agg(F.lit(problem).alias("problem"), F.count(F.lit(1)).alias("entries"))
+
+    return told(short).unionByName(told(whole))
+
+
+@query("SELECT CAST(c_custkey * 7 AS VARCHAR) AS row_id, c_name, CAST(c_custkey AS VARCHAR) AS c_custkey FROM customer")
+def own_row_id_column(spark, sf_dir):
+    """A delivery with a column called row_id: our ids stand beside it, through cells and back."""
+    customers = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 7).alias("row_id"), "c_name", "c_custkey")
+    rows = keys.assign_ids(customers, reshape.INNER_ROW_ID)
+    variables = reshape.variables_from_schema(customers)
+    wide = reshape.pivot_text(reshape.unpivot_text(rows, variables, reshape.INNER_ROW_ID), variables)
+    return wide.drop(reshape.INNER_ROW_ID)
+
+
 # --- contract ----------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from longhouse.schemas import TABLES
@@ -53,62 +53,130 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
+class Rules:
+    """What tables declare, checked in one pass: every rule's values are counted in the same shuffle.
+
+    A row of the union is a value under a rule: a null in a required column, a key, a reference or a
+    value of the parent that it refers to. Counts combine before the shuffle.
+    """
+
+    def __init__(self):
+        self.texts: list[str] = []
+        self._null: set[int] = set()
+        self._rows: list[DataFrame] = []
+
+    def _value(self, text: str, columns: Sequence[str], most: int, known: bool) -> Column:
+        """A struct (rule, value, n, known, most); a value breaks its rule if it comes more than ``most``
+        times and is not known. Null if one of the columns is null."""
+        if text not in self.texts:
+            self.texts.append(text)
+        value = F.struct(
+            F.lit(self.texts.index(text)).alias("rule"),
+            F.to_json(F.struct(*columns)).alias("value"),
+            F.lit(int(not known)).alias("n"),
+            F.lit(known).alias("known"),
+            F.lit(most).alias("most"),
+        )
+        return F.when(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]), value)
+
+    def _take(self, rows: DataFrame, values: list[Column]) -> None:
+        if values:
+            self._rows.append(rows.select(F.inline(F.array_compact(F.array(*values)))))
+
+    def add(self, name: str, whole: DataFrame, added: DataFrame, table_of: Callable[[str], DataFrame]) -> None:
+        """The rules of a table (operators K-1, K-2, K-3).
+
+        Keys are checked over the whole table, nulls and references over the rows that were added.
+        Surrogate keys go on from the largest in use and need no check.
+        """
+        table = TABLES[name]
+        values = []
+        for c in table.required:
+            null = added.select(F.when(F.col(c).isNull(), F.lit(c)).alias("null"))
+            self._take(null, [self._value(f"{name}: null in {c}", ["null"], 0, False)])
+            self._null.add(len(self.texts) - 1)
+        for column, parent in table.parents:
+            text = f"{name}: {column} is not in {parent}"
+            values.append(self._value(text, [column], 0, False))
+            self._take(table_of(parent), [self._value(text, [column], 0, True)])
+        self._take(added, values)
+        keys = [self._value(f"{name}: duplicate {', '.join(key)}", key, 1, False) for key in table.unique]
+        self._take(whole, keys)
+
+    def broken(self) -> DataFrame:
+        """(rule, value, n): values that break a rule."""
+        counted = reduce(DataFrame.unionByName, self._rows).groupBy("rule", "value").agg(
+            F.sum("n").alias("n"), F.bool_or("known").alias("known"), F.max("most").alias("most")
+        )
+        return counted.where("NOT known AND n > most").select("rule", "value", "n")
+
+    def problems(self) -> list[str]:
+        """What breaks a rule, one text for each, with some of the values."""
+        if not self._rows:
+            return []
+        broken = self.broken()
+        found = broken.groupBy("rule").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect()
+        if not found:
+            return []
+        first = Window.partitionBy("rule").orderBy("value")
+        sample = broken.withColumn("at", F.row_number().over(first)).where(F.col("at") <= SAMPLE)
+        named: dict[int, list[str]] = {}
+        for r in sample.orderBy("rule", "at").collect():  # SAMPLE rows a rule
+            named.setdefault(r.rule, []).append(r.value)
+        told = []
+        for r in found:
+            some = f" ({r.k} values in {r.n} rows: {', '.join(named[r.rule])})"
+            told.append(self.texts[r.rule] + ("" if r.rule in self._null else some))
+        return sorted(told)
+
+
 def problems(
     name: str, whole: DataFrame, added: DataFrame, table_of: Callable[[str], DataFrame]
-) -> list[DataFrame]:
-    """What breaks the declarations of a table, as frames of (problem).
+) -> list[str]:
+    """What breaks the declarations of one table."""
+    rules = Rules()
+    rules.add(name, whole, added, table_of)
+    return rules.problems()
+
 
-    Keys are checked over the whole table, nulls and references over the rows that were added.
-    Surrogate keys go on from the largest in use and need no check.
+def row_fingerprint(row_id: str = "row_id") -> list[Column]:
+    """What tells a multiset of row ids whatever their order: how many, and the sums of two hashes of each.
+
+    Two different multisets agree in all three by chance only, about once in 2**128 times.
     """
-    table = TABLES[name]
-    found = []
-
-    def report(rows: DataFrame, text: str) -> None:
-        # some of the rows that break the rule, and how many there are
-        values = rows.select(F.to_json(F.struct(*[c for c in rows.columns if c != "n"])).alias("v"))
-        sample = values.orderBy("v").limit(SAMPLE).agg(F.array_join(F.array_sort(F.collect_list("v")), ", "))
-        counted = rows.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).where("k > 0")
-        told = F.format_string(f"{name}: {text} (%d values in %d rows: %s)", "k", "n", sample.scalar())
-        found.append(counted.select(told.alias("problem")))
-
-    if table.required:
-        counts = null_counts(added, table.required)
-        bad = F.array_compact(
-            F.array(*[F.when(F.col(c) > 0, F.lit(f"{name}: null in {c}")) for c in table.required])
-        )
-        found.append(counts.select(F.explode(bad).alias("problem")))
-    for key in table.unique:
-        report(duplicate_keys(whole, key), f"duplicate {', '.join(key)}")
-    for column, parent in table.parents:
-        report(orphans(added, column, table_of(parent)), f"{column} is not in {parent}")
-    return found
+    hashes = [F.xxhash64(row_id), F.xxhash64(F.lit(1), row_id)]
+    # the hash of a null is a number, too
+    hashes = [F.when(F.col(row_id).isNotNull(), h.cast("decimal(20,0)")) for h in hashes]
+    sums = [F.sum(h).alias(f"hash_{k}") for k, h in enumerate(hashes)]
+    return [F.count(row_id).alias("n"), *sums]
 
 
-def cell_problems(name: str, cells: DataFrame, datarows: DataFrame) -> DataFrame:
-    """Variables of new datasets that do not have one cell for each row, as (problem).
+def cell_problems(name: str, cells: DataFrame, datarows: DataFrame, variables: DataFrame) -> DataFrame:
+    """Variables of new datasets that do not have one cell for each row, as (problem) (operator K-1).
 
-    Counts and the range of row ids by variable tell it: rows are dense, so as many cells as rows
-    between the first and the last row are one each unless some are twice and others missing, which
-    the sum of the ids shows. Nothing but these sums is shuffled.
+    ``variables`` has the dataset_id and variable_id that should have cells. Every variable's
+    fingerprint of row ids must be that of the dataset's rows: none is missing, none there twice, none of another
+    row. Nothing but the sums is shuffled.
     """
-    sums = [
-        F.count("row_id").alias("n"),
-        F.min("row_id").alias("low"),
-        F.max("row_id").alias("high"),
-        F.sum(F.col("row_id").cast("decimal(38,0)")).alias("total"),
-    ]
-    whole = datarows.groupBy("dataset_id").agg(*sums)
-    by_variable = cells.groupBy("dataset_id", "variable_id").agg(*sums)
-    rest = by_variable.join(whole, ["dataset_id", "n", "low", "high", "total"], "left_anti")
-    told = F.format_string(f"{name}: variable %d of dataset %d lacks cells or has some twice", "variable_id", "dataset_id")
-    return rest.select(told.alias("problem"))
-
-
-def require_none(found: Sequence[DataFrame]) -> None:
-    """Run all checks as one job; raise if any reports a problem."""
-    if not found:
-        return
-    bad = reduce(DataFrame.unionByName, found).collect()  # one row for each broken rule
-    if bad:
-        raise IntegrityError("; ".join(sorted(r.problem for r in bad)))
+    none = F.lit(None).cast("long")
+    own = ["dataset_id", "variable_id", "row_id", "wanted"]
+    rows = cells.select("dataset_id", "variable_id", "row_id", F.lit(False).alias("wanted"))
+    rows = rows.unionByName(datarows.select("dataset_id", none.alias("variable_id"), "row_id", F.lit(False).alias("wanted")))
+    rows = rows.unionByName(variables.select("dataset_id", "variable_id", none.alias("row_id"), F.lit(True).alias("wanted")))
+    sums = rows.select(*own).groupBy("dataset_id", "variable_id").agg(F.bool_or("wanted").alias("wanted"), *row_fingerprint())
+    print_ = F.struct("n", "hash_0", "hash_1")
+    # a row for each variable; that without one is the dataset's rows
+    whole = F.max(F.when(F.col("variable_id").isNull(), print_)).over(Window.partitionBy("dataset_id"))
+    # a dataset without rows has no cells
+    nothing = F.struct(F.lit(0).cast("long").alias("n"), *[F.lit(None).cast("decimal(30,0)").alias(f"hash_{k}") for k in (0, 1)])
+    compared = sums.withColumn("same", print_.eqNullSafe(F.coalesce(whole, nothing))).where("variable_id IS NOT NULL")
+    lacks = F.format_string(f"{name}: variable %d of dataset %d lacks cells or has some twice", "variable_id", "dataset_id")
+    strange = F.format_string(f"{name}: variable %d is not one of dataset %d", "variable_id", "dataset_id")
+    told = F.when(~F.col("wanted"), strange).when(~F.col("same"), lacks)
+    return compared.select(told.alias("problem")).where("problem IS NOT NULL")
+
+
+def require_none(problems: Sequence[str]) -> None:
+    """Raise if there is any problem."""
+    if problems:
+        raise IntegrityError("; ".join(sorted(problems)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,20 +22,32 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
 def contained_join(big: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
     """Inner join of every text with every code it contains (operator D-15).
 
-    A containment test alone would compare all pairs. Instead each text is cut into its distinct
-    pieces of the lengths that codes have, and the pieces are joined to the codes on equality.
-    Matching is exact: a code is contained in a text if and only if it is one of those pieces.
+    A containment test alone would compare all pairs. Instead texts are cut into their distinct grams
+    of the length of the shortest code, so at most as many as they have characters, and each code
+    is joined by one of its grams, that which the fewest codes have. What meets is then tested, so matching is
+    exact. An empty code is contained in every text.
     """
-    lengths = codes.agg(F.collect_set(F.length(code))).scalar()
-    size, n = F.length(text), F.col("__n")
-    pieces = F.transform(
-        F.sequence(F.lit(1), size - n + 1), lambda at: F.substring(F.col(text), at, n)
-    )
+    known = codes.where(F.col(code).isNotNull())
+    shortest = F.coalesce(known.agg(F.min(F.nullif(F.length(code), F.lit(0)))).scalar(), F.lit(1))
+    empty = F.coalesce(known.agg(F.bool_or(F.length(code) == 0)).scalar(), F.lit(False))
+
+    def grams(c: str) -> Column:
+        places = F.sequence(F.lit(1), F.length(c) - F.col("__q") + 1)
+        cut = F.transform(places, lambda at: F.substring(F.col(c), at, F.col("__q")))
+        return F.when(F.length(c) >= F.col("__q"), F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+    nothing = F.array(F.lit(""))
+    one = F.when(F.length(code) == 0, nothing).otherwise(grams(code))
+    of_codes = known.select(code).distinct().withColumn("__q", shortest).select(code, F.explode(one).alias("__gram"))
+    shared = of_codes.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__gram")))
+    rarest = shared.groupBy(code).agg(F.min(F.struct("__n", "__gram"))["__gram"].alias("__gram"))
+    of_text = F.when(F.col("__any"), F.concat(grams(text), nothing)).otherwise(grams(text))
     cut = (
-        big.withColumn("__n", F.explode(lengths))
-        .where(n <= size)
-        .withColumn("__piece", F.explode(F.array_distinct(pieces)))
-        .drop("__n")
+        big.withColumns({"__q": shortest, "__any": empty})
+        .withColumn("__gram", F.explode(of_text))
+        .drop("__q", "__any")
     )
-    known = codes.where(F.col(code).isNotNull()).withColumn("__piece", F.col(code))
-    return lookup_join(cut, known, ["__piece"]).drop("__piece")
+    # both sides may have a column of the code's name
+    keyed = lookup_join(known, rarest, [code]).withColumn("__code", F.col(code))
+    met = lookup_join(cut, keyed, ["__gram"])
+    return met.where(F.contains(F.col(text), F.col("__code"))).drop("__gram", "__code")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longhouse.session import stage
@@ -39,8 +41,23 @@ def assign_ids(
     saves that extra pass.
 
     The numbered layout is staged before it is counted, so counts and numbers always agree, also
-    when a lost executor forces tasks to run again. Only one row per partition is broadcast.
+    when a lost executor forces tasks to run again. One number for each partition comes to the driver.
     """
+    return numbered(place_rows(df, order_by, unique_order), id_col, base)
+
+
+@dataclass(frozen=True)
+class Placed:
+    """Staged rows with their places, and how many rows lie before those of each partition."""
+
+    rows: DataFrame
+    columns: list[str]
+    offsets: list[int]
+    count: int
+
+
+def place_rows(df: DataFrame, order_by: Sequence[str | Column] | None = None, unique_order: bool = False) -> Placed:
+    """Stage rows and count them by partition: all that ``numbered`` needs, whatever number comes first."""
     columns = df.columns
     if order_by:
         order = list(order_by)
@@ -49,14 +66,18 @@ def assign_ids(
             order += [SLOT, PLACE]
         df = df.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
     slotted = with_slots(df, "ids")
-    sizes = slotted.groupBy(SLOT).agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition of the staged table, never one per data row
-    before = Window.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(SLOT, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    return slotted.join(F.broadcast(offsets), SLOT).select(
-        (F.col("__offset") + F.col(PLACE) + F.lit(base + 1)).cast("long").alias(id_col),
-        *columns,
-    )
+    sizes = {r[SLOT]: r["count"] for r in slotted.groupBy(SLOT).count().collect()}
+    slots = range(max(sizes, default=-1) + 1)
+    offsets = list(accumulate((sizes.get(s, 0) for s in slots), initial=0))
+    return Placed(slotted, columns, offsets[:-1], offsets[-1])
+
+
+def numbered(placed: Placed, id_col: str, base: int = 0) -> DataFrame:
+    """Placed rows with numbers from ``base + 1`` on; nothing is joined or shuffled."""
+    # folded into one array, however many partitions there are
+    offsets = F.split(F.lit(",".join(map(str, placed.offsets or [0]))), ",").cast("array<bigint>")
+    number = F.get(offsets, F.col(SLOT)) + F.col(PLACE) + F.lit(base + 1)
+    return placed.rows.select(number.cast("long").alias(id_col), *placed.columns)
 
 
 def last_id(df: DataFrame, id_col: str) -> int:

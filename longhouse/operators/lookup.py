@@ -29,7 +29,8 @@ def select_rows(
 
 def named_key(df: DataFrame, name: Any, key_col: str, name_col: str = "name") -> int | None:
     """Lowest key of the rows with that name, None if there is none (operator D-13)."""
-    return df.where(F.col(name_col) == F.lit(name)).agg(F.min(key_col)).first()[0]
+    found = df.where(F.col(name_col) == F.lit(name)).orderBy(F.asc_nulls_last(key_col)).select(key_col).first()
+    return found[0] if found else None
 
 
 def named_keys(

@@ -78,23 +78,22 @@ def unpivot_typed(df: DataFrame, variables: list[Variable], row_id: str = ROW_ID
     return _unpivot(df, row_id, cells).select(ROW_ID, "variable_id", "typed.*")
 
 
-def _gather(long: DataFrame, variables: list[Variable], cell: Column) -> DataFrame:
+def _gather(long: DataFrame, variables: list[Variable], cell: Column, gathered: bool = False) -> DataFrame:
     """One array of cells per row, in the order of ``variables``; an absent cell is null.
 
     A pivot of text evaluates every output column for every input cell. Collecting a row's cells
     and sorting them once costs the same however many columns there are. A row must have at most
     one cell per variable; a second one is an error. Collecting shrinks nothing,
-    so cells are shuffled as they are and gathered once, behind the shuffle.
+    so cells are shuffled as they are and gathered once, behind the shuffle; cells that are ``gathered``, those
+    of a row in one partition as Spark knows, aren't shuffled at all.
     """
     ids = sorted(v.variable_id for v in variables)
     wanted = F.array(*[F.lit(i).cast("long") for i in ids])
-    rows = (
-        long.where(F.col("variable_id").isin(ids))
-        .select(ROW_ID, F.struct("variable_id", cell.alias("cell")).alias("item"))
-        .repartition(ROW_ID)
-        .groupBy(ROW_ID)
-        .agg(F.sort_array(F.collect_list("item")).alias("got"))
+    items = long.where(F.col("variable_id").isin(ids)).select(
+        ROW_ID, F.struct("variable_id", cell.alias("cell")).alias("item")
     )
+    items = items if gathered else items.repartition(ROW_ID)
+    rows = items.groupBy(ROW_ID).agg(F.sort_array(F.collect_list("item")).alias("got"))
     # a row that lacks cells is filled up with null ones and sorted again
     dtype = long.select(cell.alias("cell")).schema["cell"].dataType
     absent = F.array_except(wanted, F.transform("got", lambda item: item["variable_id"]))
@@ -125,27 +124,29 @@ def _spread(rows: DataFrame, variables: list[Variable], read) -> DataFrame:
     )
 
 
-def pivot_text(long: DataFrame, variables: list[Variable]) -> DataFrame:
+def pivot_text(long: DataFrame, variables: list[Variable], gathered: bool = False) -> DataFrame:
     """Wide rows of text, one column per variable (operator E-3)."""
     if not variables:
         return long.select(ROW_ID).limit(0)
-    return _spread(_gather(long, variables, F.col("value")), variables, lambda c, _: c)
+    return _spread(_gather(long, variables, F.col("value"), gathered), variables, lambda c, _: c)
 
 
-def pivot_typed_text(long: DataFrame, variables: list[Variable], strict: bool = True) -> DataFrame:
+def pivot_typed_text(
+    long: DataFrame, variables: list[Variable], strict: bool = True, gathered: bool = False
+) -> DataFrame:
     """Wide rows cast to the declared types, from the text store (operators E-3, E-4)."""
     if not variables:
         return long.select(ROW_ID).limit(0)
-    rows = _gather(long, variables, F.col("value"))
+    rows = _gather(long, variables, F.col("value"), gathered)
     return _spread(rows, variables, lambda c, kind: V.read_text(c, kind, strict))
 
 
-def pivot_typed(long: DataFrame, variables: list[Variable]) -> DataFrame:
+def pivot_typed(long: DataFrame, variables: list[Variable], gathered: bool = False) -> DataFrame:
     """Wide typed rows from the typed store (operator E-4)."""
     if not variables:
         return long.select(ROW_ID).limit(0)
     cell = F.struct("value_integer", "value_float", "value_string", "value_datetime")
-    return _spread(_gather(long, variables, cell), variables, V.read_typed)
+    return _spread(_gather(long, variables, cell, gathered), variables, V.read_typed)
 
 
 def cell_names(long: DataFrame, variables: DataFrame) -> DataFrame:

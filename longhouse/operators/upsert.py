@@ -18,11 +18,12 @@ def insert_if_absent(
     id_col: str,
     name_col: str = "name",
     pos_col: str = "pos",
+    last: int | None = None,
 ) -> DataFrame:
     """New rows, with ids, for the incoming names that ``existing`` lacks (operator E-10).
 
-    The first row of a name in ``pos_col`` order counts; ids follow that order. A known name is
-    left as it is.
+    The first row of a name in ``pos_col`` order counts; ids follow that order, from the ``last`` in use
+    if the caller knows it. A known name is left as it is.
     """
     others = [c for c in incoming.columns if c not in (name_col, pos_col)]
     first = incoming.groupBy(name_col).agg(
@@ -31,14 +32,13 @@ def insert_if_absent(
     fresh = first.join(existing.select(name_col).distinct(), name_col, "left_anti").select(
         name_col, "__row.*"
     )
-    numbered = assign_ids(
-        fresh, id_col, last_id(existing, id_col), order_by=[pos_col], unique_order=True
-    )
+    last = last_id(existing, id_col) if last is None else last
+    numbered = assign_ids(fresh, id_col, last, order_by=[pos_col], unique_order=True)
     return numbered.drop(pos_col)
 
 
 def upsert_variables(
-    existing: DataFrame, incoming: DataFrame, overwrite: bool = False, pos_col: str = "pos"
+    existing: DataFrame, incoming: DataFrame, overwrite: bool = False, pos_col: str = "pos", last: int | None = None
 ) -> DataFrame:
     """The variables table after a dictionary is added row by row in ``pos_col`` order (E-9).
 
@@ -67,12 +67,12 @@ def upsert_variables(
         F.col(pos_col).alias("__at"),
     )
     both = before.unionByName(added).withColumn("__pos", F.struct("__new", "__at"))
-    last = F.max_by(row, "__pos")
-    kept: Column = last
+    latest = F.max_by(row, "__pos")
+    kept: Column = latest
     if not overwrite:
         # a min_by over rows whose order key is null picks from the others, null if there are none
         first_complete = F.min_by(F.when(complete, row), F.when(complete, F.col("__pos")))
-        kept = F.coalesce(first_complete, last)
+        kept = F.coalesce(first_complete, latest)
     folded = (
         both.groupBy("domain_id", "name")
         .agg(
@@ -88,7 +88,7 @@ def upsert_variables(
     fresh = assign_ids(
         folded.where(F.col("variable_id").isNull()).drop("variable_id"),
         "variable_id",
-        last_id(existing, "variable_id"),
+        last_id(existing, "variable_id") if last is None else last,
         order_by=["__pos", "domain_id", "name"],
         unique_order=True,
     ).drop("__pos")

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
+from functools import partial
+from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from longhouse.config import IngestConfig, UserIngestConfig
 from longhouse.functions import values as V
 from longhouse.operators import registry
-from longhouse.operators.keys import assign_ids
-from longhouse.operators.lookup import lookup_variables, variable_id
+from longhouse.operators.keys import Placed, numbered, place_rows
+from longhouse.operators.lookup import variable_id
 from longhouse.operators.reshape import (
     INNER_ROW_ID,
     ROW_ID,
@@ -29,6 +34,14 @@ from longhouse.session import with_scratch
 from longhouse.sources.archive import Archive, Batch
 from longhouse.sources.delimited import read_csv
 
+#: Cells of a bucket, which one task reads, at most; small datasets have buckets of the second number and
+#: more, as many as the cluster has cores.
+BUCKET_CELLS, LEAST_CELLS = 4_000_000, 50_000
+#: Datasets of one ingest that are read or written at the same time.
+DATASETS_AT_ONCE = 4
+
+T_ = TypeVar("T_")
+
 
 def register_transformation(batch: Batch, ingest: IngestConfig | UserIngestConfig) -> int:
     """A new transformation (operator I-4)."""
@@ -45,6 +58,36 @@ def register_transformation(batch: Batch, ingest: IngestConfig | UserIngestConfi
     )
 
 
+@dataclass(frozen=True)
+class NamedRows:
+    """Staged rows and the variables of their columns."""
+
+    rows: Placed
+    variables: list[Variable]
+
+
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], T_]]) -> list[T_]:
+    """What the tasks return, run from a pool so that their Spark jobs overlap; an error stops what has not begun.
+
+    Jobs keep the caller's job group and local properties. Each task has a scheduler pool of its own, which counts
+    where the cluster schedules fairly.
+    """
+    if len(tasks) < 2:
+        return [task() for task in tasks]
+
+    def run(number: int, task: Callable[[], T_]) -> T_:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"ingest-{number}")
+        return task()
+
+    with ThreadPoolExecutor(min(len(tasks), DATASETS_AT_ONCE)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(run), k, t) for k, t in enumerate(tasks)]
+        try:
+            return [r.result() for r in running]
+        finally:
+            for r in running:
+                r.cancel()
+
+
 class DatasetWriter:
     """Collects the datasets of one batch and writes what they add to the lineage tables."""
 
@@ -56,8 +99,11 @@ class DatasetWriter:
         self.datasets: list[tuple] = []
         self.inputs: list[tuple] = []
         self.members: list[tuple] = []
+        dictionary = batch.table("variables").where(F.col("domain_id") == domain_id)
+        self.variables: dict[str, Variable] = {v.name: v for v in variables_of(dictionary)}
         self._dataset = batch.last_id("datasets")
         self._row = batch.last_id("datarows")
+        self._first_row: dict[int, int] = {}
 
     def save(
         self,
@@ -74,34 +120,57 @@ class DatasetWriter:
         Row ids are dense. The numbered frame is staged, so that the delivery is read and parsed
         once; cells, rows and links are then written from the staged copy without a shuffle.
         """
-        known = lookup_variables(self.batch.table("variables"), frame.columns, self.domain_id)
-        variables: list[Variable] = variables_of(known)
-        missing = sorted(set(frame.columns) - {v.name for v in variables})
+        placed = self.place(frame, name)
+        dataset_id = self.add(placed, name, description, unit_of_analysis_id, as_of, inputs)
+        return dataset_id, self.write(placed, dataset_id, typed)
+
+    def place(self, frame: DataFrame, name: str) -> NamedRows:
+        """A frame's rows staged in places, and its variables; frames can be placed side by side."""
+        missing = sorted(set(frame.columns) - set(self.variables))
         if missing:
             raise ValueError(f"{name}: columns missing from the dictionary: {', '.join(missing)}")
+        own = [v for v in self.variables.values() if v.name in frame.columns]
+        return NamedRows(place_rows(frame), own)
+
+    def add(
+        self,
+        placed: NamedRows,
+        name: str,
+        description: str,
+        unit_of_analysis_id: int,
+        as_of: date | None = None,
+        inputs: Sequence[int] = (),
+    ) -> int:
+        """The id of a placed dataset, whose rows get the next numbers."""
         self._dataset += 1
-        dataset_id = self._dataset
-        rows = assign_ids(frame, INNER_ROW_ID, self._row)
-        self._row += rows.count()
-        self.batch.write(
-            "datarows",
-            rows.select(F.col(INNER_ROW_ID).alias(ROW_ID)),
-            partition=dataset_id,
-            last=self._row,
+        self._first_row[self._dataset] = self._row
+        self._row += placed.rows.count
+        self.datasets.append(
+            (self._dataset, name, as_of or date.today(), description, unit_of_analysis_id)
         )
+        self.members += [(self._dataset, v.variable_id) for v in placed.variables]
+        self.inputs += [(self.transformation_id, i) for i in inputs]
+        return self._dataset
+
+    def write(self, placed: NamedRows, dataset_id: int, typed: bool = False) -> DataFrame:
+        """Store an added dataset's rows and cells; datasets can be written side by side."""
+        rows = numbered(placed.rows, INNER_ROW_ID, self._first_row[dataset_id])
+        ids = rows.select(F.col(INNER_ROW_ID).alias(ROW_ID))
+        self.batch.write("datarows", ids, partition=dataset_id, last=self._row)
         unpivot = unpivot_typed if typed else unpivot_text
+        # rows move, before they are cells, to where theirs are written: the cells of a row lie in one
+        # bucket, by variable, so that row groups hold few of them and a column is read by itself
+        cells = placed.rows.count * len(placed.variables)
+        spread = min(self.batch.archive.spark.sparkContext.defaultParallelism, -(-cells // LEAST_CELLS))
+        buckets = max(1, spread, -(-cells // BUCKET_CELLS))
+        dealt = rows.repartition(buckets, INNER_ROW_ID)
         self.batch.write(
             "typed_data" if typed else "data",
-            # by variable, so that row groups hold few of them and a column is read by itself
-            unpivot(rows, variables, INNER_ROW_ID).sortWithinPartitions("variable_id", ROW_ID),
+            unpivot(dealt, placed.variables, INNER_ROW_ID),
             partition=dataset_id,
+            buckets=buckets,
         )
-        self.datasets.append(
-            (dataset_id, name, as_of or date.today(), description, unit_of_analysis_id)
-        )
-        self.members += [(dataset_id, v.variable_id) for v in variables]
-        self.inputs += [(self.transformation_id, i) for i in inputs]
-        return dataset_id, rows
+        return rows
 
     def finish(self) -> None:
         """Register the datasets, their origin and their variables (operators I-5, I-6)."""
@@ -156,18 +225,18 @@ def ingest_data(
 ) -> list[int]:
     """Store and link all datasets of an ingest (pipeline J-9); returns their ids.
 
+    Datasets are read, and then stored, side by side; one that fails leaves nothing published.
     ``ingestion_id`` 0 makes a new ingestion. ``typed`` stores typed cells. Files are converted as
     the dictionary declares; without ``declared_types`` a pass of its own infers their types.
     """
     batch = archive.begin()
     source_id = add_source(batch, ingest.source.name)
     domain_id = add_domain(batch, ingest.domain_name, ingest.domain_description)
-    id_variable = variable_id(batch.table("variables"), domain_id, ingest.id_col)
-    if id_variable is None:
-        raise LookupError(f"id column {ingest.id_col} is not in the dictionary")
     if ingestion_id == 0:
         ingestion_id = register_ingestion(batch, source_id, ingest.ingest_desc, ingest.as_of)
     writer = DatasetWriter(batch, domain_id, register_transformation(batch, ingest), ingestion_id)
+    if ingest.id_col not in writer.variables:
+        raise LookupError(f"id column {ingest.id_col} is not in the dictionary")
     deaths = batch.table("deaths")
     if registry.has_deaths(deaths, ingestion_id):
         death_ingestion = ingestion_id
@@ -176,25 +245,28 @@ def ingest_data(
             batch.table("data_ingestions"), deaths, source_id
         )
     known = deaths.where(F.col("data_ingestion_id") == death_ingestion)
-    dictionary = batch.table("variables").where(F.col("domain_id") == domain_id)
-    kinds = {v.name: v.value_type_id for v in variables_of(dictionary)}
+    kinds = {v.name: v.value_type_id for v in writer.variables.values()}
     folder = source_path(datapath, ingest.source.name, ingest.source.datafolder)
-    saved = []
-    for description, name in sorted(ingest.datasets.items()):
-        frame = read_csv(
-            archive.spark,
-            f"{folder}/{name}",
-            ingest.csv,
-            types=kinds if declared_types else None,
-        )
-        dataset_id, rows = writer.save(
-            frame, name, description, ingest.unit_of_analysis_id, ingest.as_of, typed=typed
-        )
-        saved.append(dataset_id)
+    declared = kinds if declared_types else None
+    files = sorted(ingest.datasets.items())
+
+    def place(name: str) -> NamedRows:
+        return writer.place(read_csv(archive.spark, f"{folder}/{name}", ingest.csv, types=declared), name)
+
+    def store(placed: NamedRows, dataset_id: int) -> None:
+        rows = writer.write(placed, dataset_id, typed)
         if ingest.id_col in rows.columns:
             # row ids are new, so no earlier link can hold them
             ids = row_ids_and_values(rows, ingest.id_col, kinds[ingest.id_col])
             batch.write("death_rows", registry.link_rows(known, ids), partition=dataset_id)
+
+    # ids go on from file to file, so all rows are counted before any is numbered
+    placed = side_by_side(archive.spark, [partial(place, name) for _, name in files])
+    saved = [
+        writer.add(rows, name, description, ingest.unit_of_analysis_id, ingest.as_of)
+        for rows, (description, name) in zip(placed, files)
+    ]
+    side_by_side(archive.spark, [partial(store, *pair) for pair in zip(placed, saved)])
     writer.finish()
     _link_instruments(batch, ingest.source.instruments)
     batch.publish()

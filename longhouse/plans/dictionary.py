@@ -108,7 +108,7 @@ def add_domain(batch: Batch, name: str, description: str = "") -> int:
 
 
 def new_vocabularies(
-    existing: DataFrame, items: DataFrame
+    existing: DataFrame, items: DataFrame, last: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Vocabularies and their items that the archive lacks by name (operator E-10).
 
@@ -121,7 +121,7 @@ def new_vocabularies(
         F.col("source").alias("pos"),
     ).distinct()
     first = heads.groupBy("name").agg(F.min("pos").alias("source"))
-    fresh = upsert.insert_if_absent(existing, heads, "vocabulary_id")
+    fresh = upsert.insert_if_absent(existing, heads, "vocabulary_id", last=last)
     owned = items.withColumnRenamed("Column_Name", "name")
     owned = lookup_join(owned, first, ["name", "source"])
     owned = lookup_join(
@@ -208,7 +208,7 @@ def add_variables(
         items = owned if items is None else items.unionByName(owned)
     if rows is None:
         raise ValueError("no data dictionaries given")
-    fresh, fresh_items = new_vocabularies(batch.table("vocabularies"), items)
+    fresh, fresh_items = new_vocabularies(batch.table("vocabularies"), items, batch.last_id("vocabularies"))
     batch.write("vocabularies", fresh)
     batch.insert("vocabulary_items", fresh_items, ["vocabulary_id", "value"])
     incoming = rows.select(
@@ -221,12 +221,16 @@ def add_variables(
         "pos",
     )
     incoming = named_keys(incoming, "Vocabulary", batch.table("vocabularies"), "vocabulary_id")
-    variables = upsert.upsert_variables(batch.table("variables"), incoming, overwrite)
-    for name in [id_col, *([site_col] if site_col else [])]:
-        in_domain = variables.where(F.col("domain_id") == domain_id)
-        if named_key(in_domain, name, "variable_id") is None:
-            raise LookupError(f"key column {name} is not in the dictionary")
+    variables = upsert.upsert_variables(
+        batch.table("variables"), incoming, overwrite, last=batch.last_id("variables")
+    )
     batch.write("variables", upsert.set_key_roles(variables, domain_id, id_col, site_col))
+    keys = [id_col, *([site_col] if site_col else [])]
+    own = batch.added("variables").where((F.col("domain_id") == domain_id) & F.col("name").isin(keys))
+    found = {r.name for r in own.select("name").collect()}
+    for name in keys:
+        if name not in found:
+            raise LookupError(f"key column {name} is not in the dictionary")
 
 
 # --- building ----------------------------------------------------------------------------------

@@ -26,10 +26,9 @@ def dataset_cells(archive: Archive, dataset_id: int, typed: bool = False) -> Dat
 
 
 def dataset_to_dataframe(archive: Archive, dataset_id: int) -> DataFrame:
-    """A dataset in wide form, all text (operators D-5, E-3)."""
-    return reshape.pivot_text(
-        dataset_cells(archive, dataset_id), variables_of_dataset(archive, dataset_id)
-    )
+    """A dataset in wide form, all text (operators D-5, E-3); cells are read as they lie, none is moved."""
+    cells, gathered = archive.part("data", dataset_id)
+    return reshape.pivot_text(cells, variables_of_dataset(archive, dataset_id), gathered)
 
 
 def dataset_to_typed(
@@ -40,10 +39,10 @@ def dataset_to_typed(
     A stored text that is not of its variable's type is an error, or null if not ``strict``.
     """
     variables = variables_of_dataset(archive, dataset_id)
-    cells = dataset_cells(archive, dataset_id, typed)
+    cells, gathered = archive.part("typed_data" if typed else "data", dataset_id)
     if typed:
-        return reshape.pivot_typed(cells, variables)
-    return reshape.pivot_typed_text(cells, variables, strict)
+        return reshape.pivot_typed(cells, variables, gathered)
+    return reshape.pivot_typed_text(cells, variables, strict, gathered)
 
 
 def _name(archive: Archive, dataset_id: int) -> str:

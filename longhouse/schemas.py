@@ -64,6 +64,8 @@ class Table:
     parents: tuple[tuple[str, str], ...] = ()  # (column, parent table) on equal column names
     revised: bool = False  # rows change later, so every batch that touches it writes it whole
     partition: str | None = None
+    bucketed: str | None = None  # rows of one value lie in one file, within a partition
+    searched: tuple[str, ...] = ()  # columns that are looked up by value; files have Bloom filters of them
 
     @property
     def required(self) -> list[str]:
@@ -225,6 +227,8 @@ TABLES: dict[str, Table] = {
         unique=(("row_id", "variable_id"),),
         parents=(("variable_id", "variables"),),
         partition="dataset_id",
+        bucketed="row_id",
+        searched=("value",),
     ),
     "typed_data": Table(
         "row_id long NOT NULL, variable_id long NOT NULL, value_integer long, value_float double, "
@@ -233,6 +237,7 @@ TABLES: dict[str, Table] = {
         unique=(("row_id", "variable_id"),),
         parents=(("variable_id", "variables"),),
         partition="dataset_id",
+        bucketed="row_id",
     ),
     "deaths": Table(
         "death_id long NOT NULL, site_id long NOT NULL, external_id string NOT NULL, data_ingestion_id long NOT NULL",
@@ -240,6 +245,7 @@ TABLES: dict[str, Table] = {
         unique=(("site_id", "external_id"),),
         parents=(("site_id", "sites"), ("data_ingestion_id", "data_ingestions")),
         partition="data_ingestion_id",
+        searched=("external_id",),
     ),
     "death_rows": Table(
         "death_id long NOT NULL, row_id long NOT NULL, dataset_id long NOT NULL",

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
-from functools import cache
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from functools import cache, reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from longhouse.operators import checks
-from longhouse.operators.keys import assign_ids, last_id
+from longhouse.operators.keys import assign_ids
 from longhouse.schemas import SEEDS, TABLES, seed_table
 
 MARKERS = "_published"
-# Cells grow with the data. A batch does not shuffle them once more to see their keys: it counts
-# them by variable and compares with the rows of their dataset. ``Archive.audit`` looks at keys.
+# Cells grow with the data. A batch does not shuffle them once more to see their keys: it compares
+# each variable's fingerprint of row ids with that of the rows of their dataset.
 CELLS = ("data", "typed_data")
 
 
@@ -25,12 +26,13 @@ class Archive:
     """Tables under ``root``, each split by the batch that wrote it.
 
     A batch writes any number of tables and is then published by one marker file, which also holds
-    the largest key of each table. Readers see only published batches, so an ingest shows up whole or not at all, and one that failed half-way is
+    the largest key of each table and the number of buckets of each dataset's cells. Readers see only published batches, so an ingest shows up whole or not at all, and one that failed half-way is
     written anew by the next. One writer at a time, as many readers as you like.
 
     Most tables only grow. Those marked ``revised`` are small and written whole by every batch that
     changes them; readers take the latest copy. ``data`` and ``datarows`` are split further by
-    dataset and ``deaths`` by ingestion, so a query on one of them opens only its files.
+    dataset and ``deaths`` by ingestion, so a query on one of them opens only its files. Files of searched
+    columns have Bloom filters, so one id is looked up in the few row groups that may hold it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -83,6 +85,32 @@ class Archive:
 
     def last_ids(self) -> dict[str, int]:
         """Largest key of each table, as the latest marker records them."""
+        return self._marker().get("ids", {})
+
+    def part(self, name: str, partition: int) -> tuple[DataFrame, bool]:
+        """One partition of a table, and whether the rows of a bucket lie in one task.
+
+        Spark knows buckets from table definitions only, so one is made for the files and dropped, which leaves the files.
+        """
+        table, own = TABLES[name], f"{name}/{TABLES[name].partition}={partition}"
+        batch, buckets = self._marker().get("buckets", {}).get(own, (0, 0))
+        if not buckets:
+            return self.table(name).where(F.col(table.partition) == partition), False
+        fields = [f for f in table.schema.fields if f.name != table.partition]
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+        path = f"{self.root}/{name}/batch={batch}/{table.partition}={partition}"
+        found = _defined(
+            self.spark,
+            lambda known: self.spark.sql(
+                f"CREATE TABLE {known} ({columns}) USING parquet CLUSTERED BY ({table.bucketed}) INTO {buckets} BUCKETS "
+                f"LOCATION '{path}'"
+            ),
+            self.spark.table,
+        )
+        constant = F.lit(partition).cast(table.schema[table.partition].dataType).alias(table.partition)
+        return found.select("*", constant).select(*table.schema.names), True
+
+    def _marker(self) -> dict:
         last = self.last_batch()
         if not last:
             return {}
@@ -94,16 +122,14 @@ class Archive:
         return json.loads(text)
 
     def audit(self) -> list[str]:
-        """Check all that every published table declares; the problems found, one job each."""
+        """Check all that every published table declares, at once; the problems found."""
         table = cache(self.table)
         last = self.last_batch()
-        problems = []
+        rules = checks.Rules()
         for name in TABLES:
-            if not self.batches_of(name, last):
-                continue
-            for found in checks.problems(name, table(name), table(name), table):
-                problems += [r.problem for r in found.collect()]
-        return problems
+            if self.batches_of(name, last):
+                rules.add(name, table(name), table(name), table)
+        return rules.problems()
 
     def begin(self) -> Batch:
         """A new batch; what an unpublished attempt left under its number is dropped."""
@@ -116,6 +142,16 @@ class Archive:
         return Batch(self, number)
 
 
+def _defined(spark: SparkSession, define: Callable[[str], Any], use: Callable[[str], Any] = lambda _: None) -> Any:
+    """What ``use`` makes of a table that is defined under a name of its own and dropped again."""
+    name = f"longhouse_{uuid.uuid4().hex}"
+    try:
+        define(name)
+        return use(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 class Batch:
     """Writes of one ingest, visible to itself at once and to readers when published."""
 
@@ -123,7 +159,9 @@ class Batch:
         self.archive = archive
         self.number = number
         self.written: dict[str, list[str]] = {}
-        self.ids = archive.last_ids()
+        marker = archive._marker()
+        self.ids: dict[str, int] = marker.get("ids", {})
+        self.buckets: dict[str, tuple[int, int]] = marker.get("buckets", {})
 
     def table(self, name: str) -> DataFrame:
         return self.archive.table(name, self.number)
@@ -138,11 +176,17 @@ class Batch:
         return self.ids.get(name, 0)
 
     def write(
-        self, name: str, df: DataFrame, partition: int | None = None, last: int | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        partition: int | None = None,
+        last: int | None = None,
+        buckets: int = 0,
     ) -> None:
         """Rows matched to the table's columns by name; absent columns are null (operator B-1).
 
-        ``last`` is the largest key among the rows, if the caller knows it.
+        ``last`` is the largest key among the rows, if the caller knows it. With ``buckets`` files are
+        written by the hash of the table's bucket column, as Spark's bucketed tables are.
         """
         table = TABLES[name]
         unknown = [c for c in df.columns if c not in table.schema.names]
@@ -161,13 +205,25 @@ class Batch:
                 for f in fields
             ]
         )
+        numbered = table.key and isinstance(table.schema[table.key].dataType, LongType)
+        seen = Observation() if numbered and last is None else None
+        if seen:  # the largest key comes with the write
+            rows = rows.observe(seen, F.max(table.key).alias("last"))
         # errors if the path exists: a table (or a partition of it) is written once in a batch
-        rows.write.mode("errorifexists").parquet(path)
+        writer = rows.write.mode("errorifexists").option("parquet.bloom.filter.adaptive.enabled", True)
+        for column in table.searched:
+            # row groups without a value are then skipped, in whatever order values lie
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+        if buckets:
+            own = writer.format("parquet").option("path", path).bucketBy(buckets, table.bucketed)
+            own = own.sortBy(*[c for c in ("variable_id", table.bucketed) if c in rows.columns])
+            _defined(self.archive.spark, own.saveAsTable)
+            self.buckets[f"{name}/{table.partition}={partition}"] = (self.number, buckets)
+        else:
+            writer.parquet(path)
         self.written.setdefault(name, []).append(path)
-        if table.key and isinstance(table.schema[table.key].dataType, LongType):
-            if last is None:
-                last = max(self.last_id(name), last_id(self.added(name), table.key))
-            self.ids[name] = last
+        if numbered:
+            self.ids[name] = last if seen is None else max(self.last_id(name), seen.get["last"] or 0)
 
     def insert(self, name: str, df: DataFrame, order_by: list[str] | None = None) -> None:
         """Write rows with new keys that go on from the largest (operators I-2, B-1)."""
@@ -200,7 +256,7 @@ class Batch:
 
     def check(self) -> None:
         """Keys, references and required columns of what this batch wrote (operators K-1..K-3)."""
-        found: list[DataFrame] = []
+        rules, cells = checks.Rules(), []
         table = cache(self.table)
         for name in self.written:
             if name not in CELLS:
@@ -211,10 +267,13 @@ class Batch:
                     rows = table(other)
                     return rows.where(F.col("dataset_id").isin(own)) if own and "dataset_id" in rows.columns else rows
 
-                found += checks.problems(name, part(name), self.added(name), part)
+                rules.add(name, part(name), self.added(name), part)
             elif "datarows" in self.written:
-                found.append(checks.cell_problems(name, self.added(name), self.added("datarows")))
-        checks.require_none(found)
+                own = F.col("dataset_id").isin(self._datasets(name))
+                rows, variables = self.added("datarows").where(own), self.added("dataset_variables").where(own)
+                cells.append(checks.cell_problems(name, self.added(name), rows, variables))
+        told = [r.problem for r in reduce(DataFrame.unionByName, cells).collect()] if cells else []
+        checks.require_none(rules.problems() + told)
 
     def publish(self, check: bool = True) -> None:
         """Check, then make the batch visible."""
@@ -223,7 +282,7 @@ class Batch:
         fs = self.archive._fs()
         draft = self.archive._path(MARKERS, f"_draft={self.number}")
         stream = fs.create(draft, True)
-        stream.write(bytearray(json.dumps(self.ids).encode()))
+        stream.write(bytearray(json.dumps({"ids": self.ids, "buckets": self.buckets}).encode()))
         stream.close()
         # a rename shows the marker whole or not at all
         if not fs.rename(draft, self.archive._path(MARKERS, f"batch={self.number}")):

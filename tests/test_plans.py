@@ -155,8 +155,10 @@ def test_wide_forms_equal_the_delivery(archive):
 
 
 def test_only_the_files_of_a_dataset_are_read(archive):
-    plan = export.dataset_to_dataframe(archive, 1)._jdf.queryExecution().executedPlan().toString()
+    plan = export.dataset_cells(archive, 1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dataset_id" in plan
+    files = export.dataset_to_dataframe(archive, 1).inputFiles()
+    assert files and all("/dataset_id=1/" in f for f in files)
 
 
 def test_everything_declared_holds(archive):
@@ -391,16 +393,30 @@ def test_a_cell_that_is_twice_is_an_error(spark):
             reshape.pivot_text(frame, variables).collect()
 
 
-def test_cells_are_counted_before_they_are_published(spark, tmp_path):
-    made, setup, path = tiny(spark, tmp_path, "pid,note,n\nA1,x,1\nA2,y,2\n")
+def test_cells_are_told_by_their_rows_before_they_are_published(spark, tmp_path):
+    lines = "".join(f"A{i},x,{i}\n" for i in range(1, 6))
+    made, setup, path = tiny(spark, tmp_path, "pid,note,n\n" + lines)
     dataset.ingest_data(made, setup, path)
-    cells, datarows = made.table("data"), made.table("datarows")
-    assert checks.cell_problems("data", cells, datarows).count() == 0
+    cells, datarows, variables = made.table("data"), made.table("datarows"), made.table("dataset_variables")
+    assert checks.cell_problems("data", cells, datarows, variables).count() == 0
+
+    def told(bad):
+        return [r.problem for r in checks.cell_problems("data", bad, datarows, variables).collect()]
+
     lacking = cells.where("NOT (row_id = 2 AND variable_id = 1)")
     twice = cells.unionByName(cells.where("row_id = 1 AND variable_id = 2"))
     swapped = lacking.unionByName(cells.where("row_id = 1 AND variable_id = 1"))
-    for bad in (lacking, twice, swapped):
-        assert checks.cell_problems("data", bad, datarows).count() == 1
+    others = cells.where("variable_id <> 1")
+    missing = others.where("row_id > 0")
+    layouts = [[1, 3, 3, 3, 5], [1, 2, 2, 5, 5], [1, 2, 3, 4, 6], [1, 2, 3, 4, 5, 5]]
+    layouts = [others.unionByName(spark.createDataFrame([(i, 1, "x", 1) for i in ids], cells.schema)) for ids in layouts]
+    for bad in (lacking, swapped, missing, *layouts):
+        assert told(bad) == ["data: variable 1 of dataset 1 lacks cells or has some twice"]
+    assert told(twice) == ["data: variable 2 of dataset 1 lacks cells or has some twice"]
+    strange = cells.unionByName(spark.createDataFrame([(1, 77, "x", 1)], cells.schema))
+    assert told(strange) == ["data: variable 77 is not one of dataset 1"]
+    nothing = checks.cell_problems("data", cells.limit(0), datarows.limit(0), variables)
+    assert nothing.count() == 0
 
 
 def test_a_pipeline_leaves_nothing_but_the_archive(spark, tmp_path):
@@ -420,7 +436,52 @@ def test_one_column_reads_few_rows(spark, tmp_path):
     cells.sortWithinPartitions("variable_id", "row_id").write.option("parquet.block.size", 1 << 20).parquet(path)
     read = reshape.dataset_column(spark.read.parquet(path), reshape.Variable(3, "v2", S.STRING))
     assert len(read.collect()) == 40_000
-    plan, found = read._jdf.queryExecution().executedPlan(), []
+    assert max(scanned_rows(read)) < 400_000
+
+
+def test_export_moves_no_cells(spark, tmp_path):
+    """A row's cells lie in one bucket, so the pivot has no exchange, from either store."""
+    lines = "".join(f"A{i},x{i},{i}\n" for i in range(500))
+    for typed in (False, True):
+        folder = tmp_path / str(typed)
+        folder.mkdir()
+        made, setup, path = tiny(spark, folder, "pid,note,n\n" + lines)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(dataset, "LEAST_CELLS", 100)
+            dataset.ingest_data(made, setup, path, typed=typed)
+        wide = export.dataset_to_typed(made, 1, typed=typed)
+        assert rows(wide, "pid", "note", "n") == sorted((f"A{i}", f"x{i}", i) for i in range(500))
+        assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
+        assert wide.rdd.getNumPartitions() > 1
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("longhouse")]
+        # rows of a column are still found by row group
+        assert made.table("typed_data" if typed else "data").count() == 1500
+
+
+def test_one_id_reads_few_row_groups(spark, tmp_path):
+    """Ids in no order: only Bloom filters can tell where one is."""
+    made = Archive.create(spark, str(tmp_path / "made"))
+    rows_ = spark.range(0, 200_000, 1, 1).select(
+        (F.col("id") + 1).alias("death_id"), F.lit(1).cast("long").alias("site_id"), F.md5(F.col("id").cast("string")).alias("external_id"),
+    )
+    cells = rows_.select(F.col("death_id").alias("row_id"), F.lit(1).cast("long").alias("variable_id"), F.col("external_id").alias("value"))
+    batch = made.begin()
+    spark.conf.set("parquet.block.size", 1 << 20)
+    try:
+        batch.write("deaths", rows_, partition=1)
+        batch.write("data", cells, partition=1)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    batch.publish(check=False)
+    wanted = rows_.where("death_id = 777").first().external_id
+    for name, column in (("deaths", "external_id"), ("data", "value")):
+        found = made.table(name).where(F.col(column) == wanted)
+        assert len(found.collect()) == 1
+        assert max(scanned_rows(found)) < 100_000
+
+
+def scanned_rows(df):
+    found = []
 
     def walk(node):
         metrics = node.metrics()
@@ -430,5 +491,6 @@ def test_one_column_reads_few_rows(spark, tmp_path):
         for i in range(children.size()):
             walk(children.apply(i))
 
-    walk(plan)
-    assert found and max(found) < 400_000
+    walk(df._jdf.queryExecution().executedPlan())
+    assert found
+    return found
