@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,19 +18,22 @@ SAMPLE_TEXTS = 2000
 #: Up to so many languages the code is exhaustive, all ways to part them; beyond it is drawn.
 EXHAUSTIVE = 5
 UNKNOWN = "und"
-#: How far texts may lie from what was learned is calibrated on at most so many that were not fitted,
-#: spread evenly over languages and sizes (UTF-8 bytes of the different words, bands begin at these).
-CALIBRATION_TEXTS = 2000
+#: So many languages are learned at most, those of the most labelled texts.
+LANGUAGES = 200
+#: Size bands (UTF-8 bytes of the different words; they begin at these) in which it is calibrated how far a
+#: text may lie from what was learned. Texts under the first size are too short to be told from
+#: chance and always stay.
 BANDS = (256, 1024, 4096)
-#: One in so many texts is set aside for it, in languages that have at least so many texts; a band
-#: with fewer calibrated texts than the last number has that of the shorter texts, if there is one.
-#: Texts under the first size are too short to be told from chance and always stay.
+#: One labelled text in so many is not learned from but calibrates, in languages that have at least so
+#: many texts; a band with fewer of them than the last number has the bound of the shorter texts, if there is one.
 ASIDE, ASIDE_FROM, BAND_TEXTS = 4, 40, 50
+#: The share of set-aside texts that may lie beyond the bound, which is that quantile over all of them.
+FALSE_DROPS = 0.0002
+#: Where there are too few of them to tell that quantile, the bound is the strangest one's times this.
+SLACK = 1.25
 #: A text's strangeness is its best codeword's loss plus this times its distance (1 - cosine) from
 #: the nearest language's mean features: letters that say little for or against any bit lie far.
 DISTANCE_WEIGHT = 3.0
-#: The bound is the strangest set-aside text's times this: the sample is small beside the corpus.
-SLACK = 1.25
 #: Texts nearer to a language than this share of the set-aside ones stay whatever their loss: they mix languages.
 NEAR = 0.95
 #: A text is ambiguous if the second codeword's probability is more than this share of the first's.
@@ -147,29 +150,35 @@ def fit(languages: list[str], label: np.ndarray, x: np.ndarray, steps: int = 200
     return Model(languages, code, slopes, offsets, weights * max(2, code.shape[1] / 2), centres)
 
 
-def _spread(usable: DataFrame, key: str, total: int, take: Callable[[DataFrame], pa.Table]) -> pa.Table | None:
-    """What ``take`` makes of the same number of rows of each value of ``key``, ``total`` at most.
+def _sample(usable: DataFrame, total: int) -> DataFrame | None:
+    """Different texts of ``usable``, the same number of each language, ``total`` at most; None if there are none.
 
-    Those with the smallest hashes are taken. None if there are no rows.
+    Of rows that repeat id and text one counts. Those with the smallest hashes are taken, and an
+    estimate of how many there are tells a bound for the hash, so that only a little more than
+    the sample is shuffled, however large a language is.
     """
-    counts = {r[key]: r.n for r in usable.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
+    place = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 63) - 1))
+    rows = usable.select("lang", "text", place.alias("__place"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("__place", 0.02).alias("__n"))
+    counts = counts.orderBy(F.desc("__n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return None
     each = max(1, total // len(counts))
-    share = F.coalesce(*[F.when(F.col(key) == name, min(1.0, 1.5 * each / n)) for name, n in counts.items()])
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32))
-    few = usable.where(place < share * float(1 << 32))
-    order = Window.partitionBy(key).orderBy(place, "doc_id", "text")
-    return take(few.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= each))
+    enough = 1.25 * (each + 8 * each**0.5 + 16)  # a sample of that size holds ``each`` but for one time in 10**12
+    bounds = [(r.lang, int(min(1.0, enough / r["__n"]) * ((1 << 63) - 1024))) for r in counts]
+    bounds = usable.sparkSession.createDataFrame(bounds, "lang string, __bound long")
+    # LANGUAGES rows at most
+    few = rows.join(F.broadcast(bounds), "lang").where(F.col("__place") <= F.col("__bound"))
+    few = few.dropDuplicates(["lang", "__place"])
+    order = Window.partitionBy("lang").orderBy("__place")
+    return few.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= each).select("lang", "text")
 
 
 def learn(labelled: DataFrame) -> Model | None:
     """Fit on a bounded sample of ``labelled`` (doc_id, text, lang): ``SAMPLE_TEXTS`` at most.
 
-    The sample is the same number of texts of each language, those with the smallest hashes. From
-    the languages' counts a bound for the hash is known that leaves half as many again, so only
-    these are shuffled, however large a language is. Texts without a letter and null languages are
-    left out. None if there is nothing to learn from.
+    The sample is the same number of different texts of each language, of the ``LANGUAGES`` most frequent
+    ones. Texts without a letter and null languages are left out. None if there is nothing to learn from.
     """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter())
 
@@ -178,11 +187,11 @@ def learn(labelled: DataFrame) -> Model | None:
             x = features(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x])], ["lang", "x"])
 
-    def take(sample: DataFrame) -> pa.Table:
-        return sample.select("lang", "text").mapInArrow(extract, "lang string, x binary").toArrow()
-
-    rows = _spread(usable, "lang", SAMPLE_TEXTS, take)
-    if rows is None:
+    sample = _sample(usable, SAMPLE_TEXTS)
+    if sample is None:
+        return None
+    rows = sample.mapInArrow(extract, "lang string, x binary").toArrow()
+    if not rows.num_rows:
         return None
     names = rows.column(0).to_pylist()
     languages = sorted(set(names))
@@ -249,42 +258,44 @@ def _band(texts: list[str]) -> np.ndarray:
 def calibrated(labelled: DataFrame) -> tuple[Model | None, list[bool], np.ndarray]:
     """A model, which of its languages are calibrated, and the strangeness and distance each size band allows.
 
-    In languages of ``ASIDE_FROM`` texts and more one text in ``ASIDE`` is not learned from; of
-    these a bounded sample gives the bounds. Smaller languages are learned whole and not calibrated.
+    In languages of ``ASIDE_FROM`` texts and more one text in ``ASIDE`` is not learned from; all of
+    these give the bounds. Smaller languages are learned whole and not calibrated.
     """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter())
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ASIDE_FROM)
-    large = [r.lang for r in counts.collect()]
+    large = [r.lang for r in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
     aside = F.col("lang").isin(large) & (F.pmod(F.xxhash64(F.lit(1), "doc_id", "text"), F.lit(ASIDE)) == 0)
     model, bounds = learn(usable.where(~aside)), np.full((2, len(BANDS) + 1), np.inf)
     if model is None:
         return learn(usable), [], bounds
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            _, strange, far = model.strangeness(features(texts))
-            arrays = [batch.column(0), pa.array(_band(texts), pa.int32())]
-            arrays += [pa.array(strange, pa.float64()), pa.array(far, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["kind", "band", "strange", "far"])
-
-    def take(sample: DataFrame) -> pa.Table:
-        return sample.select("kind", "text").mapInArrow(measure, "kind string, band int, strange double, far double").toArrow()
-
-    size = sum((F.octet_length("text") >= b).cast("int") for b in BANDS)
-    kind = F.concat(size.cast("string"), F.lit(":"), F.col("lang"))
-    rows = _spread(usable.where(aside).withColumn("kind", kind), "kind", CALIBRATION_TEXTS, take)
-    if rows is not None:
-        band, strange, far = (np.array(rows.column(i).to_pylist()) for i in (1, 2, 3))
-        for k in range(1, len(BANDS) + 1):
-            own = band == k
-            if own.sum() >= BAND_TEXTS:
-                bounds[:, k] = SLACK * strange[own].max(), np.quantile(far[own], NEAR)
-            elif own.any():
-                # longer texts are less strange
-                bounds[:, k] = max(bounds[0, k - 1], SLACK * strange[own].max()), bounds[1, k - 1]
-            else:
-                bounds[:, k] = bounds[:, k - 1]
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                texts = whole.column(0).slice(start, 256).to_pylist()
+                _, strange, far = model.strangeness(features(texts))
+                arrays = [pa.array(_band(texts), pa.int32()), pa.array(strange, pa.float64()), pa.array(far, pa.float64())]
+                yield pa.RecordBatch.from_arrays(arrays, ["band", "strange", "far"])
+
+    lies = usable.where(aside).select("text").mapInArrow(measure, "band int, strange double, far double")
+    found = lies.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("strange").alias("most"),
+        F.percentile_approx("strange", 1 - FALSE_DROPS, 100_000).alias("bound"),
+        F.percentile_approx("far", NEAR, 100_000).alias("near"),
+    )
+    found = {r.band: r for r in found.collect()}  # a row a band
+    for k in range(1, len(BANDS) + 1):
+        own = found.get(k)
+        if own is None:
+            bounds[:, k] = bounds[:, k - 1]
+            continue
+        most = own.bound if own.n * FALSE_DROPS >= 1 else SLACK * own.most
+        if own.n >= BAND_TEXTS:
+            bounds[:, k] = most, own.near
+        else:
+            # longer texts are less strange
+            bounds[:, k] = max(bounds[0, k - 1], most), bounds[1, k - 1]
     return model, [name in large for name in model.languages], bounds
 
 
@@ -292,9 +303,10 @@ def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """``docs`` without those that have no language.
 
     These are null texts, texts without a letter, and those whose strangeness (the best codeword's
-    weighted loss, and the distance from what was learned) is clearly (``SLACK``) beyond that of every
-    labelled text of like size that was set aside: encoded binary, key mashing, languages not learned. Where the best
-    language or the size is not calibrated (see ``calibrated``), texts with a letter stay.
+    weighted loss, and the distance from what was learned) is beyond that of all but ``FALSE_DROPS`` of the
+    labelled texts of like size that were set aside, so clean texts are lost at that rate at most: encoded binary,
+    key mashing, languages not learned. Where the best language or the size is not calibrated (see
+    ``calibrated``), texts with a letter stay.
 
     Ambiguous texts stay: short and mixed ones are mostly clean. If there is nothing to learn from,
     nothing more can be told, and all texts with a letter stay. Rows aren't moved.
