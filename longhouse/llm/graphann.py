@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -149,15 +151,28 @@ def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in values])
 
 
-def _search_shard(vectors: np.ndarray, ids: list, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+GRAPH = "size int, vectors binary, ids array<array<long>>, edges binary, entry int"
+
+
+def build_shard(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """A shard's graph as a row: its vectors, the ids of each, edges and the entry."""
+    group = group.sort_values("__key")
+    vectors = _matrix(group["embedding"])
+    edges, entry = build_graph(vectors.astype(np.float32))
+    row = (vectors.shape[1], vectors.tobytes(), [list(i) for i in group["ids"]], edges.tobytes(), entry)
+    return pd.DataFrame([row], columns=["size", "vectors", "ids", "edges", "entry"])
+
+
+def search_graph(row: dict, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k nearest rows of a shard for each query, by the graph, then by exact distances."""
-    points = vectors.astype(np.float32)
-    edges, entry = build_graph(points)
+    vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["size"])
+    edges = np.frombuffer(row["edges"], np.int32).reshape(len(vectors), -1)
+    points, ids = vectors.astype(np.float32), row["ids"]
     wide = _matrix(queries["embedding"])
     out = []
     for start in range(0, len(wide), BATCH):
         block = wide[start : start + BATCH]
-        found, _ = beam_search(points, edges, entry, block.astype(np.float32), min(QUERY_BEAM, len(points)))
+        found, _ = beam_search(points, edges, row["entry"], block.astype(np.float32), min(QUERY_BEAM, len(points)))
         for q, nodes in enumerate(found):
             nodes = nodes[nodes >= 0]
             exact = np.sqrt(((vectors[nodes] - block[q]) ** 2).sum(axis=1))
@@ -167,14 +182,15 @@ def _search_shard(vectors: np.ndarray, ids: list, queries: pd.DataFrame, k: int)
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def _shard_search(shared, k: int):
-    def search(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+def _search_all(shared, k: int):
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries = shared.value
-        own = queries[queries["embedding"].map(len) == key[1]]
-        if own.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        group = group.sort_values("__key")
-        return _search_shard(_matrix(group["embedding"]), list(group["ids"]), own, k)
+        lengths = queries["embedding"].map(len)
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                own = queries[lengths == row["size"]]
+                if len(own):
+                    yield search_graph(row, own, k)
 
     return search
 
@@ -191,8 +207,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Equal vectors are one node that keeps its k + 1 smallest ids, all that any query can return, so
     a vector that most rows hold is no larger than others. Distinct vectors are dealt to shards by
-    hash; each shard builds its graph in one task and answers a block of queries at a time, and the
-    shards' answers are merged.
+    hash; each shard's graph is built once, in one task, and staged. Every shard then answers the queries, of which
+    ``QUERY_BLOCK`` are sent to the tasks at a time, and the shards' answers are merged.
     """
     rows = usable(vectors).withColumn("__key", F.sha1(F.to_json("embedding").cast("binary")))
     order = Window.partitionBy("__key").orderBy("vec_id")
@@ -206,6 +222,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     nodes = nodes.withColumn("__size", F.size("embedding")).withColumn(
         "__shard", F.pmod(F.xxhash64("__key"), F.lit(shards))
     )
+    graphs = stage(nodes.groupBy("__shard", "__size").applyInPandas(build_shard, GRAPH), "ann-graphs")
     asked = usable(queries).select(F.col("vec_id").alias("query_id"), "embedding").distinct()
     asked = stage(asked, "ann-queries")
     answers = None
@@ -213,9 +230,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     for part in range(parts):
         block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).toPandas()
         shared = vectors.sparkSession.sparkContext.broadcast(block)
-        found = nodes.groupBy("__shard", "__size").applyInPandas(
-            _shard_search(shared, k), "query_id long, vec_id long, score double"
-        )
+        found = graphs.mapInPandas(_search_all(shared, k), "query_id long, vec_id long, score double")
         answers = found if answers is None else answers.unionByName(found)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
