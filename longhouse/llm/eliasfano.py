@@ -173,45 +173,66 @@ class Quantiser:
 
 
 class Level:
-    """One level of the trie: contexts, monotone pointers to their successors, and quantised numbers.
+    """One level of the trie: monotone pointers from contexts to their successors, and quantised numbers.
 
     A successor is stored relative to its context: the sequence holds rank of the context times the
-    width of a word id plus the id, which is monotone over all contexts.
+    width of a word id plus the id, which is monotone over all contexts. The first level keeps its contexts, too; in
+    those below a context is an n-gram of the level above, and its rank is its place there.
     """
 
     def __init__(self, arrays: dict[str, np.ndarray], numbers: dict):
         self.arrays, self.numbers = arrays, numbers
         n, m = numbers["n"], numbers["m"]
-        self.contexts = EliasFano.of("contexts", arrays, m, numbers["contexts"])
+        self.contexts = EliasFano.of("contexts", arrays, m, numbers["contexts"]) if "contexts" in numbers else None
         self.pointers = EliasFano.of("pointers", arrays, m + 1, numbers["pointers"])
         self.successors = EliasFano.of("successors", arrays, n, numbers["successors"])
         self.share = Quantiser(*numbers["share"])
         self.rest = Quantiser(*numbers["rest"])
 
     @classmethod
-    def build(cls, context: np.ndarray, word: np.ndarray, count: np.ndarray, discount: float) -> Level:
+    def build(cls, context: np.ndarray, word: np.ndarray, count: np.ndarray, discount: float, totals: dict | None = None) -> Level:
         """From n-grams sorted by context, then word, all with a count of at least 1.
 
         Absolute discounting: a successor has the share (count - discount) / sum of its context's
-        counts; the rest, discount * successors / sum, is left to the shorter context.
+        counts; the rest, discount * successors / sum, is left to the shorter context. ``totals`` are the sums of
+        contexts that have successors elsewhere, too.
         """
         known, first, successors = np.unique(context, return_index=True, return_counts=True)
-        rank = np.repeat(np.arange(len(known), dtype=np.uint64), successors)
         total = np.add.reduceat(count, first).astype(np.float64) if len(known) else np.zeros(0)
+        for k in np.flatnonzero(np.isin(known, list(totals))) if totals else ():
+            total[k] = totals[int(known[k])]
+        ends = np.concatenate([first, [len(word)]]) if len(known) else np.zeros(1, np.int64)
+        return cls._of(ends, total, word, count, discount, known)
+
+    @classmethod
+    def below(cls, parent: np.ndarray, parents: int, word: np.ndarray, count: np.ndarray, discount: float) -> Level:
+        """From n-grams sorted by the place of their first n - 1 words in the level above, then word."""
+        parent = parent.astype(np.int64)
+        ends = np.searchsorted(parent, np.arange(parents + 1))
+        total = np.bincount(parent, weights=count, minlength=parents)
+        return cls._of(ends, total, word, count, discount)
+
+    @classmethod
+    def _of(cls, ends, total, word, count, discount: float, contexts: np.ndarray | None = None) -> Level:
+        successors = np.diff(ends)
+        m, rank = len(successors), np.repeat(np.arange(len(successors), dtype=np.uint64), successors)
         share = (count - discount) / np.repeat(total, successors)
-        rest = discount * successors / total
+        some = successors > 0
+        rest = discount * successors[some] / total[some]
         by_share, by_rest = Quantiser.over(share), Quantiser.over(rest)
+        rests = np.zeros(m, np.uint16)
+        rests[some] = by_rest.codes(rest)
         width = int(word.max(initial=0)).bit_length()
-        ends = np.concatenate([first, [len(word)]]) if len(known) else np.zeros(1, np.int64)
         sequences = {
-            "contexts": EliasFano.encode(known, int(known.max(initial=0)) + 1),
             "pointers": EliasFano.encode(ends, len(word) + 1),
-            "successors": EliasFano.encode((rank << np.uint64(width)) | word.astype(np.uint64), max(1, len(known)) << width),
+            "successors": EliasFano.encode((rank << np.uint64(width)) | word.astype(np.uint64), max(1, m) << width),
         }
+        if contexts is not None:
+            sequences["contexts"] = EliasFano.encode(contexts, int(contexts.max(initial=0)) + 1)
         arrays = {k: v for name, s in sequences.items() for k, v in s.parts(name).items()}
-        arrays |= {"share": by_share.codes(share), "rest": by_rest.codes(rest)}
+        arrays |= {"share": by_share.codes(share), "rest": rests}
         numbers = {name: s.low_bits for name, s in sequences.items()}
-        numbers |= {"n": len(word), "m": len(known), "width": width}
+        numbers |= {"n": len(word), "m": m, "width": width}
         numbers |= {"share": [by_share.least, by_share.step], "rest": [by_rest.least, by_rest.step]}
         return cls(arrays, numbers)
 
@@ -225,17 +246,33 @@ class Level:
     def context_ranks(self, contexts: np.ndarray) -> np.ndarray:
         return self.contexts.find(contexts)
 
-    def shares(self, rank: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Codes of the shares of ``word`` after the contexts of these ranks (-1: unknown); 0 for none."""
-        out = np.zeros(len(rank), np.uint16)
+    def places(self, rank: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places of ``word`` after the contexts of these ranks (-1: unknown); -1 for none."""
+        out = np.full(len(rank), -1, np.int64)
         width = self.numbers["width"]
         at = np.flatnonzero((rank >= 0) & (word.astype(np.uint64) >> np.uint64(width) == 0))
         ranks, back = np.unique(rank[at], return_inverse=True)
         start = self.pointers.access(ranks).astype(np.int64)[back]
         stop = self.pointers.access(ranks + 1).astype(np.int64)[back]
         x = (rank[at].astype(np.uint64) << np.uint64(width)) | word[at].astype(np.uint64)
-        place = self.successors.find(x, start, stop)
-        out[at] = np.where(place >= 0, self.arrays["share"][np.maximum(place, 0)], 0) if self.numbers["n"] else 0
+        out[at] = self.successors.find(x, start, stop)
+        return out
+
+    def share_codes(self, place: np.ndarray) -> np.ndarray:
+        """Codes of the shares at these places; 0 for none."""
+        if not self.numbers["n"]:
+            return np.zeros(len(place), np.uint16)
+        return np.where(place >= 0, self.arrays["share"][np.maximum(place, 0)], 0).astype(np.uint16)
+
+    def shares(self, rank: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Codes of the shares of ``word`` after the contexts of these ranks; 0 for none."""
+        return self.share_codes(self.places(rank, word))
+
+    def successor_counts(self, rank: np.ndarray) -> np.ndarray:
+        """How many successors the contexts of these ranks have; 0 for unknown ones."""
+        out = np.zeros(len(rank), np.uint32)
+        at = np.flatnonzero(rank >= 0)
+        out[at] = self.pointers.access(rank[at] + 1) - self.pointers.access(rank[at])
         return out
 
     def rests(self, rank: np.ndarray) -> np.ndarray:
@@ -243,3 +280,19 @@ class Level:
         if not self.numbers["m"]:
             return np.zeros(len(rank), np.uint16)
         return np.where(rank >= 0, self.arrays["rest"][np.maximum(rank, 0)], 0).astype(np.uint16)
+
+
+def trie_to_bytes(levels: list[Level]) -> bytes:
+    """A trie as its levels' sizes and buffers, each on a multiple of 8 bytes."""
+    parts = [level.to_bytes() for level in levels]
+    return struct.pack(f"<{len(parts) + 1}Q", len(parts), *map(len, parts)) + b"".join(parts)
+
+
+def map_trie(buffer) -> list[Level]:
+    """The levels of a trie in ``buffer``, bytes or a memory map; nothing is copied or decoded."""
+    (count,) = struct.unpack_from("<Q", buffer)
+    at, levels, view = 8 * (count + 1), [], memoryview(buffer)
+    for size in struct.unpack_from(f"<{count}Q", buffer, 8):
+        levels.append(Level.map(view[at : at + size]))
+        at += size
+    return levels

@@ -1,8 +1,8 @@
 """An n-gram language model in Elias-Fano tries, one for each shard of the contexts.
 
 Texts are cut once into blocks, a row each, that hold token numbers and their words. Blocks ask the
-shards of the vocabulary for word ids, then the shards of the bigrams for probabilities; what is
-shuffled are sorted, deduplicated arrays, so a word or bigram that stands in every text is one
+shards of the vocabulary for word ids, then the shards of the n-grams for probabilities; what is
+shuffled are sorted, deduplicated arrays, so a word or n-gram that stands in every text is one
 entry for each block.
 """
 
@@ -19,13 +19,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from longhouse.llm.eliasfano import Level, Quantiser
+from longhouse.llm.eliasfano import Level, Quantiser, map_trie, trie_to_bytes
 from longhouse.session import stage
 
 #: A block is closed when its texts reach so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 12_000_000
-#: Tokens for each shard of vocabulary and bigrams, on average.
+#: Twice the tokens for each shard of vocabulary and n-grams, on average.
 SHARD_TOKENS = 3_000_000
+#: Words of the longest n-grams.
+ORDER = 3
 #: Taken from each count of a successor and left to shorter contexts.
 DISCOUNT = 0.75
 #: The end of a text as a word; it stands for the context of the first word, too.
@@ -182,17 +184,17 @@ def train_vocabulary(messages: DataFrame) -> DataFrame:
     return stage(messages.groupBy("shard").applyInPandas(merge, VOCABULARY), "lm-vocabulary")
 
 
-REPLY = "block long, level int, shard int, place binary, first binary, second binary, least double, step double, least2 double, step2 double"
-_REPLY_NAMES = [f.split()[0] for f in REPLY.split(", ")]
+KNOWN = "block long, shard int, place binary, ids binary, seen binary"
 
 
 def _word_replies(messages: DataFrame, vocabulary: DataFrame, shards: int) -> DataFrame:
     """For each block's words their ids (0: unknown) and counts. An id is its place in its shard's
     list times the number of shards, plus the shard, plus 1."""
+    names = [f.split()[0] for f in KNOWN.split(", ")]
 
     def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame(columns=_REPLY_NAMES)
+            return pd.DataFrame(columns=names)
         shard = int(left["shard"].iloc[0])
         words, counts = unpack_words(right["words"].iloc[0]), unpack(right["counts"].iloc[0])
         number = {w: i for i, w in enumerate(words)} if len(counts) else {}
@@ -201,122 +203,283 @@ def _word_replies(messages: DataFrame, vocabulary: DataFrame, shards: int) -> Da
         for block, place, asked in zip(left["block"], left["place"], left["first"]):
             found = np.array([number.get(w, -1) for w in unpack_words(asked)], np.int64)
             ids = np.where(found >= 0, found * shards + shard + 1, 0).astype(np.uint32)
-            out.append((block, 1, shard, place, pack(ids), pack(counts[found]), 0.0, 0.0, 0.0, 0.0))
-        return pd.DataFrame(out, columns=_REPLY_NAMES)
+            out.append((block, shard, place, pack(ids), pack(counts[found])))
+        return pd.DataFrame(out, columns=names)
+
+    return messages.groupBy("shard").cogroup(vocabulary.groupBy("shard")).applyInPandas(answer, KNOWN)
+
 
-    return messages.groupBy("shard").cogroup(vocabulary.groupBy("shard")).applyInPandas(answer, REPLY)
+def _known_words(replies: DataFrame) -> DataFrame:
+    """The replies to a block side by side, a row a block."""
+    rows = F.collect_list(F.struct("place", "ids", "seen"))
+    return stage(replies.groupBy("block").agg(rows.alias("known")), "lm-words")
 
 
-class _Bigrams:
-    """The different (context, word) pairs of a block, sorted, and where each token's pair is.
+def _spread(values: np.ndarray, factor: int) -> np.ndarray:
+    return (values.astype(np.uint32) * np.uint32(factor)) >> np.uint32(7)
 
-    The context of a text's first token is the end mark. Pairs whose context is unknown are left out.
+
+class _Level:
+    """The different n-grams of a block of one order, and which of them ends at each token (-1: none).
+
+    They are sorted by what they extend, ``parent``: the word before, in the first level, or the number of the n-gram of
+    one word less, then by ``word``.
     """
 
-    def __init__(self, row: dict, replies: pd.DataFrame, shards: int):
+    def __init__(self, parent: np.ndarray, word: np.ndarray, at: np.ndarray, back: np.ndarray, tokens: int):
+        self.parent, self.word = parent, word
+        self.ends = np.full(tokens, -1, np.int64)
+        self.ends[at] = back
+
+    def counts(self, trained: np.ndarray) -> np.ndarray:
+        at = self.ends[trained & (self.ends >= 0)]
+        return np.bincount(at, minlength=len(self.word)).astype(np.uint32)
+
+
+class _Grams:
+    """A block's n-grams of 2 to ``order`` words, by the shard that holds them.
+
+    The end mark is the context of a text's first token. Pairs whose context is unknown are left out, and so is what
+    extends them. A pair goes to the shard of its context, and what extends the pair goes with it. A
+    context that comes more than ``often`` times is dealt over several shards by the second word; how often it
+    comes is known from the vocabulary, and how many successors it has each of them is asked.
+    """
+
+    def __init__(self, row: dict, shards: int, order: int, often: int):
         self.tokens, self.lengths = unpack(row["tokens"]), unpack(row["lengths"]).astype(np.int64)
-        self.train = unpack(row["train"]).astype(bool)
+        self.train = np.repeat(unpack(row["train"]).astype(bool), self.lengths)
         n = int(self.tokens.max()) + 1
         ids, counts = np.zeros(n, np.uint32), np.zeros(n, np.uint64)
-        for reply in replies[replies["level"] == 1].to_dict("records"):
+        for reply in row["known"]:
             place = unpack(reply["place"])
-            ids[place], counts[place] = unpack(reply["first"]), unpack(reply["second"])
-        self.counts = counts[self.tokens].astype(np.float64)
+            ids[place], counts[place] = unpack(reply["ids"]), unpack(reply["seen"])
+        seen = counts[self.tokens]
+        self.counts = seen.astype(np.float64)
         word = ids[self.tokens].astype(np.uint64)
         stops = np.cumsum(self.lengths)
+        first = np.concatenate([[0], stops[:-1]])
         context = np.concatenate([word[:1], word[:-1]])
-        context[np.concatenate([[0], stops[:-1]])] = word[stops - 1]
-        self.at = np.flatnonzero(context)
-        pairs, self.back = np.unique((context[self.at] << np.uint64(32)) | word[self.at], return_inverse=True)
-        self.context, self.word = (pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)
-        shard = (self.context * np.uint32(0x9E3779B1) >> np.uint32(7)) % np.uint32(shards)
-        self.order = np.argsort(shard, kind="stable")
-        starts = np.flatnonzero(np.diff(shard[self.order], prepend=-1)) if len(shard) else []
-        self.parts = {int(shard[p[0]]): p for p in np.split(self.order, starts[1:])} if len(shard) else {}
+        context[first] = word[stops - 1]
+        low = np.uint64(32)
+        at = np.flatnonzero(context)
+        pairs, back = np.unique((context[at] << low) | word[at], return_inverse=True)
+        parent, second = (pairs >> low).astype(np.uint32), pairs.astype(np.uint32)
+        # frequent contexts, how often they come, and over how many shards they are dealt
+        known, where = np.unique(context, return_index=True)
+        before = np.concatenate([seen[:1], seen[:-1]])
+        before[first] = seen[stops - 1]
+        times = before[where]
+        hot = (known > 0) & (times > often)
+        self.hot, self.totals = known[hot].astype(np.uint32), times[hot]
+        ways = np.minimum(self.totals // np.uint64(often) + np.uint64(1), np.uint64(shards)).astype(np.uint32)
+        home = _spread(parent, 0x9E3779B1)
+        if len(self.hot):
+            nth = np.minimum(np.searchsorted(self.hot, parent), len(self.hot) - 1)
+            dealt = self.hot[nth] == parent
+            home = home + np.where(dealt, _spread(second, 0x85EBCA6B) % ways[nth], 0).astype(np.uint32)
+        shard = home % np.uint32(shards)
+        by = np.argsort(shard, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        self.shard = shard[by]
+        self.levels = [_Level(parent[by], second[by], at, place[back], len(word))]
+        opens = np.zeros(len(word), bool)
+        opens[first] = True
+        for _ in range(3, order + 1):
+            # the n-gram at a token extends that at the token before
+            ends = self.levels[-1].ends
+            shorter = np.concatenate([[-1], ends[:-1]])
+            at = np.flatnonzero((shorter >= 0) & ~opens)
+            keys, back = np.unique((shorter[at].astype(np.uint64) << low) | word[at], return_inverse=True)
+            self.levels.append(
+                _Level((keys >> low).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), at, back, len(word))
+            )
+        # which shards are told of which frequent contexts: all that these are dealt over
+        self.asked: dict[int, list[int]] = {}
+        for k, (start, many) in enumerate(zip(_spread(self.hot, 0x9E3779B1).tolist(), ways.tolist())):
+            for way in range(many):
+                self.asked.setdefault((start + way) % shards, []).append(k)
 
+    def parts(self) -> Iterator[tuple[int, list[slice], list[int]]]:
+        """Each shard's stretch of every level, and the frequent contexts it is told of."""
+        found = dict.fromkeys([*np.unique(self.shard).tolist(), *self.asked])
+        for shard in found:
+            start, stop = np.searchsorted(self.shard, [shard, shard + 1])
+            cuts = [slice(int(start), int(stop))]
+            for level in self.levels[1:]:
+                start, stop = np.searchsorted(level.parent, [cuts[-1].start, cuts[-1].stop])
+                cuts.append(slice(int(start), int(stop)))
+            yield shard, cuts, self.asked.get(shard, [])
 
-def _pair_messages(blocks: DataFrame, word_replies: DataFrame, shards: int) -> DataFrame:
-    """The pairs of each block with their training counts, dealt out by context."""
-    names = [f.split()[0] for f in MESSAGE.split(", ")]
 
-    def deal(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in left.to_dict("records"):
-            own = _Bigrams(row, right, shards)
-            trained = np.repeat(own.train, own.lengths)[own.at]
-            counts = np.bincount(own.back[trained], minlength=len(own.context)).astype(np.uint32)
-            for shard, part in own.parts.items():
-                step = np.diff(own.context[part], prepend=0).astype(np.uint32)
-                out.append((shard, row["block"], b"", pack(step), pack(own.word[part]), pack(counts[part])))
-        return pd.DataFrame(out, columns=names)
+GRAMS = "shard int, block long, hot binary, totals binary, grams array<binary>"
 
-    own = blocks.select("block", "train", "lengths", "tokens")
-    return own.groupBy("block").cogroup(word_replies.groupBy("block")).applyInPandas(deal, MESSAGE)
 
+def _gram_messages(blocks: DataFrame, shards: int, order: int, often: int) -> DataFrame:
+    """The n-grams of each block with their training counts, dealt out by context: for each level what an n-gram extends,
+    as steps from one to the next, its last word and its count."""
 
-def _trie_and_replies(messages: DataFrame, discount: float) -> DataFrame:
-    """Each shard's trie, built from the training counts, and what it says of every block's pairs.
+    def deal(row: dict) -> Iterator[dict]:
+        own = _Grams(row, shards, order, often)
+        counts = [level.counts(own.train) for level in own.levels]
+        for shard, cuts, asked in own.parts():
+            grams, base = [], 0
+            for level, count, cut in zip(own.levels, counts, cuts):
+                parent = level.parent[cut].astype(np.int64) - base
+                grams += [pack(np.diff(parent, prepend=0).astype(np.uint32)), pack(level.word[cut]), pack(count[cut])]
+                base = cut.start
+            yield {
+                "shard": shard,
+                "block": row["block"],
+                "hot": pack(own.hot[asked]),
+                "totals": pack(own.totals[asked]),
+                "grams": grams,
+            }
+
+    return _map_rows(blocks.select("block", "train", "lengths", "tokens", "known"), deal, GRAMS)
+
+
+class _Asked:
+    """A message read again."""
+
+    def __init__(self, hot: bytes, totals: bytes, grams: list[bytes]):
+        self.hot, self.totals = unpack(hot), unpack(totals)
+        self.parents = [np.cumsum(unpack(g), dtype=np.int64) for g in grams[::3]]
+        self.words = [unpack(g) for g in grams[1::3]]
+        self.counts = [unpack(g) for g in grams[2::3]]
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order with the sums of their counts; those that were only asked for are left out."""
+    keys, counts = keys[counts > 0], counts[counts > 0]
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    if not len(keys):
+        return keys, counts
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[start], np.add.reduceat(counts, start)
+
+
+def build_trie(asked: list[_Asked], discount: float) -> bytes:
+    """The trie of a shard from the training counts of all blocks, level by level."""
+    low, mask = np.uint64(32), np.uint64(0xFFFFFFFF)
+    totals = {int(c): int(t) for a in asked for c, t in zip(a.hot, a.totals)}
+    levels, places = [], [a.parents[0] for a in asked]
+    for n in range(len(asked[0].words)):
+        own = [a.words[n].astype(np.uint64) | (p.astype(np.uint64) << low) for a, p in zip(asked, places)]
+        # an n-gram that extends one no training text has was not trained either
+        counts = [np.where(p >= 0, a.counts[n], 0) for a, p in zip(asked, places)]
+        keys, count = _summed(np.concatenate(own), np.concatenate(counts))
+        if n:
+            level = Level.below(keys >> low, levels[-1].numbers["n"], keys & mask, count, discount)
+        else:
+            level = Level.build(keys >> low, keys & mask, count, discount, totals)
+        levels.append(level)
+        if n + 1 < len(asked[0].words):
+            found = [_found(keys, k) for k in own]
+            places = [f[a.parents[n + 1]] for f, a in zip(found, asked)]
+    return trie_to_bytes(levels)
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+REPLY = "block long, shard int, shares array<binary>, rests array<binary>, kinds binary, codebook array<double>"
+_REPLY_NAMES = [f.split()[0] for f in REPLY.split(", ")]
+
+
+def ask_trie(trie: list[Level], asked: _Asked) -> tuple[list[bytes], list[bytes], bytes]:
+    """What a trie says of a block's n-grams: a code for the share of each, one for the rest of each that is extended, and the
+    number of successors of its frequent contexts here.
 
-    The trie is a row of level 0, its bytes in ``first``; it is mapped as it is, not decoded, and
-    queried pair by pair: the context's rank, its range of successors, then the successor search.
+    It is queried level by level: the rank of a context, its range of successors, then the successor search,
+    whose place is the rank in the next level.
     """
+    shares, rests = [], []
+    known, rank = np.unique(asked.parents[0], return_inverse=True)
+    ranks = trie[0].context_ranks(known.astype(np.uint64))
+    for level, parent, word in zip(trie, [rank, *asked.parents[1:]], asked.words):
+        rests.append(pack(level.rests(ranks)))
+        ranks = level.places(ranks[parent], word)
+        shares.append(pack(level.share_codes(ranks)))
+    kinds = trie[0].successor_counts(trie[0].context_ranks(asked.hot.astype(np.uint64)))
+    return shares, rests, pack(kinds)
+
+
+def _tries(messages: DataFrame, discount: float) -> DataFrame:
+    """Each shard's trie as the bytes that ``eliasfano.map_trie`` reads: (shard, first)."""
 
     def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        shard = int(key[0])
-        asked = [
-            (np.cumsum(unpack(a), dtype=np.uint64), unpack(b), unpack(c))
-            for a, b, c in zip(frame["first"], frame["second"], frame["counts"])
-        ]
-        pairs = np.concatenate([(c << np.uint64(32)) | w for c, w, _ in asked])
-        counts = np.concatenate([n for _, _, n in asked])
-        pairs, counts = pairs[counts > 0], counts[counts > 0]
-        order = np.argsort(pairs, kind="stable")
-        pairs, counts = pairs[order], counts[order].astype(np.int64)
-        start = np.flatnonzero(np.diff(pairs, prepend=pairs[:1] + np.uint64(1))) if len(pairs) else []
-        counts = np.add.reduceat(counts, start) if len(pairs) else counts
-        pairs = pairs[start] if len(pairs) else pairs
-        level = Level.build(pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF), counts, discount)
-        data = level.to_bytes()
-        trie = Level.map(data)
-        codebook = (trie.share.least, trie.share.step, trie.rest.least, trie.rest.step)
-        out = [(-1, 0, shard, b"", data, b"", *codebook)]
-        for block, (context, word, _) in zip(frame["block"], asked):
-            known, back = np.unique(context, return_inverse=True)
-            rank = trie.context_ranks(known)
-            out.append(
-                (block, 2, shard, b"", pack(trie.shares(rank[back], word)), pack(trie.rests(rank)), *codebook)
-            )
+        asked = [_Asked(*m) for m in zip(frame["hot"], frame["totals"], frame["grams"])]
+        return pd.DataFrame([(int(key[0]), build_trie(asked, discount))], columns=["shard", "first"])
+
+    return messages.groupBy("shard").applyInPandas(build, "shard int, first binary")
+
+
+def _replies(messages: DataFrame, discount: float) -> DataFrame:
+    """What each shard's trie says of every block's n-grams; it is mapped as it is, not decoded."""
+
+    def answer(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        asked = [_Asked(*m) for m in zip(frame["hot"], frame["totals"], frame["grams"])]
+        trie = map_trie(build_trie(asked, discount))
+        codebook = [x for level in trie for q in (level.share, level.rest) for x in (q.least, q.step)]
+        out = [(block, int(key[0]), *ask_trie(trie, a), codebook) for block, a in zip(frame["block"], asked)]
         return pd.DataFrame(out, columns=_REPLY_NAMES)
 
-    return stage(messages.groupBy("shard").applyInPandas(build, REPLY), "lm-tries")
+    return messages.groupBy("shard").applyInPandas(answer, REPLY)
 
 
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scores(blocks: DataFrame, replies: DataFrame, shards: int, tokens: int, words: int, discount: float) -> DataFrame:
+def _chances(own: _Grams, replies: pd.DataFrame, first: np.ndarray, discount: float) -> np.ndarray:
+    """The probability of each token: from the share of all words up, order by order."""
+    shares = [np.zeros(len(level.word)) for level in own.levels]
+    rests = [np.ones(len(level.word)) for level in own.levels]
+    kinds = np.zeros(len(own.hot), np.int64)
+    cuts = {shard: (c, asked) for shard, c, asked in own.parts()}
+    for reply in replies.to_dict("records"):
+        stretch, asked = cuts[reply["shard"]]
+        kinds[asked] += unpack(reply["kinds"])
+        for n, (level, cut) in enumerate(zip(own.levels, stretch)):
+            least, step, least2, step2 = reply["codebook"][4 * n : 4 * n + 4]
+            shares[n][cut] = Quantiser(least, step).values(unpack(reply["shares"][n]))
+            codes = unpack(reply["rests"][n])
+            rest = np.where(codes > 0, Quantiser(least2, step2).values(codes), 1.0)
+            # by context in the first level, then by the n-gram of one word less
+            which = np.unique(level.parent[cut], return_inverse=True)[1] if not n else level.parent[cut] - stretch[n - 1].start
+            rests[n][cut] = rest[which]
+    if len(own.hot):
+        pairs = own.levels[0]
+        nth = np.minimum(np.searchsorted(own.hot, pairs.parent), len(own.hot) - 1)
+        dealt = own.hot[nth] == pairs.parent
+        rests[0] = np.where(dealt, (discount * kinds / own.totals)[nth], rests[0])
+    chance = first
+    for level, share, rest in zip(own.levels, shares, rests):
+        at = np.flatnonzero(level.ends >= 0)
+        chance[at] = share[level.ends[at]] + rest[level.ends[at]] * chance[at]
+    return chance
+
+
+def _scores(
+    blocks: DataFrame, replies: DataFrame, shape: tuple[int, int, int], tokens: int, words: int, discount: float
+) -> DataFrame:
     """Scores of a block's texts from what the shards said."""
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.to_dict("records"):
-            own = _Bigrams(row, right, shards)
+            own = _Grams(row, *shape)
             base = np.log10((own.counts + 1) / (tokens + words + 1))
             if tokens:
                 first = np.maximum(own.counts - discount, 0) / tokens + discount * words / tokens / (words + 1)
             else:
                 first = np.ones(len(own.counts))
-            share, rest = np.zeros(len(own.context)), np.ones(len(own.context))
-            for reply in right[right["level"] == 2].to_dict("records"):
-                part = own.parts[reply["shard"]]
-                by_share = Quantiser(reply["least"], reply["step"])
-                by_rest = Quantiser(reply["least2"], reply["step2"])
-                share[part] = by_share.values(unpack(reply["first"]))
-                rests = unpack(reply["second"])
-                left_over = np.where(rests > 0, by_rest.values(rests), 1.0)
-                rest[part] = left_over[np.unique(own.context[part], return_inverse=True)[1]]
-            chance = first
-            chance[own.at] = share[own.back] + rest[own.back] * first[own.at]
+            chance = _chances(own, right, first, discount)
             starts = np.concatenate([[0], np.cumsum(own.lengths)[:-1]])
             ids, known = unpack(row["docs"]).reshape(2, -1)
             out.append(
@@ -333,26 +496,29 @@ def _scores(blocks: DataFrame, replies: DataFrame, shards: int, tokens: int, wor
             out[-1].loc[known == 0, "doc_id"] = pd.NA
         return pd.concat(out) if out else pd.DataFrame(columns=[f.split()[0] for f in SCORED.split(", ")])
 
-    own = blocks.select("block", "docs", "train", "lengths", "tokens")
+    own = blocks.select("block", "docs", "train", "lengths", "tokens", "known")
     return own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(add_up, SCORED)
 
 
-def train_and_score(docs: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, DataFrame]:
-    """Learn a bigram model from the rows of ``docs`` (doc_id, text, train) with train set, and score all.
+def train_and_score(docs: DataFrame, discount: float = DISCOUNT, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """Learn a model of ``order`` words from the rows of ``docs`` (doc_id, text, train) with train set, and score all.
 
     Returns the scores and the tries. Scores: doc_id, n_tokens, n_known, base_score (add-one
     unigrams), score (the model's log10 probability of the text and its end) and train_tokens. Tries:
-    shard and ``first``, the bytes that ``eliasfano.Level.map`` reads.
+    shard and ``first``, the bytes that ``eliasfano.map_trie`` reads, a level for each order from 2 on.
 
     Tokens are runs of anything but ASCII blanks, A-Z in lower case, and one end for each text. The
-    probability of a word mixes its share after the word before it with its share of all words and
-    1/(words + 1), by absolute discounting; over all words and one unknown word it sums to 1, but
+    probability of a word mixes its share after the ``order`` - 1 words before it with that after one word less, down to
+    its share of all words and 1/(words + 1), by absolute discounting; over all words and one unknown word it sums to 1, but
     for the rounding of the 16-bit codes.
 
     A null text is empty: its end is all that is scored. A null train is false. Without training
     texts every probability is 1/(0 + 1), so scores are 0. Ids may repeat or be null; each row is
-    scored. A word or pair may stand in any share of the texts: each block sends it once.
+    scored. A word or n-gram may stand in any share of the texts: each block sends it once, and the successors of a
+    word that is a large share of all are dealt over several shards.
     """
+    if order < 2:
+        raise ValueError("a trie has n-grams of two words and more")
     blocks = tokenise(docs)
     total = blocks.agg(F.sum("n_tokens"), F.sum("n_train")).first()
     tokens, train_tokens = int(total[0] or 0), int(total[1] or 0)
@@ -361,10 +527,9 @@ def train_and_score(docs: DataFrame, discount: float = DISCOUNT) -> tuple[DataFr
     messages = _word_messages(blocks, shards)
     vocabulary = train_vocabulary(messages)
     words = int(vocabulary.agg(F.sum("n_words")).first()[0] or 0)
-    word_replies = stage(_word_replies(messages, vocabulary, shards), "lm-words")
-    tries = _trie_and_replies(_pair_messages(blocks, word_replies, shards), discount)
-    replies = word_replies.unionByName(tries.where("level = 2"))
-    scores = _scores(blocks, replies, shards, train_tokens, words, discount)
-    return scores.withColumn("train_tokens", F.lit(train_tokens).cast("long")), tries.where("level = 0").select(
-        "shard", "first"
-    )
+    known = _known_words(_word_replies(messages, vocabulary, shards))
+    blocks = blocks.drop("words", "counts").join(known, "block")
+    shape = (shards, order, SHARD_TOKENS)
+    grams = _gram_messages(blocks, *shape)
+    scores = _scores(blocks, _replies(grams, discount), shape, train_tokens, words, discount)
+    return scores.withColumn("train_tokens", F.lit(train_tokens).cast("long")), _tries(grams, discount)

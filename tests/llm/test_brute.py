@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import check_oracle
+from longhouse.session import stage
 import corpus_pipeline
 from longhouse.llm import (
     components,
@@ -185,36 +186,73 @@ def test_level_from_a_memory_map(tmp_path):
         del mapped, rank, share, rest
 
 
-def test_language_model_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ngramlm, "SHARD_TOKENS", 5000)
-    got = {r.doc_id: r for r in entry.queries()["op2_elias_fano_trie"](spark, SF).collect()}
+def scores_by_force(tokens, held, order):
+    """Absolute discounting from the longest context down, over sequences that begin after one end mark."""
+    grams, total, kinds = collections.Counter(), collections.Counter(), collections.Counter()
+    for i, t in tokens.items():
+        if not held[i]:
+            grams.update((w,) for w in t)
+            for n in range(2, order + 1):
+                padded = [b"", *t]
+                grams.update(tuple(padded[k : k + n]) for k in range(len(padded) - n + 1))
+    for g, n in grams.items():
+        if len(g) > 1:
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+    n, v = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+    out = {}
+    for i, t in tokens.items():
+        base = score = 0.0
+        padded = [b"", *t]
+        for k in range(1, len(padded)):
+            word = padded[k]
+            base += math.log10((grams[(word,)] + 1) / (n + v + 1))
+            p = max(grams[(word,)] - 0.75, 0) / n + 0.75 * v / n / (v + 1)
+            for m in range(1, min(order - 1, k) + 1):
+                context = tuple(padded[k - m : k])
+                if total[context]:
+                    p = max(grams[(*context, word)] - 0.75, 0) / total[context] + 0.75 * kinds[context] / total[context] * p
+            score += math.log10(p)
+        out[i] = (sum(grams[(w,)] > 0 for w in t), n, base, score)
+    return out
+
+
+# with few tokens for a shard, frequent contexts are dealt over several
+@pytest.mark.parametrize("order, shard_tokens", [(2, 5000), (3, 5000), (3, 300), (2, 100), (4, 1000)])
+def test_language_model_equals_brute_force(spark, monkeypatch, order, shard_tokens):
+    monkeypatch.setattr(ngramlm, "SHARD_TOKENS", shard_tokens)
     docs = table("documents")
     tokens = {i: [*words(t), b""] for i, t in zip(docs.doc_id, docs.text)}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
-    one, two = collections.Counter(), collections.Counter()
-    for i, t in tokens.items():
-        if not held[i]:
-            one.update(t)
-            two.update(zip([b"", *t[:-1]], t))
-    total, kinds = collections.Counter(), collections.Counter()
-    for (a, _), n in two.items():
-        total[a] += n
-        kinds[a] += 1
-    n, v = sum(one.values()), len(one)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select(
+        "doc_id", "text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2).alias("train")
+    )
+    scores, tries = ngramlm.train_and_score(rows, order=order)
+    got = {r.doc_id: r for r in scores.collect()}
+    want = scores_by_force(tokens, held, order)
     assert set(got) == set(tokens)
     for i, t in tokens.items():
-        r = got[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(one[w] > 0 for w in t), n)
-        assert r.base_score == pytest.approx(sum(math.log10((one[w] + 1) / (n + v + 1)) for w in t), abs=1e-6)
-        score = 0.0
-        for a, b in zip([b"", *t[:-1]], t):
-            p = max(one[b] - 0.75, 0) / n + 0.75 * v / n / (v + 1)
-            if total[a]:
-                p = max(two[a, b] - 0.75, 0) / total[a] + 0.75 * kinds[a] / total[a] * p
-            score += math.log10(p)
+        r, (n_known, n, base, score) = got[i], want[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), n_known, n)
+        assert r.base_score == pytest.approx(base, abs=1e-6)
         assert r.score == pytest.approx(score, abs=1e-3 * len(t) + 1e-6)
     unseen = [i for i in tokens if held[i]]
     assert sum(got[i].score for i in unseen) > sum(got[i].base_score for i in unseen)
+    levels = [eliasfano.map_trie(r.first) for r in tries.collect()]
+    assert {len(t) for t in levels} == {order - 1}
+    # each level's contexts are the n-grams of the level above
+    assert all(low.numbers["m"] == high.numbers["n"] for t in levels for high, low in itertools.pairwise(t))
+
+
+def test_language_model_query(spark):
+    got = {r.doc_id: r for r in entry.queries()["op2_elias_fano_trie"](spark, SF).collect()}
+    docs = table("documents")
+    tokens = {i: [*words(t), b""] for i, t in zip(docs.doc_id, docs.text)}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    for i, (n_known, n, base, score) in scores_by_force(tokens, held, ngramlm.ORDER).items():
+        r = got[i]
+        assert (r.held_out, r.n_known, r.train_tokens) == (held[i], n_known, n)
+        assert (r.base_score, r.score) == (pytest.approx(base, abs=1e-6), pytest.approx(score, abs=1e-3 * len(tokens[i])))
 
 
 # --- URL models ----------------------------------------------------------------------------------
@@ -291,6 +329,74 @@ def test_held_out_languages(spark):
     assert np.mean([r.lang_pred == lang for r, lang in held]) > 0.98
 
 
+SAID = "the cat and the dog went over the hill with a stone and some bread for the day"
+
+
+def test_repeated_rows_are_one_text(spark):
+    """Rows that repeat id and text share a hash: however many they are, their language is learned."""
+    german = [(i, f"der Hund und die Katze gingen mit dem Brot über den Berg Nummer {i}", "de") for i in range(500)]
+    for doc_id in range(4):
+        same = spark.range(20_000).select(
+            F.lit(doc_id).cast("long").alias("doc_id"), F.lit(SAID).alias("text"), F.lit("en").alias("lang")
+        )
+        assert langid.learn(same).languages == ["en"]
+        both = same.unionByName(spark.createDataFrame(german, same.schema))
+        assert langid.learn(both).languages == ["de", "en"]
+    found = langid.identified(both.limit(50), same).collect()
+    assert {r.lang_pred for r in found} == {"en"}
+
+
+def test_only_the_most_frequent_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = [(100 * k + i, f"word{k} text{k} number {i}", f"l{k}") for k in range(6) for i in range(10 + k)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["l3", "l4", "l5"]
+
+
+def grams_by_hand(text):
+    fold = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
+    data = b" " + b" ".join(text.lower().encode().translate(fold).split()) + b" "
+    counts = collections.Counter()
+    for n in langid.GRAMS:
+        factor = 0x9E3779B1 * (2 * n + 1) & 0xFFFFFFFF
+        for i in range(len(data) - n + 1):
+            code = int.from_bytes(data[i : i + n], "big") * factor & 0xFFFFFFFF
+            counts[code >> 32 - (langid.FEATURES.bit_length() - 1)] += 1
+    total = sum(counts.values())
+    return {k: math.sqrt(v / total) for k, v in counts.items()}
+
+
+def test_decoding_equals_brute_force(spark):
+    """The nearest codeword by weighted log losses, bit by bit, for every text."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.learn(docs)
+    got = {r.doc_id: r for r in langid.identify(docs.where("doc_id < 60"), model).collect()}
+    for doc_id, r in got.items():
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (r.lang_pred, r.score, r.ambiguous) == ("und", 0.0, False)
+            continue
+        x = grams_by_hand(r.text)
+        losses = []
+        for k in range(len(model.languages)):
+            loss = 0.0
+            for bit in range(model.code.shape[1]):
+                margin = sum(v * float(model.slopes[f, bit]) for f, v in x.items()) + float(model.offsets[bit])
+                loss += float(model.weights[k, bit]) * math.log1p(math.exp(-margin * int(model.code[k, bit])))
+            losses.append(loss)
+        odds = [math.exp(min(losses) - loss) for loss in losses]
+        share = sorted((o / sum(odds) for o in odds), reverse=True)
+        assert r.lang_pred == model.languages[losses.index(min(losses))]
+        assert r.score == pytest.approx(share[0], abs=1e-4)
+        if abs(share[1] / share[0] - langid.AMBIGUOUS) > 1e-3:
+            assert r.ambiguous == (share[1] > langid.AMBIGUOUS * share[0])
+
+
+def test_language_stage_keeps_clean_texts_at_the_stated_rate(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(langid.has_letter())
+    n = docs.count()
+    assert n - corpus_pipeline.language(spark, docs, SF).count() <= max(2, langid.FALSE_DROPS * n)
+
+
 def test_language_stage_without_labels_keeps_texts(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     fold = next(i for i in range(99) if zlib.crc32(str(i).encode()) % corpus_pipeline.FOLDS == corpus_pipeline.HELD_OUT)
@@ -480,6 +586,18 @@ def test_neighbours_recall(spark, monkeypatch):
     assert np.mean(hits) >= 0.95
 
 
+def test_a_graph_is_built_once_whatever_the_queries(spark, monkeypatch):
+    monkeypatch.setattr(graphann, "QUERY_BLOCK", 2)
+    staged = []
+    monkeypatch.setattr(graphann, "stage", lambda df, label: (staged.append(label), stage(df, label))[1])
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    found = graphann.nearest(vectors, vectors.where("vec_id % 10 = 0"), 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") > 3 and "FlatMapGroupsInPandas" not in plan
+    assert staged.count("ann-graphs") == 1
+    assert found.count() == 3 * vectors.where("vec_id % 10 = 0").count()
+
+
 # --- components and the Jaccard join ---------------------------------------------------------------
 
 
