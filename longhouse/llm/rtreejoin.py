@@ -29,9 +29,10 @@ from longhouse.session import stage
 #: Words of a shingle, and the similarity of a link in hundredths.
 WORDS, SIMILAR = 3, 90
 #: Coordinates of a point of the R-tree, and entries of a node.
-DIMENSIONS, FANOUT = 64, 32
-#: Coordinates of the points that go with signatures, and the longest run that is looked at in pairs.
-COARSE, SHORT_RUN = 256, 16
+DIMENSIONS, FANOUT = 256, 32
+#: Least and most coordinates of the points that go with signatures: about as many as the sets of a level have
+#: elements, as the minima of fuller groups bound little. The longest run that is looked at in pairs.
+COORDINATES, SHORT_RUN = (256, 4096), 16
 #: Groups beyond those that two linked sets can differ in; so a set need not send its empty groups
 #: unless it has more than so many.
 SLACK = 1
@@ -116,6 +117,12 @@ def groups_at(level: np.ndarray, similar: int) -> np.ndarray:
     return np.floor(2 * most * (100 - similar) / (100 + similar)).astype(np.int64) + 1 + SLACK
 
 
+def coordinates_at(level: np.ndarray, similar: int) -> np.ndarray:
+    """Coordinates of the points of a level: a power of two about the size of its sets."""
+    size = np.exp((level + 1) * step(similar))
+    return np.clip(2 ** np.ceil(np.log2(size)).astype(np.int64), *COORDINATES)
+
+
 def signatures(codes: np.ndarray, sizes: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, set number, level) of every group of every set, at the set's level and the next."""
     out_sig, out_owner, out_level = [], [], []
@@ -190,11 +197,12 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def reaches(points: np.ndarray, i: np.ndarray, j: np.ndarray, similar: int) -> np.ndarray:
     """Whether the summed minima of the points numbered ``i`` and ``j`` allow a link of their sets."""
     out = np.zeros(len(i), bool)
-    for k in range(0, len(i), 16_384):
-        a, b = points[i[k : k + 16_384]], points[j[k : k + 16_384]]
+    part = max(1, (1 << 22) // points.shape[1])
+    for k in range(0, len(i), part):
+        a, b = points[i[k : k + part]], points[j[k : k + part]]
         overlap = np.minimum(a, b).sum(axis=1, dtype=np.int64)
         both = a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64)
-        out[k : k + 16_384] = overlap * (100 + similar) >= similar * both
+        out[k : k + part] = overlap * (100 + similar) >= similar * both
     return out
 
 
@@ -250,15 +258,26 @@ def level_shards(found: DataFrame, similar: int) -> np.ndarray:
     return sets * groups_at(levels, similar) // SHARD_SIGNATURES + 1
 
 
+def _counted(codes: np.ndarray, holder: np.ndarray, member: np.ndarray, row: np.ndarray, dims: int) -> np.ndarray:
+    """How many elements of each member set fall into each of ``dims`` groups, in the fewest bytes."""
+    own = member[holder]
+    group = ((codes[own] >> np.uint64(40)) % np.uint64(dims)).astype(np.int64)
+    n = int(member.sum())
+    counts = np.bincount(row[holder[own]] * dims + group, minlength=n * dims).reshape(n, dims)
+    most = int(counts.max(initial=0))
+    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+
+
 def candidate_edges(docs: DataFrame, shards: np.ndarray, words: int, similar: int) -> DataFrame:
     """Edges (a, b) that tie together sets which share a signature and whose counts allow a link.
 
     Chunks send sorted signatures, each set once, to a shard of their level, and with them the counts
-    of ``COARSE`` groups, once for each shard. A shard sends a spanning forest of the sets it ties,
+    of its groups, as many as the level's sets have elements, once for each shard. A shard sends a spanning forest of the sets it ties,
     not their pairs. Half of a signature's bits do: those that are equal by chance are not tied, as
     their counts tell.
     """
     first_shard = np.cumsum(shards) - shards
+    dims = coordinates_at(np.arange(len(shards)), similar)
     schema = [("shard", pa.int32())] + [(c, pa.binary()) for c in ("sigs", "owners", "prints", "points")]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,13 +285,17 @@ def candidate_edges(docs: DataFrame, shards: np.ndarray, words: int, similar: in
             for _, texts in _chunks(batches):
                 codes, sizes = shingle_sets(texts, words)
                 marks = prints(codes, sizes)
-                group = ((codes >> np.uint64(40)) % np.uint64(COARSE)).astype(np.int64)
-                row = np.repeat(np.arange(len(sizes)), sizes) * COARSE
-                points = np.bincount(row + group, minlength=len(sizes) * COARSE).reshape(-1, COARSE).astype(np.uint32)
+                holder = np.repeat(np.arange(len(sizes)), sizes)
                 sig, owner, level = signatures(codes, sizes, similar)
                 _, first, back = np.unique(marks, return_index=True, return_inverse=True)
                 once = first[back[owner]] == owner
                 sig, owner, level = sig[once], owner[once], np.minimum(level[once], len(shards) - 1)
+                points = {}  # of the sets of each level, and the row of each set
+                for own_level in np.unique(level).tolist():
+                    member = np.zeros(len(sizes), bool)
+                    member[owner[level == own_level]] = True
+                    row = np.cumsum(member) - 1
+                    points[own_level] = row, _counted(codes, holder, member, row, int(dims[own_level]))
                 shard = first_shard[level] + (sig % shards[level].astype(np.uint64)).astype(np.int64)
                 sig = (sig >> np.uint64(32)).astype(np.uint32)
                 order = np.lexsort((sig, shard))
@@ -282,18 +305,19 @@ def candidate_edges(docs: DataFrame, shards: np.ndarray, words: int, similar: in
                 rows = []
                 for a, b in zip(starts, stops):
                     own, place = np.unique(owner[a:b], return_inverse=True)
-                    counts = pack(np.ascontiguousarray(points[own].T).ravel())
+                    row, counts = points[int(np.searchsorted(first_shard, shard[a], "right")) - 1]
+                    counts = pack(np.ascontiguousarray(counts[row[own]].T).ravel())
                     rows.append((int(shard[a]), pack(sig[a:b]), pack(place.astype(np.uint32)), pack(marks[own]), counts))
                 yield _arrow(schema, list(zip(*rows)) or [[]] * 5)
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         sigs, owners, marks, points, base = [], [], [], [], 0
+        wide = int(dims[np.searchsorted(first_shard, key[0], "right") - 1])
         for s, o, m, c in zip(frame["sigs"], frame["owners"], frame["prints"], frame["points"]):
             sigs.append(unpack(s))
             owners.append(unpack(o).astype(np.int64) + base)
             marks.append(unpack(m))
-            counts = unpack(c).reshape(COARSE, -1).T
-            points.append(counts.astype(np.uint16) if counts.max(initial=0) < 1 << 16 else counts)
+            points.append(unpack(c).reshape(wide, -1).T)
             base += len(marks[-1])
         nodes, first, number = np.unique(np.concatenate(marks), return_index=True, return_inverse=True)
         points = np.concatenate(points)[first]
@@ -317,7 +341,8 @@ class Tree:
     """An R-tree of count vectors, packed bottom-up in the order of size and coordinates."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        coarse = points[:, :4].astype(np.int64) // 4
+        # the order goes by sums over some of the coordinates
+        coarse = points[:, :64].reshape(len(points), 4, 16).sum(axis=2, dtype=np.int64) // 4
         self.order = np.lexsort((*coarse.T[::-1], sizes))
         self.layers = [(points[self.order], sizes[self.order], sizes[self.order])]
         while len(self.layers[-1][0]) > FANOUT:
@@ -338,8 +363,8 @@ class Tree:
             query, node = query[fits], node[fits]
             # in parts, as the minima take a vector for each pair
             reach = np.zeros(len(query), np.int64)
-            for k in range(0, len(query), 65_536):
-                part = slice(k, k + 65_536)
+            for k in range(0, len(query), 16_384):
+                part = slice(k, k + 16_384)
                 reach[part] = np.minimum(points[query[part]], top[node[part]]).sum(axis=1, dtype=np.int64)
             fits = reach * (100 + similar) >= similar * (sizes[query] + low[node])
             query, node = query[fits], node[fits]
@@ -357,7 +382,7 @@ def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
     owner = np.repeat(np.arange(len(sets)), sizes)
     group = (np.concatenate(sets) >> np.uint64(40)) % np.uint64(DIMENSIONS) if len(sets) else np.zeros(0, np.uint64)
     flat = np.bincount(owner * DIMENSIONS + group.astype(np.int64), minlength=len(sets) * DIMENSIONS)
-    return flat.reshape(-1, DIMENSIONS).astype(np.int32)
+    return flat.reshape(-1, DIMENSIONS).astype(np.uint16 if flat.max(initial=0) < 1 << 16 else np.uint32)
 
 
 def linked_pairs(
