@@ -19,8 +19,8 @@ from longhouse.session import stage
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: A container of more entries bursts into one for each next word, down to this depth.
 BURST, DEPTH = 2048, 2
-#: Entries and different words that a task holds; beyond it the largest subtrees are spilled.
-ENTRIES, WORDS = 400_000, 400_000
+#: Entries, different words and bytes of these that a task holds; beyond it the largest subtrees are spilled.
+ENTRIES, WORDS, WORD_BYTES = 400_000, 400_000, 1 << 27
 #: Bytes of text that are counted at once, and phrases of runs that are merged at once.
 CHUNK, MERGE = 1 << 21, 1 << 20
 #: Bits of the filter of frequent shorter phrases that is broadcast, for each phrase and at most.
@@ -218,13 +218,14 @@ class Words(dict):
     def __init__(self, lang: bytes, filter_: np.ndarray | None):
         super().__init__()
         self.seed, self.filter = xxhash.xxh32_intdigest(lang), filter_
-        self.names, self.hashes = [b""], [0]
+        self.names, self.hashes, self.bytes = [b""], [0], 0
         self.fine = np.zeros(1, bool)
         self[_BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.names)
         self.names.append(word)
+        self.bytes += len(word)
         self.hashes.append(xxhash.xxh64_intdigest(word, seed=self.seed))
         return number
 
@@ -282,7 +283,7 @@ class Counter:
         self._count(ids)
         if len(self.trie) > ENTRIES:
             yield from self.spill(ENTRIES // 2)
-        if len(self.words) > WORDS:
+        if len(self.words) > WORDS or self.words.bytes > WORD_BYTES:
             yield from self.spill(0)
             self.words = Words(self.lang, self.word_filter)
 
