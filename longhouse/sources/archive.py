@@ -103,7 +103,7 @@ class Archive:
             self.spark,
             lambda known: self.spark.sql(
                 f"CREATE TABLE {known} ({columns}) USING parquet CLUSTERED BY ({table.bucketed}) INTO {buckets} BUCKETS "
-                f"LOCATION '{path}'"
+                "LOCATION '" + path.replace("'", "\\'") + "'"
             ),
             self.spark.table,
         )

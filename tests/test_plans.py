@@ -494,3 +494,33 @@ def scanned_rows(df):
     walk(df._jdf.queryExecution().executedPlan())
     assert found
     return found
+
+
+def test_an_ingest_is_few_jobs(spark):
+    """Source, registry, dictionary and one dataset; most jobs are the writes of some twenty tables."""
+    import __spark_entry__ as entry
+
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    entry.customer_archive(spark, "/root/testdata/sf0.001")
+    assert len(tracker.getJobIdsForGroup(None)) - before < 120
+
+
+def test_datasets_are_stored_side_by_side_and_numbered_in_order(spark, tmp_path):
+    made, setup, path = tiny(spark, tmp_path, "pid,note,n\nA1,x,1\nA2,y,2\n")
+    name = next(iter(setup.datasets.values()))
+    source = next(Path(path).rglob(name))
+    for k in range(5):
+        (source.parent / f"more{k}.csv").write_text("pid,note,n\n" + "".join(f"A{i},m{k},{i}\n" for i in range(k + 1)))
+    several = replace(setup, datasets={f"d{k}": f"more{k}.csv" for k in range(5)})
+    ids = dataset.ingest_data(made, several, path)
+    assert ids == [1, 2, 3, 4, 5]
+    assert rows(made.table("datarows"), "row_id") == [(i,) for i in range(1, 16)]
+    first = made.table("datarows").groupBy("dataset_id").agg(F.min("row_id").alias("first"))
+    assert rows(first) == [(1, 1), (2, 2), (3, 4), (4, 7), (5, 11)]
+    assert rows(export.dataset_to_dataframe(made, 5), "note", "n") == [("m4", str(i)) for i in range(5)]
+    (source.parent / "bad.csv").write_text("pid,unknown\nA1,1\n")
+    last = made.last_batch()
+    with pytest.raises(ValueError, match="unknown"):
+        dataset.ingest_data(made, replace(several, datasets={**several.datasets, "e": "bad.csv"}), path)
+    assert made.last_batch() == last
