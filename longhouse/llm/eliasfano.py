@@ -4,15 +4,28 @@ from __future__ import annotations
 
 import json
 import struct
+from functools import cached_property
 
 import numpy as np
 
+#: So many n-grams are looked up at a time: what a step works on stays in a core's cache.
+STEP = 1 << 15
 _BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 #: place of the k-th set bit of a byte
 _BYTE_SELECT = np.zeros((256, 8), np.uint8)
 for _b in range(256):
     for _k, _p in enumerate([p for p in range(8) if _b >> p & 1]):
         _BYTE_SELECT[_b, _k] = _p
+# a word's bits in groups
+_EVERY_2ND, _TWO_OF_4, _FOUR_OF_8 = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F))
+_EACH_BYTE, _TOP_BITS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+
+
+def starts(values: np.ndarray) -> np.ndarray:
+    """Whether each value is the first of a run of equal ones."""
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
 
 
 def to_buffer(arrays: dict[str, np.ndarray], **numbers) -> bytes:
@@ -80,6 +93,11 @@ class EliasFano:
     def of(cls, name: str, arrays: dict[str, np.ndarray], n: int, low_bits: int) -> EliasFano:
         return cls({k: arrays[f"{name}.{k}"] for k in ("low", "high", "ones")}, n, low_bits)
 
+    @cached_property
+    def unset(self) -> np.ndarray:
+        """Unset high bits before each word."""
+        return np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
             return np.zeros(len(i), np.uint64)
@@ -92,20 +110,23 @@ class EliasFano:
 
     @staticmethod
     def _in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th set bit of each word, by bytes."""
-        bytes_ = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(_BYTE_ONES[bytes_], axis=1, dtype=np.int16)
-        byte = (upto <= k[:, None]).sum(axis=1)
-        rows = np.arange(len(words))
-        before = np.where(byte > 0, upto[rows, np.maximum(byte - 1, 0)], 0)
-        return byte * 8 + _BYTE_SELECT[bytes_[rows, byte], k - before]
+        """Place of the k-th set bit of each word: set bits up to each of its bytes, side by side in a word, tell the byte."""
+        pairs = words - ((words >> np.uint64(1)) & _EVERY_2ND)
+        fours = (pairs & _TWO_OF_4) + ((pairs >> np.uint64(2)) & _TWO_OF_4)
+        upto = ((fours + (fours >> np.uint64(4))) & _FOUR_OF_8) * _EACH_BYTE
+        k = k.astype(np.uint64)
+        # the top bit of a byte stays where no more than k bits are set up to its end
+        ends = ((k * _EACH_BYTE | _TOP_BITS) - upto) & _TOP_BITS
+        shift = np.bitwise_count(ends).astype(np.uint64) << np.uint64(3)
+        before = ((upto << np.uint64(8)) >> shift) & np.uint64(255)
+        byte = (words >> shift) & np.uint64(255)
+        return shift.astype(np.int64) + _BYTE_SELECT[byte.astype(np.int64), (k - before).astype(np.int64)]
 
     def _select(self, k: np.ndarray, zeros: bool) -> np.ndarray:
         """Place of the k-th set (or unset) bit of the high bits, counted from 0."""
         if zeros:
-            ranks = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
-            word = np.searchsorted(ranks, k, "right") - 1
-            return word * 64 + self._in_word(~self.high[word], k - ranks[word])
+            word = np.searchsorted(self.unset, k, "right") - 1
+            return word * 64 + self._in_word(~self.high[word], k - self.unset[word])
         word = np.searchsorted(self.ones, k.astype(np.uint32), "right") - 1
         return word * 64 + self._in_word(self.high[word], k - self.ones[word])
 
@@ -131,8 +152,11 @@ class EliasFano:
         # there is an unset bit after the last run only up to the end of the bits
         known = np.flatnonzero(high < len(self.high) * 64 - self.n)
         high, want = high[known], x[known] & ((np.uint64(1) << np.uint64(self.low_bits)) - np.uint64(1))
-        first = np.where(high > 0, self._select(np.maximum(high - 1, 0), True) - (high - 1), 0)
-        last = self._select(high, True) - high
+        # values side by side often share it
+        new = starts(high)
+        run, back = high[new], np.cumsum(new) - 1
+        first = np.where(run > 0, self._select(np.maximum(run - 1, 0), True) - (run - 1), 0)[back]
+        last = (self._select(run, True) - run)[back]
         if start is not None:
             first, last = np.maximum(first, start[known]), np.minimum(last, stop[known])
         low, top = first.copy(), last.copy()
@@ -248,10 +272,15 @@ class Level:
 
     def places(self, rank: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Places of ``word`` after the contexts of these ranks (-1: unknown); -1 for none."""
+        steps = range(0, len(rank), STEP)
+        return np.concatenate([np.zeros(0, np.int64), *[self._places(rank[i : i + STEP], word[i : i + STEP]) for i in steps]])
+
+    def _places(self, rank: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.full(len(rank), -1, np.int64)
         width = self.numbers["width"]
         at = np.flatnonzero((rank >= 0) & (word.astype(np.uint64) >> np.uint64(width) == 0))
-        ranks, back = np.unique(rank[at], return_inverse=True)
+        new = starts(rank[at])
+        ranks, back = rank[at][new], np.cumsum(new) - 1
         start = self.pointers.access(ranks).astype(np.int64)[back]
         stop = self.pointers.access(ranks + 1).astype(np.int64)[back]
         x = (rank[at].astype(np.uint64) << np.uint64(width)) | word[at].astype(np.uint64)

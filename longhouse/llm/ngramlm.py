@@ -19,11 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from longhouse.llm.eliasfano import Level, Quantiser, map_trie, trie_to_bytes
+from longhouse.llm.eliasfano import Level, Quantiser, map_trie, starts, trie_to_bytes
 from longhouse.session import stage
 
 #: A block is closed when its texts reach so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 12_000_000
+#: So much of a block is cut into words at a time: what a step works on stays in a core's cache.
+PIECE_BYTES = 1 << 19
 #: Twice the tokens for each shard of vocabulary and n-grams, on average.
 SHARD_TOKENS = 3_000_000
 #: Words of the longest n-grams.
@@ -38,7 +40,7 @@ def pack(values: np.ndarray) -> bytes:
     """Unsigned integers, byte planes side by side, compressed."""
     values = np.ascontiguousarray(values)
     planes = values.view(np.uint8).reshape(len(values), -1).T if len(values) else np.zeros((1, 0), np.uint8)
-    return values.dtype.str.encode() + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return values.dtype.str.encode() + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes))
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -46,14 +48,70 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
+def pack_codes(codes: np.ndarray) -> bytes:
+    """Numbers of two bytes of which few are different, compressed as they are: their bytes go together."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(codes, np.uint16))
+
+
+def unpack_codes(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.uint16)
+
+
 def pack_words(words: list[bytes]) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+    return zstandard.ZstdCompressor(level=3).compress(b"\n".join(words))
 
 
 def unpack_words(data: bytes) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(bytes(data)).split(b"\n")
 
 
+def word_array(data: bytes) -> pa.LargeBinaryArray:
+    """``unpack_words`` as an Arrow array."""
+    letters = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.uint8)
+    cuts = np.concatenate([np.flatnonzero(letters == 0x0A), [len(letters)]])
+    return _arrow_words(letters[letters != 0x0A], np.diff(cuts, prepend=-1) - 1)
+
+
+def _arrow_words(letters: np.ndarray, lengths: np.ndarray) -> pa.LargeBinaryArray:
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), buffers)
+
+
+#: For each byte whether it is part of a word.
+_INSIDE = bytes(b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256))
+
+
+def cut_words(text: bytes) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """Runs of anything but ASCII blanks, A-Z in lower case, and the place after each."""
+    inside = np.frombuffer(b"".join([b"\0", text.translate(_INSIDE), b"\0"]), bool)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    letters = np.frombuffer(text.lower(), np.uint8)[inside[1:-1]]  # lower() of bytes: A-Z only
+    return _arrow_words(letters, edges[1::2] - edges[::2]), edges[1::2]
+
+
+def distinct(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different numbers of ``bits`` bits in order, and the place of each given one among them. ``keys`` is used up.
+
+    Where a number and its place fit 64 bits they are sorted as one, which is faster than an argsort.
+    """
+    wide = len(keys).bit_length()
+    if bits + wide > 64 or not len(keys):
+        return np.unique(keys, return_inverse=True)
+    low = np.uint64(wide)
+    keys <<= low
+    keys |= np.arange(len(keys), dtype=np.uint64)
+    keys.sort()
+    at = (keys & np.uint64((1 << wide) - 1)).view(np.int64)
+    keys >>= low
+    new = starts(keys)
+    place = np.cumsum(new, dtype=np.int32 if wide < 32 else np.int64)
+    place -= 1
+    back = np.empty_like(place)
+    back[at] = place
+    return keys[new], back
+
+
 class _Numbers(dict):
     """Numbers words as they come."""
 
@@ -66,20 +124,29 @@ BLOCK = "block long, docs binary, train binary, lengths binary, tokens binary, w
 
 
 def _block(number: int, docs: list, train: list, texts: list[bytes]) -> dict:
-    numbers = _Numbers()
-    numbers[END] = 0
-    lengths, parts = [], []
-    for text in texts:
-        tokens = text.lower().split()  # of bytes: A-Z only, and blanks \x20 \x09-\x0D only
-        lengths.append(len(tokens) + 1)
-        parts.append(np.fromiter(map(numbers.__getitem__, tokens), np.uint32, len(tokens)))
-        parts.append(np.zeros(1, np.uint32))
-    tokens, lengths, train = np.concatenate(parts), np.array(lengths, np.uint32), np.array(train, bool)
+    found, lengths, start, size = [], [], 0, 0
+    for stop, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= PIECE_BYTES or stop == len(texts):
+            words, at = cut_words(b"\n".join(texts[start:stop]))
+            # the words of a text end by its line end
+            ends = np.cumsum(np.fromiter(map(len, texts[start:stop]), np.int64, stop - start) + 1) - 1
+            found.append(words)
+            lengths.append(np.diff(np.searchsorted(at, ends, "right"), prepend=0) + 1)
+            start, size = stop, 0
+    coded = pa.chunked_array(found, pa.large_binary()).dictionary_encode()  # the chunks share one dictionary
+    words = [END, *coded.chunk(0).dictionary.to_pylist()]
+    lengths, train = np.concatenate(lengths).astype(np.uint32), np.array(train, bool)
+    tokens = np.zeros(int(lengths.sum(dtype=np.int64)), np.uint32)
+    is_word = np.ones(len(tokens), bool)
+    is_word[np.cumsum(lengths, dtype=np.int64) - 1] = False
+    tokens[is_word] = np.concatenate([c.indices.to_numpy() for c in coded.chunks]) + 1
+    del found, coded, is_word
     # frequent words get small numbers
-    order = np.argsort(-np.bincount(tokens, minlength=len(numbers)), kind="stable")
+    order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
     place = np.empty(len(order), np.uint32)
     place[order] = np.arange(len(order), dtype=np.uint32)
-    tokens, words = place[tokens], list(numbers)
+    tokens = place[tokens]
     counts = np.bincount(tokens[np.repeat(train, lengths)], minlength=len(words)).astype(np.uint32)
     known = np.array([d is not None for d in docs], np.uint8)
     ids = np.array([d or 0 for d in docs], np.int64).view(np.uint64)
@@ -113,8 +180,9 @@ def tokenise(docs: DataFrame) -> DataFrame:
             [(f.split()[0], pa.int64() if f.endswith("long") else pa.binary()) for f in BLOCK.split(", ")]
         )
         for batch in batches:
-            for doc, text, train in zip(*[c.to_pylist() for c in batch.columns]):
-                text = (text or "").encode("utf-8", "replace")
+            ids, texts, flags = batch.columns
+            for doc, text, train in zip(ids.to_pylist(), texts.cast(pa.large_binary()).to_pylist(), flags.to_pylist()):
+                text = text or b""
                 for column, value in zip(held, (doc, bool(train), text)):
                     column.append(value)
                 size += len(text) + 64
@@ -164,55 +232,41 @@ def _word_messages(blocks: DataFrame, shards: int) -> DataFrame:
     return _map_rows(blocks.select("block", "words", "counts"), deal, MESSAGE)
 
 
-VOCABULARY = "shard int, words binary, counts binary, n_words long, n_tokens long"
+KNOWN = "block long, shard int, place binary, ids binary, seen binary, n_words long"
 
 
-def train_vocabulary(messages: DataFrame) -> DataFrame:
-    """The words of the training texts with their exact counts, most frequent first in each shard."""
+def _word_replies(messages: DataFrame, shards: int) -> DataFrame:
+    """For each block's words their ids (0: in no training text) and exact counts over all training texts. An id is the
+    word's place in its shard, the most frequent first, times the number of shards, plus the shard, plus 1. The first
+    reply of a shard says how many words it has."""
 
-    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        total: dict[bytes, int] = {}
-        for data, counts in zip(frame["first"], frame["counts"]):
-            for word, count in zip(unpack_words(data), unpack(counts).tolist()):
-                if count:
-                    total[word] = total.get(word, 0) + count
-        words = sorted(total, key=lambda w: (-total[w], w))
-        counts = np.array([total[w] for w in words], np.uint64)
-        row = (key[0], pack_words(words), pack(counts), len(words), int(counts.sum()))
-        return pd.DataFrame([row], columns=[f.split()[0] for f in VOCABULARY.split(", ")])
-
-    return stage(messages.groupBy("shard").applyInPandas(merge, VOCABULARY), "lm-vocabulary")
-
-
-KNOWN = "block long, shard int, place binary, ids binary, seen binary"
-
-
-def _word_replies(messages: DataFrame, vocabulary: DataFrame, shards: int) -> DataFrame:
-    """For each block's words their ids (0: unknown) and counts. An id is its place in its shard's
-    list times the number of shards, plus the shard, plus 1."""
-    names = [f.split()[0] for f in KNOWN.split(", ")]
-
-    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=names)
-        shard = int(left["shard"].iloc[0])
-        words, counts = unpack_words(right["words"].iloc[0]), unpack(right["counts"].iloc[0])
-        number = {w: i for i, w in enumerate(words)} if len(counts) else {}
-        counts = np.concatenate([counts, np.zeros(1, np.uint64)])
-        out = []
-        for block, place, asked in zip(left["block"], left["place"], left["first"]):
-            found = np.array([number.get(w, -1) for w in unpack_words(asked)], np.int64)
-            ids = np.where(found >= 0, found * shards + shard + 1, 0).astype(np.uint32)
-            out.append((block, shard, place, pack(ids), pack(counts[found])))
-        return pd.DataFrame(out, columns=names)
-
-    return messages.groupBy("shard").cogroup(vocabulary.groupBy("shard")).applyInPandas(answer, KNOWN)
+    def answer(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        # in the order of the blocks, so that a task that runs again gives the same ids
+        frame = frame.sort_values("block")
+        asked = [word_array(data) for data in frame["first"]]
+        coded = pa.concat_arrays(asked).dictionary_encode()
+        codes = np.split(coded.indices.to_numpy(), np.cumsum([len(a) for a in asked])[:-1])
+        total = np.zeros(len(coded.dictionary), np.uint64)
+        for code, count in zip(codes, frame["counts"]):
+            total[code] += unpack(count)  # a block has a word once
+        order = np.argsort(-total.astype(np.int64), kind="stable")
+        known = int((total > 0).sum())
+        ids = np.zeros(len(total), np.uint32)
+        ids[order[:known]] = np.arange(known, dtype=np.int64) * shards + int(key[0]) + 1
+        rows = [
+            (block, int(key[0]), place, pack(ids[code]), pack(total[code]), 0)
+            for block, place, code in zip(frame["block"], frame["place"], codes)
+        ]
+        rows[0] = (*rows[0][:-1], known)
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in KNOWN.split(", ")])
+
+    return messages.groupBy("shard").applyInPandas(answer, KNOWN)
 
 
 def _known_words(replies: DataFrame) -> DataFrame:
     """The replies to a block side by side, a row a block."""
     rows = F.collect_list(F.struct("place", "ids", "seen"))
-    return stage(replies.groupBy("block").agg(rows.alias("known")), "lm-words")
+    return stage(replies.groupBy("block").agg(rows.alias("known"), F.sum("n_words").alias("n_words")), "lm-words")
 
 
 def _spread(values: np.ndarray, factor: int) -> np.ndarray:
@@ -228,7 +282,7 @@ class _Level:
 
     def __init__(self, parent: np.ndarray, word: np.ndarray, at: np.ndarray, back: np.ndarray, tokens: int):
         self.parent, self.word = parent, word
-        self.ends = np.full(tokens, -1, np.int64)
+        self.ends = np.full(tokens, -1, back.dtype)
         self.ends[at] = back
 
     def counts(self, trained: np.ndarray) -> np.ndarray:
@@ -236,13 +290,21 @@ class _Level:
         return np.bincount(at, minlength=len(self.word)).astype(np.uint32)
 
 
+def _pairs(left: np.ndarray, right: np.ndarray, shift: np.uint64) -> np.ndarray:
+    keys = left.astype(np.uint64)
+    keys <<= shift
+    keys |= right
+    return keys
+
+
 class _Grams:
     """A block's n-grams of 2 to ``order`` words, by the shard that holds them.
 
     The end mark is the context of a text's first token. Pairs whose context is unknown are left out, and so is what
     extends them. A pair goes to the shard of its context, and what extends the pair goes with it. A
     context that comes more than ``often`` times is dealt over several shards by the second word; how often it
-    comes is known from the vocabulary, and how many successors it has each of them is asked.
+    comes is known from the vocabulary, and how many successors it has each of them is asked. ``nth`` is each pair's
+    place among these contexts (-1: none of them).
     """
 
     def __init__(self, row: dict, shards: int, order: int, often: int):
@@ -253,46 +315,51 @@ class _Grams:
         for reply in row["known"]:
             place = unpack(reply["place"])
             ids[place], counts[place] = unpack(reply["ids"]), unpack(reply["seen"])
-        seen = counts[self.tokens]
-        self.counts = seen.astype(np.float64)
-        word = ids[self.tokens].astype(np.uint64)
+        self.seen = counts.astype(np.float64)
+        # words by the rank of their id: the order is that of ids, the numbers are small
+        known, rank = np.unique(ids, return_inverse=True)
+        word = rank.astype(np.uint32)[self.tokens]
+        low = len(known).bit_length()
+        shift, mask = np.uint64(low), np.uint64((1 << low) - 1)
         stops = np.cumsum(self.lengths)
         first = np.concatenate([[0], stops[:-1]])
         context = np.concatenate([word[:1], word[:-1]])
         context[first] = word[stops - 1]
-        low = np.uint64(32)
-        at = np.flatnonzero(context)
-        pairs, back = np.unique((context[at] << low) | word[at], return_inverse=True)
-        parent, second = (pairs >> low).astype(np.uint32), pairs.astype(np.uint32)
+        at = (known > 0)[context]
+        pairs, back = distinct(_pairs(context[at], word[at], shift), 2 * low)
+        del context
+        before, after = (pairs >> shift).astype(np.int64), (pairs & mask).astype(np.int64)
+        parent, second = known[before], known[after]
         # frequent contexts, how often they come, and over how many shards they are dealt
-        known, where = np.unique(context, return_index=True)
-        before = np.concatenate([seen[:1], seen[:-1]])
-        before[first] = seen[stops - 1]
-        times = before[where]
-        hot = (known > 0) & (times > often)
-        self.hot, self.totals = known[hot].astype(np.uint32), times[hot]
+        times = np.zeros(len(known), np.uint64)
+        times[rank] = counts
+        hot = np.zeros(len(known), bool)
+        hot[before] = True
+        hot &= times > often
+        self.hot, self.totals = known[hot], times[hot]
         ways = np.minimum(self.totals // np.uint64(often) + np.uint64(1), np.uint64(shards)).astype(np.uint32)
         home = _spread(parent, 0x9E3779B1)
-        if len(self.hot):
-            nth = np.minimum(np.searchsorted(self.hot, parent), len(self.hot) - 1)
-            dealt = self.hot[nth] == parent
-            home = home + np.where(dealt, _spread(second, 0x85EBCA6B) % ways[nth], 0).astype(np.uint32)
+        nth = np.where(hot, np.cumsum(hot) - 1, -1)[before]
+        dealt = np.flatnonzero(nth >= 0)
+        home[dealt] += (_spread(second[dealt], 0x85EBCA6B) % ways[nth[dealt]]).astype(np.uint32)
         shard = home % np.uint32(shards)
-        by = np.argsort(shard, kind="stable")
-        place = np.empty(len(by), np.int64)
+        # numbers of two bytes are sorted by counting
+        by = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
+        place = np.empty(len(by), back.dtype)
         place[by] = np.arange(len(by))
-        self.shard = shard[by]
+        self.shard, self.nth = shard[by], nth[by]
         self.levels = [_Level(parent[by], second[by], at, place[back], len(word))]
         opens = np.zeros(len(word), bool)
         opens[first] = True
         for _ in range(3, order + 1):
             # the n-gram at a token extends that at the token before
             ends = self.levels[-1].ends
-            shorter = np.concatenate([[-1], ends[:-1]])
-            at = np.flatnonzero((shorter >= 0) & ~opens)
-            keys, back = np.unique((shorter[at].astype(np.uint64) << low) | word[at], return_inverse=True)
+            shorter = np.concatenate([ends[:1], ends[:-1]])
+            at = (shorter >= 0) & ~opens
+            bits = low + len(self.levels[-1].word).bit_length()
+            keys, back = distinct(_pairs(shorter[at], word[at], shift), bits)
             self.levels.append(
-                _Level((keys >> low).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), at, back, len(word))
+                _Level((keys >> shift).astype(np.int64), known[(keys & mask).astype(np.int64)], at, back, len(word))
             )
         # which shards are told of which frequent contexts: all that these are dealt over
         self.asked: dict[int, list[int]] = {}
@@ -349,73 +416,91 @@ class _Asked:
         self.counts = [unpack(g) for g in grams[2::3]]
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys in order with the sums of their counts; those that were only asked for are left out."""
-    keys, counts = keys[counts > 0], counts[counts > 0]
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order].astype(np.int64)
-    if not len(keys):
-        return keys, counts
-    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[start], np.add.reduceat(counts, start)
+class _Union:
+    """The n-grams that all blocks ask of a shard, each once, level by level.
 
+    ``keys`` of a level hold the context's id, in the first level, or the place of the n-gram of one word less in the level
+    above, then the word; ``back`` says which of them is each block's n-gram, ``counts`` how often it was
+    trained. Those that were only asked for have no count.
+    """
 
-def build_trie(asked: list[_Asked], discount: float) -> bytes:
+    def __init__(self, asked: list[_Asked]):
+        low = np.uint64(32)
+        self.asked, self.keys, self.back, self.counts = asked, [], [], []
+        places = [a.parents[0] for a in asked]
+        for n in range(len(asked[0].words)):
+            word, parent = np.concatenate([a.words[n] for a in asked]), np.concatenate(places)
+            width = int(word.max(initial=0)).bit_length()
+            bits = width + int(parent.max(initial=0)).bit_length()
+            keys, back = distinct(_pairs(parent, word, np.uint64(width)), bits)
+            keys = ((keys >> np.uint64(width)) << low) | (keys & np.uint64((1 << width) - 1))
+            count = np.bincount(back, np.concatenate([a.counts[n] for a in asked]), len(keys)).astype(np.int64)
+            ends = np.cumsum([len(a.words[n]) for a in asked])
+            self.keys.append(keys)
+            self.counts.append(count)
+            self.back.append(np.split(back, ends[:-1]))
+            if n + 1 < len(asked[0].words):
+                places = [own[a.parents[n + 1]] for own, a in zip(self.back[n], asked)]
+
+    def parents(self, n: int) -> np.ndarray:
+        return (self.keys[n] >> np.uint64(32)).astype(np.int64)
+
+    def words(self, n: int) -> np.ndarray:
+        return self.keys[n].astype(np.uint32)
+
+
+def build_trie(union: _Union, discount: float) -> bytes:
     """The trie of a shard from the training counts of all blocks, level by level."""
-    low, mask = np.uint64(32), np.uint64(0xFFFFFFFF)
-    totals = {int(c): int(t) for a in asked for c, t in zip(a.hot, a.totals)}
-    levels, places = [], [a.parents[0] for a in asked]
-    for n in range(len(asked[0].words)):
-        own = [a.words[n].astype(np.uint64) | (p.astype(np.uint64) << low) for a, p in zip(asked, places)]
+    totals = {int(c): int(t) for a in union.asked for c, t in zip(a.hot, a.totals)}
+    levels, place = [], None
+    for n, counts in enumerate(union.counts):
+        parent, word = union.parents(n), union.words(n)
         # an n-gram that extends one no training text has was not trained either
-        counts = [np.where(p >= 0, a.counts[n], 0) for a, p in zip(asked, places)]
-        keys, count = _summed(np.concatenate(own), np.concatenate(counts))
+        trained = counts > 0 if place is None else (counts > 0) & (place[parent] >= 0)
+        parent, word, counts = parent[trained], word[trained].astype(np.uint64), counts[trained]
         if n:
-            level = Level.below(keys >> low, levels[-1].numbers["n"], keys & mask, count, discount)
+            levels.append(Level.below(place[parent], levels[-1].numbers["n"], word, counts, discount))
         else:
-            level = Level.build(keys >> low, keys & mask, count, discount, totals)
-        levels.append(level)
-        if n + 1 < len(asked[0].words):
-            found = [_found(keys, k) for k in own]
-            places = [f[a.parents[n + 1]] for f, a in zip(found, asked)]
+            levels.append(Level.build(parent.astype(np.uint64), word, counts, discount, totals))
+        place = np.where(trained, np.cumsum(trained) - 1, -1)
     return trie_to_bytes(levels)
 
 
-def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
 REPLY = "block long, shard int, shares array<binary>, rests array<binary>, kinds binary, codebook array<double>"
 _REPLY_NAMES = [f.split()[0] for f in REPLY.split(", ")]
 
 
-def ask_trie(trie: list[Level], asked: _Asked) -> tuple[list[bytes], list[bytes], bytes]:
-    """What a trie says of a block's n-grams: a code for the share of each, one for the rest of each that is extended, and the
+def ask_trie(trie: list[Level], union: _Union) -> Iterator[tuple[list[bytes], list[bytes], bytes]]:
+    """What a trie says of each block's n-grams: a code for the share of each, one for the rest of each that is extended, and the
     number of successors of its frequent contexts here.
 
-    It is queried level by level: the rank of a context, its range of successors, then the successor search,
-    whose place is the rank in the next level.
+    It is queried once for each different n-gram, level by level: the rank of a context, its range of successors, then the
+    successor search, whose place is the rank in the next level.
     """
-    shares, rests = [], []
-    known, rank = np.unique(asked.parents[0], return_inverse=True)
-    ranks = trie[0].context_ranks(known.astype(np.uint64))
-    for level, parent, word in zip(trie, [rank, *asked.parents[1:]], asked.words):
-        rests.append(pack(level.rests(ranks)))
-        ranks = level.places(ranks[parent], word)
-        shares.append(pack(level.share_codes(ranks)))
-    kinds = trie[0].successor_counts(trie[0].context_ranks(asked.hot.astype(np.uint64)))
-    return shares, rests, pack(kinds)
+    contexts = union.parents(0)
+    new = starts(contexts)
+    parent = np.cumsum(new) - 1
+    ranks, shares, rests = trie[0].context_ranks(contexts[new].astype(np.uint64)), [], []
+    for n, level in enumerate(trie):
+        rests.append(level.rests(ranks))
+        ranks = level.places(ranks[union.parents(n) if n else parent], union.words(n))
+        shares.append(level.share_codes(ranks))
+    hot = np.concatenate([a.hot for a in union.asked]).astype(np.uint64)
+    kinds = trie[0].successor_counts(trie[0].context_ranks(hot))
+    kinds = np.split(kinds, np.cumsum([len(a.hot) for a in union.asked])[:-1])
+    for k, a in enumerate(union.asked):
+        back = [own[k] for own in union.back]
+        # a rest for each context of the block, in the first level, then for each n-gram of one word less
+        own = [parent[back[0][starts(a.parents[0])]], *back[:-1]]
+        yield [pack_codes(s[b]) for s, b in zip(shares, back)], [pack_codes(r[b]) for r, b in zip(rests, own)], pack(kinds[k])
 
 
 def _tries(messages: DataFrame, discount: float) -> DataFrame:
     """Each shard's trie as the bytes that ``eliasfano.map_trie`` reads: (shard, first)."""
 
     def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        asked = [_Asked(*m) for m in zip(frame["hot"], frame["totals"], frame["grams"])]
-        return pd.DataFrame([(int(key[0]), build_trie(asked, discount))], columns=["shard", "first"])
+        union = _Union([_Asked(*m) for m in zip(frame["hot"], frame["totals"], frame["grams"])])
+        return pd.DataFrame([(int(key[0]), build_trie(union, discount))], columns=["shard", "first"])
 
     return messages.groupBy("shard").applyInPandas(build, "shard int, first binary")
 
@@ -424,10 +509,10 @@ def _replies(messages: DataFrame, discount: float) -> DataFrame:
     """What each shard's trie says of every block's n-grams; it is mapped as it is, not decoded."""
 
     def answer(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        asked = [_Asked(*m) for m in zip(frame["hot"], frame["totals"], frame["grams"])]
-        trie = map_trie(build_trie(asked, discount))
+        union = _Union([_Asked(*m) for m in zip(frame["hot"], frame["totals"], frame["grams"])])
+        trie = map_trie(build_trie(union, discount))
         codebook = [x for level in trie for q in (level.share, level.rest) for x in (q.least, q.step)]
-        out = [(block, int(key[0]), *ask_trie(trie, a), codebook) for block, a in zip(frame["block"], asked)]
+        out = [(block, int(key[0]), *said, codebook) for block, said in zip(frame["block"], ask_trie(trie, union))]
         return pd.DataFrame(out, columns=_REPLY_NAMES)
 
     return messages.groupBy("shard").applyInPandas(answer, REPLY)
@@ -447,21 +532,19 @@ def _chances(own: _Grams, replies: pd.DataFrame, first: np.ndarray, discount: fl
         kinds[asked] += unpack(reply["kinds"])
         for n, (level, cut) in enumerate(zip(own.levels, stretch)):
             least, step, least2, step2 = reply["codebook"][4 * n : 4 * n + 4]
-            shares[n][cut] = Quantiser(least, step).values(unpack(reply["shares"][n]))
-            codes = unpack(reply["rests"][n])
+            shares[n][cut] = Quantiser(least, step).values(unpack_codes(reply["shares"][n]))
+            codes = unpack_codes(reply["rests"][n])
             rest = np.where(codes > 0, Quantiser(least2, step2).values(codes), 1.0)
             # by context in the first level, then by the n-gram of one word less
-            which = np.unique(level.parent[cut], return_inverse=True)[1] if not n else level.parent[cut] - stretch[n - 1].start
+            which = np.cumsum(starts(level.parent[cut])) - 1 if not n else level.parent[cut] - stretch[n - 1].start
             rests[n][cut] = rest[which]
-    if len(own.hot):
-        pairs = own.levels[0]
-        nth = np.minimum(np.searchsorted(own.hot, pairs.parent), len(own.hot) - 1)
-        dealt = own.hot[nth] == pairs.parent
-        rests[0] = np.where(dealt, (discount * kinds / own.totals)[nth], rests[0])
+    dealt = np.flatnonzero(own.nth >= 0)
+    rests[0][dealt] = (discount * kinds / own.totals)[own.nth[dealt]]
     chance = first
     for level, share, rest in zip(own.levels, shares, rests):
         at = np.flatnonzero(level.ends >= 0)
-        chance[at] = share[level.ends[at]] + rest[level.ends[at]] * chance[at]
+        ends = level.ends[at]
+        chance[at] = share[ends] + rest[ends] * chance[at]
     return chance
 
 
@@ -474,22 +557,22 @@ def _scores(
         out = []
         for row in left.to_dict("records"):
             own = _Grams(row, *shape)
-            base = np.log10((own.counts + 1) / (tokens + words + 1))
+            base = np.log10((own.seen + 1) / (tokens + words + 1))
             if tokens:
-                first = np.maximum(own.counts - discount, 0) / tokens + discount * words / tokens / (words + 1)
+                first = np.maximum(own.seen - discount, 0) / tokens + discount * words / tokens / (words + 1)
             else:
-                first = np.ones(len(own.counts))
-            chance = _chances(own, right, first, discount)
-            starts = np.concatenate([[0], np.cumsum(own.lengths)[:-1]])
+                first = np.ones(len(own.seen))
+            chance = _chances(own, right, first[own.tokens], discount)
+            begins = np.concatenate([[0], np.cumsum(own.lengths)[:-1]])
             ids, known = unpack(row["docs"]).reshape(2, -1)
             out.append(
                 pd.DataFrame(
                     {
                         "doc_id": pd.array(ids.view(np.int64), dtype="Int64").copy(),
                         "n_tokens": own.lengths,
-                        "n_known": np.add.reduceat((own.counts > 0).astype(np.int64), starts),
-                        "base_score": np.add.reduceat(base, starts),
-                        "score": np.add.reduceat(np.log10(chance), starts),
+                        "n_known": np.add.reduceat((own.seen > 0).astype(np.int64)[own.tokens], begins),
+                        "base_score": np.add.reduceat(base[own.tokens], begins),
+                        "score": np.add.reduceat(np.log10(chance), begins),
                     }
                 )
             )
@@ -525,10 +608,9 @@ def train_and_score(docs: DataFrame, discount: float = DISCOUNT, order: int = OR
     # uneven shards are no harm, and the number must not divide the multiplier of a hash
     shards = tokens // SHARD_TOKENS * 2 + 7
     messages = _word_messages(blocks, shards)
-    vocabulary = train_vocabulary(messages)
-    words = int(vocabulary.agg(F.sum("n_words")).first()[0] or 0)
-    known = _known_words(_word_replies(messages, vocabulary, shards))
-    blocks = blocks.drop("words", "counts").join(known, "block")
+    known = _known_words(_word_replies(messages, shards))
+    words = int(known.agg(F.sum("n_words")).first()[0] or 0)
+    blocks = blocks.drop("words", "counts").join(known.drop("n_words"), "block")
     shape = (shards, order, SHARD_TOKENS)
     grams = _gram_messages(blocks, *shape)
     scores = _scores(blocks, _replies(grams, discount), shape, train_tokens, words, discount)

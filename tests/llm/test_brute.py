@@ -244,6 +244,90 @@ def test_language_model_equals_brute_force(spark, monkeypatch, order, shard_toke
     assert all(low.numbers["m"] == high.numbers["n"] for t in levels for high, low in itertools.pairwise(t))
 
 
+def test_tries_are_asked_once_for_each_ngram(monkeypatch):
+    """Five blocks with the same n-grams, a sixth with others: before, each block's were looked up."""
+    ids = lambda *v: ngramlm.pack(np.array(v, np.uint32))
+    none = (ids(), ngramlm.pack(np.zeros(0, np.uint64)))
+    # pairs 1 2, 1 3 and 4 2, then 1 2 5 and 4 2 5; last words and counts, contexts as steps
+    same = ngramlm._Asked(*none, [ids(1, 0, 3), ids(2, 3, 2), ids(1, 1, 0), ids(0, 2), ids(5, 5), ids(1, 0)])
+    more = ngramlm._Asked(*none, [ids(1, 3), ids(3, 9), ids(2, 0), ids(1), ids(7), ids(0)])
+    union = ngramlm._Union([same] * 5 + [more])
+    trie = eliasfano.map_trie(ngramlm.build_trie(union, 0.75))
+    assert [level.numbers["n"] for level in trie] == [2, 1]
+    looked, find = [], eliasfano.EliasFano.find
+    monkeypatch.setattr(eliasfano.EliasFano, "find", lambda own, x, *a: looked.append(len(x)) or find(own, x, *a))
+    said = list(ngramlm.ask_trie(trie, union))
+    # contexts 1 and 4, the pairs after 1, the triple after 1 2; a last look at no frequent context
+    assert looked == [2, 2, 1, 0]
+    assert len(said) == 6 and all(s == said[0] for s in said[:5])
+    shares = [level.share.values(ngramlm.unpack_codes(x)) for level, x in zip(trie, said[0][0])]
+    rests = [level.rest.values(ngramlm.unpack_codes(x)) for level, x in zip(trie, said[0][1])]
+    # 5 times 1 2 and 7 times 1 3, 5 times 1 2 5
+    assert shares[0] == pytest.approx([4.25 / 12, 6.25 / 12, 0], rel=1e-4)
+    assert shares[1] == pytest.approx([4.25 / 5, 0], rel=1e-4)
+    assert rests[0] == pytest.approx([0.75 * 2 / 12, 0], rel=1e-4)
+    assert rests[1] == pytest.approx([0.75 / 5, 0, 0], rel=1e-4)
+    assert (trie[0].share.values(ngramlm.unpack_codes(said[5][0][0])) > 0).tolist() == [True, False]
+
+
+def test_words_are_told_with_one_shuffle(spark, monkeypatch):
+    """Words went to their shards twice, to count them and to number them."""
+    dealt = []
+    real = ngramlm._word_messages
+    count = spark.sparkContext.accumulator(0)
+
+    def messages(blocks, shards):
+        def tell(frames):
+            for frame in frames:
+                count.add(len(frame))
+                yield frame
+
+        made = real(blocks, shards)
+        dealt.append(made.count())
+        return made.mapInPandas(tell, made.schema)
+
+    monkeypatch.setattr(ngramlm, "_word_messages", messages)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.lit(True).alias("train"))
+    scores, _ = ngramlm.train_and_score(docs)
+    assert scores.count() == docs.count()
+    assert count.value == dealt[0] > 0
+
+
+@pytest.mark.parametrize("piece", [1 << 19, 12, 1])
+def test_words_are_cut_as_bytes_split(monkeypatch, piece):
+    monkeypatch.setattr(ngramlm, "PIECE_BYTES", piece)
+    texts = [b"", b" \t", b"A b\x00\x1c\x1f c", b"\n\x0b\x0c\rx", "Ä\u00a0É \u2003z".encode(), b"\xff\xfe Q", b"one", b" two "]
+    for text in [*texts, b"\n".join(texts)]:
+        cut, stops = ngramlm.cut_words(text)
+        assert cut.to_pylist() == text.lower().split() == WORD.findall(text.lower())
+        assert [m.end() for m in WORD.finditer(text)] == stops.tolist()
+    row = ngramlm._block(7, list(range(len(texts))), [True] * len(texts), texts)
+    found = ngramlm.unpack_words(row["words"])
+    tokens = [found[t] for t in ngramlm.unpack(row["tokens"])]
+    assert tokens == [w for t in texts for w in [*t.lower().split(), ngramlm.END]]
+    assert ngramlm.unpack(row["lengths"]).tolist() == [len(t.split()) + 1 for t in texts]
+    for some in ([b""], [b"a", b"", b"b"], [b"", b"a"], [b"a", b""]):
+        assert ngramlm.word_array(ngramlm.pack_words(some)).to_pylist() == some
+
+
+@pytest.mark.parametrize("bits", [1, 20, 57, 64])
+@pytest.mark.parametrize("n", [0, 1, 2, 64, 1000])
+def test_distinct_equals_unique(bits, n):
+    keys = np.random.default_rng(n).integers(0, 1 << bits, n, np.uint64, endpoint=False) if bits < 64 else np.full(n, 2**64 - 1, np.uint64)
+    keys[n // 2 :] = keys[: n - n // 2]
+    for got, want in zip(ngramlm.distinct(keys.copy(), bits), np.unique(keys, return_inverse=True)):
+        assert got.tolist() == want.tolist()
+
+
+def test_set_bits_are_found_in_words():
+    draw = np.random.default_rng(0)
+    every = [0x8000000000000000, 1, 2**64 - 1, 0xFF00FF, *draw.integers(0, 2**64, 50, np.uint64).tolist()]
+    for word in every:
+        at = [i for i in range(64) if word >> i & 1]
+        got = eliasfano.EliasFano._in_word(np.full(len(at), word, np.uint64), np.arange(len(at)))
+        assert got.tolist() == at
+
+
 def test_language_model_query(spark):
     got = {r.doc_id: r for r in entry.queries()["op2_elias_fano_trie"](spark, SF).collect()}
     docs = table("documents")
