@@ -1,10 +1,11 @@
-"""N-gram Jaccard join: token groups name candidates, an R-tree of group counts bounds their overlap.
-
-Distinct shingle sets are the nodes; equal sets are one. The hashed shingles of a set fall into
-groups. For routing there are more groups than two linked sets can differ in, so at least one group
-is the same in both (pigeonhole), and sets that share a group are brought together, with counts of
-coarser groups as points. The sum of coordinate minima bounds the overlap of two sets; those it
-allows are tied into clusters. In a cluster the counts of ``DIMENSIONS`` groups are points of an
+"""N-gram Jaccard join: rare shingles name candidates, an R-tree of group counts bounds their overlap.
+
+Distinct shingle sets are the nodes; equal sets are one. All sets are put in one order, shingles of
+many sets last. For routing a set takes the first of that order, more than it can lack of a set it is
+linked with, so two linked sets have one of those in common (prefix filter), while sets that only
+share a passage of many texts don't meet. Sets that share one are brought together, with counts of
+groups of hashed shingles as points. The sum of coordinate minima bounds the overlap of two sets; those
+it allows are tied into clusters. In a cluster the counts of ``DIMENSIONS`` groups are points of an
 R-tree, where the sum also bounds a set's overlap with everything below a node, and pairs that
 survive are verified exactly.
 """
@@ -33,9 +34,9 @@ DIMENSIONS, FANOUT = 256, 32
 #: Least and most coordinates of the points that go with signatures: about as many as the sets of a level have
 #: elements, as the minima of fuller groups bound little. The longest run that is looked at in pairs.
 COORDINATES, SHORT_RUN = (256, 4096), 16
-#: Groups beyond those that two linked sets can differ in; so a set need not send its empty groups
-#: unless it has more than so many.
-SLACK = 1
+#: Bits of the buckets in which shingles of several texts are counted. Counts only make the order in which sets
+#: take their shingles: any order finds all links, one with frequent shingles last lets fewer sets meet.
+BUCKET_BITS = 20
 #: Texts are cut into chunks of about so many bytes.
 CHUNK = 4_000_000
 #: Signatures for each shard on average, and sets for a task at most.
@@ -108,13 +109,16 @@ def levels_of(sizes: np.ndarray, similar: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / step(similar)).astype(np.int64)
 
 
-def groups_at(level: np.ndarray, similar: int) -> np.ndarray:
-    """Groups at the level of the larger set: those that a pair can differ in, plus 1, plus the slack.
+def prefix(sizes: np.ndarray, similar: int) -> np.ndarray:
+    """Shingles by which a set is routed: one more than it can have that a set it is linked with has not.
 
-    Linked sets differ in at most (a + b) (100 - s) / (100 + s) elements of sizes a and b.
+    Linked sets have at least ``similar`` hundredths of either's size in common.
     """
-    most = np.ceil(np.exp((level + 1) * step(similar)) * (1 + 1e-9))
-    return np.floor(2 * most * (100 - similar) / (100 + similar)).astype(np.int64) + 1 + SLACK
+    return sizes * (100 - similar) // 100 + 1
+
+
+def bucket(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def coordinates_at(level: np.ndarray, similar: int) -> np.ndarray:
@@ -123,34 +127,21 @@ def coordinates_at(level: np.ndarray, similar: int) -> np.ndarray:
     return np.clip(2 ** np.ceil(np.log2(size)).astype(np.int64), *COORDINATES)
 
 
-def signatures(codes: np.ndarray, sizes: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, set number, level) of every group of every set, at the set's level and the next."""
-    out_sig, out_owner, out_level = [], [], []
+def signatures(
+    codes: np.ndarray, sizes: np.ndarray, similar: int, rank: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, set number, level) of the shingles that route each set, at its level and the next.
+
+    ``rank`` has a number for each bucket, higher ones for those of more frequent shingles.
+    """
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    own_level = levels_of(sizes, similar)
-    mixed = mix(codes ^ np.uint64(0x5DEECE66D))
-    high, low = (mixed >> np.uint64(32)).astype(np.float64), (mixed & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    for further in (0, 1):
-        level = own_level + further
-        groups = np.where(sizes > 0, groups_at(level, similar), 0)
-        start = np.cumsum(groups) - groups
-        group = ((codes >> np.uint64(8)) % groups[owner].astype(np.uint64)).astype(np.int64)
-        key = start[owner] + group
-        n = int(groups.sum())
-        # sums of 32-bit halves stay exact in doubles
-        upper = np.bincount(key, high, n).astype(np.uint64)
-        lower = np.bincount(key, low, n).astype(np.uint64)
-        filled = np.bincount(key, minlength=n) > 0
-        which = np.repeat(np.arange(len(sizes)), groups)
-        place = np.arange(n) - np.repeat(start, groups)
-        empty = np.bincount(which[~filled], minlength=len(sizes))
-        send = filled | (empty[which] > SLACK)
-        label = mix((np.repeat(level, groups).astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))
-        sig = mix(mix(upper + label) + lower)
-        out_sig.append(sig[send])
-        out_owner.append(which[send])
-        out_level.append(level[which[send]])
-    return np.concatenate(out_sig), np.concatenate(out_owner), np.concatenate(out_level)
+    order = np.lexsort((codes, rank[bucket(codes)], owner))
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = order[place < prefix(sizes, similar)[owner]]
+    codes, owner = codes[order], owner[order]
+    own_level = levels_of(sizes, similar)[owner]
+    level = np.concatenate([own_level, own_level + 1])
+    return mix(np.tile(codes, 2) ^ mix(level.astype(np.uint64))), np.tile(owner, 2), level
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -172,7 +163,7 @@ def _arrow(schema: list[tuple[str, pa.DataType]], columns: list) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema)], [n for n, _ in schema])
 
 
-SETS = "doc_id long, text_hash long, n long, print long"
+SETS = "doc_id long, text_hash long, n long, print long, buckets array<int>, counts array<int>"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -181,15 +172,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Key, size and fingerprint of each document's set; the fingerprint of an empty set is null."""
-    schema = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("print", pa.int64())]
+    """Key, size and fingerprint of each document's set; the fingerprint of an empty set is null.
+
+    Each chunk of texts adds a row with nothing but ``buckets`` and ``counts``: the shingles that
+    several of its sets have, by bucket, and in how many sets they are.
+    """
+    schema = [(c, pa.int64()) for c in ("doc_id", "text_hash", "n", "print")]
+    schema += [(c, pa.list_(pa.int32())) for c in ("buckets", "counts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for ids, texts in _chunks(batches):
                 codes, sizes = shingle_sets(texts, words)
-                marks = [p if n else None for p, n in zip(prints(codes, sizes).tolist(), sizes)]
-                yield _arrow(schema, [[i for i, _ in ids], [h for _, h in ids], sizes, marks])
+                marks = prints(codes, sizes)
+                # equal sets count once
+                first = np.zeros(len(sizes), bool)
+                first[np.unique(marks, return_index=True)[1]] = True
+                shingles, sets = np.unique(codes[np.repeat(first, sizes)], return_counts=True)
+                shared = [x[sets > 1].astype(np.int32) for x in (bucket(shingles), sets)]
+                marks = [p if n else None for p, n in zip(marks.tolist(), sizes)]
+                none = [None] * len(ids)
+                yield _arrow(schema, [[i for i, _ in ids], [h for _, h in ids], sizes, marks, none, none])
+                yield _arrow(schema, [[None]] * 4 + [[x] for x in shared])
 
     return _keyed(docs).select(F.struct("doc_id", "text_hash").alias("id"), "text").mapInArrow(run, SETS)
 
@@ -252,10 +256,19 @@ MESSAGE = "shard int, sigs binary, owners binary, prints binary, points binary"
 def level_shards(found: DataFrame, similar: int) -> np.ndarray:
     """Shards of each size level, as many as its signatures ask; there are some dozens of levels."""
     level = F.floor(F.ln(F.col("n").cast("double")) / step(similar))
-    counts = {int(r.level): r.n for r in found.where("n > 0").groupBy(level.alias("level")).agg(F.count("n").alias("n")).collect()}
-    levels = np.arange(max(counts, default=0) + 3)
-    sets = np.array([counts.get(k, 0) + counts.get(k - 1, 0) for k in levels.tolist()])
-    return sets * groups_at(levels, similar) // SHARD_SIGNATURES + 1
+    sent = F.sum(F.floor(F.col("n") * (100 - similar) / 100) + 1)
+    counts = {int(r.level): r.n for r in found.where("n > 0").groupBy(level.alias("level")).agg(sent.alias("n")).collect()}
+    levels = range(max(counts, default=0) + 3)
+    return np.array([(counts.get(k, 0) + counts.get(k - 1, 0)) // SHARD_SIGNATURES + 1 for k in levels])
+
+
+def bucket_ranks(shared: DataFrame) -> np.ndarray:
+    """Binary orders of magnitude of the counts of all buckets, a byte each."""
+    one = shared.select(F.explode(F.arrays_zip("buckets", "counts")).alias("x")).select("x.*")
+    sums = one.groupBy("buckets").agg(F.floor(F.log2(F.sum("counts"))).cast("byte").alias("rank")).toArrow()
+    rank = np.zeros(1 << BUCKET_BITS, np.uint8)
+    rank[sums["buckets"].to_numpy()] = sums["rank"].to_numpy()
+    return rank
 
 
 def _counted(codes: np.ndarray, holder: np.ndarray, member: np.ndarray, row: np.ndarray, dims: int) -> np.ndarray:
@@ -268,7 +281,7 @@ def _counted(codes: np.ndarray, holder: np.ndarray, member: np.ndarray, row: np.
     return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
 
 
-def candidate_edges(docs: DataFrame, shards: np.ndarray, words: int, similar: int) -> DataFrame:
+def candidate_edges(docs: DataFrame, shards: np.ndarray, rank: np.ndarray, words: int, similar: int) -> DataFrame:
     """Edges (a, b) that tie together sets which share a signature and whose counts allow a link.
 
     Chunks send sorted signatures, each set once, to a shard of their level, and with them the counts
@@ -286,7 +299,7 @@ def candidate_edges(docs: DataFrame, shards: np.ndarray, words: int, similar: in
                 codes, sizes = shingle_sets(texts, words)
                 marks = prints(codes, sizes)
                 holder = np.repeat(np.arange(len(sizes)), sizes)
-                sig, owner, level = signatures(codes, sizes, similar)
+                sig, owner, level = signatures(codes, sizes, similar, rank)
                 _, first, back = np.unique(marks, return_index=True, return_inverse=True)
                 once = first[back[owner]] == owner
                 sig, owner, level = sig[once], owner[once], np.minimum(level[once], len(shards) - 1)
@@ -524,8 +537,10 @@ def _linked(docs: DataFrame, words: int, similar: int) -> DataFrame:
 
     The first one has the smallest doc_id, then the smallest text hash; null ids come last.
     """
-    found = stage(document_sets(docs, words), "join-sets")
-    near = components(candidate_edges(docs, level_shards(found, similar), words, similar))
+    read = stage(document_sets(docs, words), "join-sets")
+    found = read.where("buckets IS NULL").drop("buckets", "counts")
+    rank = bucket_ranks(read.where("buckets IS NOT NULL"))
+    near = components(candidate_edges(docs, level_shards(found, similar), rank, words, similar))
     lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     distinct = found.where("print IS NOT NULL").groupBy("print").agg(F.min(lead).alias("lead"))
     members = distinct.join(near.select(F.col("node").alias("print"), F.col("label").alias("cluster")), "print")

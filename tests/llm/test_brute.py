@@ -768,6 +768,36 @@ def test_join_equals_brute_force(spark, near_copies, monkeypatch, size, similar,
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_join(near_copies, size, similar)
 
 
+def test_shared_passages_bring_no_sets_together(spark):
+    """Of texts that share half of their words, those that are linked meet, and no others."""
+    draw = random.Random(23)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    passage = [draw.choice(vocabulary) for _ in range(100)]
+    texts = []
+    for _ in range(60):
+        texts.append([draw.choice(vocabulary) for _ in range(50)] + passage + [draw.choice(vocabulary) for _ in range(50)])
+    for k in range(0, 60, 6):
+        texts.append([*texts[k][:20], "changed", *texts[k][21:]])
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rank = rtreejoin.bucket_ranks(rtreejoin.document_sets(docs, 5).where("buckets IS NOT NULL"))
+    with np.errstate(over="ignore"):
+        codes, sizes = rtreejoin.shingle_sets(texts, 5)
+        sig, owner, level = rtreejoin.signatures(codes, sizes, 80, rank)
+    runs = {}
+    for s, o, lv in zip(sig.tolist(), owner.tolist(), level.tolist()):
+        runs.setdefault((s, lv), set()).add(o)
+    met = {pair for run in runs.values() for pair in itertools.combinations(sorted(run), 2)}
+    assert met == {(k, 60 + k // 6) for k in range(0, 60, 6)}
+    sets = np.split(codes, np.cumsum(sizes)[:-1])
+    linked = {
+        (i, j)
+        for i, j in itertools.combinations(range(len(sets)), 2)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert linked == met
+
+
 # --- archives ------------------------------------------------------------------------------------
 
 
