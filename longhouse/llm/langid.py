@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,9 +184,11 @@ def learn(labelled: DataFrame) -> Model | None:
     usable = labelled.where(F.col("lang").isNotNull() & has_letter())
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # most features of a text are nought
+        compressor = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             x = features(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x])], ["lang", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([compressor.compress(r) for r in x])], ["lang", "x"])
 
     sample = _sample(usable, SAMPLE_TEXTS)
     if sample is None:
@@ -195,11 +198,16 @@ def learn(labelled: DataFrame) -> Model | None:
         return None
     names = rows.column(0).to_pylist()
     languages = sorted(set(names))
-    x = np.frombuffer(b"".join(rows.column(1).to_pylist()), np.float32).reshape(len(names), FEATURES)
+    # the driver holds the sample twice at most
+    x, plain = np.empty((len(names), FEATURES), np.float32), zstandard.ZstdDecompressor()
+    for k, row in enumerate(rows.column(1)):
+        x[k] = np.frombuffer(plain.decompress(row.as_py()), np.float32)
+    del rows
     place = {name: k for k, name in enumerate(languages)}
     label = np.array([place[name] for name in names])
     by_label = np.lexsort((x @ np.arange(FEATURES, dtype=np.float32), label))
-    return fit(languages, label[by_label], x[by_label])
+    x = x[by_label]
+    return fit(languages, label[by_label], x)
 
 
 def has_letter(text: str = "text") -> F.Column:
